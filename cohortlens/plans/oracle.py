@@ -335,6 +335,7 @@ def build() -> dict[str, str]:
         f"{rhu('quantile_cont(salary_usd, 0.25)', 2)} AS p25_salary",
         f"{rhu('quantile_cont(salary_usd, 0.5)', 2)} AS median_salary",
         f"{rhu('quantile_cont(salary_usd, 0.75)', 2)} AS p75_salary"])
+    q["salary_by_archetype_exact"] = q["salary_by_archetype"]
     q["jobsat_by_archetype"] = B + grouped("archetype", [
         "count(job_sat_int) AS n", f"{rhu('avg(job_sat_int)', 3)} AS mean_job_sat",
         f"{rhu('stddev_samp(job_sat_int)', 3)} AS stddev_job_sat",
@@ -355,6 +356,7 @@ def build() -> dict[str, str]:
                                        where="RemoteWork IS NOT NULL")
     q["main_branch_mix"] = B + grouped("archetype", share("MainBranch", MAIN_BRANCH_VALUES, MAIN_BRANCH_ALIASES),
                                        where="MainBranch IS NOT NULL")
+    q["share_pivot_remote"] = q["remote_work_mix"]
     role_ctes = [f"topr AS ({topk_sql('primary_role', 8, 'binned', ['Unknown'])})",
                  "tot AS (SELECT archetype, count(*) AS total FROM binned GROUP BY archetype)",
                  "cells AS (SELECT archetype, primary_role, count(*) AS n FROM binned WHERE primary_role IN "
@@ -362,6 +364,7 @@ def build() -> dict[str, str]:
     q["primary_role_mix"] = upto("binned", role_ctes) + (
         f"SELECT c.archetype, c.primary_role, c.n, t.total, {rhu('CAST(c.n AS DOUBLE) * 100.0 / t.total', 1)} AS pct "
         "FROM cells c JOIN tot t USING (archetype)")
+    q["primary_role_mix_scan"] = q["primary_role_mix"]
     q["topk_roles"] = B + topk_sql("primary_role", 8, "binned", ["Unknown"])
     q["topk_countries"] = upto("clean") + topk_sql("Country", 5, "clean")
     q["summary_by_archetype"] = B + grouped("archetype", ["count(*) AS developers"] + [
@@ -392,6 +395,7 @@ def build() -> dict[str, str]:
         f"topr AS ({topk_sql('primary_role', 8, 'binned')})",
         "br AS (SELECT * FROM binned WHERE primary_role IN (SELECT primary_role FROM topr))"]) + pivot_mean_sql("primary_role", "br")
 
+    q["pivot_mean_scan"] = q["salary_role_x_usage"]
     F_ = upto("feat")
     q["corr_pairs"] = F_ + ", " + corr_pairs_cte(CORRELATION_COLUMNS, "feat") + "\nSELECT var_a, var_b, pearson_corr FROM pairs"
     q["corr_ranked"] = F_ + ", " + corr_pairs_cte(CORRELATION_COLUMNS, "feat") + (

@@ -180,48 +180,66 @@ def _lab(spark, d):
     return stages.binned_fixed(spark, d)
 
 
+def _profile(spark, d, name):
+    """A per-archetype table from the shared one-scan profile (the report's own path)."""
+    prof = report.cohort_profile(_lab(spark, d)).persist()
+    return report.tables_from_profile(prof)[name]
+
+
 def q_cluster_sizes(spark, d):
-    return report.cluster_sizes(_lab(spark, d))
+    return _profile(spark, d, "cluster_sizes")
 
 
 def q_salary_by_archetype(spark, d):
-    return report.salary_by_archetype(_lab(spark, d))
+    return _profile(spark, d, "salary_by_archetype")
+
+
+def q_salary_by_archetype_exact(spark, d):
+    return report.salary_by_archetype(_lab(spark, d), quantile_method="exact")
 
 
 def q_jobsat_by_archetype(spark, d):
-    return report.jobsat_by_archetype(_lab(spark, d))
+    return _profile(spark, d, "jobsat_by_archetype")
 
 
 def q_ai_tool_adoption(spark, d):
-    return report.ai_tool_adoption(_lab(spark, d))
+    return _profile(spark, d, "ai_tool_adoption_by_archetype")
 
 
 def q_tech_stack(spark, d):
-    return report.tech_stack(_lab(spark, d))
+    return _profile(spark, d, "tech_stack_by_archetype")
 
 
 def q_profile_by_archetype(spark, d):
-    return report.profile_by_archetype(_lab(spark, d))
+    return _profile(spark, d, "profile_by_archetype")
 
 
 def q_remote_work_mix(spark, d):
-    return report.remote_work_mix(_lab(spark, d))
+    return _profile(spark, d, "remote_work_by_archetype")
 
 
 def q_main_branch_mix(spark, d):
-    return report.main_branch_mix(_lab(spark, d))
+    return _profile(spark, d, "main_branch_by_archetype")
+
+
+def q_share_pivot_remote(spark, d):
+    return report.remote_work_mix(_lab(spark, d))
 
 
 def q_primary_role_mix(spark, d):
+    return report.role_mix_from_counts(report.role_counts(_lab(spark, d)))[1]
+
+
+def q_primary_role_mix_scan(spark, d):
     return report.primary_role_mix_long(_lab(spark, d))
 
 
 def q_primary_role_by_archetype(spark, d):
-    return report.primary_role_mix(_lab(spark, d))
+    return report.impact_report(_lab(spark, d))["primary_role_by_archetype"]
 
 
 def q_topk_roles(spark, d):
-    return report.top_roles(_lab(spark, d), 8)
+    return report.role_mix_from_counts(report.role_counts(_lab(spark, d)))[0]
 
 
 def q_topk_countries(spark, d):
@@ -229,7 +247,7 @@ def q_topk_countries(spark, d):
 
 
 def q_summary_by_archetype(spark, d):
-    return report.summary_by_archetype(_lab(spark, d))
+    return _profile(spark, d, "summary_by_archetype")
 
 
 def q_top_countries(spark, d):
@@ -240,23 +258,31 @@ def q_top_devroles(spark, d):
     return report.top_devroles(_lab(spark, d))
 
 
+def _deep(spark, d, name):
+    return report.deep_dive_tables(_lab(spark, d))[name]
+
+
 def q_deep_salary_by_usage(spark, d):
     return report.salary_by_usage(_lab(spark, d))
 
 
 def q_salary_exp_x_usage(spark, d):
-    return report.salary_exp_x_usage(_lab(spark, d))
+    return _deep(spark, d, "deep_salary_by_exp_x_ai")
 
 
 def q_counts_exp_x_usage(spark, d):
-    return report.counts_exp_x_usage(_lab(spark, d))
+    return _deep(spark, d, "deep_counts_by_exp_x_ai")
 
 
 def q_salary_country_x_usage(spark, d):
-    return report.salary_country_x_usage(_lab(spark, d))
+    return _deep(spark, d, "deep_salary_by_country_x_ai")
 
 
 def q_salary_role_x_usage(spark, d):
+    return _deep(spark, d, "deep_salary_by_role_x_ai")
+
+
+def q_pivot_mean_scan(spark, d):
     return report.salary_role_x_usage(_lab(spark, d))
 
 
@@ -318,12 +344,11 @@ def q_centroid_heatmap(spark, d):
 # --------------------------------------------------------------------- figure tables
 
 def q_canonical_order(spark, d):
-    return figures.in_display_order(report.cluster_sizes(_lab(spark, d)), "archetype")
+    return figures.in_display_order(q_cluster_sizes(spark, d), "archetype")
 
 
 def q_headline_outcomes(spark, d):
-    lab = _lab(spark, d)
-    return figures.headline_outcomes(report.salary_by_archetype(lab), report.jobsat_by_archetype(lab))
+    return figures.headline_outcomes(q_salary_by_archetype(spark, d), q_jobsat_by_archetype(spark, d))
 
 
 def q_simpson_deltas(spark, d):
@@ -331,11 +356,11 @@ def q_simpson_deltas(spark, d):
 
 
 def q_role_heatmap_k(spark, d):
-    return figures.role_heatmap_k(report.salary_role_x_usage(_lab(spark, d)))
+    return figures.role_heatmap_k(q_salary_role_x_usage(spark, d))
 
 
 def q_country_display(spark, d):
-    return figures.country_display(report.salary_country_x_usage(_lab(spark, d)))
+    return figures.country_display(q_salary_country_x_usage(spark, d))
 
 
 def q_box_stats(spark, d):
@@ -430,13 +455,16 @@ REGISTRY: dict[str, Q] = {
     "label_clusters": q_label_clusters,
     "cluster_sizes": q_cluster_sizes,
     "salary_by_archetype": q_salary_by_archetype,
+    "salary_by_archetype_exact": q_salary_by_archetype_exact,
     "jobsat_by_archetype": q_jobsat_by_archetype,
     "ai_tool_adoption": q_ai_tool_adoption,
     "tech_stack": q_tech_stack,
     "profile_by_archetype": q_profile_by_archetype,
     "remote_work_mix": q_remote_work_mix,
     "main_branch_mix": q_main_branch_mix,
+    "share_pivot_remote": q_share_pivot_remote,
     "primary_role_mix": q_primary_role_mix,
+    "primary_role_mix_scan": q_primary_role_mix_scan,
     "primary_role_by_archetype": q_primary_role_by_archetype,
     "topk_roles": q_topk_roles,
     "topk_countries": q_topk_countries,
@@ -448,6 +476,7 @@ REGISTRY: dict[str, Q] = {
     "counts_exp_x_usage": q_counts_exp_x_usage,
     "salary_country_x_usage": q_salary_country_x_usage,
     "salary_role_x_usage": q_salary_role_x_usage,
+    "pivot_mean_scan": q_pivot_mean_scan,
     "corr_pairs": q_corr_pairs,
     "corr_ranked": q_corr_ranked,
     "corr_matrix": q_corr_matrix,

@@ -27,7 +27,7 @@ def cluster_sizes(df: DataFrame) -> DataFrame:
     return df.groupBy("prediction", A).agg(F.count(F.lit(1)).alias("count")).orderBy("prediction")
 
 
-def salary_by_archetype(df: DataFrame, quantile_method: str = "exact") -> DataFrame:
+def salary_by_archetype(df: DataFrame, quantile_method: str = "bracketed") -> DataFrame:
     ms = [Measure("n", "count", "salary_usd"),
           Measure("mean_salary", "mean", "salary_usd", 2),
           Measure("stddev_salary", "stddev", "salary_usd", 2),
@@ -134,8 +134,8 @@ def top_devroles(df: DataFrame, n: int = 5) -> DataFrame:
     return topn.topn_items_per_group(df, A, "DevType", n, out="dev_role")
 
 
-def impact_report(df: DataFrame, quantile_method: str = "exact") -> dict[str, DataFrame]:
-    """The 12 cohort tables, by output name."""
+def impact_report_separate(df: DataFrame, quantile_method: str = "exact") -> dict[str, DataFrame]:
+    """The 12 cohort tables, each its own scan of ``df`` (reference layout)."""
     return {
         "cluster_sizes": cluster_sizes(df),
         "salary_by_archetype": salary_by_archetype(df, quantile_method),
@@ -152,11 +152,129 @@ def impact_report(df: DataFrame, quantile_method: str = "exact") -> dict[str, Da
     }
 
 
+# ---------------------------------------------------------------------------
+# shared scans: every per-archetype table from ONE aggregate
+# ---------------------------------------------------------------------------
+
+def _mean_columns() -> list[str]:
+    cols = ["salary_usd", "job_sat_int", "ai_product_count", "ai_task_count"]
+    cols += tool_columns() + language_columns()
+    cols += [c for c, _, _ in PROFILE_MEANS + SUMMARY_MEANS]
+    return list(dict.fromkeys(cols))
+
+
+def cohort_profile(df: DataFrame, quantile_method: str = "bracketed") -> DataFrame:
+    """All per-archetype measures of the report in one ``groupBy().agg()`` (k rows).
+
+    Salary quantiles use ``quantile_method`` (bracketed: exact with bounded memory); the
+    job-satisfaction median is a 0-10 score, so plain ``percentile`` stays bounded.
+    """
+    aggs = [F.count(F.lit(1)).alias("rows"),
+            F.count("salary_usd").alias("n_salary"), F.stddev_samp("salary_usd").alias("sd_salary_usd"),
+            F.count("job_sat_int").alias("n_job_sat"), F.stddev_samp("job_sat_int").alias("sd_job_sat_int"),
+            F.percentile("job_sat_int", 0.5).alias("q50_job_sat_int")]
+    aggs += [F.avg(c).alias("avg_" + c) for c in _mean_columns()]
+    aggs += [F.count("RemoteWork").alias("rw_total")] + \
+        [F.count_if(F.col("RemoteWork") == v).alias(f"rw{i}") for i, v in enumerate(REMOTE_WORK_VALUES)]
+    aggs += [F.count("MainBranch").alias("mb_total")] + \
+        [F.count_if(F.col("MainBranch") == v).alias(f"mb{i}") for i, v in enumerate(MAIN_BRANCH_VALUES)]
+    qs, names = [0.25, 0.5, 0.75], ["q25_salary", "q50_salary", "q75_salary"]
+    if quantile_method == "exact":
+        aggs += [F.percentile("salary_usd", q).alias(n) for q, n in zip(qs, names)]
+    prof = df.groupBy("prediction", A).agg(*aggs)
+    if quantile_method != "exact":
+        from ..operators.quantiles import grouped_quantiles
+        prof = prof.join(grouped_quantiles(df, [A], "salary_usd", qs, names, method=quantile_method),
+                         on=A, how="left")
+    return prof
+
+
+def _r(c, d):
+    return round_half_up(c, d)
+
+
+def tables_from_profile(prof: DataFrame) -> dict[str, DataFrame]:
+    """The nine per-archetype tables as projections of the profile."""
+    pct = lambda c, t: _r(F.col(c) * 100.0 / F.col(t), 1)
+    means = lambda spec: [_r(F.col("avg_" + c), d).alias(a) for c, a, d in spec]
+    out = {
+        "cluster_sizes": prof.select("prediction", A, F.col("rows").alias("count")).orderBy("prediction"),
+        "salary_by_archetype": prof.select(
+            A, F.col("n_salary").alias("n"), _r("avg_salary_usd", 2).alias("mean_salary"),
+            _r("sd_salary_usd", 2).alias("stddev_salary"), _r("q25_salary", 2).alias("p25_salary"),
+            _r("q50_salary", 2).alias("median_salary"), _r("q75_salary", 2).alias("p75_salary"))
+            .orderBy(F.desc("mean_salary"), F.asc(A)),
+        "jobsat_by_archetype": prof.select(
+            A, F.col("n_job_sat").alias("n"), _r("avg_job_sat_int", 3).alias("mean_job_sat"),
+            _r("sd_job_sat_int", 3).alias("stddev_job_sat"), _r("q50_job_sat_int", 1).alias("median_job_sat"))
+            .orderBy(F.desc("mean_job_sat"), F.asc(A)),
+        "ai_tool_adoption_by_archetype": prof.select(
+            A, F.col("rows").alias("n"), _r("avg_ai_product_count", 2).alias("avg_products"),
+            _r("avg_ai_task_count", 2).alias("avg_tasks"),
+            *[_r(F.col("avg_" + c) * 100, 1).alias(c + "_pct") for c in tool_columns()])
+            .orderBy(F.desc("avg_products"), F.asc(A)),
+        "tech_stack_by_archetype": prof.select(
+            A, *[_r(F.col("avg_" + c) * 100, 1).alias(c + "_pct") for c in language_columns()]).orderBy(A),
+        "profile_by_archetype": prof.select(A, *means(PROFILE_MEANS)).orderBy(A),
+        "remote_work_by_archetype": prof.where(F.col("rw_total") > 0).select(
+            A, F.col("rw_total").alias("total"),
+            *[pct(f"rw{i}", "rw_total").alias(v + "_pct") for i, v in enumerate(REMOTE_WORK_VALUES)]).orderBy(A),
+        "main_branch_by_archetype": prof.where(F.col("mb_total") > 0).select(
+            A, F.col("mb_total").alias("total"),
+            *[pct(f"mb{i}", "mb_total").alias(a) for i, a in enumerate(MAIN_BRANCH_ALIASES)]).orderBy(A),
+        "summary_by_archetype": prof.select(A, F.col("rows").alias("developers"), *means(SUMMARY_MEANS))
+            .orderBy(F.desc("avg_salary_usd"), F.asc(A)),
+    }
+    return out
+
+
+def role_counts(df: DataFrame) -> DataFrame:
+    """Rows per (archetype, primary role): every role-mix number derives from this."""
+    return with_primary_role(df).groupBy(A, "primary_role").agg(F.count(F.lit(1)).alias("n"))
+
+
+def role_mix_from_counts(rc: DataFrame, k: int = 8) -> tuple[DataFrame, DataFrame]:
+    """(top-k roles, long role mix) from the per-(archetype, role) counts."""
+    top = rc.where(F.col("primary_role").isNotNull() & (F.col("primary_role") != UNKNOWN_ROLE)) \
+        .groupBy("primary_role").agg(F.sum("n").alias("count")) \
+        .orderBy(F.desc("count"), F.asc("primary_role")).limit(k)
+    totals = rc.groupBy(A).agg(F.sum("n").alias("total"))
+    cells = rc.join(F.broadcast(top.select("primary_role")), on="primary_role", how="left_semi")
+    long = cells.join(totals, on=A).select(A, "primary_role", "n", "total",
+                                          _r(F.col("n") * 100.0 / F.col("total"), 1).alias("pct")) \
+        .orderBy(A, "primary_role")
+    return top, long
+
+
+def impact_report(df: DataFrame, quantile_method: str = "bracketed") -> dict[str, DataFrame]:
+    """The 12 cohort tables, by output name, from shared scans of ``df``.
+
+    Scans of the labelled table: one profile aggregate (+ the bracketed salary quantiles),
+    one per-(archetype, role) count, one per-(archetype, country) count and one over the
+    exploded roles.  The small intermediate aggregates are persisted so the derived tables
+    do not re-scan.
+    """
+    prof = cohort_profile(df, quantile_method).persist()
+    out = tables_from_profile(prof)
+    rc = role_counts(df).persist()
+    top, long = role_mix_from_counts(rc)
+    roles = [r[0] for r in top.select("primary_role").collect()]  # k names, to name k columns
+    out["primary_role_by_archetype"] = crosstab.share_wide(long, A, "primary_role", roles,
+                                                           [role_column_name(r) for r in roles])
+    out["top_countries_by_archetype"] = top_countries(df)
+    out["top_devroles_by_archetype"] = top_devroles(df)
+    order = ["cluster_sizes", "salary_by_archetype", "jobsat_by_archetype", "ai_tool_adoption_by_archetype",
+             "tech_stack_by_archetype", "profile_by_archetype", "remote_work_by_archetype",
+             "main_branch_by_archetype", "primary_role_by_archetype", "summary_by_archetype",
+             "top_countries_by_archetype", "top_devroles_by_archetype"]
+    return {n: out[n] for n in order}
+
+
 # ---------------------------------------------------------------------------
 # confounder controls
 # ---------------------------------------------------------------------------
 
-def salary_by_usage(b: DataFrame, quantile_method: str = "exact") -> DataFrame:
+def salary_by_usage(b: DataFrame, quantile_method: str = "bracketed") -> DataFrame:
     ms = [Measure("n", "rows"),
           Measure("mean_salary", "mean", "salary_usd", 0),
           Measure("median_salary", "quantile", "salary_usd", 0, 0.5),
@@ -197,21 +315,57 @@ def regression(b: DataFrame):
         stats.fit_stats(model, b.sparkSession)
 
 
-def deep_dive(df: DataFrame, quantile_method: str = "exact") -> dict[str, DataFrame]:
+def usage_cells(b: DataFrame, row: str) -> DataFrame:
+    """Rows and mean salary per (row key, usage bin): the input of a two-way table."""
+    return b.groupBy(row, "ai_usage_bin").agg(F.count(F.lit(1)).alias("n"), F.avg("salary_usd").alias("m"))
+
+
+def pivot_cells(cells: DataFrame, row: str, value: str, digits: int | None = 0) -> DataFrame:
+    v = F.first(value)
+    agg = _r(v, digits) if digits is not None else v
+    return cells.groupBy(row).pivot("ai_usage_bin", USAGE_VALUES).agg(agg)
+
+
+def top_from_cells(cells: DataFrame, row: str, k: int) -> DataFrame:
+    return cells.where(F.col(row).isNotNull()).groupBy(row).agg(F.sum("n").alias("count")) \
+        .orderBy(F.desc("count"), F.asc(row)).limit(k)
+
+
+def deep_dive(df: DataFrame, quantile_method: str = "bracketed") -> dict[str, DataFrame]:
     """The 7 confounder-control tables, by output name (the OLS fit runs here)."""
     b = df if "ai_usage_bin" in df.columns else add_bins(df)
     _, coefs, _ = regression(b)
+    out = deep_dive_tables(b)
     return {
         "deep_salary_by_ai_usage": salary_by_usage(b, quantile_method),
-        "deep_salary_by_exp_x_ai": salary_exp_x_usage(b),
-        "deep_counts_by_exp_x_ai": counts_exp_x_usage(b),
-        "deep_salary_by_country_x_ai": salary_country_x_usage(b),
-        "deep_salary_by_role_x_ai": salary_role_x_usage(b),
+        "deep_salary_by_exp_x_ai": out["deep_salary_by_exp_x_ai"],
+        "deep_counts_by_exp_x_ai": out["deep_counts_by_exp_x_ai"],
+        "deep_salary_by_country_x_ai": out["deep_salary_by_country_x_ai"],
+        "deep_salary_by_role_x_ai": out["deep_salary_by_role_x_ai"],
         "deep_correlations": correlations(b).drop("pair_no"),
         "deep_regression_coefficients": coefs,
     }
 
 
+def deep_dive_tables(df: DataFrame) -> dict[str, DataFrame]:
+    """The four two-way tables, from small per-cell aggregates (persisted): cell means,
+    counts and top-k lists share one scan per row key."""
+    b = df if "ai_usage_bin" in df.columns else add_bins(df)
+    exp_cells = usage_cells(b, "experience_bin").persist()
+    country_cells = usage_cells(b, "Country").persist()
+    role_cells = usage_cells(b, "primary_role").persist()
+    top_c = top_from_cells(country_cells, "Country", 5)
+    top_r = top_from_cells(role_cells, "primary_role", 8)
+    return {
+        "deep_salary_by_exp_x_ai": pivot_cells(exp_cells, "experience_bin", "m").orderBy("experience_bin"),
+        "deep_counts_by_exp_x_ai": pivot_cells(exp_cells, "experience_bin", "n", None).orderBy("experience_bin"),
+        "deep_salary_by_country_x_ai": pivot_cells(
+            crosstab.filter_topk(country_cells, "Country", top_c), "Country", "m").orderBy(F.desc("Country")),
+        "deep_salary_by_role_x_ai": pivot_cells(
+            crosstab.filter_topk(role_cells, "primary_role", top_r), "primary_role", "m").orderBy("primary_role"),
+    }
+
+
 def short_country(c) -> F.Column:
     """Display names for the two long country names."""
     c = F.col(c) if isinstance(c, str) else c

@@ -13,6 +13,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # generated methods above 8 KB of bytecode are never JIT-compiled by HotSpot; let
+    # Spark fall back to per-expression code for such stages instead of interpreting them
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -39,6 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) on a cluster")
         conf = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
