@@ -4,11 +4,11 @@ Runs on ``local[$BENCH_CPUS]`` over ``$BENCH_SF_DIR`` (default /root/testdata/sf
 prints ONE JSON line: {"metric", "value" (total seconds), "unit", "queries": {...}, "sf"}.
 
 Stages timed (each forces its result with an action):
-  respondents_clean   respondents view + cleaning funnel, materialised (count)
+  respondents_clean   respondents view + cleaning, written once as Parquet
   funnel              rows left after each cleaning step (one scan)
   features            counts + 22 indicators + z-scored vectors (checkpointed)
   k_sweep             K-Means k=2..8 (maxIter 20) with WSSSE and silhouette
-  kmeans_fit          final K-Means k=3 (maxIter 40) + labelling + persist
+  kmeans_fit          final K-Means k=3 (maxIter 40) + labelling, written as Parquet
   impact_report       the 12 cohort tables
   deep_dive           the 7 confounder-control tables (incl. OLS)
   fixed_*             oracle-checked queries on seeded centres (closed-form silhouette)
@@ -50,12 +50,12 @@ def main() -> None:
         return out
 
     raw = respondents(spark, sf_dir)
-    clean_df = clean(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    n_clean = timed("respondents_clean", lambda: clean_df.count())
+    clean_df = timed("respondents_clean", lambda: checkpointed(clean(raw), "clean"))
+    n_clean = clean_df.count()
     timed("funnel", lambda: clean_funnel(raw).collect())
 
     def feats():
-        f = checkpointed(build_features(clean_df))
+        f = checkpointed(build_features(clean_df), "features")
         scaled, _ = vector_features(f)
         scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
         scaled.count()
@@ -68,9 +68,8 @@ def main() -> None:
         model = cluster.fit_kmeans(scaled, 3, max_iter=40)
         centroids = cluster.centroid_table(spark, model, CLUSTER_FEATURES)
         labels = cluster.label_table(centroids, RANK_FEATURE)
-        lab = add_bins(cluster.label_clusters(model.transform(scaled), labels)).persist(StorageLevel.MEMORY_AND_DISK)
-        lab.count()
-        return lab
+        lab = add_bins(cluster.label_clusters(model.transform(scaled), labels)).drop("features_raw", "features")
+        return checkpointed(lab, "labelled")
 
     labelled = timed("kmeans_fit", fit)
     timed("impact_report", lambda: [t.collect() for t in report.impact_report(labelled).values()])

@@ -88,8 +88,13 @@ def unique_names(names: Sequence[str]) -> list[str]:
 
 
 def round_half_up(c, digits: int) -> Column:
-    """Decimal HALF_UP rounding returned as double (identical text in every engine)."""
-    return F.round(_col(c).cast("decimal(38,12)"), digits).cast("double")
+    """HALF_UP rounding on a DECIMAL, returned as double.
+
+    The value first snaps to 8 decimals, which absorbs last-bit noise of the double
+    (summation order, interpolation formula), so an exact tie such as x.725 rounds the same
+    way whichever engine or plan computed it.
+    """
+    return F.round(_col(c).cast("decimal(38,8)"), digits).cast("double")
 
 
 def round_sig(c, digits: int = 6) -> Column:

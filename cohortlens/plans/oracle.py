@@ -34,7 +34,7 @@ def ident(s: str) -> str:
 
 def rhu(expr: str, d: int) -> str:
     """HALF_UP rounding on a DECIMAL, returned as DOUBLE."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), {d}) AS DOUBLE)"
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,8)), {d}) AS DOUBLE)"
 
 
 def rsig(expr: str, digits: int = 6) -> str:

@@ -6,7 +6,8 @@ Materialisation points, each chosen for a reason:
   K-Means sweep makes dozens of passes over it, and a lost executor then re-reads the
   checkpoint instead of re-running the scan, parse and cleaning lineage;
 * the scaled vectors are persisted for the fits;
-* the labelled table is persisted once for the 19 report tables and released after.
+* the labelled table is written once (Parquet, same folder) for the 19 report tables, so
+  each report scan reads only the columns it needs.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def run(source: DataFrame, spec: SurveySpec = SURVEY, k: int = 3, ks: Sequence[i
     """
     spark = source.sparkSession
     tables: dict[str, DataFrame] = {"clean_funnel": clean_funnel(source, spec)}
-    feats = checkpointed(build_features(clean(source, spec), spec))
+    feats = checkpointed(build_features(clean(source, spec), spec), "features")
     scaled, _ = vector_features(feats)
     scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
     if ks:
@@ -45,8 +46,8 @@ def run(source: DataFrame, spec: SurveySpec = SURVEY, k: int = 3, ks: Sequence[i
     model = cluster.fit_kmeans(scaled, k, seed=seed, max_iter=40)
     centroids = cluster.centroid_table(spark, model, CLUSTER_FEATURES)
     labels = cluster.label_table(centroids, RANK_FEATURE)
-    labelled = add_bins(cluster.label_clusters(model.transform(scaled), labels)) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    labelled = checkpointed(add_bins(cluster.label_clusters(model.transform(scaled), labels))
+                            .drop("features_raw", "features"), "labelled")
     tables["centroids"] = centroid_heatmap(centroids, labels)
     tables.update(report.impact_report(labelled, quantile_method))
     tables.update(report.deep_dive(labelled, quantile_method))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cluster
 from ..operators.clean import clean
+from ..session import materialize
 from ..operators.features import add_bins, assemble, build_features, scale, zscore
 from ..sources.respondents import respondents
 from ..spec import CLUSTER_FEATURES, RANK_FEATURE, SURVEY
@@ -27,25 +28,26 @@ _SHARED: dict = {}
 
 
 def shared(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """One persisted DataFrame per (application, input folder, stage).
+    """One materialised table per (application, input folder, stage).
 
-    Many report tables scan the same stage; persisting it once (memory, spilling to disk)
-    means the driver tables are read and joined once per stage, not once per table.  Lost
-    blocks are recomputed from lineage.
+    Many report tables scan the same stage; writing it once as Parquet in the checkpoint
+    folder means the driver tables are read and joined once per stage, not once per table,
+    and every later plan starts from a small file scan instead of the whole lineage.
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
     df = _SHARED.get(key)
     if df is None:
-        df = build().persist(StorageLevel.MEMORY_AND_DISK)
+        df = materialize(build(), name)
         _SHARED[key] = df
     return df
 
 
 def release(spark: SparkSession) -> None:
-    """Unpersist every shared stage of this application."""
+    """Forget the shared stages of this application (their files stay in the checkpoint
+    folder, which the cluster cleans)."""
     app = spark.sparkContext.applicationId
     for key in [k for k in _SHARED if k[0] == app]:
-        _SHARED.pop(key).unpersist()
+        _SHARED.pop(key)
 
 
 def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,16 +91,13 @@ def labelled_kmeans(features: DataFrame, k: int = 3, seed: int = 42, max_iter: i
     return labelled, model, centroids, labels
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage by a reliable checkpoint in the cluster's ``spark.checkpoint.dir``.
+def checkpointed(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage with a Parquet table in the cluster's ``spark.checkpoint.dir``.
 
     The directory is read from the session; a temporary one is set only when it is unset
-    (local tests).
+    on a local master (tests).
     """
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialize(df, name)
 
 
 def rows_of(df: DataFrame, *cols: str) -> DataFrame:

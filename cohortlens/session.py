@@ -47,3 +47,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing the plan),
+    and later scans are columnar with column pruning and filter pushdown, unlike a cache or
+    an RDD checkpoint.  The folder comes from ``spark.checkpoint.dir``.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/cohortlens-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
