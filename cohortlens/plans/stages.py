@@ -50,17 +50,20 @@ def release(spark: SparkSession) -> None:
         _SHARED.pop(key)
 
 
-def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shared(spark, sf_dir, "clean", lambda: clean(respondents(spark, sf_dir), SURVEY))
-
-
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned respondents + counts + indicators, written once per input folder."""
     return shared(spark, sf_dir, "features",
-                  lambda: build_features(clean_table(spark, sf_dir), SURVEY))
+                  lambda: build_features(clean(respondents(spark, sf_dir), SURVEY), SURVEY))
+
+
+def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned respondents: the feature table's leading columns (same rows)."""
+    cols = clean(respondents(spark, sf_dir), SURVEY).columns
+    return feature_table(spark, sf_dir).select(*cols)
 
 
 def z_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shared(spark, sf_dir, "z", lambda: zscore(feature_table(spark, sf_dir), CLUSTER_FEATURES))
+    return zscore(feature_table(spark, sf_dir), CLUSTER_FEATURES)
 
 
 def labelled_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,5 +61,18 @@ def materialize(df, name: str):
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/cohortlens-{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    ensure_parallelism(df).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def ensure_parallelism(df, minimum: int | None = None):
+    """Spread a DataFrame that has fewer partitions than the cluster has cores.
+
+    A small input (one file, one split) otherwise keeps every later stage, and each K-Means
+    iteration, in a single task.  Large inputs already have more splits than cores, so this
+    is a no-op for them (no shuffle is added at scale).
+    """
+    target = minimum or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
