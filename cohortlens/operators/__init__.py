@@ -1,0 +1 @@
+"""DataFrame operators: cleaning, features, summaries, mixes, top-N, clustering, statistics."""
