@@ -4,11 +4,13 @@
 final merge of a group runs in one task: fine for a 0-10 score, unbounded for a salary
 over billions of rows.  ``bracketed`` is exact with bounded memory per group:
 
-1. one pass: per group ``n`` and ``percentile_approx`` at q ± 2/accuracy (a GK sketch of
-   fixed size), which brackets the rank ``q·(n-1)`` with at most ~6·n/accuracy values;
-2. per group, count the values below the bracket (algebraic, map-side combined);
-3. rank only the values inside the bracket (a window over the bracket, not the group),
-   pick the two order statistics around ``q·(n-1)`` and interpolate.
+1. pass one: per group ``n`` and ``percentile_approx`` at q ± 2/accuracy (a GK sketch of
+   fixed size), which brackets the rank ``q·(n-1)``;
+2. pass two: per group, the count below the bracket, the counts equal to its two ends,
+   and the values strictly inside it (at most ~6·n/accuracy by the sketch's rank
+   guarantee, however skewed the group; heavy ties at the ends are counted, not kept);
+3. the two order statistics around ``q·(n-1)`` are read off the sorted inside values and
+   interpolated exactly as ``percentile`` does.
 
 If a bracket ever misses its rank (the sketch's guarantee failing), that group alone is
 recomputed with ``percentile``, so results are always exact.
@@ -19,7 +21,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -46,64 +48,71 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], col: str, qs: Sequence[f
 
 
 def bracketed_quantiles(df: DataFrame, by: Sequence[str], col: str, qs: Sequence[float],
-                        aliases: Sequence[str], accuracy: int = 100000) -> DataFrame:
+                        aliases: Sequence[str], accuracy: int = 100000,
+                        max_broadcast_groups: int = 10000) -> DataFrame:
+    """Exact quantiles for a few large groups (see module doc).  Runs both passes now and
+    returns the (k-row) result persisted.  For many small groups, ``exact`` is the better
+    choice: each group's buffer is then small."""
     by = list(by)
     if not by:  # one global group: a constant key keeps every step a plain keyed join
         return bracketed_quantiles(df.withColumn("__all", F.lit(0)), ["__all"], col, qs, aliases,
-                                   accuracy).drop("__all")
+                                   accuracy, max_broadcast_groups).drop("__all")
     eps = 2.0 / accuracy
-    x = F.col(col).cast("double")
-    src = df.select(*by, x.alias("__x")).where(F.col("__x").isNotNull())
+    src = df.select(*by, F.col(col).cast("double").alias("__x")).where(F.col("__x").isNotNull())
     lo_p = [max(q - eps, 0.0) for q in qs]
     hi_p = [min(q + eps, 1.0) for q in qs]
 
-    # 1. group size and the sketch brackets (bounded buffers, partial aggregation)
+    # pass 1: group size and the sketch brackets (fixed-size buffers, partial aggregation)
     stats = src.groupBy(*by).agg(
         F.count(F.lit(1)).alias("__n"),
         F.percentile_approx("__x", lo_p, accuracy).alias("__lo"),
         F.percentile_approx("__x", hi_p, accuracy).alias("__hi"))
     cols = []
-    for i, q in enumerate(qs):
-        lo = F.lit(-math.inf) if lo_p[i] <= 0.0 else F.col("__lo")[i]
-        hi = F.lit(math.inf) if hi_p[i] >= 1.0 else F.col("__hi")[i]
-        pos = F.lit(q) * (F.col("__n") - 1)
-        cols += [lo.alias(f"__lo{i}"), hi.alias(f"__hi{i}"), pos.alias(f"__pos{i}"),
-                 F.floor(pos).alias(f"__klo{i}"), F.ceil(pos).alias(f"__khi{i}")]
-    brackets = stats.select(*by, "__n", *cols)
-    # one row per group: small, broadcast when it is (AQE decides by size)
-    joined = src.join(brackets, on=by)
-
-    # 2. values below each bracket, per group
-    below = joined.groupBy(*by).agg(*[F.count_if(F.col("__x") < F.col(f"__lo{i}")).alias(f"__below{i}")
-                                      for i in range(len(qs))])
-
-    # 3. rank the values inside the brackets only
-    inside = F.filter(F.array(*[F.when((F.col("__x") >= F.col(f"__lo{i}")) & (F.col("__x") <= F.col(f"__hi{i}")),
-                                       F.lit(i)) for i in range(len(qs))]), lambda v: v.isNotNull())
-    cand = joined.select(*by, "__x", F.explode(inside).alias("__qi"))
-    w = Window.partitionBy(*by, "__qi").orderBy("__x")
-    ranked = cand.withColumn("__r", F.row_number().over(w) - 1)
-    ranked = ranked.join(below, on=by).join(brackets, on=by)
-    picks = []
     for i in range(len(qs)):
-        here = F.col("__qi") == i
-        g = F.col(f"__below{i}") + F.col("__r")
-        picks += [F.max(F.when(here & (g == F.col(f"__klo{i}")), F.col("__x"))).alias(f"__vlo{i}"),
-                  F.max(F.when(here & (g == F.col(f"__khi{i}")), F.col("__x"))).alias(f"__vhi{i}"),
-                  F.first(F.col(f"__pos{i}")).alias(f"__p{i}"), F.first(F.col(f"__klo{i}")).alias(f"__kl{i}"),
-                  F.first(F.col(f"__khi{i}")).alias(f"__kh{i}")]
-    got = ranked.groupBy(*by).agg(*picks)
+        cols.append((F.lit(-math.inf) if lo_p[i] <= 0.0 else F.col("__lo")[i]).alias(f"__lo{i}"))
+        cols.append((F.lit(math.inf) if hi_p[i] >= 1.0 else F.col("__hi")[i]).alias(f"__hi{i}"))
+    # one row per group, materialised once; broadcast only when the group count is checked
+    # small (the usual case: a few large groups), else a shuffle join
+    brackets = stats.select(*by, "__n", *cols).persist()
+    n_groups = brackets.count()
+    side = F.broadcast(brackets) if n_groups <= max_broadcast_groups else brackets
+
+    # pass 2: per group and quantile, counts below / at the bracket ends and the values
+    # strictly inside it (bounded by the sketch's rank guarantee, ties are only counted)
+    x = F.col("__x")
+    aggs = [F.first("__n").alias("__n")]
+    for i in range(len(qs)):
+        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        aggs += [F.first(lo).alias(f"__lo{i}"), F.first(hi).alias(f"__hi{i}"),
+                 F.count_if(x < lo).alias(f"__b{i}"), F.count_if(x == lo).alias(f"__el{i}"),
+                 F.count_if((x == hi) & (hi != lo)).alias(f"__eh{i}"),
+                 F.sort_array(F.collect_list(F.when((x > lo) & (x < hi), x))).alias(f"__in{i}")]
+    got = src.join(side, on=by).groupBy(*by).agg(*aggs)
+
+    def pick(i, r):
+        b, el, eh = F.col(f"__b{i}"), F.col(f"__el{i}"), F.col(f"__eh{i}")
+        inside = F.col(f"__in{i}")
+        n_in = F.size(inside)
+        return (F.when(r < b, F.lit(None).cast("double"))
+                 .when(r < b + el, F.col(f"__lo{i}"))
+                 .when(r < b + el + n_in, F.element_at(inside, (r - b - el + 1).cast("int")))
+                 .when(r < b + el + n_in + eh, F.col(f"__hi{i}")))
+
     outs = []
-    for i, a in enumerate(aliases):
-        vlo, vhi = F.col(f"__vlo{i}"), F.col(f"__vhi{i}")
-        pos, klo, khi = F.col(f"__p{i}"), F.col(f"__kl{i}"), F.col(f"__kh{i}")
-        val = F.when(klo == khi, vlo).otherwise((khi - pos) * vlo + (pos - klo) * vhi)
-        outs.append(val.alias(a))
+    for i, (q, a) in enumerate(zip(qs, aliases)):
+        pos = F.lit(q) * (F.col("__n") - 1)
+        klo, khi = F.floor(pos), F.ceil(pos)
+        vlo, vhi = pick(i, klo), pick(i, khi)
+        outs.append(F.when(klo == khi, vlo).otherwise((khi - pos) * vlo + (pos - klo) * vhi).alias(a))
     fast = got.select(*by, *outs)
 
-    # groups whose bracket missed a rank (null pick): exact fallback for those groups only
-    ok = fast.dropna(subset=list(aliases))
-    missing = brackets.select(*by).join(ok.select(*by), on=by, how="left_anti")
-    fallback = grouped_quantiles(df.join(missing, on=by, how="left_semi"), by, col, qs, aliases,
-                                 method="exact")
+    # a bracket that missed its rank (the sketch guarantee failing) leaves a null: those
+    # groups alone are recomputed with ``percentile``
+    fast = fast.persist()
+    missing = fast.where(" OR ".join(f"`{a}` IS NULL" for a in aliases)).select(*by)
+    if missing.limit(1).count() == 0:
+        return fast
+    ok = fast.join(missing, on=by, how="left_anti")
+    fallback = grouped_quantiles(df.join(F.broadcast(missing), on=by, how="left_semi"), by, col, qs,
+                                 aliases, method="exact")
     return ok.unionByName(fallback)
