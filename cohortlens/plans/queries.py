@@ -315,6 +315,11 @@ def q_ols_fit_stats(spark, d):
     return fs.select(*[round_sig(c, 6).alias(c) for c in ("intercept", "r2", "r2_adj", "rmse")], "n")
 
 
+def q_ols_fitted(spark, d):
+    model, data = stats.fit_ols(stages.feature_table(spark, d), REGRESSION_LABEL, REGRESSION_FEATURES)
+    return model.transform(data).select("ResponseId", "salary_usd", "salary_predicted")
+
+
 def q_ols_marks(spark, d):
     return stats.coefficient_marks(stats.coefficient_table(_ols(spark, d), REGRESSION_FEATURES, spark))
 
@@ -483,6 +488,7 @@ REGISTRY: dict[str, Q] = {
     "ols_coefficients": q_ols_coefficients,
     "ols_fit_stats": q_ols_fit_stats,
     "ols_marks": q_ols_marks,
+    "ols_fitted": q_ols_fitted,
     "kmeans_final": q_kmeans_final,
     "k_sweep": q_k_sweep,
     "centroid_heatmap": q_centroid_heatmap,
