@@ -33,7 +33,7 @@ def in_display_order(df: DataFrame, col: str, order: Sequence[str] = ARCHETYPE_O
     return df.withColumn("position", position_in(col, order)).orderBy(F.asc_nulls_last("position"), col)
 
 
-def trim_upper(df: DataFrame, col: str, q: float, method: str = "exact") -> DataFrame:
+def trim_upper(df: DataFrame, col: str, q: float, method: str = "bracketed") -> DataFrame:
     """Rows with ``col <= quantile(col, q)`` (global, linear interpolation).  The cut is a
     one-row aggregate joined back as a broadcast."""
     cut = grouped_quantiles(df, [], col, [q], ["__cut"], method=method)
@@ -41,7 +41,7 @@ def trim_upper(df: DataFrame, col: str, q: float, method: str = "exact") -> Data
 
 
 def box_stats(df: DataFrame, by: str, col: str, trim_q: float | None = 0.99, digits: int = 2,
-              method: str = "exact") -> DataFrame:
+              method: str = "bracketed") -> DataFrame:
     """Quartiles and 1.5·IQR whiskers per group (whisker = last point inside the fence),
     after an optional global upper trim."""
     src = df.where(F.col(col).isNotNull())

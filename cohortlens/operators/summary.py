@@ -48,7 +48,7 @@ def _agg(m: Measure) -> Column:
 
 
 def summarize(df: DataFrame, by: Sequence[str] | str, measures: Sequence[Measure],
-              order: Sequence[Column] | None = None, quantile_method: str = "exact") -> DataFrame:
+              order: Sequence[Column] | None = None, quantile_method: str = "bracketed") -> DataFrame:
     """``groupBy(by)`` + the measures, rounded HALF_UP where ``digits`` is set.
 
     Quantile measures are computed by ``grouped_quantiles`` and joined on the group keys

@@ -29,7 +29,7 @@ from .stages import checkpointed, vector_features
 
 
 def run(source: DataFrame, spec: SurveySpec = SURVEY, k: int = 3, ks: Sequence[int] | None = range(2, 9),
-        out_dir: str | None = None, fmt: str = "parquet", quantile_method: str = "exact",
+        out_dir: str | None = None, fmt: str = "parquet", quantile_method: str = "bracketed",
         seed: int = 42) -> dict[str, DataFrame]:
     """Run the whole analysis over ``source`` (raw survey rows).
 
