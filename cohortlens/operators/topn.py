@@ -14,14 +14,16 @@ from ..functions.multivalue import clean_items
 
 
 def topn_per_group(df: DataFrame, group: str, col: str, n: int, out: str | None = None,
-                   count_col: str = "count") -> DataFrame:
+                   count_col: str = "count", weight: str | None = None) -> DataFrame:
     """``(group, value, count)`` for the n most frequent non-null values in each group.
 
-    Ties: value ascending.  ``count`` is an int, like a per-key counter.
+    Ties: value ascending.  ``count`` is a bigint: one key may hold a third of billions of
+    rows.  ``weight`` names a column of pre-aggregated row counts to sum instead.
     """
     out = out or col
+    amount = F.sum(weight) if weight else F.count(F.lit(1))
     counts = (df.where(F.col(col).isNotNull())
-                .groupBy(group, col).agg(F.count(F.lit(1)).cast("int").alias(count_col)))
+                .groupBy(group, col).agg(amount.cast("long").alias(count_col)))
     w = Window.partitionBy(group).orderBy(F.desc(count_col), F.asc(col))
     ranked = counts.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n)
     return ranked.select(group, F.col(col).alias(out), count_col).orderBy(group, F.desc(count_col), out)

@@ -371,7 +371,7 @@ def build() -> dict[str, str]:
         f"{rhu(f'avg({c})', d)} AS {a}" for c, a, d in SUMMARY_MEANS])
 
     def top_per_group(src, col, out):
-        return (f"SELECT archetype, {out}, count FROM (SELECT archetype, {col} AS {out}, CAST(count(*) AS INTEGER) AS count, "
+        return (f"SELECT archetype, {out}, count FROM (SELECT archetype, {col} AS {out}, CAST(count(*) AS BIGINT) AS count, "
                 f"row_number() OVER (PARTITION BY archetype ORDER BY count(*) DESC, {col} ASC) AS rn FROM {src} "
                 f"WHERE {col} IS NOT NULL GROUP BY archetype, {col}) WHERE rn <= 5")
     q["top_countries"] = B + top_per_group("binned", "Country", "country")
@@ -459,7 +459,7 @@ def build() -> dict[str, str]:
         f"{rhu(f'avg(CASE WHEN o_orderpriority = {lit(p)} THEN o_totalprice END)', 2)} AS {ident(p)}" for p in prios) + \
         " FROM orders GROUP BY 1"
     q["lineitem_top_types_per_brand"] = (
-        "SELECT p_brand, p_type, count FROM (SELECT p_brand, p_type, CAST(count(*) AS INTEGER) AS count, "
+        "SELECT p_brand, p_type, count FROM (SELECT p_brand, p_type, CAST(count(*) AS BIGINT) AS count, "
         "row_number() OVER (PARTITION BY p_brand ORDER BY count(*) DESC, p_type ASC) AS rn FROM lineitem "
         "JOIN part ON l_partkey = p_partkey WHERE p_type IS NOT NULL GROUP BY p_brand, p_type) WHERE rn <= 3")
     li = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
