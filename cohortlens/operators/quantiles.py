@@ -86,17 +86,22 @@ def bracketed_quantiles(df: DataFrame, by: Sequence[str], col: str, qs: Sequence
         aggs += [F.first(lo).alias(f"__lo{i}"), F.first(hi).alias(f"__hi{i}"),
                  F.count_if(x < lo).alias(f"__b{i}"), F.count_if(x == lo).alias(f"__el{i}"),
                  F.count_if((x == hi) & (hi != lo)).alias(f"__eh{i}"),
-                 F.sort_array(F.collect_list(F.when((x > lo) & (x < hi), x))).alias(f"__in{i}")]
+                 F.sort_array(F.collect_list(F.when((x > lo) & (x < hi), x))).alias(f"__in{i}"),
+                 # one rank of slack on each side: interpolation needs the neighbour of a
+                 # rank the sketch hit exactly (small groups, where the sketch is exact)
+                 F.max(F.when(x < lo, x)).alias(f"__mb{i}"), F.min(F.when(x > hi, x)).alias(f"__ma{i}")]
     got = src.join(side, on=by).groupBy(*by).agg(*aggs)
 
     def pick(i, r):
         b, el, eh = F.col(f"__b{i}"), F.col(f"__el{i}"), F.col(f"__eh{i}")
         inside = F.col(f"__in{i}")
         n_in = F.size(inside)
-        return (F.when(r < b, F.lit(None).cast("double"))
+        return (F.when(r == b - 1, F.col(f"__mb{i}"))
+                 .when(r < b, F.lit(None).cast("double"))
                  .when(r < b + el, F.col(f"__lo{i}"))
                  .when(r < b + el + n_in, F.element_at(inside, (r - b - el + 1).cast("int")))
-                 .when(r < b + el + n_in + eh, F.col(f"__hi{i}")))
+                 .when(r < b + el + n_in + eh, F.col(f"__hi{i}"))
+                 .when(r == b + el + n_in + eh, F.col(f"__ma{i}")))
 
     outs = []
     for i, (q, a) in enumerate(zip(qs, aliases)):

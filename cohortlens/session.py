@@ -61,8 +61,15 @@ def materialize(df, name: str):
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/cohortlens-{name}-{uuid.uuid4().hex}"
-    ensure_parallelism(df).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
+    # counting splits of a plain file scan runs nothing; a table too small to have one
+    # split per core is rewritten spread out (never the case for large data)
+    if out.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        spread = path + "-spread"
+        out.repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(spread)
+        out = spark.read.parquet(spread)
+    return out
 
 
 def ensure_parallelism(df, minimum: int | None = None):
@@ -73,6 +80,6 @@ def ensure_parallelism(df, minimum: int | None = None):
     is a no-op for them (no shuffle is added at scale).
     """
     target = minimum or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if df.rdd.getNumPartitions() < target:  # use on scans: cheap, nothing is executed
         return df.repartition(target)
     return df

@@ -41,3 +41,25 @@ def test_bracketed_global_property(spark, values, q):
     a = grouped_quantiles(df, [], "x", [q], ["v"], "exact").collect()[0][0]
     b = grouped_quantiles(df, [], "x", [q], ["v"], "bracketed", accuracy=20).collect()[0][0]
     assert abs(a - b) <= 1e-9 * max(1.0, abs(a))
+
+
+def test_bracketed_needs_no_fallback(spark, monkeypatch):
+    """Small groups (where the sketch is exact) and interpolated ranks are covered by the
+    fast path itself; the exact fallback is for a broken sketch guarantee only."""
+    import cohortlens.operators.quantiles as Q
+    used = []
+    real = Q.grouped_quantiles
+
+    def spy(df, by, col, qs, aliases, method="exact", accuracy=100000):
+        if method == "exact":
+            used.append(by)
+        return real(df, by, col, qs, aliases, method, accuracy)
+
+    monkeypatch.setattr(Q, "grouped_quantiles", spy)
+    rnd = random.Random(5)
+    rows = [(g, rnd.random() * 1000) for g, n in (("a", 2), ("b", 7), ("c", 400), ("d", 5000)) for _ in range(n)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = sorted(map(tuple, Q.bracketed_quantiles(df, ["g"], "x", [0.01, 0.25, 0.5, 0.75, 0.99], list("abcde")).collect()))
+    assert used == []
+    want = sorted(map(tuple, real(df, ["g"], "x", [0.01, 0.25, 0.5, 0.75, 0.99], list("abcde"), "exact").collect()))
+    _cmp(got, want)
