@@ -11,13 +11,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.multivalue import count_items, multi_hot
 from ..functions.recode import bucketize, first_item, ordinal_encode, recode_sentinels, round_half_up, round_sig
 from ..operators import cluster, crosstab, figures, stats
 from ..operators.clean import clean_funnel, employed_full_time, in_open_range, select_survey
-from ..operators.features import add_counts
 from ..operators.summary import Measure, summarize
 from ..sources.respondents import raw_survey_shape, respondents
 from ..sources.tables import read_table

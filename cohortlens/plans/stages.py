@@ -9,9 +9,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import cluster
 from ..operators.clean import clean
@@ -101,7 +99,3 @@ def checkpointed(df: DataFrame, name: str = "stage") -> DataFrame:
     on a local master (tests).
     """
     return materialize(df, name)
-
-
-def rows_of(df: DataFrame, *cols: str) -> DataFrame:
-    return df.select(*[F.col(c) for c in cols])
