@@ -63,3 +63,29 @@ def test_bracketed_needs_no_fallback(spark, monkeypatch):
     assert used == []
     want = sorted(map(tuple, real(df, ["g"], "x", [0.01, 0.25, 0.5, 0.75, 0.99], list("abcde"), "exact").collect()))
     _cmp(got, want)
+
+
+def test_bracketed_hot_group_with_heavy_ties(spark, monkeypatch):
+    """One group holds a third of all rows, most of them one repeated value: the ties are
+    counted, not collected, and the fast path still answers exactly."""
+    import cohortlens.operators.quantiles as Q
+    used = []
+    real = Q.grouped_quantiles
+
+    def spy(df, by, col, qs, aliases, method="exact", accuracy=100000):
+        if method == "exact":
+            used.append(by)
+        return real(df, by, col, qs, aliases, method, accuracy)
+
+    monkeypatch.setattr(Q, "grouped_quantiles", spy)
+    rnd = random.Random(9)
+    rows = [("hot", 100000.0) for _ in range(4000)] + [("hot", rnd.random() * 2e5) for _ in range(2000)]
+    rows += [(rnd.choice(["a", "b", "c"]), rnd.random() * 2e5) for _ in range(12000)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(8)
+    qs = [0.1, 0.25, 0.5, 0.75, 0.9]
+    got = sorted(map(tuple, Q.bracketed_quantiles(df, ["g"], "x", qs, list("abcde"), accuracy=1000).collect()))
+    assert used == []
+    want = sorted(map(tuple, real(df, ["g"], "x", qs, list("abcde"), "exact").collect()))
+    _cmp(got, want)
+    hot = [r for r in got if r[0] == "hot"][0]
+    assert hot[3] == 100000.0  # the median sits inside the tie block
