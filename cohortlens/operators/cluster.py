@@ -117,10 +117,19 @@ def silhouette(df: DataFrame, cols: Sequence[str], pred: str = "prediction") ->
 # K-Means with pyspark.ml
 # ---------------------------------------------------------------------------
 
+def stable_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Range-partition by ``key`` and sort within partitions: the same rows always land in
+    the same partitions in the same order, whatever layout they arrived in.  K-Means
+    initialisation samples per partition, so this makes a seeded fit repeatable across
+    input layouts (one range shuffle; sampling-based bounds keep partitions even)."""
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartitionByRange(n, key).sortWithinPartitions(key)
+
+
 def fit_kmeans(df: DataFrame, k: int, seed: int = 42, max_iter: int = 40,
                features_col: str = "features", prediction_col: str = "prediction") -> KMeansModel:
     """``KMeans`` fit.  Results depend on the input's partition layout, even with a fixed
-    seed: compare runs only on the same layout, and compare labels, not raw ids."""
+    seed: use ``stable_layout`` for repeatability, and compare labels, not raw ids."""
     km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features_col, predictionCol=prediction_col)
     return km.fit(df)
 

@@ -30,7 +30,7 @@ from .stages import checkpointed, vector_features
 
 def run(source: DataFrame, spec: SurveySpec = SURVEY, k: int = 3, ks: Sequence[int] | None = range(2, 9),
         out_dir: str | None = None, fmt: str = "parquet", quantile_method: str = "bracketed",
-        seed: int = 42) -> dict[str, DataFrame]:
+        seed: int = 42, layout_key: str | None = None) -> dict[str, DataFrame]:
     """Run the whole analysis over ``source`` (raw survey rows).
 
     Returns every result table by name; with ``out_dir`` they are also written (one folder
@@ -38,7 +38,10 @@ def run(source: DataFrame, spec: SurveySpec = SURVEY, k: int = 3, ks: Sequence[i
     """
     spark = source.sparkSession
     tables: dict[str, DataFrame] = {"clean_funnel": clean_funnel(source, spec)}
-    feats = checkpointed(build_features(clean(source, spec), spec), "features")
+    feats = build_features(clean(source, spec), spec)
+    if layout_key is not None:  # repeatable fits on any input layout (one range shuffle)
+        feats = cluster.stable_layout(feats, layout_key)
+    feats = checkpointed(feats, "features")
     scaled, _ = vector_features(feats)
     scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
     if ks:

@@ -329,18 +329,19 @@ def _features_vec(spark, d):
 
 
 def q_kmeans_final(spark, d):
-    labelled, _, _, _ = stages.labelled_kmeans(_features_vec(spark, d), k=3)
+    labelled, _, _, _ = stages.labelled_kmeans(_features_vec(spark, d), k=3, layout_key="ResponseId")
     return report.cluster_sizes(labelled)
 
 
 def q_k_sweep(spark, d):
-    scaled, _ = stages.vector_features(_features_vec(spark, d))
+    feats = cluster.stable_layout(_features_vec(spark, d), "ResponseId")
+    scaled, _ = stages.vector_features(feats)
     scaled = scaled.select("features").persist()
     return cluster.k_sweep(scaled, range(2, 9), seed=42, max_iter=20)
 
 
 def q_centroid_heatmap(spark, d):
-    _, _, centroids, labels = stages.labelled_kmeans(_features_vec(spark, d), k=3)
+    _, _, centroids, labels = stages.labelled_kmeans(_features_vec(spark, d), k=3, layout_key="ResponseId")
     return figures.centroid_heatmap(centroids, labels)
 
 

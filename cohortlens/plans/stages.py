@@ -78,11 +78,16 @@ def vector_features(features: DataFrame):
     return scale(assemble(features, CLUSTER_FEATURES))
 
 
-def labelled_kmeans(features: DataFrame, k: int = 3, seed: int = 42, max_iter: int = 40):
+def labelled_kmeans(features: DataFrame, k: int = 3, seed: int = 42, max_iter: int = 40,
+                    layout_key: str | None = None):
     """Fit K-Means on the scaled features and name the clusters.
 
-    Returns ``(labelled_df, model, centroids_df, labels_df)``.
+    ``layout_key`` (e.g. the respondent id) fixes the partition layout first, so the fit
+    repeats exactly on any input layout.  Returns ``(labelled_df, model, centroids_df,
+    labels_df)``.
     """
+    if layout_key is not None:
+        features = cluster.stable_layout(features, layout_key)
     scaled, _ = vector_features(features)
     model = cluster.fit_kmeans(scaled, k, seed=seed, max_iter=max_iter)
     spark = features.sparkSession

@@ -124,3 +124,15 @@ def test_kmeans_pipeline_invariants(spark, sf_dir):
     lab_to_cluster = {r.archetype: r.prediction for r in labels.collect()}
     assert cent[lab_to_cluster["Traditional Engineer"]] <= cent[lab_to_cluster["AI Power User"]]
     assert ranks["Traditional Engineer"] == 0 and ranks["AI Power User"] == 2
+
+
+def test_stable_layout_makes_fits_repeatable_across_layouts(spark):
+    from pyspark.ml.feature import VectorAssembler
+    df, _ = _points(spark, n=600, spread=3.0)
+    models = []
+    for parts in (1, 3, 7):
+        shuffled = df.repartition(parts)
+        vec = VectorAssembler(inputCols=COLS, outputCol="features").transform(
+            cluster.stable_layout(shuffled, "id", partitions=4))
+        models.append(np.array(sorted(map(tuple, cluster.fit_kmeans(vec, 3, max_iter=20).clusterCenters()))))
+    assert np.allclose(models[0], models[1]) and np.allclose(models[0], models[2])
