@@ -45,7 +45,10 @@ def assign_nearest(df: DataFrame, centres: DataFrame, cols: Sequence[str], cid:
     packed = pack_centres(centres, cols, cid)
     joined = df.crossJoin(F.broadcast(packed))
     dists = F.transform("__centres", lambda c: F.struct(_sq_dist(cols, c).alias("d"), c["cid"].alias("cid")))
-    best = F.array_min(dists)
+    complete = None
+    for c in cols:
+        complete = F.col(c).isNotNull() if complete is None else complete & F.col(c).isNotNull()
+    best = F.when(complete, F.array_min(dists))  # a row with a missing feature gets no centre
     res = joined.withColumn("__best", best).withColumn(out, F.col("__best.cid"))
     if dist_col:
         res = res.withColumn(dist_col, F.col("__best.d"))

@@ -250,18 +250,21 @@ def impact_report(df: DataFrame, quantile_method: str = "bracketed") -> dict[str
     """The 12 cohort tables, by output name, from shared scans of ``df``.
 
     Scans of the labelled table: one profile aggregate (+ the bracketed salary quantiles),
-    one per-(archetype, role) count, one per-(archetype, country) count and one over the
-    exploded roles.  The small intermediate aggregates are persisted so the derived tables
-    do not re-scan.
+    one per-(archetype, role, country) count and one over the exploded roles.  The small
+    intermediate aggregates are persisted so the derived tables do not re-scan.
     """
     prof = cohort_profile(df, quantile_method).persist()
     out = tables_from_profile(prof)
-    rc = role_counts(df).persist()
+    # one small count table per (archetype, role, country) serves both the role mix and the
+    # per-archetype country ranking
+    cells = with_primary_role(df).groupBy(A, "primary_role", "Country") \
+        .agg(F.count(F.lit(1)).alias("n")).persist()
+    rc = cells.groupBy(A, "primary_role").agg(F.sum("n").alias("n"))
     top, long = role_mix_from_counts(rc)
     roles = [r[0] for r in top.select("primary_role").collect()]  # k names, to name k columns
     out["primary_role_by_archetype"] = crosstab.share_wide(long, A, "primary_role", roles,
                                                            [role_column_name(r) for r in roles])
-    out["top_countries_by_archetype"] = top_countries(df)
+    out["top_countries_by_archetype"] = topn.topn_per_group(cells, A, "Country", 5, out="country", weight="n")
     out["top_devroles_by_archetype"] = top_devroles(df)
     order = ["cluster_sizes", "salary_by_archetype", "jobsat_by_archetype", "ai_tool_adoption_by_archetype",
              "tech_stack_by_archetype", "profile_by_archetype", "remote_work_by_archetype",

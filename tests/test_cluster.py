@@ -136,3 +136,10 @@ def test_stable_layout_makes_fits_repeatable_across_layouts(spark):
             cluster.stable_layout(shuffled, "id", partitions=4))
         models.append(np.array(sorted(map(tuple, cluster.fit_kmeans(vec, 3, max_iter=20).clusterCenters()))))
     assert np.allclose(models[0], models[1]) and np.allclose(models[0], models[2])
+
+
+def test_assign_skips_rows_with_missing_features(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.0, 0.0), (2, None, 1.0, 1.0)], "id long, a double, b double, c double")
+    centres = spark.createDataFrame([(0, 0.0, 0.0, 0.0), (1, 9.0, 9.0, 9.0)], "cluster int, a double, b double, c double")
+    got = {r.id: r.prediction for r in cluster.assign_nearest(df, centres, COLS).collect()}
+    assert got == {1: 0, 2: None}
