@@ -351,12 +351,20 @@ def deep_dive(df: DataFrame, quantile_method: str = "bracketed") -> dict[str, Da
 
 
 def deep_dive_tables(df: DataFrame) -> dict[str, DataFrame]:
-    """The four two-way tables, from small per-cell aggregates (persisted): cell means,
-    counts and top-k lists share one scan per row key."""
+    """The four two-way tables from one persisted per-cell aggregate: cell means, counts
+    and top-k lists share a single scan of the labelled table."""
     b = df if "ai_usage_bin" in df.columns else add_bins(df)
-    exp_cells = usage_cells(b, "experience_bin").persist()
-    country_cells = usage_cells(b, "Country").persist()
-    role_cells = usage_cells(b, "primary_role").persist()
+    # ONE scan: counts and salary sums per (experience, country, role, usage) cell -- a small
+    # table (bins × countries × roles) from which every two-way table is rolled up
+    cells = b.groupBy("experience_bin", "Country", "primary_role", "ai_usage_bin").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("salary_usd").alias("s"),
+        F.count("salary_usd").alias("c")).persist()
+
+    def roll(row):
+        return cells.groupBy(row, "ai_usage_bin").agg(
+            F.sum("n").alias("n"), F.try_divide(F.sum("s"), F.sum("c")).alias("m"))
+
+    exp_cells, country_cells, role_cells = roll("experience_bin"), roll("Country"), roll("primary_role")
     top_c = top_from_cells(country_cells, "Country", 5)
     top_r = top_from_cells(role_cells, "primary_role", 8)
     return {
