@@ -166,7 +166,7 @@ def k_sweep(df: DataFrame, ks: Sequence[int] = range(2, 9), seed: int = 42, max_
         return (int(k), float(model.summary.trainingCost), float(sil))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(inheritable_thread_target(one), list(ks)))
+        rows = list(pool.map(inheritable_thread_target(spark)(one), list(ks)))
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("wssse", T.DoubleType()),
                            T.StructField("silhouette", T.DoubleType())])
     t = spark.createDataFrame(rows, schema)

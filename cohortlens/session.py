@@ -25,6 +25,7 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str
     b = SparkSession.builder.master(master).appName(app) \
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions)) \
         .config("spark.ui.enabled", "false") \
+        .config("spark.ui.showConsoleProgress", "false") \
         .config("spark.driver.memory", os.environ.get("COHORTLENS_DRIVER_MEMORY", "8g"))
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         b = b.config(k, v)
