@@ -72,3 +72,28 @@ def test_pivot_count_empty_cell_is_null(spark):
     df = spark.createDataFrame([("x", "u1"), ("y", "u2")], "r string, c string")
     got = {r.r: (r.u1, r.u2) for r in pivot_count(df, "r", "c", ["u1", "u2"]).collect()}
     assert got == {"x": (1, None), "y": (None, 1)}
+
+
+def test_pivot_values_with_dots_and_commas(spark):
+    from cohortlens.functions.recode import role_column_name
+    from cohortlens.operators.crosstab import pivot_mean, share_long, share_wide, topk
+    df = spark.createDataFrame([("a", "Developer, .NET", 10.0), ("a", "x.y (z)", 20.0), ("b", "x.y (z)", 30.0)],
+                               "g string, r string, v double")
+    long = share_long(df, "g", "r", topk(df, "r", 5))
+    roles = ["Developer, .NET", "x.y (z)"]
+    wide = {r.g: r.asDict() for r in share_wide(long, "g", "r", roles, [role_column_name(x) for x in roles]).collect()}
+    assert wide["a"]["dev_NET_pct"] == 50.0 and wide["b"]["x_y_z_pct"] == 100.0 and wide["b"]["dev_NET_pct"] == 0.0
+    pm = {r.g: r.asDict() for r in pivot_mean(df, "g", "r", roles, "v").collect()}
+    assert pm["a"]["x.y (z)"] == 20.0 and pm["b"]["Developer, .NET"] is None
+
+
+def test_ordered_by_fixed_order(spark):
+    from cohortlens.operators.crosstab import ordered_by
+    from cohortlens.operators.figures import in_display_order
+    df = spark.createDataFrame([("AI Power User",), ("zeta",), ("Traditional Engineer",), ("AI Experimenter",), ("alpha",)],
+                               "archetype string")
+    assert [r[0] for r in ordered_by(df, "archetype", ["Traditional Engineer", "AI Experimenter", "AI Power User"]).collect()] == \
+        ["Traditional Engineer", "AI Experimenter", "AI Power User", "alpha", "zeta"]
+    got = [(r.archetype, r.position) for r in in_display_order(df, "archetype").collect()]
+    assert got[:3] == [("Traditional Engineer", 1), ("AI Experimenter", 2), ("AI Power User", 3)]
+    assert got[3:] == [("alpha", None), ("zeta", None)]
