@@ -41,5 +41,6 @@ def score_stream(features: DataFrame, centres: DataFrame, labels: DataFrame, col
     from pyspark.sql import functions as F
 
     z = features.crossJoin(F.broadcast(stats)).withColumns(
-        {f"z_{c}": (F.col(c) - F.col(f"__m_{c}")) / F.col(f"__s_{c}") for c in cols})
+        {f"z_{c}": F.when(F.col(f"__s_{c}") == 0, F.lit(0.0))
+         .otherwise(F.try_divide(F.col(c) - F.col(f"__m_{c}"), F.col(f"__s_{c}"))) for c in cols})
     return label_clusters(assign_nearest(z, centres, [f"z_{c}" for c in cols]), labels)
