@@ -31,7 +31,8 @@ def main(argv=None) -> None:
     else:
         from .sources import raw_survey_shape, respondents
         raw = raw_survey_shape(respondents(spark, a.sf_dir))
-    tables = run(raw, k=a.k, ks=None if a.no_sweep else range(2, 9), out_dir=a.out, fmt=a.format)
+    tables = run(raw, k=a.k, ks=None if a.no_sweep else range(2, 9), out_dir=a.out, fmt=a.format,
+                 layout_key="ResponseId")
     for name, df in tables.items():
         if name == "labelled":
             continue

@@ -57,3 +57,23 @@ def test_write_labelled_drops_vectors(spark):
 def test_survey_schema_covers_selected():
     s = survey_schema(SELECTED_COLUMNS)
     assert [f.name for f in s.fields] == SELECTED_COLUMNS
+
+
+def test_survey_csv_to_clean(spark):
+    import csv
+
+    from cohortlens.operators.clean import clean
+    from edge_rows import COLUMNS, edge_rows
+
+    rows, keep = edge_rows()
+    d = tempfile.mkdtemp(prefix="cohortlens-csv-")
+    path = os.path.join(d, "survey.csv")
+    with open(path, "w", newline="") as f:
+        w = csv.writer(f, quoting=csv.QUOTE_MINIMAL, doublequote=True)
+        w.writerow(COLUMNS)
+        for r in rows:
+            w.writerow(["NA" if v is None else v for v in r])
+    raw = read_survey_csv(spark, path, infer=True)
+    assert "AIToolCurrently Using" in raw.columns
+    got = {r.ResponseId for r in clean(raw).collect()}
+    assert got == keep
