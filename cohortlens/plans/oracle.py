@@ -384,6 +384,7 @@ def build() -> dict[str, str]:
         f"{rhu('quantile_cont(salary_usd, 0.5)', 0)} AS median_salary",
         f"{rhu('avg(years_code_pro)', 1)} AS mean_years_exp", f"{rhu('avg(job_sat_int)', 2)} AS mean_job_sat",
         f"{rhu('avg(org_size_int)', 2)} AS mean_org_size"])
+    q["salary_by_usage_scan"] = q["deep_salary_by_usage"]
     q["salary_exp_x_usage"] = B + pivot_mean_sql("experience_bin", "binned")
     q["counts_exp_x_usage"] = B + "SELECT experience_bin, " + ", ".join(
         f"NULLIF(count(CASE WHEN ai_usage_bin = {lit(u)} THEN 1 END), 0) AS {ident(u)}" for u in USAGE) + \

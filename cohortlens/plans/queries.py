@@ -257,10 +257,14 @@ def q_top_devroles(spark, d):
 
 
 def _deep(spark, d, name):
-    return report.deep_dive_tables(_lab(spark, d))[name]
+    return report.deep_dive_tables(_lab(spark, d), with_usage=(name == "deep_salary_by_ai_usage"))[name]
 
 
 def q_deep_salary_by_usage(spark, d):
+    return _deep(spark, d, "deep_salary_by_ai_usage")
+
+
+def q_salary_by_usage_scan(spark, d):
     return report.salary_by_usage(_lab(spark, d))
 
 
@@ -478,6 +482,7 @@ REGISTRY: dict[str, Q] = {
     "top_countries": q_top_countries,
     "top_devroles": q_top_devroles,
     "deep_salary_by_usage": q_deep_salary_by_usage,
+    "salary_by_usage_scan": q_salary_by_usage_scan,
     "salary_exp_x_usage": q_salary_exp_x_usage,
     "counts_exp_x_usage": q_counts_exp_x_usage,
     "salary_country_x_usage": q_salary_country_x_usage,

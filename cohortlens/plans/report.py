@@ -340,7 +340,8 @@ def deep_dive(df: DataFrame, quantile_method: str = "bracketed") -> dict[str, Da
     _, coefs, _ = regression(b)
     out = deep_dive_tables(b)
     return {
-        "deep_salary_by_ai_usage": salary_by_usage(b, quantile_method),
+        "deep_salary_by_ai_usage": out["deep_salary_by_ai_usage"] if quantile_method == "bracketed"
+        else salary_by_usage(b, quantile_method),
         "deep_salary_by_exp_x_ai": out["deep_salary_by_exp_x_ai"],
         "deep_counts_by_exp_x_ai": out["deep_counts_by_exp_x_ai"],
         "deep_salary_by_country_x_ai": out["deep_salary_by_country_x_ai"],
@@ -350,15 +351,18 @@ def deep_dive(df: DataFrame, quantile_method: str = "bracketed") -> dict[str, Da
     }
 
 
-def deep_dive_tables(df: DataFrame) -> dict[str, DataFrame]:
-    """The four two-way tables from one persisted per-cell aggregate: cell means, counts
-    and top-k lists share a single scan of the labelled table."""
+def deep_dive_tables(df: DataFrame, with_usage: bool = True) -> dict[str, DataFrame]:
+    """The four two-way tables (and, with ``with_usage``, the usage-bin summary) from one
+    persisted per-cell aggregate: cell means, counts and top-k lists share a single scan
+    of the labelled table."""
     b = df if "ai_usage_bin" in df.columns else add_bins(df)
     # ONE scan: counts and salary sums per (experience, country, role, usage) cell -- a small
     # table (bins × countries × roles) from which every two-way table is rolled up
+    sums = [("salary_usd", "s", "c"), ("years_code_pro", "sy", "cy"), ("job_sat_int", "sj", "cj"),
+            ("org_size_int", "so", "co")]
     cells = b.groupBy("experience_bin", "Country", "primary_role", "ai_usage_bin").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("salary_usd").alias("s"),
-        F.count("salary_usd").alias("c")).persist()
+        F.count(F.lit(1)).alias("n"),
+        *[a for col, sname, cname in sums for a in (F.sum(col).alias(sname), F.count(col).alias(cname))]).persist()
 
     def roll(row):
         return cells.groupBy(row, "ai_usage_bin").agg(
@@ -367,14 +371,33 @@ def deep_dive_tables(df: DataFrame) -> dict[str, DataFrame]:
     exp_cells, country_cells, role_cells = roll("experience_bin"), roll("Country"), roll("primary_role")
     top_c = top_from_cells(country_cells, "Country", 5)
     top_r = top_from_cells(role_cells, "primary_role", 8)
-    return {
-        "deep_salary_by_exp_x_ai": pivot_cells(exp_cells, "experience_bin", "m").orderBy("experience_bin"),
-        "deep_counts_by_exp_x_ai": pivot_cells(exp_cells, "experience_bin", "n", None).orderBy("experience_bin"),
-        "deep_salary_by_country_x_ai": pivot_cells(
-            crosstab.filter_topk(country_cells, "Country", top_c), "Country", "m").orderBy(F.desc("Country")),
-        "deep_salary_by_role_x_ai": pivot_cells(
-            crosstab.filter_topk(role_cells, "primary_role", top_r), "primary_role", "m").orderBy("primary_role"),
-    }
+    out = {}
+    if with_usage:
+        out["deep_salary_by_ai_usage"] = _usage_summary(b, cells)
+    out["deep_salary_by_exp_x_ai"] = pivot_cells(exp_cells, "experience_bin", "m").orderBy("experience_bin")
+    out["deep_counts_by_exp_x_ai"] = pivot_cells(exp_cells, "experience_bin", "n", None).orderBy("experience_bin")
+    out["deep_salary_by_country_x_ai"] = pivot_cells(
+        crosstab.filter_topk(country_cells, "Country", top_c), "Country", "m").orderBy(F.desc("Country"))
+    out["deep_salary_by_role_x_ai"] = pivot_cells(
+        crosstab.filter_topk(role_cells, "primary_role", top_r), "primary_role", "m").orderBy("primary_role")
+    return out
+
+
+def _usage_summary(b: DataFrame, cells: DataFrame) -> DataFrame:
+    """Usage-bin summary: means rolled up from the cells, the median by bracketed passes."""
+    from ..operators.quantiles import grouped_quantiles
+
+    def mean(sname, cname):
+        return F.try_divide(F.sum(sname), F.sum(cname))
+
+    usage = cells.groupBy("ai_usage_bin").agg(
+        F.sum("n").alias("n"), mean("s", "c").alias("mean_salary"), mean("sy", "cy").alias("mean_years_exp"),
+        mean("sj", "cj").alias("mean_job_sat"), mean("so", "co").alias("mean_org_size"))
+    med = grouped_quantiles(b, ["ai_usage_bin"], "salary_usd", [0.5], ["median_salary"], method="bracketed")
+    return usage.join(med, on="ai_usage_bin", how="left").select(
+        "ai_usage_bin", "n", _r("mean_salary", 0).alias("mean_salary"), _r("median_salary", 0).alias("median_salary"),
+        _r("mean_years_exp", 1).alias("mean_years_exp"), _r("mean_job_sat", 2).alias("mean_job_sat"),
+        _r("mean_org_size", 2).alias("mean_org_size")).orderBy("ai_usage_bin")
 
 
 def short_country(c) -> F.Column:
