@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import Stages
+from .util import Stages, schema_of
 
 WINDOW = 4096
 END_ID = 2
@@ -54,7 +54,7 @@ def tokenize(df: DataFrame, tokenizer_path: str, text: str = "text", end_id: int
     White space separates words for this kind of tokenizer, so ids come from a cache by word;
     a null text has only the end id."""
     keep = [c for c in df.columns if c != text]
-    schema = df.select(*keep, F.lit(0).cast("long").alias("n"), F.lit(b"").alias("ids")).schema
+    schema = schema_of(df.select(*keep), n="long", ids="binary")
 
     def run(batches):
         words = _WordIds(_tokenizer(tokenizer_path))
@@ -79,7 +79,7 @@ def pack(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "t
     spark = df.sparkSession
     stages = Stages(spark, "pack")
     docs = tokenize(df.select(F.col(key).alias("key"), F.col(text).alias("text")), tokenizer_path, "text", end_id)
-    schema = docs.select("key", "n", "ids", F.lit(0).alias("part"), F.lit(0).cast("long").alias("at")).schema
+    schema = schema_of(docs.select("key", "n", "ids"), part="int", at="long")
 
     def number(batches):
         part, at = TaskContext.get().partitionId(), 0
@@ -94,10 +94,8 @@ def pack(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "t
     staged = stages.write(docs.mapInArrow(number, schema), "ids")
     totals = staged.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()  # a row per partition
     base = dict(zip((r["part"] for r in totals), np.cumsum([0] + [r["n"] for r in totals])[:-1].tolist()))
-    out_schema = staged.select(
-        F.col("key").alias(key), F.col("n").alias("start"), F.col("n").alias("length"), F.col("n").alias("ids_crc32"),
-        F.col("n").alias("doc_tokens"), F.col("n").alias("sequence_id"), F.col("n").alias("offset"),
-        *([F.col("ids")] if with_ids else [])).schema
+    names = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    out_schema = schema_of(staged.select(F.col("key").alias(key)), **dict.fromkeys(names, "long"), **({"ids": "binary"} if with_ids else {}))
     base = spark.sparkContext.broadcast(base)
 
     def cut(batches):

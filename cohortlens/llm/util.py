@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_BYTES = 1 << 20
@@ -52,6 +53,12 @@ def buckets(spark: SparkSession, per_partition: int = 1) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))) * per_partition
 
 
+def schema_of(df: DataFrame, **more: str) -> T.StructType:
+    """The fields of ``df`` and then ``more`` (name=type), all nullable."""
+    fields = [T.StructField(f.name, f.dataType) for f in df.schema]
+    return T.StructType(fields + [T.StructField(k, T._parse_datatype_string(v)) for k, v in more.items()])
+
+
 def n_words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text without building an array of them; null: 0."""
     return F.coalesce(F.length(F.regexp_replace(F.concat(F.lit(" "), text), WORD, "w"))
@@ -182,3 +189,50 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
         out = m.join(out.select(F.col("a").alias("q"), F.col("p").alias("r")), F.col("p") == F.col("q"), "left") \
             .select("a", F.coalesce("r", "p").alias("p"))
     return out.select(F.col("a").alias("v"), F.col("p").alias("c"))
+
+
+# ---------------------------------------------------------------- sorted partitions in tasks
+
+def runs_of_keys(batches, keys: int):
+    """``(key values, rows)`` of each run of equal keys in a partition sorted by its first ``keys`` columns.
+
+    Rows are tuples of the other columns; a run may go over batches."""
+    current, rows = None, []
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns)):
+            if row[:keys] != current:
+                if rows:
+                    yield current, rows
+                current, rows = row[:keys], []
+            rows.append(row[keys:])
+    if rows:
+        yield current, rows
+
+
+def low_bytes(x: np.ndarray, n: int) -> bytes:
+    """The ``n`` low bytes of each 64-bit number."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]).tobytes()
+
+
+def from_low_bytes(b: bytes, n: int) -> np.ndarray:
+    out = np.zeros((len(b) // n, 8), np.uint8)
+    out[:, :n] = np.frombuffer(b, np.uint8).reshape(-1, n)
+    return out.view("<u8").ravel()
+
+
+def bitmap_slices(hashes: DataFrame, column: str, width: int, n_bits: int, slices: int = 64) -> DataFrame:
+    """``(at, bits)`` slices of a bitmap of 2**n_bits bits; bit: the upper bits of ``column``, a long
+    of ``width`` bits (64: signed)."""
+    bit = F.shiftrightunsigned(F.col(column), width - n_bits)
+    per = 2**n_bits // slices
+    rows = hashes.select((bit / per).cast("int").alias("slice"), bit.alias("bit"))
+
+    def run(pdf):
+        import pandas as pd
+
+        at = np.unique(pdf["bit"].to_numpy()) - int(pdf["slice"].iloc[0]) * per
+        bits = np.zeros(per, bool)
+        bits[at] = True
+        return pd.DataFrame({"at": [int(pdf["slice"].iloc[0]) * per // 8], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    return rows.distinct().groupBy("slice").applyInPandas(run, "at long, bits binary")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import mixing, packing, quality
+from cohortlens.llm import jaccard, mixing, packing, quality, suffixes
 from cohortlens.llm.queries import tokenizer_path
 
 
@@ -13,6 +13,16 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality.keep_good(docs)
 
 
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: of each class of near duplicates the document with the smallest doc_id stays."""
+    return jaccard.keep_first(docs)
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: bytes of passages that occur elsewhere too go."""
+    return suffixes.without_repeats(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: each document comes as often as the mix takes it."""
     return mixing.mixed_rows(docs)
@@ -23,7 +33,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
 
 
-STAGES = [("quality_rules", good_documents), ("mixing", mixed), ("packing", packed)]
+STAGES = [("quality_rules", good_documents), ("jaccard_join", distinct_documents), ("suffix_dedup", unrepeated),
+          ("mixing", mixed), ("packing", packed)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
