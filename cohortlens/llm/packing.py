@@ -8,6 +8,7 @@ piece.  No shuffle: only the totals leave the tasks.
 
 from __future__ import annotations
 
+import re
 import zlib
 from functools import lru_cache
 
@@ -17,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import Stages, schema_of
+from .util import Stages, rows_by_bytes, schema_of
 
 WINDOW = 4096
 END_ID = 2
@@ -25,42 +26,54 @@ END_ID = 2
 
 @lru_cache(4)
 def _tokenizer(path: str):
+    import os
+
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
     return Tokenizer.from_file(path)
 
 
 class _WordIds(dict):
-    """Ids, as little-endian bytes, of a run of bytes without ASCII white space."""
+    """Ids, as little-endian bytes, of runs of bytes without ASCII white space, by cache."""
 
-    LIMIT = 400_000
+    LIMIT = 500_000
+    #: Marks between a letter and white space are apart from the word for the tokenizer: a space may go between.
+    MARKS = re.compile(rb"(?<=[A-Za-z])[.,;:!?]+(?=\s|\Z)")
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= 64:  # only short words come again often
-            if len(self) >= self.LIMIT:
-                self.clear()
-            self[word] = ids
-        return ids
+    def texts(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text.  A-Z may become a-z before, as the tokenizer does so itself, unless the text
+        could hold one of its special tokens."""
+        words = [self.MARKS.sub(rb" \g<0>", t if b"<|" in t else t.lower()).split() for t in texts]
+        if len(self) > self.LIMIT:
+            self.clear()
+        self._encode(list(set().union(*words) - self.keys()))
+        return [b"".join(map(self.__getitem__, w)) for w in words]
+
+    def _encode(self, words: list[bytes]) -> None:
+        for i in range(0, len(words), 4096):
+            part = words[i:i + 4096]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
+                self[w] = np.array(e.ids, "<u4").tobytes()
 
 
 def tokenize(df: DataFrame, tokenizer_path: str, text: str = "text", end_id: int | None = END_ID) -> DataFrame:
     """Adds ``ids`` (binary, unsigned 32-bit little-endian) and ``n`` to the other columns.
 
-    White space separates words for this kind of tokenizer, so ids come from a cache by word;
-    a null text has only the end id."""
+    For tokenizers that lower-case and drop white space, so that words between white space can be
+    encoded apart; a null text has only the end id."""
     keep = [c for c in df.columns if c != text]
     schema = schema_of(df.select(*keep), n="long", ids="binary")
 
     def run(batches):
         words = _WordIds(_tokenizer(tokenizer_path))
         end = np.array([] if end_id is None else [end_id], "<u4").tobytes()
-        for b in batches:
-            ids = [b"".join(map(words.__getitem__, (t.as_py() or "").encode().split())) + end for t in b.column(text)]
+        for b in rows_by_bytes(batches, text):
+            ids = [x + end for x in words.texts([(t or "").encode() for t in b.column(b.schema.get_field_index(text)).to_pylist()])]
             out = {c: b.column(c) for c in keep}
             out["n"] = pa.array([len(x) // 4 for x in ids], pa.int64())
             out["ids"] = pa.array(ids, pa.binary())
@@ -99,7 +112,7 @@ def pack(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "t
     base = spark.sparkContext.broadcast(base)
 
     def cut(batches):
-        for b in batches:
+        for b in rows_by_bytes(batches, "ids"):
             rows: list[list] = [[] for _ in out_schema]
             for k, n, ids, part, at in zip(*(b.column(i) for i in range(5))):
                 n, ids = n.as_py(), memoryview(ids.as_py())
