@@ -8,15 +8,20 @@ piece.  No shuffle: only the totals leave the tasks.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from .util import Stages, rows_by_bytes, schema_of
 
@@ -26,10 +31,6 @@ END_ID = 2
 
 @lru_cache(4)
 def _tokenizer(path: str):
-    import os
-
-    from tokenizers import Tokenizer
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
     return Tokenizer.from_file(path)
 
@@ -40,38 +41,50 @@ class _WordIds(dict):
     LIMIT = 500_000
     #: Marks between a letter and white space are apart from the word for the tokenizer: a space may go between.
     MARKS = re.compile(rb"(?<=[A-Za-z])[.,;:!?]+(?=\s|\Z)")
+    #: Where this is not found, every mark before white space follows a letter, a digit or white space.
+    OTHER = re.compile(rb"[^a-z0-9\s][.,]\s")
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model, self.bytes = tokenizer, tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text.  A-Z may become a-z before, as the tokenizer does so itself, unless the text
-        could hold one of its special tokens."""
-        words = [self.MARKS.sub(rb" \g<0>", t if b"<|" in t else t.lower()).split() for t in texts]
+        """Ids of each text."""
+        words = [self._apart(t).split() for t in texts]
         if len(self) > self.LIMIT:
             self.clear()
-        self._encode(list(set().union(*words) - self.keys()))
+        for w in set().union(*words) - self.keys():
+            self[w] = array("I", self._ids(w.decode())).tobytes()
         return [b"".join(map(self.__getitem__, w)) for w in words]
 
-    def _encode(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), 4096):
-            part = words[i:i + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self[w] = np.array(e.ids, "<u4").tobytes()
+    def _apart(self, text: bytes) -> bytes:
+        """The text with spaces before marks, and a-z for A-Z (as the tokenizer does itself, unless the text
+        could hold one of its special tokens)."""
+        if b"<|" in text:
+            return self.MARKS.sub(rb" \g<0>", text)
+        text = text.lower()
+        if self.OTHER.search(text):
+            return self.MARKS.sub(rb" \g<0>", text)
+        return text.replace(b". ", b" . ").replace(b", ", b" , ").replace(b".\n", b" .\n")
+
+    def _ids(self, word: str) -> list[int]:
+        """A word of letters that the tokenizer would not change is one piece for its model; others go all the way."""
+        if word.isalpha() and word == word.lower() and is_normalized("NFC", word):
+            return [t.id for t in self.model.tokenize(word if word.isascii() else self.bytes.pre_tokenize_str(word)[0][0])]
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
 
 
 def tokenize(df: DataFrame, tokenizer_path: str, text: str = "text", end_id: int | None = END_ID) -> DataFrame:
     """Adds ``ids`` (binary, unsigned 32-bit little-endian) and ``n`` to the other columns.
 
-    For tokenizers that lower-case and drop white space, so that words between white space can be
-    encoded apart; a null text has only the end id."""
+    For word-wise byte-pair tokenizers that lower-case and drop white space (``word_bpe``): words between
+    white space are encoded apart.  A null text has only the end id."""
     keep = [c for c in df.columns if c != text]
     schema = schema_of(df.select(*keep), n="long", ids="binary")
 
     def run(batches):
         words = _WordIds(_tokenizer(tokenizer_path))
-        end = np.array([] if end_id is None else [end_id], "<u4").tobytes()
+        end = array("I", [] if end_id is None else [end_id]).tobytes()
         for b in rows_by_bytes(batches, text):
             ids = [x + end for x in words.texts([(t or "").encode() for t in b.column(b.schema.get_field_index(text)).to_pylist()])]
             out = {c: b.column(c) for c in keep}
