@@ -7,10 +7,11 @@ ranges, so that one of them has at most k2 differences, and that range into n2,
 k2 agree: every choice of n2 - k2 of them gives one signature, and linked sets share one.
 
 Signatures, not sets, are shuffled for the search (11 bytes each, packed by bucket).  Sets that
-share signatures meet at the smallest set hash of each signature's group; only those sets are
-shuffled, and every link inside a group is settled exactly there (large groups in pairs of
-blocks).  A spanning forest of the links goes to connected components.  Equal sets are one
-vertex throughout, so thousands of copies cost as much as one.
+share signatures meet at the smallest set hash of each signature's group, first by sketches: cells
+of the hash domain with four bits each, of which linked sets cannot differ in more than k.  Only
+sets that this bound leaves together are shuffled, and every link among them is settled exactly
+(large groups in pairs of blocks).  A spanning forest of the links goes to connected components.
+Equal sets are one vertex throughout, so thousands of copies cost as much as one.
 """
 
 from __future__ import annotations
@@ -127,49 +128,93 @@ def linked(a: int, b: int, common) -> np.ndarray:
     return DEN * common >= NUM * (a + b - common)
 
 
-def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links between the sets that connect exactly what all links would.
+def spanning(n: int, probe) -> list[tuple[int, int]]:
+    """Links among ``n`` items that connect exactly what all links would.
 
-    A probe finds all links of one set; sets of the largest component so far need none."""
-    n = len(sets)
-    if n == 2:
-        common = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        return [(0, 1)] if linked(len(sets[0]), len(sets[1]), common) else []
-    sizes = np.array([len(s) for s in sets])
-    flat, at = np.concatenate(sets), np.concatenate([[0], np.cumsum(sizes)])
-    values, ids = np.unique(flat, return_inverse=True)
-    mark, group, probed, out = np.zeros(len(values), bool), np.arange(n), np.zeros(n, bool), []
+    ``probe(x)`` gives all links of one item; items of the largest component so far need none."""
+    group, probed, out = np.arange(n), np.zeros(n, bool), []
     while True:
-        count = np.bincount(group, minlength=n)
-        todo = np.flatnonzero(~probed & (group != count.argmax()))
-        if not len(todo) and not probed.any():
-            todo = np.array([0])
+        largest = np.bincount(group, minlength=n).argmax()
+        todo = np.flatnonzero(~probed & (group != largest)) if probed.any() else np.array([0])
         if not len(todo):
             return out
         x = int(todo[0])
         probed[x] = True
+        hit = probe(x)
+        for y in hit[group[hit] != group[x]].tolist():
+            if group[y] != group[x]:
+                out.append((x, y))
+                group[group == group[y]] = group[x]
+
+
+def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """A spanning forest of the links between the sets."""
+    if len(sets) == 2:
+        common = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
+        return [(0, 1)] if linked(len(sets[0]), len(sets[1]), common) else []
+    sizes = np.array([len(s) for s in sets])
+    flat, at = np.concatenate(sets), np.concatenate([[0], np.cumsum(sizes)])
+    values, ids = np.unique(flat, return_inverse=True)
+    mark = np.zeros(len(values), bool)
+
+    def probe(x: int) -> np.ndarray:
         mine = ids[at[x]:at[x + 1]]
         mark[mine] = True
         common = np.add.reduceat(mark[ids].astype(np.int64), at[:-1])
         mark[mine] = False
-        for y in np.flatnonzero(linked(sizes[x], sizes, common) & (group != group[x])).tolist():
-            if group[y] != group[x]:
-                out.append((x, y))
-                group[group == group[y]] = group[x]
+        return np.flatnonzero(linked(sizes[x], sizes, common))
+
+    return spanning(len(sets), probe)
+
+
+def sketch(s: np.ndarray) -> bytes:
+    """Four bits for each of 2**j cells of the hash domain (as many cells as elements or up to twice as
+    many): the sum of the elements' four-bit hashes.  Two cells add up to one of the next coarser sketch."""
+    j = max(3, (len(s) - 1).bit_length())
+    y = mix(s ^ U(0x2F6B8C1D5A3E7791))
+    cells = np.bincount((y >> U(64 - j)).astype(np.int64), weights=(y & U(15)).astype(np.float64), minlength=1 << j)
+    cells = cells.astype(np.int64).astype(np.uint8) & 15
+    return (cells[::2] | cells[1::2] << 4).tobytes()
+
+
+def near_forest(sizes: np.ndarray, sketches: list[bytes]) -> list[tuple[int, int]]:
+    """A spanning forest of all pairs that may link by size and by the cells in which they differ."""
+    cells = [np.frombuffer(x, np.uint8) for x in sketches]
+    cells = [np.stack([c & 15, c >> 4], axis=1).ravel() for c in cells]
+    level = np.array([len(c) for c in cells])
+    rows = {n: np.flatnonzero(level == n) for n in set(level.tolist())}
+    full = {n: np.stack([cells[i] for i in r.tolist()]) for n, r in rows.items()}
+    fold = lambda x: (x[..., ::2] + x[..., 1::2]) & 15
+    half = {n: fold(m) for n, m in full.items()}
+
+    def probe(x: int) -> np.ndarray:
+        n, own, found = len(cells[x]), cells[x], []
+        for other, table, mine in ((n, full, own), (2 * n, half, own), (n // 2, full, fold(own))):
+            if other in rows:
+                r = rows[other]
+                total = sizes[r] + sizes[x]
+                may = (DEN * np.minimum(sizes[r], sizes[x]) >= NUM * np.maximum(sizes[r], sizes[x])) \
+                    & ((table[other] != mine).sum(axis=1) <= total * (DEN - NUM) // (DEN + NUM))
+                found.append(r[may])
+        return np.concatenate(found)
+
+    return spanning(len(sketches), probe)
 
 
 def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``doc_id, n_shingles, digest`` (null for a text without words) of each row."""
+    """``doc_id, n_shingles, digest, fp, sketch`` (the last three null for a text without words) of each row."""
     src = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    schema = schema_of(src.select("doc_id"), n_shingles="long", digest="binary")
+    schema = schema_of(src.select("doc_id"), n_shingles="long", digest="binary", fp="long", sketch="binary")
 
     def run(batches):
         shingles = Shingles()
         for b in rows_by_bytes(batches, "text"):
             sets = shingles.sets(b.column("text"))
+            names = [digest(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([digest(s) if len(s) else None for s in sets], pa.binary())], names=["doc_id", "n_shingles", "digest"])
+                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()),
+                 pa.array([None if d is None else short_hash(d) for d in names], pa.int64()),
+                 pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())], names=schema.names)
 
     return src.mapInArrow(run, schema)
 
@@ -251,29 +296,55 @@ def active_sets(docs: DataFrame, text: str, bits) -> DataFrame:
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "fp long, digest binary, members binary")
 
 
-def links(docs: DataFrame, text: str, stages: Stages, block: int = BLOCK) -> DataFrame:
-    """``a, b``: digests of linked sets, a spanning forest of all links."""
+def in_blocks(met: DataFrame, group: str, block: int) -> DataFrame:
+    """``met`` (fp and ``group``) with block numbers ``x, y``: a group of more than ``block`` sets comes as all
+    pairs of its blocks, others as one."""
+    large = met.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("g")).where("g > 1")
+    i = F.pmod(F.xxhash64("fp"), F.col("g")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("g") - 1), lambda j: F.struct(F.least(i, j).alias("x"), F.greatest(i, j).alias("y")))
+    return met.join(large, group, "left").withColumn("g", F.coalesce("g", F.lit(1))) \
+        .withColumn("at", F.explode(pairs)).select("fp", group, "at.x", "at.y")
+
+
+def links(docs: DataFrame, rows: DataFrame, text: str, stages: Stages, block: int = BLOCK) -> DataFrame:
+    """``a, b``: digests of linked sets, a spanning forest of all links.  ``rows``: see ``classes``."""
     spark = docs.sparkSession
     n = buckets(spark)
     met = stages.write(meetings(docs, text, n), "meetings")
-    bits = broadcast_bits(spark, bitmap_slices(met, "fp", 48, BITS), 2**BITS // 8)
-    sets = active_sets(docs, text, bits)
-    large = met.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("g")).where("g > 1")
-    i = F.pmod(F.xxhash64("fp"), F.col("g")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("g") - 1), lambda j: F.struct(F.least(i, j).alias("x"), F.greatest(i, j).alias("y")))
-    met = met.join(large, "center", "left").withColumn("g", F.coalesce("g", F.lit(1))) \
-        .withColumn("at", F.explode(pairs)).select("fp", "center", "at.x", "at.y")
-    groups = sets.join(met, "fp").select("center", "x", "y", "digest", "members") \
+    known = rows.where("digest is not null").groupBy("digest").agg(
+        F.first("fp").alias("fp"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
+    groups = known.join(in_blocks(met, "center", block), "fp").select("center", "x", "y", "fp", "size", "sketch") \
         .repartition(n, "center", "x", "y").sortWithinPartitions("center", "x", "y")
 
+    def narrow(batches):
+        for _, members in runs_of_keys(batches, 3):
+            if len(members) < 2:
+                continue
+            fps = np.array([m[0] for m in members])
+            found = near_forest(np.array([m[1] for m in members]), [m[2] for m in members])
+            name = np.arange(len(fps))
+            for a, b in found:
+                name[name == name[b]] = name[a]
+            least = {k: int(fps[name == k].min()) for k in {int(name[a]) for a, _ in found}}
+            if least:
+                kept = [(f, least[k]) for f, k in zip(fps.tolist(), name.tolist()) if k in least]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*kept)], names=["fp", "least"])
+
+    near = stages.write(groups.mapInArrow(narrow, "fp long, least long").distinct(), "near")
+    stages.drop("meetings")
+    bits = broadcast_bits(spark, bitmap_slices(near, "fp", 48, BITS), 2**BITS // 8)
+    sets = active_sets(docs, text, bits)
+    groups = sets.join(in_blocks(near, "least", block), "fp").select("least", "x", "y", "digest", "members") \
+        .repartition(n, "least", "x", "y").sortWithinPartitions("least", "x", "y")
+
     def settle(batches):
-        for _, rows in runs_of_keys(batches, 3):
-            rows = list(dict(rows).items())
-            if len(rows) > 1:
-                found = forest([np.sort(from_low_bytes(m, 6)) for _, m in rows])
+        for _, members in runs_of_keys(batches, 3):
+            members = list(dict(members).items())
+            if len(members) > 1:
+                found = forest([np.sort(from_low_bytes(m, 6)) for _, m in members])
                 if found:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([rows[p[k]][0] for p in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
+                        [pa.array([members[p[k]][0] for p in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
     return groups.mapInArrow(settle, "a binary, b binary")
 
@@ -287,7 +358,7 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     two named columns are read."""
     stages = Stages(docs.sparkSession, "jaccard")
     rows = stages.write(classes(docs, key, text), "classes")
-    edges = stages.write(links(docs, text, stages, block), "edges")
+    edges = stages.write(links(docs, rows, text, stages, block), "edges")
     comp = components(edges, stages)
     per = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("least"))
     per = stages.write(per.join(comp, per["digest"] == comp["v"], "left").select("digest", "least", F.coalesce("c", "digest").alias("c")), "sets")
