@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .util import Stages, n_words
 
-BLOCK = 20_000
+BLOCK = 4096
 EPS = 1e-9
 
 
