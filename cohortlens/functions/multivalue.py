@@ -67,8 +67,10 @@ def multi_hot(df: DataFrame, c: str, values: Sequence[str], prefix: str, sep: st
 
 
 def clean_items(c, sep: str = ";") -> Column:
-    """Split, trim each item and drop empties (the input of explode-style counts)."""
-    return F.filter(F.transform(split_items(c, sep), lambda x: F.trim(x)), lambda x: x != F.lit(""))
+    """Split, trim white space and control characters off each item, drop empties (the input of
+    explode-style counts)."""
+    edge = r"^[\x00-\x20]+|[\x00-\x20]+$"
+    return F.filter(F.transform(split_items(c, sep), lambda x: F.regexp_replace(x, edge, "")), lambda x: x != F.lit(""))
 
 
 def explode_items(df: DataFrame, c: str, out: str, keep: Sequence[str], sep: str = ";") -> DataFrame:

@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..spec import ROLE_PREFIX, SYMBOL_NAMES
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -23,20 +25,17 @@ def ordinal_encode(c, mapping: Mapping[str, int], default: int | None = None) ->
 
 
 def recode_sentinels(c, sentinels: Mapping[str, int]) -> Column:
-    """Sentinel strings to fixed ints, anything else ``try_cast`` to int (bad text -> null)."""
+    """Sentinel strings to fixed ints, anything else its whole number (bad text -> null)."""
     c = _col(c)
     expr = None
     for text, code in sentinels.items():
         expr = F.when(c == text, F.lit(code)) if expr is None else expr.when(c == text, F.lit(code))
-    return expr.otherwise(c.try_cast("int"))
+    return expr.otherwise(whole_number(c))
 
 
-def to_int_truncating(c, dtype) -> Column:
-    """Integer view of a numeric or text column: numbers truncate, bad text is null."""
-    c = _col(c)
-    if dtype.typeName() == "string":
-        return c.try_cast("int")
-    return c.cast("int")
+def whole_number(c) -> Column:
+    """Integer of a number or of its text, fraction cut off (``"7.9"`` -> 7); else null."""
+    return _col(c).try_cast("double").try_cast("int")
 
 
 def bucketize(c, bounds: Sequence[tuple[str, float | None]], closed: str = "right") -> Column:
@@ -61,20 +60,23 @@ def first_item(c, sep: str = ";", default: str = "Unknown") -> Column:
     return F.when(c.isNotNull(), F.split(c, re.escape(sep)).getItem(0)).otherwise(F.lit(default))
 
 
+def slug(text: str, spoken: Mapping[str, str]) -> str:
+    """Letters and digits of a text with single underscores between, after the ``spoken`` symbols
+    are written out."""
+    for symbol, name in spoken.items():
+        text = text.replace(symbol, name)
+    return "_".join(re.findall(r"[A-Za-z0-9]+", text))
+
+
 def safe_name(s: str) -> str:
     """Column-safe suffix for an answer text: ``GitHub Copilot`` -> ``github_copilot``."""
-    s = s.lower().replace("c++", "cpp").replace("c#", "csharp").replace("f#", "fsharp").replace(".", "_dot_")
-    s = re.sub(r"[^a-z0-9]", "_", s)
-    s = re.sub(r"_+", "_", s)
-    return s.strip("_")
+    return slug(s.lower(), SYMBOL_NAMES)
 
 
 def role_column_name(role: str) -> str:
     """Share-column name of a role: ``Developer, back-end`` -> ``dev_back_end_pct``."""
-    s = role.replace("Developer, ", "dev_")
-    s = re.sub(r"[^A-Za-z0-9]", "_", s)
-    s = re.sub(r"_+", "_", s)
-    return s.rstrip("_") + "_pct"
+    lead = "_" if role[:1] and not role[0].isalnum() else ""
+    return lead + slug(role, ROLE_PREFIX) + "_pct"
 
 
 def unique_names(names: Sequence[str]) -> list[str]:

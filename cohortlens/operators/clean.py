@@ -11,10 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.multivalue import count_items
-from ..functions.recode import ordinal_encode, recode_sentinels
-from ..spec import (AI_ACC_LEVELS, AI_SELECT_LEVELS, AI_SENT_LEVELS, AI_THREAT_LEVELS,
-                    EMPLOYED_MARKER, JOB_SAT_BOUNDS, ORG_SIZE_LEVELS, OTHER_ANSWER,
-                    SALARY_BOUNDS, SURVEY, YEARS_SENTINELS, SurveySpec)
+from ..functions.recode import ordinal_encode, recode_sentinels, whole_number
+from ..spec import EMPLOYED_MARKER, SURVEY, SurveySpec
 
 
 def select_survey(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
@@ -47,54 +45,49 @@ def in_open_range(c, lo, hi) -> Column:
     return (c > lo) & (c < hi)
 
 
-def derived_columns() -> dict[str, Column]:
+def derived_columns(spec: SurveySpec = SURVEY) -> dict[str, Column]:
     """Recoded columns, in output order, computed from the selected survey columns."""
+    ordinal = {name: ordinal_encode(c, levels, default=default) for name, (c, levels, default) in spec.ordinals.items()}
     return {
         "salary_usd": F.col("ConvertedCompYearly").try_cast("double"),
-        "years_code_pro": recode_sentinels("YearsCodePro", YEARS_SENTINELS),
-        "org_size_int": ordinal_encode("OrgSize", ORG_SIZE_LEVELS),
-        # try_cast truncates fractions (7.9 -> 7) and nulls bad text or overflow
-        "job_sat_int": F.col("JobSat").try_cast("int"),
-        "ai_select_int": ordinal_encode("AISelect", AI_SELECT_LEVELS),
-        "ai_acc_int": ordinal_encode("AIAcc", AI_ACC_LEVELS, default=2),
-        "ai_threat_int": ordinal_encode("AIThreat", AI_THREAT_LEVELS, default=0),
-        "ai_sent_int": ordinal_encode("AISent", AI_SENT_LEVELS, default=2),
-        "ai_ben_count": count_items("AIBen", drop=[OTHER_ANSWER], drop_empty=True),
+        "years_code_pro": recode_sentinels("YearsCodePro", spec.years_sentinels),
+        "org_size_int": ordinal.pop("org_size_int"),
+        "job_sat_int": whole_number("JobSat"),
+        **ordinal,
+        "ai_ben_count": count_items("AIBen", sep=spec.separator, drop=[spec.other_answer], drop_empty=True),
     }
 
 
-def funnel_steps() -> list[tuple[str, Column]]:
+def funnel_steps(spec: SurveySpec = SURVEY) -> list[tuple[str, Column]]:
     """(step name, condition) in the order the survey cleaning applies them."""
-    lo, hi = SALARY_BOUNDS
-    js_lo, js_hi = JOB_SAT_BOUNDS
     return [
-        ("employed_full_time", employed_full_time()),
+        ("employed_full_time", employed_full_time(marker=spec.employed_marker)),
         ("outcomes_present", F.col("ConvertedCompYearly").isNotNull() & F.col("JobSat").isNotNull()
          & F.col("AISelect").isNotNull()),
-        ("salary_in_range", F.col("salary_usd").isNotNull() & in_open_range("salary_usd", lo, hi)),
+        ("salary_in_range", F.col("salary_usd").isNotNull() & in_open_range("salary_usd", *spec.salary_bounds)),
         ("years_known", F.col("years_code_pro").isNotNull()),
         ("org_size_known", F.col("org_size_int").isNotNull()),
-        ("job_sat_in_range", F.col("job_sat_int").isNotNull() & F.col("job_sat_int").between(js_lo, js_hi)),
+        ("job_sat_in_range", F.col("job_sat_int").isNotNull() & F.col("job_sat_int").between(*spec.job_sat_bounds)),
         ("ai_select_known", F.col("ai_select_int").isNotNull()),
     ]
 
 
 def clean(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
     """Selected columns + 9 recoded columns, only rows passing every funnel step."""
-    out = select_survey(df, spec).withColumns(derived_columns())
+    out = select_survey(df, spec).withColumns(derived_columns(spec))
     keep = None
-    for _, cond in funnel_steps():
+    for _, cond in funnel_steps(spec):
         keep = cond if keep is None else keep & cond
     return out.where(keep)
 
 
 def clean_funnel(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
     """Rows left after each cleaning step: ``(step_no, step, rows_left)``, one scan."""
-    staged = select_survey(df, spec).withColumns(derived_columns())
+    staged = select_survey(df, spec).withColumns(derived_columns(spec))
     aggs = [F.count(F.lit(1)).alias("s0")]
     names = ["raw"]
     cum = None
-    for i, (name, cond) in enumerate(funnel_steps(), start=1):
+    for i, (name, cond) in enumerate(funnel_steps(spec), start=1):
         cum = cond if cum is None else cum & cond
         aggs.append(F.count_if(F.coalesce(cum, F.lit(False))).alias(f"s{i}"))
         names.append(name)

@@ -120,13 +120,16 @@ def silhouette(df: DataFrame, cols: Sequence[str], pred: str = "prediction") ->
 # K-Means with pyspark.ml
 # ---------------------------------------------------------------------------
 
-def stable_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Range-partition by ``key`` and sort within partitions: the same rows always land in
-    the same partitions in the same order, whatever layout they arrived in.  K-Means
-    initialisation samples per partition, so this makes a seeded fit repeatable across
-    input layouts (one range shuffle; sampling-based bounds keep partitions even)."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartitionByRange(n, key).sortWithinPartitions(key)
+LAYOUT_PARTITIONS = 32
+
+
+def stable_layout(df: DataFrame, key: str, partitions: int = LAYOUT_PARTITIONS) -> DataFrame:
+    """Hash-partition by ``key`` into an explicit number of partitions, sorted within each: the
+    same rows always land in the same partitions in the same order, whatever layout they
+    arrived in and however many cores there are.  K-Means initialisation samples per
+    partition, so a seeded fit repeats.  Raise ``partitions`` with the data volume (about one
+    per 128 MB); the number is part of what fixes the result."""
+    return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def fit_kmeans(df: DataFrame, k: int, seed: int = 42, max_iter: int = 40,
@@ -222,6 +225,9 @@ def fixed_archetypes(df: DataFrame, cols: Sequence[str], seed_col: str, rank_col
     centres = group means under ``seed_col``; rows go to the nearest centre; centres are
     named by their ``rank_col`` coordinate.  Deterministic, so it is oracle-checkable.
     """
-    centres = seeded_centres(df, seed_col, cols)
-    assigned = assign_nearest(df, centres, cols)
-    return label_clusters(assigned, label_table(centres, rank_col))
+    return label_by_centres(df, seeded_centres(df, seed_col, cols), cols, rank_col)
+
+
+def label_by_centres(df: DataFrame, centres: DataFrame, cols: Sequence[str], rank_col: str) -> DataFrame:
+    """Nearest of ``centres`` (k rows) and its name, in one pass over ``df``."""
+    return label_clusters(assign_nearest(df, centres, cols), label_table(centres, rank_col))

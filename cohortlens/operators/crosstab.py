@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.recode import round_half_up, unique_names
+from .quantiles import null_safe
 
 
 def share_pivot(df: DataFrame, by: str, col: str, values: Sequence[str],
@@ -66,7 +67,7 @@ def share_long(df: DataFrame, by: str, col: str, top: DataFrame, digits: int = 1
     """
     totals = df.groupBy(by).agg(F.count(F.lit(1)).alias("total"))
     cells = filter_topk(df, col, top).groupBy(by, col).agg(F.count(F.lit(1)).alias("n"))
-    out = cells.join(totals, on=by, how="inner")
+    out = null_safe(cells, totals, [by])
     return out.select(by, col, "n", "total",
                       round_half_up(F.col("n") * 100.0 / F.col("total"), digits).alias("pct")) \
               .orderBy(by, col)

@@ -10,31 +10,31 @@ from pyspark.sql import functions as F
 
 from ..functions.multivalue import count_items, multi_hot
 from ..functions.recode import bucketize, first_item
-from ..spec import EXPERIENCE_BINS, OTHER_ANSWER, SURVEY, UNKNOWN_ROLE, USAGE_BINS, SurveySpec
+from ..spec import SURVEY, UNKNOWN_ROLE, SurveySpec
 
 
-def add_counts(df: DataFrame) -> DataFrame:
+def add_counts(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
     """Product count keeps every item (an empty cell counts 1); task count drops
     the free-text "Other" answer and empty items."""
     return df.withColumns({
-        "ai_product_count": count_items("AIProducts"),
-        "ai_task_count": count_items("AIToolActivities", drop=[OTHER_ANSWER], drop_empty=True),
+        "ai_product_count": count_items("AIProducts", sep=spec.separator),
+        "ai_task_count": count_items("AIToolActivities", sep=spec.separator, drop=[spec.other_answer], drop_empty=True),
     })
 
 
 def build_features(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
     """Clean table + 2 counts + ``uses_*`` + ``lang_*`` indicators (one projection)."""
-    out = add_counts(df)
-    out = multi_hot(out, "AIProducts", spec.ai_tools, "uses_")
-    return multi_hot(out, "LanguageHaveWorkedWith", spec.languages, "lang_")
+    out = add_counts(df, spec)
+    out = multi_hot(out, "AIProducts", spec.ai_tools, "uses_", sep=spec.separator)
+    return multi_hot(out, "LanguageHaveWorkedWith", spec.languages, "lang_", sep=spec.separator)
 
 
-def add_bins(df: DataFrame) -> DataFrame:
+def add_bins(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
     """``ai_usage_bin``, ``experience_bin`` and ``primary_role`` (first listed role)."""
     return df.withColumns({
-        "ai_usage_bin": bucketize("ai_product_count", USAGE_BINS, closed="right"),
-        "experience_bin": bucketize("years_code_pro", EXPERIENCE_BINS, closed="left"),
-        "primary_role": first_item("DevType", default=UNKNOWN_ROLE),
+        "ai_usage_bin": bucketize("ai_product_count", spec.usage_bins, closed="right"),
+        "experience_bin": bucketize("years_code_pro", spec.experience_bins, closed="left"),
+        "primary_role": first_item("DevType", sep=spec.separator, default=UNKNOWN_ROLE),
     })
 
 
@@ -50,14 +50,19 @@ def scale(df: DataFrame, inp: str = "features_raw", out: str = "features"):
     return model.transform(df), model
 
 
-def zscore(df: DataFrame, cols: Sequence[str], prefix: str = "z_") -> DataFrame:
+def zstats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row: mean ``__m_<c>`` and sample deviation ``__s_<c>`` of each column."""
+    return df.agg(*[F.avg(c).alias(f"__m_{c}") for c in cols],
+                  *[F.stddev_samp(c).alias(f"__s_{c}") for c in cols])
+
+
+def zscore(df: DataFrame, cols: Sequence[str], prefix: str = "z_", stats: DataFrame | None = None) -> DataFrame:
     """Per-column z-scores as plain double columns.
 
-    One global aggregate (mean, ``stddev_samp``) is joined back as a one-row broadcast; a
-    constant column gives 0, like ``StandardScaler``.  No driver round trip.
+    The row of ``zstats`` (of ``df`` itself, unless given) is joined back as a one-row
+    broadcast; a constant column gives 0, like ``StandardScaler``.  No driver round trip.
     """
-    stats = df.agg(*[F.avg(c).alias(f"__m_{c}") for c in cols],
-                   *[F.stddev_samp(c).alias(f"__s_{c}") for c in cols])
+    stats = zstats(df, cols) if stats is None else stats
     joined = df.crossJoin(F.broadcast(stats))
     z = {f"{prefix}{c}": F.when(F.col(f"__s_{c}") == 0, F.lit(0.0)).otherwise(
         F.try_divide(F.col(c) - F.col(f"__m_{c}"), F.col(f"__s_{c}"))) for c in cols}

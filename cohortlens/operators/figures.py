@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.recode import round_half_up
 from ..spec import ARCHETYPE_ORDER, CLUSTER_FEATURES, COUNTRY_SHORT_NAMES, USAGE_BINS
-from .quantiles import grouped_quantiles
+from .quantiles import grouped_quantiles, null_safe
 
 # FIXED VALUES: display names of the centroid heatmap columns and the country order.
 CENTROID_DISPLAY = ["ai_select", "ai_products", "ai_tasks", "ai_trust", "ai_threat",
@@ -44,11 +44,11 @@ def box_stats(df: DataFrame, by: str, col: str, trim_q: float | None = 0.99, dig
               method: str = "bracketed") -> DataFrame:
     """Quartiles and 1.5·IQR whiskers per group (whisker = last point inside the fence),
     after an optional global upper trim."""
-    src = df.where(F.col(col).isNotNull())
+    src = df.where(F.col(col).isNotNull()).select(by, col)
     if trim_q is not None:
         src = trim_upper(src, col, trim_q, method)
     qs = grouped_quantiles(src, [by], col, [0.25, 0.5, 0.75], ["q1", "median", "q3"], method=method)
-    j = src.join(F.broadcast(qs), on=by)
+    j = null_safe(src, qs, [by])  # one row per group: broadcast if it turns out small
     iqr = F.col("q3") - F.col("q1")
     lo_fence, hi_fence = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     out = j.groupBy(by).agg(
@@ -61,20 +61,15 @@ def box_stats(df: DataFrame, by: str, col: str, trim_q: float | None = 0.99, dig
               .withColumn("position", position_in(by, ARCHETYPE_ORDER)).orderBy(by)
 
 
-def centroid_heatmap(centroids: DataFrame, labels: DataFrame, digits: int = 3) -> DataFrame:
-    """Centroid z-scores per archetype with short feature names, in display order."""
+def centroid_heatmap(centroids: DataFrame, labels: DataFrame, digits: int = 3,
+                     features: Sequence[str] = tuple(CLUSTER_FEATURES)) -> DataFrame:
+    """Centroid z-scores per archetype with short feature names where there are some, in display order."""
+    short = dict(zip(CLUSTER_FEATURES, CENTROID_DISPLAY))
     j = centroids.join(F.broadcast(labels), centroids["cluster"] == labels["prediction"])
-    cols = [round_half_up(F.col(f), digits).alias(s) for f, s in zip(CLUSTER_FEATURES, CENTROID_DISPLAY)]
+    cols = [round_half_up(F.col(f), digits).alias(short.get(f, f)) for f in features]
     return in_display_order(j.select("archetype", *cols), "archetype")
 
 
-def headline_outcomes(salary: DataFrame, jobsat: DataFrame) -> DataFrame:
-    """Mean and median salary next to mean job satisfaction, one row per archetype."""
-    j = salary.select("archetype", "mean_salary", "median_salary") \
-              .join(jobsat.select("archetype", "mean_job_sat"), on="archetype", how="full")
-    return in_display_order(j, "archetype")
-
-
 def simpson_deltas(b: DataFrame, digits: int = 0) -> DataFrame:
     """Long experience × usage table with each cell's difference from the no-AI cell of
     the same experience tier: the within-tier gradient."""

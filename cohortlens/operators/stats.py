@@ -1,7 +1,7 @@
 """Correlations and ordinary least squares.
 
-All pairwise Pearson coefficients come from ONE aggregate (covariances and pairwise-complete
-standard deviations), then ``stack`` turns the one wide row into long rows.  OLS is
+All pairwise Pearson coefficients come from ONE keyed aggregate over rows stacked by pair
+number (pairwise-complete; map-side combined to one buffer per pair and task).  OLS is
 ``pyspark.ml`` ``LinearRegression`` with the normal-equation solver: one distributed pass of
 cross-products, a p×p solve on the driver, standard errors from the same statistics.
 """
@@ -24,18 +24,6 @@ def pairs(cols: Sequence[str]) -> list[tuple[str, str]]:
     return [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
 
 
-def pearson(a: str, b: str) -> Column:
-    """Pearson r over rows where both are non-null; null (not an error) if one is constant.
-
-    ``try_divide(covar_samp, stddev_samp * stddev_samp)`` with the deviations restricted to
-    the pair's common rows, which equals ``corr`` and survives ANSI mode.
-    """
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    sa = F.stddev_samp(F.when(both, F.col(a)))
-    sb = F.stddev_samp(F.when(both, F.col(b)))
-    return F.try_divide(F.covar_samp(a, b), sa * sb)
-
-
 def round_half_up_scaled(c: Column, scale: int = 1000) -> Column:
     """``floor(c * scale + 0.5) / scale``: ties toward +inf, like ``Math.round``."""
     return F.floor(c * scale + 0.5) / scale
@@ -51,18 +39,17 @@ def corr_pairs(df: DataFrame, cols: Sequence[str], digits: int | None = 3) -> Da
     expressions.
     """
     ps = pairs(cols)
-    body = ", ".join(f"{i}, '{a}', '{b}', CAST(`{a}` AS DOUBLE), CAST(`{b}` AS DOUBLE)"
-                     for i, (a, b) in enumerate(ps))
-    stacked = df.selectExpr(f"stack({len(ps)}, {body}) AS (pair_no, var_a, var_b, __a, __b)") \
+    body = ", ".join(f"{i}, CAST(`{a}` AS DOUBLE), CAST(`{b}` AS DOUBLE)" for i, (a, b) in enumerate(ps))
+    stacked = df.selectExpr(f"stack({len(ps)}, {body}) AS (pair_no, __a, __b)") \
         .where(F.col("__a").isNotNull() & F.col("__b").isNotNull())
     r = F.try_divide(F.covar_samp("__a", "__b"), F.stddev_samp("__a") * F.stddev_samp("__b"))
-    long = stacked.groupBy("pair_no", "var_a", "var_b").agg(r.alias("pearson_corr"))
+    long = stacked.groupBy("pair_no").agg(r.alias("pearson_corr"))
     if digits is not None:
         long = long.withColumn("pearson_corr", round_half_up_scaled(F.col("pearson_corr"), 10 ** digits))
     # pairs with no complete row still get their (null) row
     names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(ps)],
                                             "pair_no int, var_a string, var_b string")
-    return F.broadcast(names).join(long, on=["pair_no", "var_a", "var_b"], how="left") \
+    return names.join(long, on="pair_no", how="left") \
         .select("pair_no", "var_a", "var_b", "pearson_corr")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.recode import round_half_up
-from .quantiles import grouped_quantiles
+from .quantiles import grouped_quantiles, null_safe
 
 
 @dataclass(frozen=True)
@@ -63,7 +63,7 @@ def summarize(df: DataFrame, by: Sequence[str] | str, measures: Sequence[Measure
         for c in cols:
             ms = [m for m in quant if m.col == c]
             q = grouped_quantiles(df, by, c, [m.q for m in ms], [m.alias for m in ms], method=quantile_method)
-            out = out.join(q, on=by, how="left")
+            out = null_safe(out, q, by, "left")
     rounded = {m.alias: round_half_up(m.alias, m.digits) for m in measures if m.digits is not None}
     out = out.withColumns(rounded).select(*by, *[m.alias for m in measures])
     if order is not None:

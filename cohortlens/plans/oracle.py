@@ -84,7 +84,7 @@ STAGED = f"""staged AS (
   SELECT *,
     TRY_CAST(ConvertedCompYearly AS DOUBLE) AS salary_usd,
     CASE WHEN YearsCodePro = 'More than 50 years' THEN 50 WHEN YearsCodePro = 'Less than 1 year' THEN 0
-         ELSE TRY_CAST(YearsCodePro AS INTEGER) END AS years_code_pro,
+         ELSE TRY_CAST(trunc(TRY_CAST(YearsCodePro AS DOUBLE)) AS INTEGER) END AS years_code_pro,
     {case_map('OrgSize', ORG_SIZE_LEVELS)} AS org_size_int,
     TRY_CAST(trunc(JobSat) AS INTEGER) AS job_sat_int,
     {case_map('AISelect', AI_SELECT_LEVELS)} AS ai_select_int,
@@ -471,12 +471,12 @@ def build() -> dict[str, str]:
     q["embeddings_silhouette"] = ("WITH flat AS (SELECT label, " + ", ".join(
         f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(64)) + " FROM embeddings), "
         + silhouette_sql("flat", "label", ecols))
-    e8 = [f"e{i}" for i in range(8)]
+    e64 = [f"e{i}" for i in range(64)]
     q["embeddings_zscore"] = ("WITH flat AS (SELECT vec_id, " + ", ".join(
-        f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(8)) + " FROM embeddings), "
-        "st AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in e8) + " FROM flat)\n"
+        f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(64)) + " FROM embeddings), "
+        "st AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in e64) + " FROM flat)\n"
         "SELECT vec_id, " + ", ".join(
-            rhu(f"CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) / s_{c} END", 9) + f" AS z_{c}" for c in e8)
+            rhu(f"CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) / s_{c} END", 9) + f" AS z_{c}" for c in e64)
         + " FROM flat CROSS JOIN st")
     return q
 

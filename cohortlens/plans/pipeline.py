@@ -2,11 +2,11 @@
 
 Materialisation points, each chosen for a reason:
 
-* the feature table is checkpointed to ``spark.checkpoint.dir`` (reliable storage): the
-  K-Means sweep makes dozens of passes over it, and a lost executor then re-reads the
-  checkpoint instead of re-running the scan, parse and cleaning lineage;
-* the scaled vectors are persisted for the fits;
-* the labelled table is written once (Parquet, same folder) for the 19 report tables, so
+* the feature table is written to ``spark.checkpoint.dir``: the fits make dozens of passes
+  over it, and a lost executor then re-reads files instead of re-running scan and cleaning;
+* the features in their fixed layout (hash of the respondent id) are persisted for the fits,
+  which then repeat on any input layout and number of cores;
+* the labelled table is written once (Parquet, same folder) for the report tables, so
   each report scan reads only the columns it needs.
 """
 
@@ -23,7 +23,8 @@ from ..operators.clean import clean, clean_funnel
 from ..operators.features import add_bins, build_features
 from ..operators.figures import centroid_heatmap
 from ..sources.sinks import write_labelled, write_tables
-from ..spec import CLUSTER_FEATURES, RANK_FEATURE, SURVEY, SurveySpec
+from ..spec import SURVEY, SurveySpec
+from ..session import discard
 from . import report
 from .stages import checkpointed, vector_features
 
@@ -38,26 +39,28 @@ def run(source: DataFrame, spec: SurveySpec = SURVEY, k: int = 3, ks: Sequence[i
     """
     spark = source.sparkSession
     tables: dict[str, DataFrame] = {"clean_funnel": clean_funnel(source, spec)}
-    feats = build_features(clean(source, spec), spec)
-    if layout_key is not None:  # repeatable fits on any input layout (one range shuffle)
-        feats = cluster.stable_layout(feats, layout_key)
-    feats = checkpointed(feats, "features")
-    scaled, _ = vector_features(feats)
-    scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
+    feats = checkpointed(build_features(clean(source, spec), spec), "features")
+    laid = cluster.stable_layout(feats, layout_key or spec.id_col).persist(StorageLevel.MEMORY_AND_DISK)
+    scaled, _ = vector_features(laid, spec.cluster_features)
     if ks:
         tables["k_sweep"] = cluster.k_sweep(scaled.select("features"), ks, seed=seed, max_iter=20)
     model = cluster.fit_kmeans(scaled, k, seed=seed, max_iter=40)
-    centroids = cluster.centroid_table(spark, model, CLUSTER_FEATURES)
-    labels = cluster.label_table(centroids, RANK_FEATURE)
-    labelled = checkpointed(add_bins(cluster.label_clusters(model.transform(scaled), labels))
+    centroids = cluster.centroid_table(spark, model, spec.cluster_features)
+    labels = cluster.label_table(centroids, spec.rank_feature)
+    assigned = model.transform(scaled)
+    score = cluster.evaluate_silhouette(assigned)
+    tables["final_model"] = spark.createDataFrame([(k, float(model.summary.trainingCost), float(score))],
+                                                  "k int, wssse double, silhouette double")
+    labelled = checkpointed(add_bins(cluster.label_clusters(assigned, labels), spec)
                             .drop("features_raw", "features"), "labelled")
-    tables["centroids"] = centroid_heatmap(centroids, labels)
-    tables.update(report.impact_report(labelled, quantile_method))
-    tables.update(report.deep_dive(labelled, quantile_method))
+    laid.unpersist()
+    tables["centroids"] = centroid_heatmap(centroids, labels, features=spec.cluster_features)
+    tables.update(report.impact_report(labelled, quantile_method, spec))
+    tables.update(report.deep_dive(labelled, quantile_method, spec))
     tables["labelled"] = labelled
     if out_dir is not None:
         named = {n: t for n, t in tables.items() if n != "labelled"}
         write_tables(named, out_dir, fmt=fmt, single_file=True)
         write_labelled(labelled, os.path.join(out_dir, "labelled_developers.parquet"))
-    scaled.unpersist()
+    discard(feats)
     return tables

@@ -146,8 +146,7 @@ def q_zscore_features(spark, d):
 
 
 def _seeded(spark, d):
-    z = stages.z_table(spark, d)
-    return z, cluster.seeded_centres(z, stages.SEED_COLUMN, stages.Z_FEATURES)
+    return stages.z_table(spark, d), stages.seeded_centres(spark, d)
 
 
 def q_assign_fixed_centers(spark, d):
@@ -178,18 +177,12 @@ def _lab(spark, d):
     return stages.binned_fixed(spark, d)
 
 
-def _profile(spark, d, name):
-    """A per-archetype table from the shared one-scan profile (the report's own path)."""
-    prof = report.cohort_profile(_lab(spark, d)).persist()
-    return report.tables_from_profile(prof)[name]
-
-
 def q_cluster_sizes(spark, d):
-    return _profile(spark, d, "cluster_sizes")
+    return report.cluster_sizes(_lab(spark, d))
 
 
 def q_salary_by_archetype(spark, d):
-    return _profile(spark, d, "salary_by_archetype")
+    return report.salary_by_archetype(_lab(spark, d))
 
 
 def q_salary_by_archetype_exact(spark, d):
@@ -197,27 +190,27 @@ def q_salary_by_archetype_exact(spark, d):
 
 
 def q_jobsat_by_archetype(spark, d):
-    return _profile(spark, d, "jobsat_by_archetype")
+    return report.jobsat_by_archetype(_lab(spark, d))
 
 
 def q_ai_tool_adoption(spark, d):
-    return _profile(spark, d, "ai_tool_adoption_by_archetype")
+    return report.ai_tool_adoption(_lab(spark, d))
 
 
 def q_tech_stack(spark, d):
-    return _profile(spark, d, "tech_stack_by_archetype")
+    return report.tech_stack(_lab(spark, d))
 
 
 def q_profile_by_archetype(spark, d):
-    return _profile(spark, d, "profile_by_archetype")
+    return report.profile_by_archetype(_lab(spark, d))
 
 
 def q_remote_work_mix(spark, d):
-    return _profile(spark, d, "remote_work_by_archetype")
+    return report.remote_work_mix(_lab(spark, d))
 
 
 def q_main_branch_mix(spark, d):
-    return _profile(spark, d, "main_branch_by_archetype")
+    return report.main_branch_mix(_lab(spark, d))
 
 
 def q_share_pivot_remote(spark, d):
@@ -233,7 +226,7 @@ def q_primary_role_mix_scan(spark, d):
 
 
 def q_primary_role_by_archetype(spark, d):
-    return report.impact_report(_lab(spark, d))["primary_role_by_archetype"]
+    return report.primary_role_mix(_lab(spark, d))
 
 
 def q_topk_roles(spark, d):
@@ -245,7 +238,7 @@ def q_topk_countries(spark, d):
 
 
 def q_summary_by_archetype(spark, d):
-    return _profile(spark, d, "summary_by_archetype")
+    return report.summary_by_archetype(_lab(spark, d))
 
 
 def q_top_countries(spark, d):
@@ -319,7 +312,7 @@ def q_ols_fit_stats(spark, d):
 
 def q_ols_fitted(spark, d):
     model, data = stats.fit_ols(stages.feature_table(spark, d), REGRESSION_LABEL, REGRESSION_FEATURES)
-    return model.transform(data).select("ResponseId", "salary_usd", "salary_predicted")
+    return model.transform(data).select("ResponseId", "salary_usd", round_sig("salary_predicted", 6).alias("salary_predicted"))
 
 
 def q_ols_marks(spark, d):
@@ -333,19 +326,20 @@ def _features_vec(spark, d):
 
 
 def q_kmeans_final(spark, d):
-    labelled, _, _, _ = stages.labelled_kmeans(_features_vec(spark, d), k=3, layout_key="ResponseId")
+    labelled, _, _, _ = stages.labelled_kmeans(_features_vec(spark, d), k=3)
     return report.cluster_sizes(labelled)
 
 
 def q_k_sweep(spark, d):
-    feats = cluster.stable_layout(_features_vec(spark, d), "ResponseId")
-    scaled, _ = stages.vector_features(feats)
-    scaled = scaled.select("features").persist()
-    return cluster.k_sweep(scaled, range(2, 9), seed=42, max_iter=20)
+    laid = cluster.stable_layout(_features_vec(spark, d), "ResponseId").persist()
+    scaled, _ = stages.vector_features(laid)
+    out = cluster.k_sweep(scaled.select("features"), range(2, 9), seed=42, max_iter=20)
+    laid.unpersist()
+    return out
 
 
 def q_centroid_heatmap(spark, d):
-    _, _, centroids, labels = stages.labelled_kmeans(_features_vec(spark, d), k=3, layout_key="ResponseId")
+    _, _, centroids, labels = stages.labelled_kmeans(_features_vec(spark, d), k=3)
     return figures.centroid_heatmap(centroids, labels)
 
 
@@ -356,7 +350,9 @@ def q_canonical_order(spark, d):
 
 
 def q_headline_outcomes(spark, d):
-    return figures.headline_outcomes(q_salary_by_archetype(spark, d), q_jobsat_by_archetype(spark, d))
+    ms = [Measure("mean_salary", "mean", "salary_usd", 2), Measure("median_salary", "quantile", "salary_usd", 2, 0.5),
+          Measure("mean_job_sat", "mean", "job_sat_int", 3)]
+    return figures.in_display_order(summarize(_lab(spark, d), "archetype", ms), "archetype")
 
 
 def q_simpson_deltas(spark, d):
@@ -432,7 +428,7 @@ def q_embeddings_silhouette(spark, d):
 def q_embeddings_zscore(spark, d):
     from ..operators.features import zscore
     e = read_table(spark, d, "embeddings")
-    cols = [f"e{i}" for i in range(8)]
+    cols = [f"e{i}" for i in range(64)]
     flat = e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
     z = zscore(flat, cols)
     return z.select("vec_id", *[round_half_up("z_" + c, Z_DIGITS).alias("z_" + c) for c in cols])

@@ -1,8 +1,9 @@
 """Cohort report tables over a labelled table (one row per respondent with ``archetype``).
 
-Each builder is lazy and returns a DataFrame; nothing is computed until a caller acts.  The
-labelled table should be persisted (or checkpointed) once by the caller, because every
-report table scans it.
+The single-table builders are lazy.  ``impact_report`` and ``deep_dive`` run now: they write
+the small shared aggregates (k rows, or one row per cell) once to the shared folder and derive
+their tables from those; nothing stays cached.  The labelled table should be materialised once
+by the caller, because several aggregates scan it.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ from pyspark.sql import functions as F
 from ..functions.recode import role_column_name, round_half_up
 from ..operators import crosstab, stats, topn
 from ..operators.features import add_bins
+from ..session import materialize
+from ..operators.quantiles import grouped_quantiles, null_safe
 from ..operators.summary import Measure, group_means, indicator_rates, summarize
-from ..spec import (AI_TOOLS, COUNTRY_SHORT_NAMES, CORRELATION_COLUMNS, LANGUAGES,
-                    MAIN_BRANCH_ALIASES, MAIN_BRANCH_VALUES, REGRESSION_FEATURES,
-                    REGRESSION_LABEL, REMOTE_WORK_VALUES, UNKNOWN_ROLE, USAGE_BINS)
+from ..spec import (MAIN_BRANCH_ALIASES, MAIN_BRANCH_VALUES, REMOTE_WORK_VALUES, SURVEY, UNKNOWN_ROLE, USAGE_BINS,
+                    SurveySpec)
 from ..functions.recode import safe_name
 
 A = "archetype"
@@ -45,12 +47,12 @@ def jobsat_by_archetype(df: DataFrame, quantile_method: str = "exact") -> DataFr
     return summarize(df, A, ms, order=[F.desc("mean_job_sat"), F.asc(A)], quantile_method=quantile_method)
 
 
-def tool_columns() -> list[str]:
-    return ["uses_" + safe_name(t) for t in AI_TOOLS]
+def tool_columns(spec: SurveySpec = SURVEY) -> list[str]:
+    return ["uses_" + safe_name(t) for t in spec.ai_tools]
 
 
-def language_columns() -> list[str]:
-    return ["lang_" + safe_name(v) for v in LANGUAGES]
+def language_columns(spec: SurveySpec = SURVEY) -> list[str]:
+    return ["lang_" + safe_name(v) for v in spec.languages]
 
 
 def ai_tool_adoption(df: DataFrame) -> DataFrame:
@@ -63,6 +65,7 @@ def tech_stack(df: DataFrame) -> DataFrame:
     return indicator_rates(df, A, language_columns(), order=[F.asc(A)])
 
 
+# FIXED VALUES: output names and digits of the profile table.
 PROFILE_MEANS = [
     ("years_code_pro", "avg_years_exp", 2),
     ("org_size_int", "avg_org_size_score", 2),
@@ -111,6 +114,7 @@ def primary_role_mix(df: DataFrame, k: int = 8) -> DataFrame:
     return crosstab.share_wide(long, A, "primary_role", roles, [role_column_name(r) for r in roles])
 
 
+# FIXED VALUES: output names and digits of the summary table.
 SUMMARY_MEANS = [
     ("salary_usd", "avg_salary_usd", 0),
     ("job_sat_int", "avg_job_sat_0_10", 2),
@@ -130,8 +134,8 @@ def top_countries(df: DataFrame, n: int = 5) -> DataFrame:
     return topn.topn_per_group(df, A, "Country", n, out="country")
 
 
-def top_devroles(df: DataFrame, n: int = 5) -> DataFrame:
-    return topn.topn_items_per_group(df, A, "DevType", n, out="dev_role")
+def top_devroles(df: DataFrame, n: int = 5, sep: str = ";") -> DataFrame:
+    return topn.topn_items_per_group(df, A, "DevType", n, out="dev_role", sep=sep)
 
 
 def impact_report_separate(df: DataFrame, quantile_method: str = "exact") -> dict[str, DataFrame]:
@@ -156,14 +160,14 @@ def impact_report_separate(df: DataFrame, quantile_method: str = "exact") -> dic
 # shared scans: every per-archetype table from ONE aggregate
 # ---------------------------------------------------------------------------
 
-def _mean_columns() -> list[str]:
+def _mean_columns(spec: SurveySpec = SURVEY) -> list[str]:
     cols = ["salary_usd", "job_sat_int", "ai_product_count", "ai_task_count"]
-    cols += tool_columns() + language_columns()
+    cols += tool_columns(spec) + language_columns(spec)
     cols += [c for c, _, _ in PROFILE_MEANS + SUMMARY_MEANS]
     return list(dict.fromkeys(cols))
 
 
-def cohort_profile(df: DataFrame, quantile_method: str = "bracketed") -> DataFrame:
+def cohort_profile(df: DataFrame, quantile_method: str = "bracketed", spec: SurveySpec = SURVEY) -> DataFrame:
     """All per-archetype measures of the report in one ``groupBy().agg()`` (k rows).
 
     Salary quantiles use ``quantile_method`` (bracketed: exact with bounded memory); the
@@ -173,7 +177,7 @@ def cohort_profile(df: DataFrame, quantile_method: str = "bracketed") -> DataFra
             F.count("salary_usd").alias("n_salary"), F.stddev_samp("salary_usd").alias("sd_salary_usd"),
             F.count("job_sat_int").alias("n_job_sat"), F.stddev_samp("job_sat_int").alias("sd_job_sat_int"),
             F.percentile("job_sat_int", 0.5).alias("q50_job_sat_int")]
-    aggs += [F.avg(c).alias("avg_" + c) for c in _mean_columns()]
+    aggs += [F.avg(c).alias("avg_" + c) for c in _mean_columns(spec)]
     aggs += [F.count("RemoteWork").alias("rw_total")] + \
         [F.count_if(F.col("RemoteWork") == v).alias(f"rw{i}") for i, v in enumerate(REMOTE_WORK_VALUES)]
     aggs += [F.count("MainBranch").alias("mb_total")] + \
@@ -183,9 +187,7 @@ def cohort_profile(df: DataFrame, quantile_method: str = "bracketed") -> DataFra
         aggs += [F.percentile("salary_usd", q).alias(n) for q, n in zip(qs, names)]
     prof = df.groupBy("prediction", A).agg(*aggs)
     if quantile_method != "exact":
-        from ..operators.quantiles import grouped_quantiles
-        prof = prof.join(grouped_quantiles(df, [A], "salary_usd", qs, names, method=quantile_method),
-                         on=A, how="left")
+        prof = null_safe(prof, grouped_quantiles(df, [A], "salary_usd", qs, names, method=quantile_method), [A], "left")
     return prof
 
 
@@ -193,10 +195,10 @@ def _r(c, d):
     return round_half_up(c, d)
 
 
-def tables_from_profile(prof: DataFrame) -> dict[str, DataFrame]:
+def tables_from_profile(prof: DataFrame, spec: SurveySpec = SURVEY) -> dict[str, DataFrame]:
     """The nine per-archetype tables as projections of the profile."""
     pct = lambda c, t: _r(F.col(c) * 100.0 / F.col(t), 1)
-    means = lambda spec: [_r(F.col("avg_" + c), d).alias(a) for c, a, d in spec]
+    means = lambda wanted: [_r(F.col("avg_" + c), d).alias(a) for c, a, d in wanted]
     out = {
         "cluster_sizes": prof.select("prediction", A, F.col("rows").alias("count")).orderBy("prediction"),
         "salary_by_archetype": prof.select(
@@ -211,10 +213,10 @@ def tables_from_profile(prof: DataFrame) -> dict[str, DataFrame]:
         "ai_tool_adoption_by_archetype": prof.select(
             A, F.col("rows").alias("n"), _r("avg_ai_product_count", 2).alias("avg_products"),
             _r("avg_ai_task_count", 2).alias("avg_tasks"),
-            *[_r(F.col("avg_" + c) * 100, 1).alias(c + "_pct") for c in tool_columns()])
+            *[_r(F.col("avg_" + c) * 100, 1).alias(c + "_pct") for c in tool_columns(spec)])
             .orderBy(F.desc("avg_products"), F.asc(A)),
         "tech_stack_by_archetype": prof.select(
-            A, *[_r(F.col("avg_" + c) * 100, 1).alias(c + "_pct") for c in language_columns()]).orderBy(A),
+            A, *[_r(F.col("avg_" + c) * 100, 1).alias(c + "_pct") for c in language_columns(spec)]).orderBy(A),
         "profile_by_archetype": prof.select(A, *means(PROFILE_MEANS)).orderBy(A),
         "remote_work_by_archetype": prof.where(F.col("rw_total") > 0).select(
             A, F.col("rw_total").alias("total"),
@@ -240,32 +242,32 @@ def role_mix_from_counts(rc: DataFrame, k: int = 8) -> tuple[DataFrame, DataFram
         .orderBy(F.desc("count"), F.asc("primary_role")).limit(k)
     totals = rc.groupBy(A).agg(F.sum("n").alias("total"))
     cells = rc.join(F.broadcast(top.select("primary_role")), on="primary_role", how="left_semi")
-    long = cells.join(totals, on=A).select(A, "primary_role", "n", "total",
+    long = null_safe(cells, totals, [A]).select(A, "primary_role", "n", "total",
                                           _r(F.col("n") * 100.0 / F.col("total"), 1).alias("pct")) \
         .orderBy(A, "primary_role")
     return top, long
 
 
-def impact_report(df: DataFrame, quantile_method: str = "bracketed") -> dict[str, DataFrame]:
+def impact_report(df: DataFrame, quantile_method: str = "bracketed", spec: SurveySpec = SURVEY) -> dict[str, DataFrame]:
     """The 12 cohort tables, by output name, from shared scans of ``df``.
 
     Scans of the labelled table: one profile aggregate (+ the bracketed salary quantiles),
     one per-(archetype, role, country) count and one over the exploded roles.  The small
-    intermediate aggregates are persisted so the derived tables do not re-scan.
+    intermediate aggregates are written once, so the derived tables do not re-scan.
     """
-    prof = cohort_profile(df, quantile_method).persist()
-    out = tables_from_profile(prof)
+    prof = materialize(cohort_profile(df, quantile_method, spec), "profile")
+    out = tables_from_profile(prof, spec)
     # one small count table per (archetype, role, country) serves both the role mix and the
     # per-archetype country ranking
-    cells = with_primary_role(df).groupBy(A, "primary_role", "Country") \
-        .agg(F.count(F.lit(1)).alias("n")).persist()
+    cells = materialize(with_primary_role(df).groupBy(A, "primary_role", "Country")
+                        .agg(F.count(F.lit(1)).alias("n")), "role-cells")
     rc = cells.groupBy(A, "primary_role").agg(F.sum("n").alias("n"))
     top, long = role_mix_from_counts(rc)
     roles = [r[0] for r in top.select("primary_role").collect()]  # k names, to name k columns
     out["primary_role_by_archetype"] = crosstab.share_wide(long, A, "primary_role", roles,
                                                            [role_column_name(r) for r in roles])
     out["top_countries_by_archetype"] = topn.topn_per_group(cells, A, "Country", 5, out="country", weight="n")
-    out["top_devroles_by_archetype"] = top_devroles(df)
+    out["top_devroles_by_archetype"] = top_devroles(df, sep=spec.separator)
     order = ["cluster_sizes", "salary_by_archetype", "jobsat_by_archetype", "ai_tool_adoption_by_archetype",
              "tech_stack_by_archetype", "profile_by_archetype", "remote_work_by_archetype",
              "main_branch_by_archetype", "primary_role_by_archetype", "summary_by_archetype",
@@ -307,14 +309,14 @@ def salary_role_x_usage(b: DataFrame, k: int = 8) -> DataFrame:
                                "ai_usage_bin", USAGE_VALUES, "salary_usd", 0)
 
 
-def correlations(b: DataFrame) -> DataFrame:
-    return stats.corr_pairs(b, CORRELATION_COLUMNS, digits=3)
+def correlations(b: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
+    return stats.corr_pairs(b, spec.correlation_columns, digits=3)
 
 
-def regression(b: DataFrame):
+def regression(b: DataFrame, spec: SurveySpec = SURVEY):
     """``(model, coefficient table, fit stats)`` of salary on AI use and controls."""
-    model, _ = stats.fit_ols(b, REGRESSION_LABEL, REGRESSION_FEATURES)
-    return model, stats.coefficient_table(model, REGRESSION_FEATURES, b.sparkSession), \
+    model, _ = stats.fit_ols(b, spec.regression_label, spec.regression_features)
+    return model, stats.coefficient_table(model, spec.regression_features, b.sparkSession), \
         stats.fit_stats(model, b.sparkSession)
 
 
@@ -323,10 +325,10 @@ def usage_cells(b: DataFrame, row: str) -> DataFrame:
     return b.groupBy(row, "ai_usage_bin").agg(F.count(F.lit(1)).alias("n"), F.avg("salary_usd").alias("m"))
 
 
-def pivot_cells(cells: DataFrame, row: str, value: str, digits: int | None = 0) -> DataFrame:
+def pivot_cells(cells: DataFrame, row: str, value: str, digits: int | None = 0, values=USAGE_VALUES) -> DataFrame:
     v = F.first(value)
     agg = _r(v, digits) if digits is not None else v
-    return cells.groupBy(row).pivot("ai_usage_bin", USAGE_VALUES).agg(agg)
+    return cells.groupBy(row).pivot("ai_usage_bin", list(values)).agg(agg)
 
 
 def top_from_cells(cells: DataFrame, row: str, k: int) -> DataFrame:
@@ -334,35 +336,39 @@ def top_from_cells(cells: DataFrame, row: str, k: int) -> DataFrame:
         .orderBy(F.desc("count"), F.asc(row)).limit(k)
 
 
-def deep_dive(df: DataFrame, quantile_method: str = "bracketed") -> dict[str, DataFrame]:
-    """The 7 confounder-control tables, by output name (the OLS fit runs here)."""
-    b = df if "ai_usage_bin" in df.columns else add_bins(df)
-    _, coefs, _ = regression(b)
-    out = deep_dive_tables(b)
+def deep_dive(df: DataFrame, quantile_method: str = "bracketed", spec: SurveySpec = SURVEY) -> dict[str, DataFrame]:
+    """The 7 confounder-control tables and the model's fit statistics and marks, by output name
+    (the OLS fit runs here)."""
+    b = df if "ai_usage_bin" in df.columns else add_bins(df, spec)
+    _, coefs, fit = regression(b, spec)
+    out = deep_dive_tables(b, quantile_method=quantile_method, spec=spec)
     return {
-        "deep_salary_by_ai_usage": out["deep_salary_by_ai_usage"] if quantile_method == "bracketed"
-        else salary_by_usage(b, quantile_method),
+        "deep_salary_by_ai_usage": out["deep_salary_by_ai_usage"],
         "deep_salary_by_exp_x_ai": out["deep_salary_by_exp_x_ai"],
         "deep_counts_by_exp_x_ai": out["deep_counts_by_exp_x_ai"],
         "deep_salary_by_country_x_ai": out["deep_salary_by_country_x_ai"],
         "deep_salary_by_role_x_ai": out["deep_salary_by_role_x_ai"],
-        "deep_correlations": correlations(b).drop("pair_no"),
+        "deep_correlations": correlations(b, spec).drop("pair_no"),
         "deep_regression_coefficients": coefs,
+        "deep_regression_fit": fit,
+        "deep_regression_marks": stats.coefficient_marks(coefs),
     }
 
 
-def deep_dive_tables(df: DataFrame, with_usage: bool = True) -> dict[str, DataFrame]:
+def deep_dive_tables(df: DataFrame, with_usage: bool = True, quantile_method: str = "bracketed",
+                     spec: SurveySpec = SURVEY) -> dict[str, DataFrame]:
     """The four two-way tables (and, with ``with_usage``, the usage-bin summary) from one
-    persisted per-cell aggregate: cell means, counts and top-k lists share a single scan
+    per-cell aggregate, written once: cell means, counts and top-k lists share a single scan
     of the labelled table."""
-    b = df if "ai_usage_bin" in df.columns else add_bins(df)
+    b = df if "ai_usage_bin" in df.columns else add_bins(df, spec)
+    usage = [label for label, _ in spec.usage_bins]
     # ONE scan: counts and salary sums per (experience, country, role, usage) cell -- a small
     # table (bins × countries × roles) from which every two-way table is rolled up
     sums = [("salary_usd", "s", "c"), ("years_code_pro", "sy", "cy"), ("job_sat_int", "sj", "cj"),
             ("org_size_int", "so", "co")]
-    cells = b.groupBy("experience_bin", "Country", "primary_role", "ai_usage_bin").agg(
+    cells = materialize(b.groupBy("experience_bin", "Country", "primary_role", "ai_usage_bin").agg(
         F.count(F.lit(1)).alias("n"),
-        *[a for col, sname, cname in sums for a in (F.sum(col).alias(sname), F.count(col).alias(cname))]).persist()
+        *[a for col, sname, cname in sums for a in (F.sum(col).alias(sname), F.count(col).alias(cname))]), "cells")
 
     def roll(row):
         return cells.groupBy(row, "ai_usage_bin").agg(
@@ -373,42 +379,26 @@ def deep_dive_tables(df: DataFrame, with_usage: bool = True) -> dict[str, DataFr
     top_r = top_from_cells(role_cells, "primary_role", 8)
     out = {}
     if with_usage:
-        out["deep_salary_by_ai_usage"] = _usage_summary(b, cells)
-    out["deep_salary_by_exp_x_ai"] = pivot_cells(exp_cells, "experience_bin", "m").orderBy("experience_bin")
-    out["deep_counts_by_exp_x_ai"] = pivot_cells(exp_cells, "experience_bin", "n", None).orderBy("experience_bin")
+        out["deep_salary_by_ai_usage"] = _usage_summary(b, cells, quantile_method)
+    out["deep_salary_by_exp_x_ai"] = pivot_cells(exp_cells, "experience_bin", "m", values=usage).orderBy("experience_bin")
+    out["deep_counts_by_exp_x_ai"] = pivot_cells(exp_cells, "experience_bin", "n", None, usage).orderBy("experience_bin")
     out["deep_salary_by_country_x_ai"] = pivot_cells(
-        crosstab.filter_topk(country_cells, "Country", top_c), "Country", "m").orderBy(F.desc("Country"))
+        crosstab.filter_topk(country_cells, "Country", top_c), "Country", "m", values=usage).orderBy(F.desc("Country"))
     out["deep_salary_by_role_x_ai"] = pivot_cells(
-        crosstab.filter_topk(role_cells, "primary_role", top_r), "primary_role", "m").orderBy("primary_role")
+        crosstab.filter_topk(role_cells, "primary_role", top_r), "primary_role", "m", values=usage).orderBy("primary_role")
     return out
 
 
-def _usage_summary(b: DataFrame, cells: DataFrame) -> DataFrame:
-    """Usage-bin summary: means rolled up from the cells, the median by bracketed passes."""
-    from ..operators.quantiles import grouped_quantiles
-
+def _usage_summary(b: DataFrame, cells: DataFrame, quantile_method: str) -> DataFrame:
+    """Usage-bin summary: means rolled up from the cells, the median from the rows."""
     def mean(sname, cname):
         return F.try_divide(F.sum(sname), F.sum(cname))
 
     usage = cells.groupBy("ai_usage_bin").agg(
         F.sum("n").alias("n"), mean("s", "c").alias("mean_salary"), mean("sy", "cy").alias("mean_years_exp"),
         mean("sj", "cj").alias("mean_job_sat"), mean("so", "co").alias("mean_org_size"))
-    med = grouped_quantiles(b, ["ai_usage_bin"], "salary_usd", [0.5], ["median_salary"], method="bracketed")
-    return usage.join(med, on="ai_usage_bin", how="left").select(
+    med = grouped_quantiles(b, ["ai_usage_bin"], "salary_usd", [0.5], ["median_salary"], method=quantile_method)
+    return null_safe(usage, med, ["ai_usage_bin"], "left").select(
         "ai_usage_bin", "n", _r("mean_salary", 0).alias("mean_salary"), _r("median_salary", 0).alias("median_salary"),
         _r("mean_years_exp", 1).alias("mean_years_exp"), _r("mean_job_sat", 2).alias("mean_job_sat"),
         _r("mean_org_size", 2).alias("mean_org_size")).orderBy("ai_usage_bin")
-
-
-def short_country(c) -> F.Column:
-    """Display names for the two long country names."""
-    c = F.col(c) if isinstance(c, str) else c
-    expr = None
-    for long, short in COUNTRY_SHORT_NAMES.items():
-        expr = F.when(c == long, F.lit(short)) if expr is None else expr.when(c == long, F.lit(short))
-    return expr.otherwise(c)
-
-
-def thousands(c, digits: int | None = None):
-    c = F.col(c) if isinstance(c, str) else c
-    return c / 1000 if digits is None else round_half_up(c / 1000, digits)

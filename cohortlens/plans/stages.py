@@ -7,15 +7,15 @@ oracle-checkable); ``labelled_kmeans`` is the fitted K-Means path.
 
 from __future__ import annotations
 
-import os
-
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cluster
 from ..operators.clean import clean
-from ..session import materialize
-from ..operators.features import add_bins, assemble, build_features, scale, zscore
+from ..session import discard, materialize
+from ..operators.features import add_bins, assemble, build_features, scale, zscore, zstats
 from ..sources.respondents import respondents
+from ..sources.tables import table_path
 from ..spec import CLUSTER_FEATURES, RANK_FEATURE, SURVEY
 
 Z_FEATURES = ["z_" + c for c in CLUSTER_FEATURES]
@@ -25,27 +25,39 @@ SEED_COLUMN = "ai_select_int"
 _SHARED: dict = {}
 
 
+def _version(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the input's files, by the file system that holds them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in ("orders", "customer", "nation"):
+        path = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, name))
+        out += sorted((f.getPath().getName(), f.getLen(), f.getModificationTime())
+                      for f in path.getFileSystem(conf).listStatus(path))
+    return tuple(out)
+
+
 def shared(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """One materialised table per (application, input folder, stage).
+    """One materialised table per (application, input folder and files, stage).
 
     Many report tables scan the same stage; writing it once as Parquet in the checkpoint
     folder means the driver tables are read and joined once per stage, not once per table,
     and every later plan starts from a small file scan instead of the whole lineage.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
-    df = _SHARED.get(key)
-    if df is None:
-        df = materialize(build(), name)
-        _SHARED[key] = df
-    return df
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    version = _version(spark, sf_dir)
+    found = _SHARED.get(key)
+    if found is None or found[0] != version:
+        if found is not None:
+            discard(found[1])
+        _SHARED[key] = found = (version, materialize(build(), name))
+    return found[1]
 
 
 def release(spark: SparkSession) -> None:
-    """Forget the shared stages of this application (their files stay in the checkpoint
-    folder, which the cluster cleans)."""
+    """Delete the shared stages of this application."""
     app = spark.sparkContext.applicationId
     for key in [k for k in _SHARED if k[0] == app]:
-        _SHARED.pop(key)
+        discard(_SHARED.pop(key)[1])
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,39 +73,48 @@ def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def z_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return zscore(feature_table(spark, sf_dir), CLUSTER_FEATURES)
+    """Features with z-scores; the one row of means and deviations is a stage of its own, so
+    plans that use the scores several times do not aggregate the features again."""
+    stats = shared(spark, sf_dir, "zstats", lambda: zstats(feature_table(spark, sf_dir), CLUSTER_FEATURES))
+    return zscore(feature_table(spark, sf_dir), CLUSTER_FEATURES, stats=stats)
+
+
+def seeded_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The k seeded centres, a stage of k rows."""
+    return shared(spark, sf_dir, "centres",
+                  lambda: cluster.seeded_centres(z_table(spark, sf_dir), SEED_COLUMN, Z_FEATURES))
 
 
 def labelled_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z = z_table(spark, sf_dir)
-    return cluster.fixed_archetypes(z, Z_FEATURES, SEED_COLUMN, "z_" + RANK_FEATURE)
+    return cluster.label_by_centres(z_table(spark, sf_dir), seeded_centres(spark, sf_dir), Z_FEATURES,
+                                    "z_" + RANK_FEATURE)
 
 
 def binned_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared(spark, sf_dir, "binned", lambda: add_bins(labelled_fixed(spark, sf_dir)))
 
 
-def vector_features(features: DataFrame):
+def vector_features(features: DataFrame, columns=tuple(CLUSTER_FEATURES)):
     """Assemble and z-score the clustering inputs: ``features_raw`` and ``features``."""
-    return scale(assemble(features, CLUSTER_FEATURES))
+    return scale(assemble(features, columns))
 
 
 def labelled_kmeans(features: DataFrame, k: int = 3, seed: int = 42, max_iter: int = 40,
-                    layout_key: str | None = None):
+                    layout_key: str = "ResponseId"):
     """Fit K-Means on the scaled features and name the clusters.
 
-    ``layout_key`` (e.g. the respondent id) fixes the partition layout first, so the fit
-    repeats exactly on any input layout.  Returns ``(labelled_df, model, centroids_df,
-    labels_df)``.
+    ``layout_key`` (the respondent id) fixes the partition layout, so the fit repeats on any
+    input layout and number of cores.  Runs now; returns ``(labelled_df, model, centroids_df,
+    labels_df)`` with the labelled rows materialised.
     """
-    if layout_key is not None:
-        features = cluster.stable_layout(features, layout_key)
-    scaled, _ = vector_features(features)
+    laid = cluster.stable_layout(features, layout_key).persist(StorageLevel.MEMORY_AND_DISK)
+    scaled, _ = vector_features(laid)
     model = cluster.fit_kmeans(scaled, k, seed=seed, max_iter=max_iter)
-    spark = features.sparkSession
-    centroids = cluster.centroid_table(spark, model, CLUSTER_FEATURES)
+    centroids = cluster.centroid_table(features.sparkSession, model, CLUSTER_FEATURES)
     labels = cluster.label_table(centroids, RANK_FEATURE)
-    labelled = cluster.label_clusters(model.transform(scaled), labels)
+    labelled = materialize(cluster.label_clusters(model.transform(scaled), labels)
+                           .drop("features_raw", "features"), "kmeans")
+    laid.unpersist()
     return labelled, model, centroids, labels
 
 

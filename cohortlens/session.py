@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -34,53 +34,36 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder named by ``spark.checkpoint.dir``; a local temporary one is
-    set only if the session names none (tests on one machine)."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: ``spark.checkpoint.dir``.  Only a local master may
+    leave it unset; its tables then go under the session's warehouse folder."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) \
+        or sc.getCheckpointDir()
     if not conf:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) on a cluster")
-        conf = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
-    sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir() or conf
+        conf = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/stages"
+    return conf.rstrip("/")
 
 
 def materialize(df, name: str):
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+    """Write ``df`` as Parquet under the shared folder and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing the plan),
     and later scans are columnar with column pruning and filter pushdown, unlike a cache or
-    an RDD checkpoint.  The folder comes from ``spark.checkpoint.dir``.
+    an RDD checkpoint.  ``discard`` deletes the files.
     """
-    import uuid
-
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/cohortlens-{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
-    # counting splits of a plain file scan runs nothing; a table too small to have one
-    # split per core is rewritten spread out (never the case for large data)
-    if out.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        spread = path + "-spread"
-        out.repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(spread)
-        out = spark.read.parquet(spread)
-    return out
-
+    path = f"{shared_folder(spark)}/cohortlens-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-def ensure_parallelism(df, minimum: int | None = None):
-    """Spread a DataFrame that has fewer partitions than the cluster has cores.
 
-    A small input (one file, one split) otherwise keeps every later stage, and each K-Means
-    iteration, in a single task.  Large inputs already have more splits than cores, so this
-    is a no-op for them (no shuffle is added at scale).
-    """
-    target = minimum or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:  # use on scans: cheap, nothing is executed
-        return df.repartition(target)
-    return df
+def discard(df) -> None:
+    """Delete the files of a table that ``materialize`` wrote."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)

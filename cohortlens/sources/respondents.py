@@ -57,11 +57,10 @@ def respondents_cte(orders: str = "orders", customer: str = "customer", nation:
 
 def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The respondents table for the driver tables under ``sf_dir``."""
-    from ..session import ensure_parallelism
-
-    # the per-row work here is heavy; a one-file input would otherwise be one task
-    orders = ensure_parallelism(read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"))
+    # dealt by the join key: the join with customer needs that anyway unless customer is small,
+    # and the heavy row work after it is then spread whatever the input's files are
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority").repartition("o_custkey")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     text = "WITH " + _HASHED + "\n" + _SELECT

@@ -8,8 +8,11 @@ scans splittable, column-pruned Parquet in parallel.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 # FIXED VALUES: the reader options of the survey file.
 CSV_OPTIONS = {
     "header": "true",
@@ -48,6 +51,21 @@ def read_survey_csv(spark: SparkSession, path: str, schema: T.StructType | None
     return reader.csv(path)
 
 
+def header_columns(spark: SparkSession, path: str) -> list[str]:
+    """Column names of the file's first record (one line is read)."""
+    first = spark.read.text(path).limit(1).first()
+    if first is None:
+        return []
+    line = spark.createDataFrame([(first[0],)], "line string")
+    return [c for c in line.select(F.from_csv("line", F.lit(", ".join(f"c{i} STRING" for i in range(first[0].count(",") + 1))))).first()[0]
+            if c is not None]
+
+
+def stage_survey_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The survey file parsed once, with the schema of its header, as a Parquet table in the shared folder."""
+    return materialize(read_survey_csv(spark, path, schema=survey_schema(header_columns(spark, path))), "survey")
+
+
 def stage_to_parquet(df: DataFrame, path: str) -> None:
     """Write the raw scan once as Parquet so later reads split and prune."""
     df.write.mode("overwrite").parquet(path)

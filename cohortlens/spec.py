@@ -219,6 +219,9 @@ SELECTED_COLUMNS = [
     "RemoteWork",
     "MainBranch",
 ]
+# FIXED VALUES: how symbols in answer texts read in column names.
+SYMBOL_NAMES = {"c++": "cpp", "c#": "csharp", "f#": "fsharp", ".": "_dot_"}
+ROLE_PREFIX = {"Developer, ": "dev_"}
 # ---------------------------------------------------------------------------
 # end of fixed values
 # ---------------------------------------------------------------------------
@@ -240,6 +243,18 @@ class SurveySpec:
     regression_label: str = REGRESSION_LABEL
     regression_features: tuple = tuple(REGRESSION_FEATURES)
     separator: str = ";"
+    employed_marker: str = EMPLOYED_MARKER
+    salary_bounds: tuple = tuple(SALARY_BOUNDS)
+    job_sat_bounds: tuple = tuple(JOB_SAT_BOUNDS)
+    years_sentinels: dict = field(default_factory=lambda: dict(YEARS_SENTINELS))
+    other_answer: str = OTHER_ANSWER
+    #: derived column -> (survey column, answer levels, value for other answers)
+    ordinals: dict = field(default_factory=lambda: {
+        "org_size_int": ("OrgSize", ORG_SIZE_LEVELS, None), "ai_select_int": ("AISelect", AI_SELECT_LEVELS, None),
+        "ai_acc_int": ("AIAcc", AI_ACC_LEVELS, 2), "ai_threat_int": ("AIThreat", AI_THREAT_LEVELS, 0),
+        "ai_sent_int": ("AISent", AI_SENT_LEVELS, 2)})
+    usage_bins: tuple = tuple(USAGE_BINS)
+    experience_bins: tuple = tuple(EXPERIENCE_BINS)
 
 
 SURVEY = SurveySpec()

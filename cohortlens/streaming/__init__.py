@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..operators.clean import clean
 from ..operators.cluster import assign_nearest, label_clusters
-from ..operators.features import build_features
+from ..operators.features import build_features, zscore
 from ..spec import SURVEY, SurveySpec
 
 
@@ -38,9 +38,5 @@ def score_stream(features: DataFrame, centres: DataFrame, labels: DataFrame, col
     ``stats`` is the one-row table of training means/stddevs (``__m_<c>``, ``__s_<c>``)
     so new rows are z-scored with the training scale, not their own batch's.
     """
-    from pyspark.sql import functions as F
-
-    z = features.crossJoin(F.broadcast(stats)).withColumns(
-        {f"z_{c}": F.when(F.col(f"__s_{c}") == 0, F.lit(0.0))
-         .otherwise(F.try_divide(F.col(c) - F.col(f"__m_{c}"), F.col(f"__s_{c}"))) for c in cols})
+    z = zscore(features, cols, stats=stats)
     return label_clusters(assign_nearest(z, centres, [f"z_{c}" for c in cols]), labels)

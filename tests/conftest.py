@@ -10,10 +10,11 @@ SF001 = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from cohortlens.session import get_session
 
-    s = get_session("local[4]", 4, app="cohortlens-tests")
+    s = get_session("local[4]", 4, app="cohortlens-tests",
+                    extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     yield s
     s.stop()
 

@@ -143,3 +143,56 @@ def test_assign_skips_rows_with_missing_features(spark):
     centres = spark.createDataFrame([(0, 0.0, 0.0, 0.0), (1, 9.0, 9.0, 9.0)], "cluster int, a double, b double, c double")
     got = {r.id: r.prediction for r in cluster.assign_nearest(df, centres, COLS).collect()}
     assert got == {1: 0, 2: None}
+
+
+SF01 = "/root/testdata/sf0.01"
+
+
+def test_kmeans_repeats_on_any_layout_and_number_of_cores(spark, tmp_path):
+    """Beyond the size of any sample: inputs of 1, 3 and 7 partitions here, and two sessions with 2 and 4 cores."""
+    import json
+    import os
+    import subprocess
+    import sys
+
+    import pytest
+
+    from cohortlens.plans import stages
+
+    if not os.path.isdir(SF01):
+        pytest.skip("driver test data not present")
+    feats = stages.feature_table(spark, SF01)
+    seen = []
+    for n in (1, 3, 7):
+        labelled, model, _, _ = stages.labelled_kmeans(feats.repartition(n), k=3)
+        sizes = sorted((r["archetype"], r["count"]) for r in labelled.groupBy("archetype").count().collect())
+        seen.append((sizes, sorted(map(list, model.clusterCenters()))))
+    path = str(tmp_path / "feats")
+    feats.write.parquet(path)
+    script = (
+        "import sys, json; from cohortlens.session import get_session; from cohortlens.plans import stages\n"
+        "s = get_session(sys.argv[1], 4, extra={'spark.checkpoint.dir': sys.argv[3]})\n"
+        "lab, model, _, _ = stages.labelled_kmeans(s.read.parquet(sys.argv[2]), k=3)\n"
+        "sizes = sorted((r['archetype'], r['count']) for r in lab.groupBy('archetype').count().collect())\n"
+        "print('GOT' + json.dumps([sizes, sorted(map(list, model.clusterCenters()))]))\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for cores in (2, 4):
+        out = subprocess.run([sys.executable, "-c", script, f"local[{cores}]", path, str(tmp_path / "ckpt")], cwd=root,
+                             capture_output=True, text=True, timeout=300).stdout
+        sizes, centres = json.loads(out.split("GOT")[1])
+        seen.append(([tuple(x) for x in sizes], centres))
+    for sizes, centres in seen[1:]:
+        assert sizes == seen[0][0]
+        for a, b in zip(centres, seen[0][1]):
+            assert max(abs(x - y) for x, y in zip(a, b)) < 1e-6
+
+
+def test_standard_scaler_equals_zscore(spark, sf_dir):
+    from cohortlens.plans import stages
+    from cohortlens.spec import CLUSTER_FEATURES
+
+    scaled, _ = stages.vector_features(stages.feature_table(spark, sf_dir))
+    z = {r.ResponseId: [r[c] for c in stages.Z_FEATURES] for r in stages.z_table(spark, sf_dir).collect()}
+    for r in scaled.select("ResponseId", "features").collect():
+        assert max(abs(a - b) for a, b in zip(r.features, z[r.ResponseId])) < 1e-9
+    assert len(CLUSTER_FEATURES) == len(stages.Z_FEATURES)

@@ -12,7 +12,7 @@ IMPACT = ["cluster_sizes", "salary_by_archetype", "jobsat_by_archetype", "ai_too
           "top_countries_by_archetype", "top_devroles_by_archetype"]
 DEEP = ["deep_salary_by_ai_usage", "deep_salary_by_exp_x_ai", "deep_counts_by_exp_x_ai",
         "deep_salary_by_country_x_ai", "deep_salary_by_role_x_ai", "deep_correlations",
-        "deep_regression_coefficients"]
+        "deep_regression_coefficients", "deep_regression_fit", "deep_regression_marks", "final_model"]
 
 
 def test_run_writes_every_table(spark, sf_dir):
@@ -29,3 +29,36 @@ def test_run_writes_every_table(spark, sf_dir):
     assert tables["deep_correlations"].count() == 45
     assert tables["deep_regression_coefficients"].count() == 4
     assert [r.k for r in tables["k_sweep"].orderBy("k").collect()] == [2, 3]
+    fit, final = tables["deep_regression_fit"].first(), tables["final_model"].first()
+    assert fit.n == 934 and 0 <= fit.r2 <= 1 and fit.rmse > 0
+    assert final.k == 3 and -1 <= final.silhouette <= 1 and final.wssse > 0
+    assert {"significance", "direction", "verdict"} <= set(tables["deep_regression_marks"].columns)
+
+
+def test_run_on_another_survey(spark, sf_dir):
+    """Other separator, answers, bounds, bins and model columns: everything comes from the spec."""
+    from pyspark.sql import functions as F
+
+    from cohortlens.spec import SurveySpec
+
+    raw = respondents(spark, sf_dir)
+    for c in ("AIBen", "AIToolActivities", "AIProducts", "LanguageHaveWorkedWith", "DevType"):
+        raw = raw.withColumn(c, F.translate(c, ";", "|"))
+    raw = raw.withColumn("Employment", F.replace(F.col("Employment"), F.lit("Employed, full-time"), F.lit("FT"))) \
+        .withColumn("OrgSize", F.when(F.col("OrgSize").startswith("1"), F.lit("large")).otherwise(F.lit("small")))
+    base = SurveySpec()
+    spec = SurveySpec(
+        separator="|", employed_marker="FT", salary_bounds=(0, 10_000_000), ai_tools=("ChatGPT", "Claude"), languages=("Go", "SQL"),
+        ordinals={**base.ordinals, "org_size_int": ("OrgSize", {"small": 0, "large": 1}, None)},
+        usage_bins=(("few", 2), ("many", None)), experience_bins=(("new", 5), ("old", None)),
+        cluster_features=("ai_product_count", "years_code_pro"), rank_feature="ai_product_count",
+        correlation_columns=("salary_usd", "job_sat_int", "org_size_int"), regression_features=("years_code_pro", "org_size_int"))
+    tables = run(raw, spec, k=2, ks=None)
+    assert tables["ai_tool_adoption_by_archetype"].columns[-2:] == ["uses_chatgpt_pct", "uses_claude_pct"]
+    assert tables["tech_stack_by_archetype"].columns == ["archetype", "lang_go_pct", "lang_sql_pct"]
+    assert {r[0] for r in tables["deep_salary_by_ai_usage"].collect()} <= {"few", "many"}
+    assert tables["deep_salary_by_exp_x_ai"].columns == ["experience_bin", "few", "many"]
+    assert tables["deep_correlations"].count() == 3
+    assert [r.feature for r in tables["deep_regression_coefficients"].collect()] == ["years_code_pro", "org_size_int"]
+    assert tables["cluster_sizes"].count() == 2
+    assert tables["labelled"].agg(F.max("org_size_int"), F.max("ai_product_count")).first()[1] > 1

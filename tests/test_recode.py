@@ -122,3 +122,19 @@ def test_select_survey_renames_space_column(spark):
     s = select_survey(raw)
     assert s.columns[7:9] == ["AIToolActivities", "AIProducts"]
     assert s.where(F.col("AIToolActivities") == "w;d").count() > 0
+
+
+def test_text_numbers_lose_their_fraction_not_the_row(spark):
+    from cohortlens.functions.recode import recode_sentinels, whole_number
+
+    df = spark.createDataFrame([("7.0",), ("7.9",), ("-1.5",), ("x",), (None,), ("99999999999",)], "s string")
+    want = [7, 7, -1, None, None, None]
+    assert [r[0] for r in df.select(whole_number("s")).collect()] == want
+    assert [r[0] for r in df.select(recode_sentinels("s", {"x": 50})).collect()] == [7, 7, -1, 50, None, None]
+
+
+def test_items_are_trimmed_of_tabs_and_newlines(spark):
+    from cohortlens.functions.multivalue import explode_items
+
+    df = spark.createDataFrame([(1, "\tA ;\n; B\n")], "id int, d string")
+    assert [r.role for r in explode_items(df, "d", "role", ["id"]).collect()] == ["A", "B"]

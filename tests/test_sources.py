@@ -77,3 +77,14 @@ def test_survey_csv_to_clean(spark):
     assert "AIToolCurrently Using" in raw.columns
     got = {r.ResponseId for r in clean(raw).collect()}
     assert got == keep
+
+
+def test_survey_csv_is_parsed_once_with_the_header_schema(spark, tmp_path):
+    from cohortlens.sources.survey_csv import stage_survey_csv
+
+    path = tmp_path / "s.csv"
+    path.write_text('ResponseId,JobSat,"AI, tools",DevType\n1,7.5,x,"a\nb"\n2,NA,,z\n')
+    df = stage_survey_csv(spark, str(path))
+    path.unlink()  # later reads come from the staged table
+    assert df.dtypes == [("ResponseId", "bigint"), ("JobSat", "double"), ("AI, tools", "string"), ("DevType", "string")]
+    assert [tuple(r) for r in df.orderBy("ResponseId").collect()] == [(1, 7.5, "x", "a\nb"), (2, None, None, "z")]
