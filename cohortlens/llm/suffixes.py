@@ -23,6 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,8 @@ GRAM = 100
 BITS = 27
 SPLITTERS = 4096
 PIECE = 1 << 20
-FLUSH = 2_000_000
+FLUSH = 2_000_000        # hashes a task holds before it sends them
+RUN_BYTES = 12 << 20     # bytes of the suffixes of one sorted run
 U = np.uint64
 
 
@@ -296,15 +298,14 @@ def runs(docs: DataFrame, text: str, bits, splitters: list[bytes], length: int,
     def run(batches):
         import bisect
 
-        anchors, bitmap = Anchors(length, gram), np.frombuffer(bits.value, np.uint8)
+        anchors, bitmap, squeeze = Anchors(length, gram), np.frombuffer(bits.value, np.uint8), zstandard.ZstdCompressor(3).compress
         held: list[tuple] = []
         size = 0
 
         def flush():
             held.sort(key=lambda x: x[0])
             # a part's border never parts equal grams
-            keys = [x[0][:gram] for x in held]
-            edges = [0] + [bisect.bisect_left(keys, c) for c in splitters] + [len(held)]
+            edges = [0] + [bisect.bisect_left(held, c, key=lambda x: x[0][:gram]) for c in splitters] + [len(held)]
             rows = []
             for part, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
                 if a == b:
@@ -312,10 +313,11 @@ def runs(docs: DataFrame, text: str, bits, splitters: list[bytes], length: int,
                 own = held[a:b]
                 names = list(dict.fromkeys(x[2] for x in own))
                 index = {x: i for i, x in enumerate(names)}
-                rows.append((part, *front_code([x[0] for x in own]), b"".join(names),
+                shared, sizes, rests = front_code([x[0] for x in own])
+                rows.append((part, shared, sizes, squeeze(rests), b"".join(names),
                              np.array([index[x[2]] for x in own], "<u4").tobytes(), np.array([x[3] for x in own], "<i8").tobytes(),
                              np.array([x[4] for x in own], "<u2").tobytes(), np.array([len(x[1]) for x in own], "<u2").tobytes(),
-                             b"".join(x[1] for x in own)))
+                             squeeze(b"".join(x[1] for x in own))))
             held.clear()
             types = [pa.int32()] + [pa.binary()] * 9
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=RUN_COLUMNS)
@@ -328,7 +330,7 @@ def runs(docs: DataFrame, text: str, bits, splitters: list[bytes], length: int,
             for r, s, a, e, z in zip(row[hit].tolist(), anchor[hit].tolist(), first[hit].tolist(), last[hit].tolist(), begin.tolist()):
                 held.append((blob[s:e + length], blob[a:s], names[r], a - z, s - e))
                 size += e + length - a
-            if size > 32 * FLUSH:
+            if size > RUN_BYTES:
                 yield flush()
                 size = 0
         if held:
@@ -343,15 +345,17 @@ RUN_COLUMNS = ["part", "shared", "sizes", "rests", "names", "name", "first", "le
 def covered(run_rows: DataFrame, parts: int, length: int, gram: int) -> DataFrame:
     """``digest, start, end``: byte ranges covered by strings that occur twice (ranges may overlap)."""
     def run(batches):
+        expand = zstandard.ZstdDecompressor().decompress
         for _, rows in runs_of_keys(batches, 1):
             players, names, name, first, least, before = [], [], [], [], [], []
             for shared, sizes, rests, own, idx, f, l, bs, b in rows:
-                players.append(Run(shared, sizes, rests, sum(map(len, first))))
+                players.append(Run(shared, sizes, expand(rests), sum(map(len, first))))
                 name.append(np.frombuffer(idx, "<u4").astype(np.int64) + len(names))
                 names += [own[i:i + 16] for i in range(0, len(own), 16)]
                 first.append(np.frombuffer(f, "<i8"))
                 least.append(np.frombuffer(l, "<u2").astype(np.int64))
                 at = np.concatenate([[0], np.cumsum(np.frombuffer(bs, "<u2").astype(np.int64))]).tolist()
+                b = expand(b)
                 before += [b[i:j] for i, j in zip(at[:-1], at[1:])]
             del rows
             order, lcp, texts = merge(players)
