@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import (Rolling, Stages, bit_set, bitmap_slices, broadcast_bits, buckets, components, from_low_bytes, low_bytes,
+from .util import (Rolling, Stages, bit_set, bitmap_slices, boxed, broadcast_bits, buckets, components, from_low_bytes, low_bytes,
                    mix, raw, rows_by_bytes, runs_of_keys, schema_of, word_spans)
 
 SHINGLE = 5
@@ -372,6 +372,7 @@ def keep_first(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row of each class of near duplicates (with doc_id, text): that of the smallest doc_id.
 
     Rows without a doc_id cannot be named and stay."""
-    keep = similarity_classes(docs, block=block).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    keep = similarity_classes(docs, block=block).where("doc_id = component_id").select(F.col("doc_id").alias("d")).distinct()
+    rows = boxed(docs, doc_id=F.col("doc_id"))
+    named = rows.join(keep, F.col("doc_id") == F.col("d"), "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(rows.where("doc_id is null")).select("row.*")

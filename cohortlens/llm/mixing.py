@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import Stages, n_words
+from .util import Stages, boxed, n_words
 
 BLOCK = 4096
 EPS = 1e-9
@@ -171,13 +171,11 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` (with doc_id, source, text), each as often as the mix takes it."""
-    columns = docs.columns
     made = mix(docs, **options).groupBy("doc_id", "source", "size").agg(F.sort_array(F.collect_list("copies"), False).alias("copies"))
-    made = made.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"), "copies")
-    rows = docs.withColumn("_size", n_words(F.col("text")))
-    rows = rows.join(made, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z")))
-    one = rows.where(F.size("copies") == 1).withColumn("_n", F.col("copies")[0])
-    rank = F.row_number().over(Window.partitionBy("doc_id", "source", "_size").orderBy(F.xxhash64("text")))
-    many = rows.where(F.size("copies") > 1).withColumn("_r", rank).withColumn("_n", F.element_at("copies", F.col("_r"))).drop("_r")
-    return one.unionByName(many).where("_n > 0") \
-        .withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(*columns)
+    made = made.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("z"), "copies")
+    rows = boxed(docs, doc_id=F.col("doc_id"), source=F.col("source"), size=n_words(F.col("text")), h=F.xxhash64("text"))
+    rows = rows.join(made, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")))
+    one = rows.where(F.size("copies") == 1).select("row", F.col("copies")[0].alias("times"))
+    rank = F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy("h"))
+    many = rows.where(F.size("copies") > 1).withColumn("r", rank).select("row", F.element_at("copies", F.col("r")).alias("times"))
+    return one.unionByName(many).where("times > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select("row.*")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import Stages
+from .util import Stages, boxed
 
 SPACES = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -105,6 +105,7 @@ def judge(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` (with doc_id, source, text) that ``judge`` keeps, all columns as they are."""
     bad = judge(docs, **options).where("not kept").select(
-        F.col("doc_id").alias("_d"), F.col("host").alias("_h"), F.col("digest").alias("_g")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_d"]) & docs["source"].eqNullSafe(bad["_h"])
-                     & (F.xxhash64(docs["text"]) == bad["_g"]), "left_anti")
+        F.col("doc_id").alias("d"), F.col("host").alias("h"), F.col("digest").alias("g")).distinct()
+    rows = boxed(docs, doc_id=F.col("doc_id"), host=F.col("source"), digest=F.xxhash64("text"))
+    return rows.join(bad, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("host").eqNullSafe(F.col("h"))
+                     & (F.col("digest") == F.col("g")), "left_anti").select("row.*")

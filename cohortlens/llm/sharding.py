@@ -40,7 +40,7 @@ def splitters(recs: DataFrame, ranges: int, sample: int, total: int) -> list[int
     # a record that is drawn several times counts so often; all draws together are about ``sample``
     drawn = drawn.select("k1", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
     at = ",".join(str(i / ranges) for i in range(1, ranges))
-    found = drawn.agg(F.expr(f"percentile_approx(k1, array({at}), {20 * ranges})").alias("q"))
+    found = drawn.agg(F.expr(f"percentile_approx(k1, array({at}), {4 * sample})").alias("q"))  # exact ranks: the same splitters on any layout
     q = found.first()["q"]
     return sorted(set(q)) if q else []
 

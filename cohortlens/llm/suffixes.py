@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import Rolling, Stages, bit_set, bitmap_slices, broadcast_bits, buckets, raw, rows_by_bytes, runs_of_keys, \
+from .util import Rolling, Stages, bit_set, bitmap_slices, boxed, broadcast_bits, buckets, raw, rows_by_bytes, runs_of_keys, \
     schema_of
 
 LENGTH = 200
@@ -485,12 +485,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     A cut can leave a part of a character at its ends; those bytes go too.  A row whose whole text goes is
     dropped; rows without a text stay.  Changed texts find their rows by the digest."""
     columns = docs.columns
-    made = remove_repeats(docs.withColumn("_none", F.lit(None).cast("int")), "_none", length=length).where("n_removed > 0") \
-        .select(F.col("digest").alias("_g"), F.col("kept_text").alias("_kept")) \
-        .dropDuplicates(["_g"])
-    out = docs.join(made, native_digest(F.col("text")) == F.col("_g"), "left")
-    changed = F.col("_g").isNotNull()
-    out = out.withColumn("text", F.when(changed, F.col("_kept")).otherwise(F.col("text"))).where(~changed | (F.col("text") != ""))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*columns)
+    made = remove_repeats(docs.select(F.lit(0).alias("doc_id"), "text"), length=length).where("n_removed > 0") \
+        .select(F.col("digest").alias("g"), F.col("kept_text").alias("left")).dropDuplicates(["g"])
+    out = boxed(docs, digest=native_digest(F.col("text"))).join(made, F.col("digest") == F.col("g"), "left") \
+        .where("g is null or left <> ''")
+    made_of = {"text": F.col("left"), "n_chars": F.length("left").cast("long")}
+    return out.select(*[F.when(F.col("g").isNotNull(), made_of[c]).otherwise(F.col(f"row.{c}")).alias(c) if c in made_of
+                        else F.col(f"row.`{c}`").alias(c) for c in columns])

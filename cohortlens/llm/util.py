@@ -59,6 +59,12 @@ def schema_of(df: DataFrame, **more: str) -> T.StructType:
     return T.StructType(fields + [T.StructField(k, T._parse_datatype_string(v)) for k, v in more.items()])
 
 
+def boxed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """Each row of ``docs`` as one column ``row``, next to the given ones: names cannot clash, and
+    ``select("row.*")`` gives the rows back."""
+    return docs.select(F.struct("*").alias("row"), *[c.alias(k) for k, c in columns.items()])
+
+
 def n_words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text without building an array of them; null: 0."""
     return F.coalesce(F.length(F.regexp_replace(F.concat(F.lit(" "), text), WORD, "w"))

@@ -1,0 +1,31 @@
+"""The pipeline: every stage takes effect on all that the one before kept."""
+
+import corpus_pipeline
+from cohortlens.llm import jaccard, quality
+
+
+def test_stages_in_order(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "jaccard_join", "suffix_dedup", "mixing", "packing"]
+    columns, seen = docs.columns, []
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < 4:
+            assert docs.columns == columns
+        docs = spark.createDataFrame(docs.toPandas(), docs.schema)
+        seen.append(docs)
+    first = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    judged = quality.judge(first)
+    assert {r[0] for r in seen[0].select("doc_id").collect()} == {r[0] for r in judged.where("kept").select("doc_id").collect()}
+    classes = jaccard.similarity_classes(seen[0]).where("doc_id = component_id").count()
+    assert seen[1].count() == classes < seen[0].count()
+    assert seen[2].selectExpr("sum(length(text))").first()[0] < seen[1].selectExpr("sum(length(text))").first()[0]
+    assert seen[2].where("length(text) <> n_chars").count() == 0
+    tokens = seen[4].selectExpr("sum(length)", "count(distinct doc_id)").first()
+    assert tokens[0] > 0 and tokens[1] == seen[3].select("doc_id").distinct().count()
+    assert seen[4].groupBy("sequence_id").sum("length").where("`sum(length)` <> 4096").count() <= 1
+
+
+def test_run_gives_the_last_stage(spark, sf_dir):
+    out = corpus_pipeline.run(spark, sf_dir)
+    assert {"doc_id", "sequence_id", "offset", "ids"} <= set(out.columns) and out.count() > 0
