@@ -260,6 +260,13 @@ def ols_fit_sql(src_with: str, src: str, label: str, feats: list[str]) -> str:
             f"CAST(n AS BIGINT) AS n FROM fit")
 
 
+def ols_fitted_sql(src_with: str, src: str, label: str, feats: list[str], keep: list[str], out: str) -> str:
+    value = "my + " + " + ".join(f"b{i} * (r.{x} - m{i})" for i, x in enumerate(feats))
+    return (src_with + ", " + ols_ctes(src, label, feats) + ",\n"
+            f"fitted AS (SELECT {', '.join('r.' + k for k in keep)}, {value} AS v FROM {src} r CROSS JOIN fit WHERE r.{label} IS NOT NULL AND "
+            + " AND ".join(f"r.{x} IS NOT NULL" for x in feats) + f")\nSELECT {', '.join(keep)}, {rsig('v')} AS {out} FROM fitted")
+
+
 def silhouette_sql(src: str, pred: str, cols: list[str]) -> str:
     sq = " + ".join(f"{c} * {c}" for c in cols)
     cs = (f"cs AS (SELECT {pred} AS cid, count(*) AS n, " + ", ".join(f"sum({c}) AS s{i}" for i, c in enumerate(cols))
@@ -465,6 +472,11 @@ def build() -> dict[str, str]:
         "JOIN part ON l_partkey = p_partkey WHERE p_type IS NOT NULL GROUP BY p_brand, p_type) WHERE rn <= 3")
     li = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     q["lineitem_corr"] = "WITH " + corr_pairs_cte(li, "lineitem") + "\nSELECT var_a, var_b, pearson_corr FROM pairs"
+    q["ols_fitted"] = ols_fitted_sql(F_.rstrip("\n"), "feat", "salary_usd", REGRESSION_FEATURES, ["ResponseId", "salary_usd"], "salary_predicted")
+    name = "regexp_replace(replace(primary_role, 'Developer, ', 'dev_'), '[^A-Za-z0-9]+', '_', 'g')"
+    q["primary_role_by_archetype"] = (
+        "SELECT archetype, total, coalesce(COLUMNS('.*_pct'), 0.0) FROM (PIVOT (SELECT archetype, total, "
+        + f"rtrim({name}, '_') || '_pct' AS role, pct FROM (" + q["primary_role_mix"] + ")) ON role USING first(pct) GROUP BY archetype, total)")
     q["lineitem_ols"] = ols_coefficients_sql("WITH li AS (SELECT * FROM lineitem)", "li", "l_extendedprice",
                                              ["l_quantity", "l_discount", "l_tax"])
     ecols = [f"e{i}" for i in range(64)]
