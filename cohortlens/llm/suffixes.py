@@ -14,7 +14,10 @@ merge gives the sorted order and the longest common prefix of neighbours.  Then,
 an anchor can have in a string, two strings are equal exactly if the suffixes share that many
 bytes and the bytes before the anchors are equal.
 
-Texts that are equal as a whole are one text in the search, and removed by their count.
+Texts that are equal as a whole are one text in the search, and removed by their count.  A gram that
+begins more than ``HOT`` anchors would put them all in one task (equal grams stay together); the
+strings of such anchors, at most 101 each, are told apart one by one by their digests instead, which
+spread over all tasks and are counted before they are shuffled.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ BITS = 27
 SPLITTERS = 4096
 PIECE = 1 << 20
 FLUSH = 2_000_000        # hashes a task holds before it sends them
+HOT = 100_000            # anchors that one task may merge for the same gram
 RUN_BYTES = 12 << 20     # bytes of the suffixes of one sorted run
 U = np.uint64
 
@@ -281,24 +285,51 @@ def gram_rows(docs: DataFrame, text: str, n_buckets: int, length: int, gram: int
     return docs.select(F.col(text)).mapInArrow(run, "bucket int, hashes binary")
 
 
-def repeated_grams(rows: DataFrame, n_buckets: int) -> DataFrame:
-    """``hash``: bits of grams that occur at least twice, as slices of the bitmap."""
+def repeated_grams(rows: DataFrame, n_buckets: int, hot: int) -> DataFrame:
+    """``hash, hot``: bits of grams that occur at least twice, and whether more than ``hot`` times."""
     def run(batches):
         for _, rows in runs_of_keys(batches, 1):
-            h = np.sort(np.concatenate([np.frombuffer(x, "<u8") for (x,) in rows]))
-            h = np.unique(h[1:][h[1:] == h[:-1]] >> U(64 - BITS)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h)], names=["hash"])
+            h, n = np.unique(np.concatenate([np.frombuffer(x, "<u8") for (x,) in rows]), return_counts=True)
+            bit = (h >> U(64 - BITS)).astype(np.int64)
+            for flag, chosen in ((False, (n > 1) & (n <= hot)), (True, n > hot)):
+                found = np.unique(bit[chosen])
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), flag))], names=["hash", "hot"])
 
-    return rows.where("bucket >= 0").repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "hash long")
+    return rows.where("bucket >= 0").repartition(n_buckets, "bucket").sortWithinPartitions("bucket") \
+        .mapInArrow(run, "hash long, hot boolean")
 
 
-def runs(docs: DataFrame, text: str, bits, splitters: list[bytes], length: int, gram: int) -> DataFrame:
+def hot_strings(docs: DataFrame, text: str, hot_bits, length: int, gram: int) -> DataFrame:
+    """``string, digest, start``: every string of the anchors whose gram has its bit set, by its digest."""
+    def run(batches):
+        anchors, bitmap = Anchors(length, gram), np.frombuffer(hot_bits.value, np.uint8)
+        for names, data, offsets, shift in pieces(batches, text, length - 1):
+            row, _, first, last, h = anchors.of(data, offsets)
+            blob, begin, out = data.tobytes(), offsets[:-1] - shift, []
+            for i in np.flatnonzero(bit_set(bitmap, h, BITS)).tolist():
+                r = int(row[i])
+                out += [(text_digest(blob[p:p + length]), names[r], p - int(begin[r])) for p in range(int(first[i]), int(last[i]) + 1)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.binary(), pa.binary(), pa.int64()))],
+                                                 names=["string", "digest", "start"])
+
+    return docs.select(F.col(text)).mapInArrow(run, "string binary, digest binary, start long")
+
+
+def hot_covered(strings: DataFrame, length: int) -> DataFrame:
+    """``digest, start, end`` of the strings that occur twice."""
+    twice = strings.groupBy(F.col("string").alias("s")).count().where("count > 1")
+    return strings.join(twice, F.col("string") == F.col("s")).select("digest", "start", (F.col("start") + length).alias("end"))
+
+
+def runs(docs: DataFrame, text: str, bits, hot_bits, splitters: list[bytes], length: int, gram: int) -> DataFrame:
     """``part, shared, sizes, rests, names, name, first, least, before``: front-coded runs with, for each
     suffix, its text (an index into ``names``), the first start, the last start's offset, and the bytes before."""
     def run(batches):
         import bisect
 
         anchors, bitmap, squeeze = Anchors(length, gram), np.frombuffer(bits.value, np.uint8), zstandard.ZstdCompressor(3).compress
+        hot = None if hot_bits is None else np.frombuffer(hot_bits.value, np.uint8)
         held: list[tuple] = []
         size = 0
 
@@ -324,7 +355,8 @@ def runs(docs: DataFrame, text: str, bits, splitters: list[bytes], length: int,
 
         for names, data, offsets, shift in pieces(batches, text, length - 1):
             row, anchor, first, last, h = anchors.of(data, offsets)
-            hit = np.flatnonzero(bit_set(bitmap, h, BITS))
+            hit = bit_set(bitmap, h, BITS)
+            hit = np.flatnonzero(hit if hot is None else hit & ~bit_set(hot, h, BITS))
             blob = data.tobytes()
             begin = (offsets[:-1] - shift)[row[hit]]
             for r, s, a, e, z in zip(row[hit].tolist(), anchor[hit].tolist(), first[hit].tolist(), last[hit].tolist(), begin.tolist()):
@@ -403,7 +435,7 @@ def texts_with_bit(docs: DataFrame, text: str, bits) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM,
-                   with_text: bool = True) -> DataFrame:
+                   with_text: bool = True, hot: int = HOT) -> DataFrame:
     """``doc_id, digest, n_bytes, n_removed, n_spans, kept_sha256, kept, kept_text, spans``: one row per row of ``docs``.
 
     Removes each byte covered by a string of ``length`` bytes that starts at another place too, in any text.
@@ -423,9 +455,15 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     parts = 4 * n
     step = max(1, len(sampled) // parts)
     splitters = sampled[step::step][:parts - 1]
-    bits = broadcast_bits(spark, bitmap_slices(repeated_grams(grams, n), "hash", BITS, BITS), 2**BITS // 8)
+    known = stages.write(repeated_grams(grams, n, hot), "repeated")
     stages.drop("grams")
-    found = stages.write(covered(runs(docs, text, bits, splitters, length, gram), parts, length, gram), "found")
+    bits = broadcast_bits(spark, bitmap_slices(known.where("not hot"), "hash", BITS, BITS), 2**BITS // 8)
+    some_hot = known.where("hot")
+    hot_bits = None if some_hot.isEmpty() else broadcast_bits(spark, bitmap_slices(some_hot, "hash", BITS, BITS), 2**BITS // 8)
+    ranges = covered(runs(docs, text, bits, hot_bits, splitters, length, gram), parts, length, gram)
+    if hot_bits is not None:
+        ranges = ranges.unionByName(hot_covered(hot_strings(docs, text, hot_bits, length, gram), length))
+    found = stages.write(ranges, "found")
     copies = names.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
     spans = found.groupBy("digest").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     known = stages.write(copies.join(spans, "digest", "left").where("copies > 1 or spans is not null"), "spans")

@@ -45,10 +45,12 @@ def test_many_partial_matches(spark, length, gram):
             t += s[a:a + rnd.randrange(10, 80)] + rnd.choice(["", "é", "q" * rnd.randrange(30)])
         rows.append((i, t))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
-    got = [tuple(r) for r in suffixes.remove_repeats(df, length=length, gram=gram, with_text=False)
-           .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()]
     want = brute(rows, length)
-    assert sorted(got) == sorted(want) and 0 < sum(w[2] for w in want) < sum(w[1] for w in want)
+    for hot in (suffixes.HOT, 5):  # all grams merged, and the frequent ones string by string
+        got = [tuple(r) for r in suffixes.remove_repeats(df, length=length, gram=gram, with_text=False, hot=hot)
+               .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()]
+        assert sorted(got) == sorted(want)
+    assert 0 < sum(w[2] for w in want) < sum(w[1] for w in want)
 
 
 def test_text_of_several_pieces(spark, monkeypatch):
