@@ -90,11 +90,16 @@ def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, ridg
 
 
 def training_sample(docs: DataFrame, learn: Column, text: str, lang: str, per_language: int = PER_LANGUAGE) -> list:
-    """At most ``per_language`` rows (text, lang) of each language, by a hash of the text."""
+    """At most ``per_language`` distinct texts (text, lang) of each language, those with the smallest hashes.
+
+    Hashes alone are ranked; the texts at or below a language's last hash are then read again."""
     rows = docs.where(learn & F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) <= LONGEST_FITTED)) \
         .select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.lit(7), text).alias("h"))
-    first = Window.partitionBy("lang").orderBy("h", "text")
-    return rows.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language).orderBy("lang", "k").select("text", "lang").collect()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    last = rows.select("lang", "h").distinct().withColumn("k", rank).where(F.col("k") <= per_language) \
+        .groupBy(F.col("lang").alias("l")).agg(F.max("h").alias("last"))
+    chosen = rows.join(last, (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("last")))
+    return chosen.groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("lang", "h").select("text", "lang").collect()
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
