@@ -31,10 +31,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Stages:
-    """Tables written once to the shared folder to cut lineage; ``drop`` deletes them early."""
+    """Tables written once to the shared folder to cut lineage.  Results read them lazily: call ``drop``
+    (or ``drop_all`` for every operator's tables of this process) once they are written or collected."""
+
+    made: list["Stages"] = []
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        Stages.made.append(self)
+
+    @classmethod
+    def drop_all(cls, keep: list["Stages"] = ()) -> None:
+        for s in [s for s in cls.made if s not in keep]:
+            s.drop()
+            cls.made.remove(s)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

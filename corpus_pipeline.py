@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.llm import jaccard, mixing, packing, quality, suffixes
 from cohortlens.llm.queries import tokenizer_path
+from cohortlens.llm.util import Stages
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,16 +39,15 @@ STAGES = [("quality_rules", good_documents), ("jaccard_join", distinct_documents
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
-    from cohortlens.llm.util import Stages
-
-    stages = Stages(spark, "pipeline")
+    """All stages over ``documents``, each written to the shared folder and read again as the next one's
+    input; an operator's own tables go once its stage is written."""
+    before = list(Stages.made)
+    own = Stages(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if i == len(STAGES) - 1:
-            return out
-        docs = stages.write(out, name)
+    for name, stage in STAGES[:-1]:
+        docs = own.write(stage(spark, docs, sf_dir), name)
+        Stages.drop_all(keep=[*before, own])
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
 ORACLE_SQL = None
