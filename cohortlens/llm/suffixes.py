@@ -450,7 +450,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     total = names.agg(F.sum("n_bytes")).first()[0] or 0
     rate = max(1, total * 2 // (length - gram + 2) // SPLITTERS)  # about SPLITTERS anchors, whatever the input
     grams = stages.write(gram_rows(docs, text, n, length, gram, rate), "grams")
-    sampled = sorted({x for r in grams.where("bucket = -1").select("hashes").toLocalIterator()
+    # about SPLITTERS grams of 100 bytes, whatever the input
+    sampled = sorted({x for r in grams.where("bucket = -1").select("hashes").collect()
                       for x in (bytes(r[0][i:i + gram]) for i in range(0, len(r[0]), gram))})
     parts = 4 * n
     step = max(1, len(sampled) // parts)

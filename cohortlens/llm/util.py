@@ -166,9 +166,11 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def broadcast_bits(spark: SparkSession, slices: DataFrame, n_bytes: int):
-    """A bitmap of fixed size from ``(at long, bits binary)`` slices, as a broadcast variable."""
+    """A bitmap of fixed size from ``(at long, bits binary)`` slices, as a broadcast variable.
+
+    The slices together hold ``n_bytes``, whatever the input; one job fetches them."""
     bits = np.zeros(n_bytes, np.uint8)
-    for r in slices.toLocalIterator():
+    for r in slices.collect():
         part = np.frombuffer(r["bits"], np.uint8)
         bits[r["at"]:r["at"] + len(part)] |= part
     return spark.sparkContext.broadcast(bits.tobytes())
