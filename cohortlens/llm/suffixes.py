@@ -14,7 +14,8 @@ merge gives the sorted order and the longest common prefix of neighbours.  Then,
 an anchor can have in a string, two strings are equal exactly if the suffixes share that many
 bytes and the bytes before the anchors are equal.
 
-Texts that are equal as a whole are one text in the search, and removed by their count.  A gram that
+Texts that are equal as a whole are one text in the search, and removed by their count: those that a
+bitmap of the copied texts' digests names (or takes for such) come from a table that has each once.  A gram that
 begins more than ``HOT`` anchors would put them all in one task (equal grams stay together); the
 strings of such anchors, at most 101 each, are told apart one by one by their digests instead, which
 spread over all tasks and are counted before they are shuffled.
@@ -36,6 +37,7 @@ from .util import Rolling, Stages, bit_set, bitmap_slices, boxed, broadcast_bits
 LENGTH = 200
 GRAM = 100
 BITS = 27
+DIGEST_BITS = 23
 SPLITTERS = 4096
 PIECE = 1 << 20
 FLUSH = 2_000_000        # hashes a task holds before it sends them
@@ -83,12 +85,14 @@ class Anchors:
         return np.minimum(behind[:n - w + 1], ahead[w - 1:n])
 
 
-def pieces(batches, column: str, overlap: int):
-    """``row digests, data, offsets, shift`` of bounded chunks, each distinct text once a task.
+def pieces(batches, column: str, overlap: int, skip=None):
+    """``row digests, data, offsets, shift`` of bounded chunks, each distinct text once a task, without
+    those whose digest has its bit set in ``skip`` (a broadcast bitmap).
 
     A text longer than a piece comes in pieces that share ``overlap`` bytes, so that every string lies
     in exactly one; shift: a row's begin in its text."""
     seen: set[bytes] = set()
+    bits = None if skip is None else skip.value
     for b in rows_by_bytes(batches, column, PIECE):
         data, offsets = raw(b.column(b.schema.get_field_index(column)))
         names, parts, shift = [], [], []
@@ -96,7 +100,7 @@ def pieces(batches, column: str, overlap: int):
             if e - a <= overlap:
                 continue
             name = text_digest(data[a:e].tobytes())
-            if name in seen:
+            if name in seen or bits is not None and digest_bit(bits, name):
                 continue
             seen.add(name)
             for s in range(0, e - a - overlap, PIECE):
@@ -118,6 +122,17 @@ def text_digest(data: bytes) -> bytes:
     return hashlib.sha256(data).digest()[:16]
 
 
+def digest_bit(bits: bytes, name: bytes) -> bool:
+    at = int.from_bytes(name[:8], "big") >> (64 - DIGEST_BITS)
+    return bool(bits[at >> 3] >> (at & 7) & 1)
+
+
+def digest_bits(spark, digests: DataFrame):
+    """Bitmap of the ``digest`` column, as a broadcast variable."""
+    first8 = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long")
+    return broadcast_bits(spark, bitmap_slices(digests.select(first8.alias("h")), "h", 64, DIGEST_BITS), 2**DIGEST_BITS // 8)
+
+
 def native_digest(text):
     """The same of a column."""
     return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)), 1, 16)
@@ -253,7 +268,20 @@ def repeated(lcp: np.ndarray, before: list[bytes], most: np.ndarray, least: np.n
     return out
 
 
-def gram_rows(docs: DataFrame, text: str, n_buckets: int, length: int, gram: int, rate: int) -> DataFrame:
+def copied_once(docs: DataFrame, text: str, copied) -> DataFrame:
+    """``digest, text``: each text whose digest has its bit set, once."""
+    def run(batches):
+        for b in rows_by_bytes(batches, text):
+            values = [(t or "").encode() for t in b.column(0).to_pylist()]
+            rows = {n: v for v in values if digest_bit(copied.value, n := text_digest(v))}
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.binary()), pa.array([v.decode() for v in rows.values()])],
+                                                 names=["digest", "text"])
+
+    return docs.select(F.col(text)).mapInArrow(run, "digest binary, text string").groupBy("digest").agg(F.first("text").alias("text"))
+
+
+def gram_rows(docs: DataFrame, text: str, n_buckets: int, length: int, gram: int, rate: int, skip=None) -> DataFrame:
     """``bucket, hashes``: hashes of all anchors' grams, packed; bucket -1: sampled grams for the splitters."""
     def run(batches):
         anchors, held, n = Anchors(length, gram), [], 0
@@ -269,7 +297,7 @@ def gram_rows(docs: DataFrame, text: str, n_buckets: int, length: int, gram: int
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
                                               names=["bucket", "hashes"])
 
-        for _, data, offsets, _ in pieces(batches, text, length - 1):
+        for _, data, offsets, _ in pieces(batches, text, length - 1, skip):
             _, anchor, _, _, h = anchors.of(data, offsets)
             held.append(h)
             n += len(h)
@@ -299,11 +327,11 @@ def repeated_grams(rows: DataFrame, n_buckets: int, hot: int) -> DataFrame:
         .mapInArrow(run, "hash long, hot boolean")
 
 
-def hot_strings(docs: DataFrame, text: str, hot_bits, length: int, gram: int) -> DataFrame:
+def hot_strings(docs: DataFrame, text: str, hot_bits, length: int, gram: int, skip=None) -> DataFrame:
     """``string, digest, start``: every string of the anchors whose gram has its bit set, by its digest."""
     def run(batches):
         anchors, bitmap = Anchors(length, gram), np.frombuffer(hot_bits.value, np.uint8)
-        for names, data, offsets, shift in pieces(batches, text, length - 1):
+        for names, data, offsets, shift in pieces(batches, text, length - 1, skip):
             row, _, first, last, h = anchors.of(data, offsets)
             blob, begin, out = data.tobytes(), offsets[:-1] - shift, []
             for i in np.flatnonzero(bit_set(bitmap, h, BITS)).tolist():
@@ -322,7 +350,7 @@ def hot_covered(strings: DataFrame, length: int) -> DataFrame:
     return strings.join(twice, F.col("string") == F.col("s")).select("digest", "start", (F.col("start") + length).alias("end"))
 
 
-def runs(docs: DataFrame, text: str, bits, hot_bits, splitters: list[bytes], length: int, gram: int) -> DataFrame:
+def runs(docs: DataFrame, text: str, bits, hot_bits, splitters: list[bytes], length: int, gram: int, skip=None) -> DataFrame:
     """``part, shared, sizes, rests, names, name, first, least, before``: front-coded runs with, for each
     suffix, its text (an index into ``names``), the first start, the last start's offset, and the bytes before."""
     def run(batches):
@@ -353,7 +381,7 @@ def runs(docs: DataFrame, text: str, bits, hot_bits, splitters: list[bytes], len
             types = [pa.int32()] + [pa.binary()] * 9
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=RUN_COLUMNS)
 
-        for names, data, offsets, shift in pieces(batches, text, length - 1):
+        for names, data, offsets, shift in pieces(batches, text, length - 1, skip):
             row, anchor, first, last, h = anchors.of(data, offsets)
             hit = bit_set(bitmap, h, BITS)
             hit = np.flatnonzero(hit if hot is None else hit & ~bit_set(hot, h, BITS))
@@ -425,7 +453,7 @@ def texts_with_bit(docs: DataFrame, text: str, bits) -> DataFrame:
             data, offsets = raw(b.column(1))
             blobs = [data[a:e].tobytes() for a, e in zip(offsets[:-1], offsets[1:])]
             whole = [hashlib.sha256(x) for x in blobs]
-            hit = bit_set(bitmap, np.array([int.from_bytes(x.digest()[:8], "big") for x in whole], U), 23)
+            hit = bit_set(bitmap, np.array([int.from_bytes(x.digest()[:8], "big") for x in whole], U), DIGEST_BITS)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([x.digest()[:16] for x in whole], pa.binary()), pa.array(np.diff(offsets)),
                  pa.array([x.hexdigest() for x in whole]),
@@ -449,7 +477,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     names = stages.write(docs.select(native_digest(F.col("text")).alias("digest"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes")), "names")
     total = names.agg(F.sum("n_bytes")).first()[0] or 0
     rate = max(1, total * 2 // (length - gram + 2) // SPLITTERS)  # about SPLITTERS anchors, whatever the input
-    grams = stages.write(gram_rows(docs, text, n, length, gram, rate), "grams")
+    copies = names.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
+    copied = digest_bits(spark, copies.where("copies > 1"))
+    once = stages.write(copied_once(docs, text, copied), "once")
+    # the texts that are there once, and one of each of the others
+    both = lambda f, *options: f(docs, text, *options, copied).unionByName(f(once, "text", *options))
+    grams = stages.write(both(gram_rows, n, length, gram, rate), "grams")
     # about SPLITTERS grams of 100 bytes, whatever the input
     sampled = sorted({x for r in grams.where("bucket = -1").select("hashes").collect()
                       for x in (bytes(r[0][i:i + gram]) for i in range(0, len(r[0]), gram))})
@@ -461,16 +494,15 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     bits = broadcast_bits(spark, bitmap_slices(known.where("not hot"), "hash", BITS, BITS), 2**BITS // 8)
     some_hot = known.where("hot")
     hot_bits = None if some_hot.isEmpty() else broadcast_bits(spark, bitmap_slices(some_hot, "hash", BITS, BITS), 2**BITS // 8)
-    ranges = covered(runs(docs, text, bits, hot_bits, splitters, length, gram), parts, length, gram)
+    ranges = covered(both(runs, bits, hot_bits, splitters, length, gram), parts, length, gram)
     if hot_bits is not None:
-        ranges = ranges.unionByName(hot_covered(hot_strings(docs, text, hot_bits, length, gram), length))
+        ranges = ranges.unionByName(hot_covered(both(hot_strings, hot_bits, length, gram), length))
     found = stages.write(ranges, "found")
-    copies = names.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
+    stages.drop("once")
     spans = found.groupBy("digest").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     known = stages.write(copies.join(spans, "digest", "left").where("copies > 1 or spans is not null"), "spans")
     stages.drop("found")
-    first8 = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long")
-    cut = broadcast_bits(spark, bitmap_slices(known.where("copies = 1").select(first8.alias("h")), "h", 64, 23), 2**23 // 8)
+    cut = digest_bits(spark, known.where("copies = 1"))
     rows = texts_with_bit(docs, text, cut).join(known, "digest", "left")
     more = {"kept": "binary", "kept_text": "string", "spans": "array<struct<start:long,end:long>>"} if with_text else {}
     schema = schema_of(rows.select("doc_id", "digest", "n_bytes"), n_removed="long", n_spans="long", kept_sha256="string", **more)
