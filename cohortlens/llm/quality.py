@@ -3,7 +3,8 @@
 DataFrame functions only.  Normalised lines are hashed; for each host and line the distinct
 texts that hold it are counted; a line in more than ``max_docs`` of them is removed from all
 but the host's smallest doc_id that has it; a document left with less than ``min_left`` of its
-words is rejected.  Only hashes and counts are shuffled, partially aggregated, never texts.
+words is rejected.  ``judge`` shuffles only hashes and counts, partially aggregated, never texts;
+``keep_good`` gives the rows back without the removed lines.
 """
 
 from __future__ import annotations
@@ -82,6 +83,12 @@ def judge(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str
     A null or empty text has no words and fails the base rule.  A null host is a host of its own; rows
     with a null key are judged by their text; fully repeated rows count once and get the same verdict;
     an empty table gives no rows.  Only the three named columns are read."""
+    return _judged(docs, key, host, text, max_docs, min_left).drop("removed_at")
+
+
+def _judged(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str = "text",
+            max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
+    """The columns of ``judge`` and removed_at: which lines of the text (from 0) go, null if none."""
     stages = Stages(docs.sparkSession, "quality")
     docs = docs.select(F.col(key).alias("doc_id"), F.col(host).alias("host"), F.col(text).alias("text"))
     lines = stages.write(document_lines(docs), "lines")
@@ -91,7 +98,7 @@ def judge(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str
         .where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
     removed = hit.dropDuplicates(["doc_id", "host", "digest", "at"]) \
         .groupBy(F.col("doc_id").alias("d"), F.col("host").alias("h"), F.col("digest").alias("g")) \
-        .agg(F.sum("words").alias("n_removed_words"))
+        .agg(F.sum("words").alias("n_removed_words"), F.collect_list("at").alias("removed_at"))
     base = base_measures(docs.withColumn("digest", F.xxhash64("text"))).drop("text")
     out = base.join(removed, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("host").eqNullSafe(F.col("h"))
                     & (F.col("digest") == F.col("g")), "left")
@@ -99,13 +106,20 @@ def judge(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str
     gone = F.coalesce("n_removed_words", F.lit(0).cast("long"))
     return out.select("doc_id", "host", "digest", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       failed.alias("base_failed"), gone.alias("n_removed_words"),
-                      (~failed & (F.col("n_words") - gone >= F.lit(min_left) * F.col("n_words"))).alias("kept"))
+                      (~failed & (F.col("n_words") - gone >= F.lit(min_left) * F.col("n_words"))).alias("kept"), "removed_at")
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` (with doc_id, source, text) that ``judge`` keeps, all columns as they are."""
-    bad = judge(docs, **options).where("not kept").select(
-        F.col("doc_id").alias("d"), F.col("host").alias("h"), F.col("digest").alias("g")).distinct()
+    """The rows of ``docs`` (with doc_id, source, text) that ``judge`` keeps, their texts without the lines
+    above the limit; n_chars, if there, follows a text that lost lines, all other columns are as they are."""
+    told = _judged(docs, **options).where("not kept or removed_at is not null").select(
+        F.col("doc_id").alias("d"), F.col("host").alias("h"), F.col("digest").alias("g"), "kept", "removed_at").dropDuplicates(["d", "h", "g"])
     rows = boxed(docs, doc_id=F.col("doc_id"), host=F.col("source"), digest=F.xxhash64("text"))
-    return rows.join(bad, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("host").eqNullSafe(F.col("h"))
-                     & (F.col("digest") == F.col("g")), "left_anti").select("row.*")
+    rows = rows.join(told, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("host").eqNullSafe(F.col("h"))
+                     & (F.col("digest") == F.col("g")), "left").where(F.coalesce("kept", F.lit(True)))
+    left = F.transform(F.array(F.split(F.col("row")["text"], "\n")), lambda lines: F.array_join(F.transform(  # split once
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed_at")), lambda i: F.get(lines, i)), "\n"))
+    rows = rows.withColumn("left", F.when(F.col("removed_at").isNotNull(), left[0]))
+    new = {"text": F.col("left"), "n_chars": F.length("left")}
+    return rows.select(*[(F.when(F.col("left").isNotNull(), new[f.name].cast(f.dataType)).otherwise(F.col("row")[f.name]) if f.name in new
+                          else F.col("row")[f.name]).alias(f.name) for f in docs.schema])

@@ -52,5 +52,32 @@ def test_depleted_documents_go_and_the_first_stays(spark):
     assert quality.keep_good(df).columns == df.columns and quality.keep_good(df).count() == 1
 
 
+def brute_texts(rows, max_docs=quality.MAX_DOCS):
+    """Kept rows in full, lines above the limit taken out of all but the host's first document."""
+    def norm(line):
+        return " ".join(WORD.findall(line.lower()))
+
+    texts, first = collections.defaultdict(set), {}
+    for i, t, _, s, *_ in rows:
+        for x in {norm(line) for line in (t or "").split("\n")} - {""}:
+            texts[s, x].add((i, t))
+            if i is not None:
+                first[s, x] = min(i, first.get((s, x), i))
+    out = []
+    for r, verdict in zip(rows, brute(rows, max_docs)):
+        if verdict[8]:
+            i, t, lang, s, n, *more = r
+            left = "\n".join(x for x in t.split("\n") if len(texts[s, norm(x)]) <= max_docs or first.get((s, norm(x))) == i)
+            out.append((i, left, lang, s, n if left == t else len(left), *more))
+    return out
+
+
+def test_kept_texts_lose_the_lines_above_the_limit(docs, rows):
+    got, want = quality.keep_good(docs), brute_texts(rows)
+    assert got.dtypes == docs.dtypes
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert len({r[1] for r in want} - {r[1] for r in rows}) == 13  # of 14 documents with the line the first keeps it
+
+
 def test_empty_table(no_docs):
     assert quality.judge(no_docs).count() == 0 and quality.keep_good(no_docs).count() == 0
