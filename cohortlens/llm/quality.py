@@ -1,7 +1,7 @@
 """Quality rules: base measures of each text and cross-document line frequency.
 
 DataFrame functions only.  Normalised lines are hashed; for each host and line the distinct
-texts that hold it are counted; a line in more than ``max_docs`` of them is removed from all
+documents that hold it are counted, exact copies each on their own; a line in more than ``max_docs`` of them is removed from all
 but the host's smallest doc_id that has it; a document left with less than ``min_left`` of its
 words is rejected.  ``judge`` shuffles only hashes and counts, partially aggregated, never texts;
 ``keep_good`` gives the rows back without the removed lines.
@@ -69,9 +69,11 @@ def document_lines(docs: DataFrame) -> DataFrame:
 
 
 def common_lines(lines: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
-    """``host, line, n_docs, first_doc``: lines in more than ``max_docs`` distinct texts of a host."""
-    per_text = lines.groupBy("host", "line", "digest").agg(F.min("doc_id").alias("first_doc"))
-    per_line = per_text.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"), F.min("first_doc").alias("first_doc"))
+    """``host, line, n_docs, first_doc``: lines in more than ``max_docs`` documents of a host.
+
+    Copies under other ids are documents of their own; only fully repeated rows are one."""
+    per_doc = lines.select("host", "line", "doc_id", "digest").distinct()
+    per_line = per_doc.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
     return per_line.where(F.col("n_docs") > max_docs)
 
 

@@ -79,5 +79,13 @@ def test_kept_texts_lose_the_lines_above_the_limit(docs, rows):
     assert len({r[1] for r in want} - {r[1] for r in rows}) == 13  # of 14 documents with the line the first keeps it
 
 
+def test_exact_copies_count_as_documents(spark, rows):
+    text = rows[0][1] + "\nown"
+    copies = [(i, text, "s") for i in range(11)] + [(i, text, "few") for i in range(20, 30)] + [(40, text, "same")] * 11
+    df = spark.createDataFrame(copies, "doc_id long, text string, source string")
+    kept = sorted(r.doc_id for r in quality.judge(df).collect() if r.kept)
+    assert kept == [0, *range(20, 30), *[40] * 11]  # 11 copies: the first stays; 10 copies, or one row 11 times: all
+
+
 def test_empty_table(no_docs):
     assert quality.judge(no_docs).count() == 0 and quality.keep_good(no_docs).count() == 0
