@@ -110,3 +110,40 @@ JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) r ON r.x = d.doc_i
 """
 
 ORACLE = {"op1_quality_rules": OP1, "op3_preferences": OP3, "op4_suffix_dedup": OP4, "op6_warc": OP6, "op10_jaccard_join": OP10}
+
+LAST_TURNS = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM turns),
+lasts AS (
+  SELECT conv_id, max(k) AS last, max_by(text, k) AS said FROM ranked WHERE role = 'assistant' GROUP BY conv_id),
+others AS (
+  SELECT a.conv_id, a.last, coalesce(
+    (SELECT min_by(b.said, b.conv_id) FROM lasts b WHERE floor(b.conv_id / 1024) = floor(a.conv_id / 1024) AND b.conv_id > a.conv_id),
+    (SELECT min_by(b.said, b.conv_id) FROM lasts b WHERE floor(b.conv_id / 1024) = floor(a.conv_id / 1024) AND b.conv_id < a.conv_id), '') AS other
+  FROM lasts a),
+sides AS (
+  SELECT r.conv_id AS pair_id, list({'role': role, 'text': text} ORDER BY k) AS c,
+    list({'role': role, 'text': CASE WHEN k = o.last THEN o.other ELSE text END} ORDER BY k) AS r
+  FROM ranked r LEFT JOIN others o ON o.conv_id = r.conv_id GROUP BY r.conv_id),
+pairs AS (
+  SELECT pair_id, c, r, coalesce(list_position(list_transform(range(1, len(c) + 1), lambda i: c[i] <> r[i]), true) - 1, len(c))::INTEGER AS n_common
+  FROM sides),
+made AS (
+  SELECT pair_id, n_common, list_transform(c, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)) AS cs,
+    list_transform(r, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)) AS rs,
+    list_transform(c, lambda t: t.role) AS cr, list_transform(r, lambda t: t.role) AS rr FROM pairs),
+cut AS (
+  SELECT pair_id, n_common, cs[1:n_common] AS p, cs[n_common + 1:] AS cs, rs[n_common + 1:] AS rs, cr[n_common + 1:] AS cr, rr[n_common + 1:] AS rr FROM made),
+sized AS (
+  SELECT *, list_transform(cs, lambda x: length(x)) AS cl, list_transform(rs, lambda x: length(x)) AS rl FROM cut)
+SELECT pair_id, n_common, array_to_string(p, '') AS prompt, array_to_string(cs, '') AS chosen, array_to_string(rs, '') AS rejected,
+  array_to_string(list_transform(list_filter(range(1, len(cs) + 1), lambda i: cr[i] = 'assistant'), lambda i:
+    (coalesce(list_sum(cl[1:i - 1]), 0) + length(cr[i]) + 5)::BIGINT || '-' || list_sum(cl[1:i])::BIGINT), ',') AS chosen_spans,
+  array_to_string(list_transform(list_filter(range(1, len(rs) + 1), lambda i: rr[i] = 'assistant'), lambda i:
+    (coalesce(list_sum(rl[1:i - 1]), 0) + length(rr[i]) + 5)::BIGINT || '-' || list_sum(rl[1:i])::BIGINT), ',') AS rejected_spans
+FROM sized
+"""
+
+MORE = {"op3_last_turns": LAST_TURNS}

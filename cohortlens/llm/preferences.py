@@ -5,7 +5,7 @@ DataFrame functions only; one shuffle brings the turns of a pair together.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BEGIN, END = "<|{role}|>\n", "<|end|>\n"
@@ -49,6 +49,11 @@ def format_pairs(turns: DataFrame, trained: str = "assistant") -> DataFrame:
     strip = lambda c: F.transform(c, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     pairs = rows.groupBy("pair_id").agg(side(True).alias("c"), side(False).alias("r")).where("size(c) > 0 and size(r) > 0") \
         .select("pair_id", strip(F.col("c")).alias("c"), strip(F.col("r")).alias("r"))
+    return _formatted(pairs, trained)
+
+
+def _formatted(pairs: DataFrame, trained: str) -> DataFrame:
+    """The columns of ``format_pairs`` from ``pair_id, c, r``: the turns (role, text) of both sides in order."""
     both = F.least(F.size("c"), F.size("r"))
     differs = F.transform(F.sequence(F.lit(1), both), lambda i: F.element_at("c", i) != F.element_at("r", i))
     first = F.array_position(differs, F.lit(True))
@@ -59,6 +64,29 @@ def format_pairs(turns: DataFrame, trained: str = "assistant") -> DataFrame:
                         _spans(F.col("c"), trained).alias("chosen_spans"), _spans(F.col("r"), trained).alias("rejected_spans"))
 
 
+def last_turn_pairs(conversations: DataFrame, trained: str = "assistant") -> DataFrame:
+    """The columns of ``format_pairs`` for each conversation (conv_id, turn, role, text), pair_id its conv_id.
+
+    Chosen is the whole conversation, rejected the same with its last ``trained`` turn said as in the next
+    conversation that has one, of the same 1,024 conv_ids (after the last the first; empty if there is no
+    other).  Without a ``trained`` turn both sides are the conversation: all prompt, empty completions.
+    Turns go in the order of ``format_pairs``; rows without a conv_id give no row."""
+    turns = conversations.where("conv_id is not null").select("conv_id", F.struct(
+        "turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"))
+    lasts = turns.where(F.col("t")["role"] == trained).groupBy("conv_id").agg(F.max("t").alias("t")) \
+        .select("conv_id", F.shiftright("conv_id", 10).alias("bucket"), F.col("t")["text"].alias("said"))
+    order = Window.partitionBy("bucket").orderBy("conv_id")
+    after = F.when(F.first("conv_id").over(order) != F.col("conv_id"), F.first("said").over(order))
+    other = lasts.select(F.col("conv_id").alias("o"), F.coalesce(F.lead("said").over(order), after, F.lit("")).alias("other"))
+    whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("s"))
+    whole = whole.join(other, F.col("conv_id") == F.col("o"), "left").select(
+        F.col("conv_id").alias("pair_id"), "other", F.transform("s", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("c"))
+    back = F.array_position(F.reverse(F.transform("c", lambda t: t["role"])), trained)
+    whole = whole.withColumn("last", F.when(back > 0, F.size("c") - back))
+    said = F.transform("c", lambda t, i: F.when(i == F.col("last"), F.struct(t["role"].alias("role"), F.col("other").alias("text"))).otherwise(t))
+    return _formatted(whole.select("pair_id", "c", said.alias("r")), trained)
+
+
 def adjacent_pairs(conversations: DataFrame) -> DataFrame:
     """Turns of a table without preferences as pairs: conversation 2k is the chosen, 2k + 1 the rejected of pair k."""
     return conversations.select(F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id"),

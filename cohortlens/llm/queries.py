@@ -36,6 +36,12 @@ def op3_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumns({c: preferences.spans_text(F.col(c)) for c in ("chosen_spans", "rejected_spans")})
 
 
+def op3_last_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against itself with another last assistant turn: pairs that share turns."""
+    made = preferences.last_turn_pairs(table(spark, sf_dir, "conversations"))
+    return made.withColumns({c: preferences.spans_text(F.col(c)) for c in ("chosen_spans", "rejected_spans")})
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("digest")
 
@@ -73,3 +79,6 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_packing, op3_preferences, op4_suffix_dedup, op5_sharding, op6_warc, op7_language, op8_hash_forest,
     op9_mixing, op10_jaccard_join)}
+
+#: Registered besides those: a second query of an operator.
+MORE = {"op3_last_turns": op3_last_turns}
