@@ -3,7 +3,8 @@
 Spark's text writer puts the members into files (any store that Spark can write, committed task
 by task): a member's last byte is the top byte of its size, 0, which serves as the line end.  The
 reader checks every member and record; where a check fails it searches for the next member or
-version line that holds a valid record, goes on there, and logs the bytes between as a gap.
+version line that holds a valid record, goes on there, and logs the bytes between as a gap.  Inside a
+member it does so over the decompressed bytes, as far as they come out of a torn or damaged one.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORDS_PER_FILE = 20_000
 READ_SCHEMA = ("kind string, file string, offset long, length long, reason string, record_id string, record_type string, "
-               "uri string, refers_to string, payload_digest string, payload_bytes long, payload binary")
+               "uri string, refers_to string, payload_digest string, payload_bytes long, payload binary, inner_offset long")
 
 
 def sha1_base32(data: bytes) -> str:
@@ -81,17 +82,32 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
 
 # ---------------------------------------------------------------- reading
 
-def _member(data: memoryview, at: int) -> tuple[bytes, int] | None:
-    """The content of the gzip member at ``at`` and its end, or None if it is not whole."""
-    d, out, q = zlib.decompressobj(31), [], at
-    try:
-        while not d.eof:
-            if q >= len(data):
-                return None
-            out.append(d.decompress(data[q:q + 65536]))
-            q += 65536
-    except zlib.error:
-        return None
+class Reason(str):
+    """Why bytes are a gap; inner_offset: where in the decompressed bytes of the member, if in one."""
+
+    inner_offset: int | None = None
+
+    @classmethod
+    def inside(cls, reason: str, at: int) -> "Reason":
+        out = cls(reason)
+        out.inner_offset = at
+        return out
+
+
+def _member(data: memoryview, at: int) -> tuple[bytes, int | None]:
+    """The content of the gzip member at ``at`` and its end; None as the end, after what comes out, if it is not whole."""
+    d, out, q, step = zlib.decompressobj(31), [], at, 65536
+    while not d.eof:
+        if q >= len(data):
+            return b"".join(out), None
+        before = d.copy()
+        try:
+            out.append(d.decompress(data[q:q + step]))
+            q += step
+        except zlib.error:  # what comes out before the bad byte counts: again in smaller steps
+            if step == 1:
+                return b"".join(out), None
+            d, step = before, step // 2
     return b"".join(out), min(q, len(data)) - len(d.unused_data)
 
 
@@ -126,24 +142,41 @@ def _record(data, at: int) -> tuple[dict, int] | str:
             "refers_to": strip("warc-refers-to"), "payload_digest": digest or None, "payload_bytes": size, "payload": payload}, end + 4
 
 
+_VERSION = re.compile(re.escape(VERSION))
+
+
+def _inside(text: bytes) -> list[tuple]:
+    """``("record", inner offset, fields)`` and ``("gap", inner offset, length, reason)`` of a member's content."""
+    out, k = [], 0
+    while k < len(text):
+        r = _record(text, k)
+        if not isinstance(r, str):
+            out.append(("record", k, r[0]))
+            k = r[1]
+            continue
+        to = next((m.start() for m in _VERSION.finditer(text, k + 1) if not isinstance(_record(text, m.start()), str)), len(text))
+        out.append(("gap", k, to - k, r))
+        k = to
+    return out
+
+
 def _valid(data: memoryview, at: int):
-    """``records, end`` of the member or plain record at ``at``, or what is wrong."""
+    """``found, end`` of the member (as ``_inside``; end None: not whole) or plain record at ``at``, or what is wrong
+    if it holds no record."""
     if data[at:at + 3] == MAGIC:
-        got = _member(data, at)
-        if got is None:
+        text, end = _member(data, at)
+        found = _inside(text)
+        if end is None and len(found) < 2:  # a broken member of one record is no record, whatever came out
             return "gzip member broken"
-        text, end = got
-        records, k = [], 0
-        while k < len(text):
-            r = _record(text, k)
-            if isinstance(r, str):
-                return r
-            records.append(r[0])
-            k = r[1]
-        return records, end
+        if found and not any(x[0] == "record" for x in found):
+            return "gzip member broken" if end is None else found[0][3]
+        if end is None:
+            k = found.pop()[1] if found[-1][0] == "gap" else len(text)
+            found.append(("gap", k, len(text) - k, "gzip member broken"))
+        return found, end
     if data[at:at + len(VERSION)] == VERSION:
         r = _record(data, at)
-        return r if isinstance(r, str) else ([r[0]], r[1])
+        return r if isinstance(r, str) else ([("record", None, r[0])], r[1])
     return "neither a member nor a version line"
 
 
@@ -151,23 +184,34 @@ _NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
 
 
 def salvage(data: bytes):
-    """``("record", offset, length, fields)`` and ``("gap", offset, length, reason)`` in the order of the bytes."""
+    """``("record", offset, length, fields)`` and ``("gap", offset, length, reason)`` in the order of the bytes.
+
+    Offset and length are those of the plain record, the whole member or the gap; a broken member goes up to the
+    next place that holds a valid record.  A gap inside a member that holds records has the member's offset, its
+    own length in decompressed bytes, and a reason with ``inner_offset``; fields have that too."""
     view, at = memoryview(data), 0
+
+    def after(to):  # the next valid place and what it holds, so that it is not read twice
+        while m := _NEXT.search(data, to + 1):
+            to = m.start()
+            if not isinstance(got := _valid(view, to), str):
+                return to, got
+        return len(data), None
+
+    got = _valid(view, at) if data else None
     while at < len(data):
-        got = _valid(view, at)
-        if not isinstance(got, str):
-            for r in got[0]:
-                yield "record", at, got[1] - at, r
-            at = got[1]
-            continue
-        reason, to = got, at
-        while True:
-            m = _NEXT.search(data, to + 1)
-            to = m.start() if m else len(data)
-            if not m or not isinstance(_valid(view, to), str):
-                break
-        yield "gap", at, to - at, reason
-        at = to
+        if isinstance(got, str):
+            to, following = after(at)
+            yield "gap", at, to - at, Reason(got)
+        else:
+            found, to = got
+            to, following = after(at) if to is None else (to, _valid(view, to) if to < len(data) else None)
+            for x in found:
+                if x[0] == "record":
+                    yield "record", at, to - at, x[2] | {"inner_offset": x[1]}
+                else:
+                    yield "gap", at, x[2], Reason.inside(x[3], x[1])
+        at, got = to, following
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
@@ -183,7 +227,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
                 held = 0
                 for kind, at, n, what in salvage(data):
                     row = dict.fromkeys(names) | {"kind": kind, "file": file, "offset": at, "length": n}
-                    row |= {"reason": what} if kind == "gap" else what
+                    row |= {"reason": str(what), "inner_offset": what.inner_offset} if kind == "gap" else what
                     if not with_payload:
                         row["payload"] = None
                     held += len(row["payload"] or b"")
@@ -198,5 +242,5 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
 
 
 def _batch(rows: list[dict], names: list[str]) -> pa.RecordBatch:
-    types = {"offset": pa.int64(), "length": pa.int64(), "payload_bytes": pa.int64(), "payload": pa.binary()}
+    types = {"offset": pa.int64(), "length": pa.int64(), "payload_bytes": pa.int64(), "payload": pa.binary(), "inner_offset": pa.int64()}
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], types.get(k, pa.string())) for k in names], names=names)

@@ -76,6 +76,47 @@ def test_wrong_digests_are_quarantined_and_plain_after_zip_is_read():
     assert list(warc.salvage(b"")) == [] and [x[0] for x in warc.salvage(b"junk")] == ["gap"]
 
 
+def test_good_records_of_a_damaged_member_are_kept():
+    plain = records(8)
+    plain[3] = plain[3].replace(b"payload 3", b"payload X")
+    at = [sum(map(len, plain[:i])) for i in range(9)]
+    one = warc.gzip_member(b"".join(plain))
+    found = list(warc.salvage(one + warc.gzip_member(plain[0])))
+    assert [x[3]["record_id"][9:] for x in found if x[0] == "record"] == list("01245670")
+    assert [(x[3]["inner_offset"], x[1]) for x in found if x[0] == "record"] == [(at[i], 0) for i in (0, 1, 2, 4, 5, 6, 7)] + [(0, len(one))]
+    (bad,) = [x for x in found if x[0] == "gap"]
+    assert bad[1:3] == (0, len(plain[3])) and bad[3].inner_offset == at[3] and "digest" in bad[3]
+
+
+@pytest.mark.parametrize("damage", ["torn", "flipped", "checksum"])
+def test_records_before_a_broken_place_are_kept(damage):
+    import os
+
+    data = [os.urandom(30_000).hex().encode() for _ in range(8)]
+    plain = [warc.record_bytes("response", f"urn:page:{i}", "http://x", d, warc.sha1_base32(d), len(d), None) for i, d in enumerate(data)]
+    one, last = warc.gzip_member(b"".join(plain)), warc.gzip_member(records(1)[0])
+    cut = {"torn": one[:len(one) * 3 // 4], "flipped": bytearray(one), "checksum": bytearray(one)}[damage]
+    if damage == "flipped":
+        cut[len(one) // 2:len(one) // 2 + 300] = bytes(300)
+    if damage == "checksum":
+        cut[-8] ^= 0xFF
+    found = list(warc.salvage(bytes(cut) + last))
+    ids = [x[3]["record_id"][9:] for x in found if x[0] == "record"]
+    first = {"torn": 5, "flipped": 3, "checksum": 8}[damage]
+    assert ids[:first] == list("01234567")[:first] and ids[-1] == "0" and len(ids) > first
+    gap = next(x for x in found if x[0] == "gap")
+    assert gap[1] == 0 and gap[3].inner_offset is not None
+
+
+def test_inner_offsets_are_told_by_the_reader(spark, tmp_path):
+    plain = records(3)
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x").write_bytes(warc.gzip_member(plain[0] + plain[1].replace(b"payload 1", b"payload X") + plain[2]))
+    got = [(r.kind, r.record_id, r.inner_offset) for r in warc.read_archives(spark, str(tmp_path / "a")).collect()]
+    a, b = len(plain[0]), len(plain[0]) + len(plain[1])
+    assert got == [("record", "urn:page:0", 0), ("gap", None, a), ("record", "urn:page:2", b)]
+
+
 def test_large_record_ends_in_zero():
     import os
 
