@@ -7,7 +7,9 @@ prefix match, then up in all trees at once, one bit a step, until the prefix ran
 query's best of all shards are its neighbours, and recall does not fall as rows are added.
 
 Vectors get one more coordinate that makes their norms equal, so that the angle orders them as the
-inner product does.  Equal vectors are one entry with their smallest ids.
+inner product does.  Shards hold vectors of like norm (bands of a tenth, small ones joined as far as a
+search scores all their rows) and are lifted to their own largest norm, so that the lift stays small.
+Equal vectors are one entry with their smallest ids.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ BITS = 32
 CANDIDATES = 7000
 SHARD_ROWS = 8192
 QUERY_BLOCK = 4096
+BAND = 1.1  # ratio of the largest to the smallest norm of a band
 
 
 def packed(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -97,6 +100,22 @@ class Forest:
             yield i, rows, np.array([float(np.dot(self.vectors[r], q)) for r in rows])
 
 
+def _deal(counts: list[tuple[int, int]], shard_rows: int, scored: int) -> tuple[list[tuple[int, int, int]], int]:
+    """``(band, first shard, number of shards)`` for the ``(band, rows)`` in order, and the number of all shards.
+
+    Neighbouring bands share a shard while they hold at most ``scored`` rows, all of which a search scores."""
+    out, shards, held = [], 0, scored + 1
+    for band, rows in counts:
+        if held + rows <= scored:
+            held += rows
+            out.append((band, shards - 1, 1))
+            continue
+        n = -(-rows // shard_rows)
+        out.append((band, shards, n))
+        shards, held = shards + n, rows
+    return out, shards
+
+
 def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id", vector: str = "embedding",
             trees: int = TREES, candidates: int = CANDIDATES, shard_rows: int = SHARD_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` rows of ``df`` with the largest inner product found for each
@@ -122,13 +141,20 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
 
     def norms(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([float(np.linalg.norm(np.frombuffer(v, "<f8"))) for v in b.column(0).to_pylist()],
-                                                       pa.float64())], names=["norm"])
-
-    n, norm = classes.select("vec").mapInArrow(norms, "norm double").agg(F.count(F.lit(1)), F.max("norm")).first()
-    shards, blocks = -(-n // shard_rows), max(1, -(-asked.count() // query_block))
+            v = [float(np.linalg.norm(np.frombuffer(v, "<f8"))) for v in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(v, pa.float64())], names=["vec", "ids", "norm"])
+
+    classes = classes.mapInArrow(norms, "vec binary, ids array<long>, norm double")
+    norm = classes.agg(F.max("norm")).first()[0]
+    # counted from the largest, so that equal norms share a band whatever their rounding
+    band = F.floor(F.log(F.lit(norm) / F.col("norm")) / np.log(BAND) + 1e-6).cast("int")
+    counts = sorted(tuple(r) for r in classes.groupBy(band.alias("band")).count().collect())
+    dealt, shards = _deal(counts, shard_rows, candidates // trees)
+    dealt = spark.createDataFrame(dealt, "of int, first int, n int")
+    classes = classes.withColumn("band", band).join(F.broadcast(dealt), F.col("band") == F.col("of"))
+    blocks = max(1, -(-asked.count() // query_block))
     some = lambda count, name: F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias(name)
-    data = classes.select(F.pmod(F.xxhash64("vec"), F.lit(shards)).cast("int").alias("shard"), some(blocks, "block"),
+    data = classes.select((F.col("first") + F.pmod(F.xxhash64("vec"), F.col("n"))).cast("int").alias("shard"), some(blocks, "block"),
                           F.lit(None).cast("long").alias("query_id"), "vec", "ids")
     ask = asked.select(some(shards, "shard"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"),
                        F.col("vec_id").alias("query_id"), "vec", F.lit(None).cast("array<long>").alias("ids"))
@@ -142,7 +168,7 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
             vectors = np.frombuffer(b"".join(v for v, _ in data), "<f8").reshape(len(data), -1)
             wanted = np.frombuffer(b"".join(v for _, v in ask), "<f8").reshape(len(ask), -1)
             out = []
-            for i, found, scores in Forest(vectors, norm, trees).search(wanted, candidates, k + 1):
+            for i, found, scores in Forest(vectors, np.sqrt((vectors * vectors).sum(axis=1).max()), trees).search(wanted, candidates, k + 1):
                 own = ask[i][0]
                 best = sorted((-s, vid) for r, s in zip(found.tolist(), scores.tolist()) for vid in data[r][1] if vid != own)[:k]
                 out += [(own, vid, -s) for s, vid in best]

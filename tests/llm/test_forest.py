@@ -30,6 +30,22 @@ def test_recall_and_exact_scores(spark):
     assert np.mean(hits) >= 0.9
 
 
+def test_recall_with_production_parameters_on_uneven_norms(spark):
+    rng = np.random.default_rng(1)
+    for name, norms in (("lognormal", rng.lognormal(0, 1, 8192)), ("one long", np.where(np.arange(8192) == 7, 5.0, 1.0))):
+        x = rng.standard_normal((8192, 64))
+        x *= (norms / np.linalg.norm(x, axis=1))[:, None]
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        got = {}
+        for r in forest.nearest(df, df.where("vec_id % 200 = 0")).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        exact = x[::200] @ x.T
+        exact[np.arange(len(exact)), np.arange(0, 8192, 200)] = -np.inf
+        hits = [len(got[200 * j] & set(np.argsort(-s)[:20].tolist())) / 20 for j, s in enumerate(exact)]
+        print(name, "recall", round(float(np.mean(hits)), 3), "worst", min(hits))
+        assert np.mean(hits) >= 0.95 and min(hits) >= 0.75
+
+
 def test_equal_and_awkward_vectors(spark):
     rows = [(i, [1.0, 2.0, 0.5]) for i in range(100)] + [(100 + i, [float(i % 7), -1.0, float(i % 3) + 0.25]) for i in range(40)]
     bad = [(200, None), (220, [0.0, 0.0, 0.0]), (240, [1.0, None, 2.0]), (260, [float("nan"), 1.0, 1.0]), (280, [1.0, float("inf"), 0.0]),
