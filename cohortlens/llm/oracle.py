@@ -19,7 +19,7 @@ lines AS (
   SELECT doc_id, source, text, trim(regexp_replace(lower(raw), '{SPACES}', ' ', 'g')) AS line
   FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS raw FROM documents)),
 common AS (
-  SELECT source, line, min(doc_id) AS first_doc FROM lines WHERE line <> '' GROUP BY source, line HAVING count(DISTINCT text) > 10),
+  SELECT source, line, min(doc_id) AS first_doc FROM lines WHERE line <> '' GROUP BY source, line HAVING count(DISTINCT (doc_id, text)) > 10),
 removed AS (
   SELECT l.doc_id, sum(len(string_split(l.line, ' ')))::BIGINT AS n FROM lines l
   JOIN common c ON l.source IS NOT DISTINCT FROM c.source AND l.line = c.line WHERE l.doc_id <> c.first_doc GROUP BY l.doc_id),

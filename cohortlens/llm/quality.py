@@ -1,9 +1,9 @@
 """Quality rules: base measures of each text and cross-document line frequency.
 
 DataFrame functions only.  Normalised lines are hashed; for each host and line the distinct
-documents that hold it are counted, exact copies each on their own; a line in more than ``max_docs`` of them is removed from all
-but the host's smallest doc_id that has it; a document left with less than ``min_left`` of its
-words is rejected.  ``judge`` shuffles only hashes and counts, partially aggregated, never texts;
+documents that hold it are counted, exact copies each on their own; a line in more than
+``max_docs`` of them is removed from all but the host's smallest doc_id that has it; a document
+left with less than ``min_left`` of its words is rejected.  ``judge`` shuffles only hashes and counts, partially aggregated, never texts;
 ``keep_good`` gives the rows back without the removed lines.
 """
 
@@ -101,7 +101,8 @@ def _judged(docs: DataFrame, key: str = "doc_id", host: str = "source", text: st
     removed = hit.dropDuplicates(["doc_id", "host", "digest", "at"]) \
         .groupBy(F.col("doc_id").alias("d"), F.col("host").alias("h"), F.col("digest").alias("g")) \
         .agg(F.sum("words").alias("n_removed_words"), F.collect_list("at").alias("removed_at"))
-    base = base_measures(docs.withColumn("digest", F.xxhash64("text"))).drop("text")
+    # staged: a filter on the verdict then reads numbers instead of computing every measure again inside it
+    base = stages.write(base_measures(docs.withColumn("digest", F.xxhash64("text"))).drop("text"), "base")
     out = base.join(removed, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("host").eqNullSafe(F.col("h"))
                     & (F.col("digest") == F.col("g")), "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))

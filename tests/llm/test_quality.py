@@ -15,7 +15,7 @@ def brute(rows, max_docs=quality.MAX_DOCS, min_left=quality.MIN_LEFT):
     texts, first = collections.defaultdict(set), {}
     for i, t, _, s, *_ in rows:
         for x in lines(t):
-            texts[s, x].add(t)
+            texts[s, x].add((i, t))
             if i is not None:
                 first[s, x] = min(i, first.get((s, x), i))
     out = []
@@ -87,5 +87,12 @@ def test_exact_copies_count_as_documents(spark, rows):
     assert kept == [0, *range(20, 30), *[40] * 11]  # 11 copies: the first stays; 10 copies, or one row 11 times: all
 
 
+def test_verdict_can_be_filtered(spark):
+    rows = [(0, "same " * 5000, "s"), (1, " ".join(f"w{i}" for i in range(5000)), "s"), (2, None, "s")]
+    judged = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert [r.doc_id for r in judged.where("kept").collect()] == [1]
+    assert judged.where("base_failed and n_words > 10 and n_repeat_words = 5000").count() == 1
+
+
 def test_empty_table(no_docs):
     assert quality.judge(no_docs).count() == 0 and quality.keep_good(no_docs).count() == 0
