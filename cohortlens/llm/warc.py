@@ -139,7 +139,8 @@ def _record(data, at: int) -> tuple[dict, int] | str:
     strip = lambda k: head.get(k, "").strip("<>") or None
     size = len(payload) if payload is not None else int(n) if (n := head.get("payload-length", "")).isdigit() else None
     return {"record_id": strip("warc-record-id"), "record_type": head.get("warc-type"), "uri": strip("warc-target-uri"),
-            "refers_to": strip("warc-refers-to"), "payload_digest": digest or None, "payload_bytes": size, "payload": payload}, end + 4
+            "refers_to": strip("warc-refers-to"), "payload_digest": digest or None, "payload_bytes": size, "payload": payload,
+            "verified": want.startswith("sha1:")}, end + 4
 
 
 _VERSION = re.compile(re.escape(VERSION))
@@ -166,9 +167,9 @@ def _valid(data: memoryview, at: int):
     if data[at:at + 3] == MAGIC:
         text, end = _member(data, at)
         found = _inside(text)
-        if end is None and len(found) < 2:  # a broken member of one record is no record, whatever came out
-            return "gzip member broken"
-        if found and not any(x[0] == "record" for x in found):
+        if end is None and found and found[-1][0] == "record" and not found[-1][2]["verified"]:
+            found[-1] = ("gap", found[-1][1], 0, "gzip member broken")  # no digest tells whether its bytes are right
+        if not any(x[0] == "record" for x in found) and (found or end is None):
             return "gzip member broken" if end is None else found[0][3]
         if end is None:
             k = found.pop()[1] if found[-1][0] == "gap" else len(text)

@@ -60,12 +60,12 @@ def test_salvage_finds_later_records_and_logs_gaps(zipped):
     data = bytearray(b"".join(parts))
     data[at[2] + len(parts[2]) // 2] ^= 0xFF       # a damaged byte in record 2
     data[at[5]:at[5] + 3] = b"???"                 # record 5 loses its begin
-    data = bytes(data) + b"garbage" + parts[0][:-9]  # and the archive ends in a torn copy
+    data = bytes(data) + b"garbage" + parts[0][:-40]  # and the archive ends in a copy torn inside its record
     found = list(warc.salvage(data))
     ids = [x[3]["record_id"] for x in found if x[0] == "record"]
     assert ids == [f"urn:page:{i}" for i in (0, 1, 3, 4, 6, 7)]
     gaps = [(a, n) for kind, a, n, _ in found if kind == "gap"]
-    assert (at[2], len(parts[2])) in gaps and (at[5], len(parts[5])) in gaps and gaps[-1] == (at[8], 7 + len(parts[0]) - 9)
+    assert (at[2], len(parts[2])) in gaps and (at[5], len(parts[5])) in gaps and gaps[-1] == (at[8], 7 + len(parts[0]) - 40)
     assert sum(x[2] for x in found if x[0] == "gap") + sum(len(parts[i]) for i in (0, 1, 3, 4, 6, 7)) == len(data)  # every byte is told
 
 
@@ -108,6 +108,20 @@ def test_records_before_a_broken_place_are_kept(damage):
     assert gap[1] == 0 and gap[3].inner_offset is not None
 
 
+@pytest.mark.parametrize("trailer", ["cut", "flipped"])
+def test_only_record_of_a_member_with_a_broken_trailer_is_kept(trailer):
+    plain = records(3)
+    parts = [warc.gzip_member(r) for r in plain]
+    broken = parts[1][:-6] if trailer == "cut" else parts[1][:-7] + bytes([parts[1][-7] ^ 1]) + parts[1][-6:]
+    found = list(warc.salvage(parts[0] + broken + parts[2]))
+    assert [x[3]["record_id"] for x in found if x[0] == "record"] == [f"urn:page:{i}" for i in range(3)]
+    (gap,) = [x for x in found if x[0] == "gap"]
+    assert gap[1:3] == (len(parts[0]), 0) and gap[3].inner_offset == len(plain[1])
+    bare = b"\r\n".join(x for x in plain[1].split(b"\r\n") if b"lock-Digest" not in x and b"ayload-Digest" not in x)
+    found = list(warc.salvage(warc.gzip_member(bare)[:-6]))  # nothing tells whether its bytes are right
+    assert [x[0] for x in found] == ["gap"]
+
+
 def test_inner_offsets_are_told_by_the_reader(spark, tmp_path):
     plain = records(3)
     (tmp_path / "a").mkdir()
