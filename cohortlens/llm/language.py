@@ -21,7 +21,7 @@ from .util import mix, rows_by_bytes, schema_of
 GRAMS = 4
 PER_LANGUAGE = 300      # texts a language that are fitted on; a bound, whatever the input
 LANDMARKS = 64          # of those, a language
-LONGEST_FITTED = 20_000  # characters; longer texts are classified whole, but not fitted on
+LONGEST_FITTED = 20_000  # characters; longer texts are classified whole, and fitted on only where shorter ones are too few
 RIDGE = 1e-3
 UNKNOWN = "und"
 U = np.uint64
@@ -90,16 +90,23 @@ def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, ridg
 
 
 def training_sample(docs: DataFrame, learn: Column, text: str, lang: str, per_language: int = PER_LANGUAGE) -> list:
-    """At most ``per_language`` distinct texts (text, lang) of each language, those with the smallest hashes.
-
-    Hashes alone are ranked; the texts at or below a language's last hash are then read again."""
-    rows = docs.where(learn & F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) <= LONGEST_FITTED)) \
-        .select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.lit(7), text).alias("h"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    last = rows.select("lang", "h").distinct().withColumn("k", rank).where(F.col("k") <= per_language) \
-        .groupBy(F.col("lang").alias("l")).agg(F.max("h").alias("last"))
-    chosen = rows.join(last, (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("last")))
-    return chosen.groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("lang", "h").select("text", "lang").collect()
+    """At most ``per_language`` distinct texts (text, lang) of each language: texts of at most ``LONGEST_FITTED``
+    characters first, then longer ones, each by the smallest hash, while a language's texts together have at
+    most ``per_language * LONGEST_FITTED`` characters; the first text comes in any case, so that every
+    language is learned.
+
+    Hashes alone are ranked; the texts up to a language's last one are then read again, where they are: the
+    ranks (a row per language, as the model has) go to them."""
+    rows = docs.where(learn & F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
+        F.col(text).alias("text"), F.col(lang).alias("lang"), F.length(text).alias("size"),
+        F.struct((F.length(text) > LONGEST_FITTED).alias("long"), F.xxhash64(F.lit(7), text).alias("h")).alias("at"))
+    order = Window.partitionBy("lang").orderBy("at")
+    first = rows.select("lang", "at", "size").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language)
+    last = first.withColumn("total", F.sum("size").over(order)) \
+        .where((F.col("k") == 1) | (F.col("total") <= per_language * LONGEST_FITTED)) \
+        .groupBy(F.col("lang").alias("l")).agg(F.max("at").alias("last"))
+    chosen = rows.join(F.broadcast(last), (F.col("lang") == F.col("l")) & (F.col("at") <= F.col("last")))
+    return chosen.groupBy("lang", "at").agg(F.min("text").alias("text")).orderBy("lang", "at").select("text", "lang").collect()
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

@@ -28,6 +28,22 @@ def test_awkward_documents(docs, rows, no_docs):
     assert language.identify(no_docs).count() == 0
 
 
+def test_a_language_of_long_texts_alone_is_learned(spark):
+    from pyspark.sql import functions as F
+
+    rnd = __import__("random").Random(2)
+    say = lambda letters, n: " ".join("".join(rnd.choices(letters, k=5)) for _ in range(n))
+    rows = [(i, say("abcdef", 40), "short") for i in range(12)] + [(20 + i, say("uvwxyz", 5000), "long") for i in range(3)] \
+        + [(30, say("abcdef", 9000), "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    chosen = language.training_sample(df, F.lit(True), "text", "lang", per_language=12)
+    assert {r["lang"] for r in chosen} == {"short", "long"} and sum(r["lang"] == "short" for r in chosen) == 12
+    assert all(len(r["text"]) < 1000 for r in chosen if r["lang"] == "short")  # longer ones come after all shorter ones
+    (one,) = language.training_sample(df.where("lang = 'long'"), F.lit(True), "text", "lang", per_language=1)
+    assert len(one["text"]) > language.LONGEST_FITTED
+    assert {r.lang_pred for r in language.identify(df).where("doc_id between 20 and 22").collect()} == {"long"}
+
+
 def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(i, "some text", None) for i in range(8)], "doc_id long, text string, lang string")
     assert {r.lang_pred for r in language.identify(df).collect()} == {"und"}
