@@ -202,9 +202,9 @@ def near_forest(sizes: np.ndarray, sketches: list[bytes]) -> list[tuple[int, int
 
 
 def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``doc_id, n_shingles, digest, fp, sketch`` (the last three null for a text without words) of each row."""
-    src = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    schema = schema_of(src.select("doc_id"), n_shingles="long", digest="binary", fp="long", sketch="binary")
+    """``doc_id, text_hash, n_shingles, digest, fp, sketch`` (the last three null for a text without words) of each row."""
+    src = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    schema = schema_of(src.select("doc_id", "text_hash"), n_shingles="long", digest="binary", fp="long", sketch="binary")
 
     def run(batches):
         shingles = Shingles()
@@ -212,7 +212,7 @@ def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
             sets = shingles.sets(b.column("text"))
             names = [digest(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()),
+                [b.column("doc_id"), b.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()),
                  pa.array([None if d is None else short_hash(d) for d in names], pa.int64()),
                  pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())], names=schema.names)
 
@@ -356,6 +356,11 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     its own key; a text of fewer than five words is one shingle; equal and repeated rows link with each
     other; a null key is never the smallest unless all are null; an empty table gives no rows.  Only the
     two named columns are read."""
+    return _classed(docs, key, text, block).select("doc_id", "n_shingles", "component_id")
+
+
+def _classed(docs: DataFrame, key: str, text: str, block: int) -> DataFrame:
+    """The columns of ``similarity_classes``, text_hash, and c: what stands for the class (null without a set)."""
     stages = Stages(docs.sparkSession, "jaccard")
     rows = stages.write(classes(docs, key, text), "classes")
     edges = stages.write(links(docs, rows, text, stages, block), "edges")
@@ -363,16 +368,21 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     per = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("least"))
     per = stages.write(per.join(comp, per["digest"] == comp["v"], "left").select("digest", "least", F.coalesce("c", "digest").alias("c")), "sets")
     least = per.groupBy("c").agg(F.min("least").alias("component_id"))
-    named = per.join(least, "c").select(F.col("digest").alias("d"), "component_id")
+    named = per.join(least, "c").select(F.col("digest").alias("d"), "component_id", "c")
     return rows.join(named, rows["digest"] == named["d"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        "doc_id", "text_hash", "n_shingles", "c",
+        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def keep_first(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row of each class of near duplicates (with doc_id, text): that of the smallest doc_id.
 
-    Rows without a doc_id cannot be named and stay."""
-    keep = similarity_classes(docs, block=block).where("doc_id = component_id").select(F.col("doc_id").alias("d")).distinct()
-    rows = boxed(docs, doc_id=F.col("doc_id"))
-    named = rows.join(keep, F.col("doc_id") == F.col("d"), "left_semi").dropDuplicates(["doc_id"])
+    Texts that share a doc_id but no class are classes of their own and all stay; within a class the row of
+    the smallest text hash stands for an id that comes twice.  Rows without a doc_id cannot be named and stay."""
+    told = _classed(docs, "doc_id", "text", block).where("doc_id = component_id")
+    keep = told.groupBy(F.col("doc_id").alias("d"), F.coalesce("c", F.col("text_hash").cast("string").cast("binary")).alias("c")) \
+        .agg(F.min("text_hash").alias("h")).select("d", "h")
+    rows = boxed(docs, doc_id=F.col("doc_id"), text_hash=F.xxhash64("text"))
+    named = rows.join(keep, (F.col("doc_id") == F.col("d")) & (F.col("text_hash") == F.col("h")), "left_semi") \
+        .dropDuplicates(["doc_id", "text_hash"])
     return named.unionByName(rows.where("doc_id is null")).select("row.*")

@@ -95,3 +95,12 @@ def test_keep_first_and_empty_table(spark, docs, rows, no_docs):
     want = {r[0] for r in brute(rows) if r[0] is not None and r[0] == r[2]}
     assert sorted(i for i in kept if i is not None) == sorted(want) and kept.count(None) == 2
     assert jaccard.similarity_classes(no_docs).count() == 0
+
+
+def test_keep_first_keeps_every_class_of_one_id(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a, "x"), (1, b, "y"), (1, b, "y"), (2, a, "z"), (3, "", None), (3, " ", None), (3, None, None), (1, a + " more", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [(r.doc_id, r.text) for r in jaccard.keep_first(df).collect()]
+    assert len(got) == 5 and {(1, b), (3, ""), (3, " "), (3, None)} < set(got)
+    assert sum(t in (a, a + " more") for _, t in got) == 1  # one class, one id: one row
