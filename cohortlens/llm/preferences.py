@@ -87,11 +87,5 @@ def last_turn_pairs(conversations: DataFrame, trained: str = "assistant") -> Dat
     return _formatted(whole.select("pair_id", "c", said.alias("r")), trained)
 
 
-def adjacent_pairs(conversations: DataFrame) -> DataFrame:
-    """Turns of a table without preferences as pairs: conversation 2k is the chosen, 2k + 1 the rejected of pair k."""
-    return conversations.select(F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id"),
-                                (F.pmod("conv_id", F.lit(2)) == 0).alias("chosen"), "turn", "role", "text")
-
-
 def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string"))), ",")

@@ -31,13 +31,8 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of neighbouring conversations (2k chosen, 2k + 1 rejected): the table holds no preferences."""
-    made = preferences.format_pairs(preferences.adjacent_pairs(table(spark, sf_dir, "conversations")))
-    return made.withColumns({c: preferences.spans_text(F.col(c)) for c in ("chosen_spans", "rejected_spans")})
-
-
-def op3_last_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each conversation against itself with another last assistant turn: pairs that share turns."""
+    """Each conversation against itself with another last assistant turn: pairs that share turns, as the
+    table holds no preferences."""
     made = preferences.last_turn_pairs(table(spark, sf_dir, "conversations"))
     return made.withColumns({c: preferences.spans_text(F.col(c)) for c in ("chosen_spans", "rejected_spans")})
 
@@ -79,6 +74,3 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_packing, op3_preferences, op4_suffix_dedup, op5_sharding, op6_warc, op7_language, op8_hash_forest,
     op9_mixing, op10_jaccard_join)}
-
-#: Registered besides those: a second query of an operator.
-MORE = {"op3_last_turns": op3_last_turns}

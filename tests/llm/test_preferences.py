@@ -6,9 +6,7 @@ import sys
 sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "..", "tools"))
 
 from cohortlens.llm import preferences  # noqa: E402
-from cohortlens.llm.oracle import MORE as MORE_ORACLE  # noqa: E402
-from cohortlens.llm.queries import MORE  # noqa: E402
-from oracle_check import duck, rows_key  # noqa: E402
+from cohortlens.llm.queries import QUERIES  # noqa: E402
 
 SCHEMA = "pair_id long, chosen boolean, turn long, role string, text string, c string, r string, n_common string"
 
@@ -62,13 +60,6 @@ def test_pairs_equal_brute_force(spark):
     assert preferences.format_pairs(df.limit(0)).count() == 0
 
 
-def test_adjacent_conversations(spark):
-    df = spark.createDataFrame([(4, 0, "user", "q"), (5, 0, "user", "q"), (5, 1, "assistant", "a"), (7, 0, "user", "x"), (None, 0, "user", "n")],
-                               "conv_id long, turn long, role string, text string")
-    got = preferences.format_pairs(preferences.adjacent_pairs(df)).collect()
-    assert [(r.pair_id, r.n_common, r.chosen) for r in got] == [(2, 1, "")]
-
-
 def test_last_turn_pairs_share_all_before(spark):
     rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a1"), (1, 2, "user", "more"), (1, 3, "assistant", "a2"), (1, 4, "user", "thanks"),
             (7, 0, "user", "x"), (9, None, None, None), (9, 1, "assistant", "b"), (5000, 0, "assistant", "alone"), (None, 0, "user", "n")]
@@ -81,8 +72,7 @@ def test_last_turn_pairs_share_all_before(spark):
     assert preferences.last_turn_pairs(df.limit(0)).count() == 0
 
 
-def test_last_turn_query_equals_sql(spark, sf_dir):
-    res = duck(sf_dir).sql(MORE_ORACLE["op3_last_turns"])
-    got = MORE["op3_last_turns"](spark, sf_dir).select(*res.columns).collect()
-    assert rows_key([tuple(r) for r in got]) == rows_key(res.fetchall())
+def test_query_pairs_share_turns(spark, sf_dir):
+    got = QUERIES["op3_preferences"](spark, sf_dir).collect()
     assert any(r.n_common and r.chosen != r.rejected for r in got)
+    assert len(got) == spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id").distinct().count()
