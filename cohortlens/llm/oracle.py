@@ -117,4 +117,87 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) r ON r.x = d.doc_id
 """
 
-ORACLE = {"op1_quality_rules": OP1, "op3_preferences": OP3, "op4_suffix_dedup": OP4, "op6_warc": OP6, "op10_jaccard_join": OP10}
+OP11 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+l AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+docs AS (
+  SELECT d.part, quality = 1 AS good, toxic = 1 AS toxic,
+    array_to_string([CASE WHEN len(words) < 200 THEN 'A' ELSE '' END,
+      CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END,
+      CASE WHEN 100 * length(regexp_replace(d.t, '[^A-Z]', '', 'g')) > 3 * length(d.t) THEN 'C' ELSE '' END,
+      CASE WHEN regexp_matches(d.t, '[#$%&*|]') THEN 'D' ELSE '' END,
+      CASE WHEN d.doc_id > first THEN 'E' ELSE '' END], '') AS fails
+  FROM d JOIN firsts f ON f.t = d.t LEFT JOIN l ON l.doc_id = d.doc_id),
+cells AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM docs GROUP BY ALL),
+orders AS (
+  SELECT '' AS o UNION ALL
+  SELECT o || f FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f) WHERE length(o) < 5 AND NOT contains(o, f)),
+steps AS (
+  SELECT o AS filter_order, step::INTEGER AS step, substr(o, step, 1) AS f, substr(o, 1, step - 1) AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS step) WHERE length(o) = 5),
+told AS (
+  SELECT part, filter_order, step, f,
+    sum(CASE WHEN translate(fails, before || f, '') = fails THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN translate(fails, before, '') = fails AND contains(fails, f) THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN translate(fails, before, '') <> fails AND contains(fails, f) THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN fails = f THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN translate(fails, before, '') = fails AND contains(fails, f) THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN translate(fails, before, '') = fails AND contains(fails, f) THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley
+FROM told
+"""
+
+
+OP12 = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)
+  WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+classes AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT vec_id, (SELECT count(*) FROM links WHERE x = vec_id)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN classes ON x = vec_id
+"""
+
+
+def _rounds(n: int) -> str:
+    """CTEs of assignment and movement: centroids c0 (given) to c<n>, nearest centroids a0 to a<n>."""
+    out = []
+    for i in range(n + 1):
+        out.append(f"""
+d{i} AS (SELECT v.rid, c.cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance FROM v JOIN c{i} c ON c.d = v.d GROUP BY ALL),
+a{i} AS (SELECT rid, min_by(cluster, (distance, cluster)) AS cluster, min(distance) AS distance FROM d{i} GROUP BY rid)""")
+        if i < n:
+            out.append(f"""
+m{i} AS (SELECT a.cluster, v.d, sum(v.x)::BIGINT AS s, count(*) AS n FROM a{i} a JOIN v ON v.rid = a.rid GROUP BY ALL),
+c{i + 1} AS (
+  SELECT c.cluster, c.d, CASE WHEN n IS NULL THEN c.x WHEN s >= 0 THEN s // n ELSE -((n - 1 - s) // n) END AS x
+  FROM c{i} c LEFT JOIN m{i} m ON m.cluster = c.cluster AND m.d = c.d)""")
+    return ",".join(out)
+
+
+OP13 = rf"""
+WITH kept AS (
+  SELECT row_number() OVER () AS rid, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+v AS MATERIALIZED (
+  SELECT rid, unnest(range(1, 65)) AS d, unnest(list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT)) AS x FROM kept),
+starts AS (
+  SELECT rid, (row_number() OVER (ORDER BY sha256('1:' || vec_id), embedding) - 1)::INTEGER AS cluster FROM kept
+  ORDER BY cluster LIMIT 16),
+c0 AS (SELECT s.cluster, v.d, v.x FROM starts s JOIN v ON v.rid = s.rid),{_rounds(3)},
+digests AS (SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM c3 GROUP BY cluster)
+SELECT k.vec_id, a.cluster, a.distance, (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+  (sum(a.distance) OVER ())::BIGINT AS inertia, g.centroid_sha256
+FROM a3 a JOIN kept k ON k.rid = a.rid JOIN digests g ON g.cluster = a.cluster
+"""
+
+ORACLE = {"op1_quality_rules": OP1, "op3_preferences": OP3, "op4_suffix_dedup": OP4, "op6_warc": OP6, "op10_jaccard_join": OP10, "op11_filter_audit": OP11,
+          "op12_embedding_neardup": OP12, "op13_centroid_clustering": OP13}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import forest, jaccard, language, mixing, packing, preferences, quality, sharding, suffixes, warc
+from . import audit, centroids, forest, jaccard, language, mixing, neardup, packing, preferences, quality, sharding, suffixes, warc
 from .util import Stages
 
 
@@ -71,6 +71,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_classes(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_packing, op3_preferences, op4_suffix_dedup, op5_sharding, op6_warc, op7_language, op8_hash_forest,
-    op9_mixing, op10_jaccard_join)}
+    op9_mixing, op10_jaccard_join, op11_filter_audit, op12_embedding_neardup, op13_centroid_clustering)}

@@ -13,7 +13,7 @@ from oracle_check import duck, rows_key  # noqa: E402
 
 
 def test_one_query_of_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(set(ORACLE) - {"op4_suffix_dedup"}))
@@ -30,6 +30,9 @@ CONTRACT = {
     "op5_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op7_language": ["doc_id", "held_out", "lang_pred", "score"],
     "op8_hash_forest": ["query_id", "rank", "vec_id", "score"],
+    "op11_filter_audit": ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"],
+    "op12_embedding_neardup": ["vec_id", "n_links", "component_id", "kept"],
+    "op13_centroid_clustering": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
     "op9_mixing": ["doc_id", "size", "source_size", "target", "taken"],
 }
 
