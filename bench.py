@@ -6,9 +6,10 @@ prints ONE JSON line: {"metric", "value" (total seconds), "unit", "queries": {..
 Stages timed (each forces its result with an action):
   respondents_clean   respondents view + cleaning, written once as Parquet
   funnel              rows left after each cleaning step (one scan)
-  features            counts + 22 indicators + z-scored vectors (checkpointed)
-  k_sweep             K-Means k=2..8 (maxIter 20) with WSSSE and silhouette
-  kmeans_fit          final K-Means k=3 (maxIter 40) + labelling, written as Parquet
+  features            counts + 22 indicators (checkpointed)
+  k_sweep             K-Means k=2..8 (at most 20 steps) with WSSSE and silhouette
+  kmeans_fit          final K-Means k=3 (at most 40 steps, going on from the sweep's, as the pipeline does),
+                      its score + labelling, written as Parquet
   impact_report       the 12 cohort tables
   deep_dive           the 7 confounder-control tables (incl. OLS)
   fixed_stages        the shared tables of the fixed_* queries, built once
@@ -24,23 +25,25 @@ import sys
 import tempfile
 import time
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+ROOT = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, ROOT)
+# Python workers import the library too, whatever folder this runs in
+os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, os.environ.get("PYTHONPATH")) if p)
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    from pyspark import StorageLevel
 
-    from cohortlens.operators import cluster
+    from cohortlens.operators import lloyd
     from cohortlens.operators.clean import clean, clean_funnel
     from cohortlens.operators.features import add_bins, build_features
     from cohortlens.plans import queries as Q
     from cohortlens.plans import report, stages
-    from cohortlens.plans.stages import checkpointed, vector_features
+    from cohortlens.plans.stages import checkpointed
     from cohortlens.session import get_session
     from cohortlens.sources.respondents import respondents
-    from cohortlens.spec import CLUSTER_FEATURES, RANK_FEATURE
+    from cohortlens.spec import CLUSTER_FEATURES
 
     # intermediate tables go here; on a cluster the session names a shared folder
     shared = tempfile.mkdtemp(prefix="cohortlens-bench-")
@@ -58,22 +61,19 @@ def main() -> None:
     n_clean = clean_df.count()
     timed("funnel", lambda: clean_funnel(raw).collect())
 
-    def feats():
-        f = checkpointed(build_features(clean_df), "features")
-        laid = cluster.stable_layout(f, "ResponseId").persist(StorageLevel.MEMORY_AND_DISK)
-        scaled, _ = vector_features(laid)
-        scaled.count()
-        return scaled
+    feats = timed("features", lambda: checkpointed(build_features(clean_df), "features"))
+    models = {}
 
-    scaled = timed("features", feats)
-    timed("k_sweep", lambda: cluster.k_sweep(scaled.select("features"), range(2, 9), max_iter=20).collect())
+    def sweep():
+        models.update(lloyd.fit(feats, range(2, 9), CLUSTER_FEATURES, "ResponseId", max_iter=20))
+        return lloyd.sweep_table(feats, models).collect()
+
+    timed("k_sweep", sweep)
 
     def fit():
-        model = cluster.fit_kmeans(scaled, 3, max_iter=40)
-        centroids = cluster.centroid_table(spark, model, CLUSTER_FEATURES)
-        labels = cluster.label_table(centroids, RANK_FEATURE)
-        lab = add_bins(cluster.label_clusters(model.transform(scaled), labels)).drop("features_raw", "features")
-        return checkpointed(lab, "labelled")
+        named, model, _, _ = stages.labelled_kmeans(feats, 3, max_iter=40, go_on={3: models[3]})
+        lloyd.score(feats, {3: model}).collect()
+        return checkpointed(add_bins(named), "labelled")
 
     labelled = timed("kmeans_fit", fit)
     timed("impact_report", lambda: [t.collect() for t in report.impact_report(labelled).values()])

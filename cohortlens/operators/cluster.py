@@ -1,4 +1,5 @@
-"""Clustering: K-Means fit and sweep, nearest-centre assignment, WSSSE, silhouette, labels.
+"""Clustering: nearest-centre assignment, WSSSE, silhouette, labels, and the library's K-Means fit
+(``lloyd`` has the fits of the report).
 
 Centres are k rows, so they travel as ONE packed row (``array<struct>``) broadcast to every
 task; distances, the arg-min, the WSSSE and the silhouette are then column arithmetic over
@@ -146,36 +147,6 @@ def evaluate_silhouette(predictions: DataFrame, features_col: str = "features",
                                metricName="silhouette", distanceMeasure="squaredEuclidean").evaluate(predictions)
 
 
-def k_sweep(df: DataFrame, ks: Sequence[int] = range(2, 9), seed: int = 42, max_iter: int = 20,
-            features_col: str = "features", parallelism: int = 4) -> DataFrame:
-    """Elbow / silhouette table ``(k, wssse, silhouette, delta_cost)`` over one input.
-
-    Each k is a distributed iterative fit plus one silhouette pass.  The fits are
-    independent, so up to ``parallelism`` of them run as concurrent Spark jobs (as
-    ``pyspark.ml.tuning`` does): one fit's small per-iteration jobs leave most of a cluster
-    idle.  The metrics (one row per k) come back as a DataFrame; ``delta_cost`` = previous
-    k's WSSSE minus this one (0 for the first k), via ``lag`` over the k-ordered table.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.util import inheritable_thread_target
-
-    spark = df.sparkSession
-
-    def one(k):
-        model = fit_kmeans(df, k, seed=seed, max_iter=max_iter, features_col=features_col,
-                           prediction_col="__kp")
-        sil = evaluate_silhouette(model.transform(df), features_col, "__kp")
-        return (int(k), float(model.summary.trainingCost), float(sil))
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(inheritable_thread_target(spark)(one), list(ks)))
-    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("wssse", T.DoubleType()),
-                           T.StructField("silhouette", T.DoubleType())])
-    t = spark.createDataFrame(rows, schema)
-    return with_delta_cost(t)
-
-
 def with_delta_cost(t: DataFrame, k: str = "k", cost: str = "wssse") -> DataFrame:
     """``delta_cost = lag(cost) - cost`` ordered by k; 0 for the first row."""
     w = Window.orderBy(k)

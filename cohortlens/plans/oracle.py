@@ -13,7 +13,7 @@ from ..sources.respondents import respondents_cte
 from ..spec import (AI_ACC_LEVELS, AI_SELECT_LEVELS, AI_SENT_LEVELS, AI_THREAT_LEVELS, AI_TOOLS,
                     ARCHETYPE_ORDER, CLUSTER_FEATURES, CORRELATION_COLUMNS, CORRELATION_DISPLAY_ORDER,
                     COUNTRY_SHORT_NAMES, LANGUAGES, MAIN_BRANCH_ALIASES, MAIN_BRANCH_VALUES,
-                    ORG_SIZE_LEVELS, OTHER_ANSWER, REGRESSION_FEATURES, REMOTE_WORK_VALUES, USAGE_BINS)
+                    ORG_SIZE_LEVELS, OTHER_ANSWER, RANK_FEATURE, REGRESSION_FEATURES, REMOTE_WORK_VALUES, USAGE_BINS)
 
 USAGE = [label for label, _ in USAGE_BINS]
 Z = ["z_" + c for c in CLUSTER_FEATURES]
@@ -283,6 +283,48 @@ def silhouette_sql(src: str, pred: str, cols: list[str]) -> str:
     return cs + ", " + pd_ + ", " + pt + "\n" + body
 
 
+def kmeans_ctes(src: str, key: str, cols: list[str], ks: list[int], max_iter: int, seed: int = 42) -> list[str]:
+    """K-Means from hash-chosen starts as a recursive query: ``pts``, ``scales`` (m_*, s_*, w_*), ``moves`` (all
+    steps), ``models`` (the last one) and ``own`` (nearest centre of each point under it)."""
+    d = range(len(cols))
+    xs, d2 = ", ".join(f"x{i}" for i in d), " + ".join(f"w{i} * ((p.x{i} - c.c{i}) * (p.x{i} - c.c{i}))" for i in d)
+    nearest = ("SELECT k, id, min_by(j, (dist, j)) AS j, min(dist) AS dist FROM "
+               f"(SELECT c.k, c.j, p.id, {d2} AS dist FROM {{c}} c CROSS JOIN pts p CROSS JOIN scales) GROUP BY k, id")
+    step = (f"SELECT it.step + 1, it.k, it.j, " + ", ".join(f"CASE WHEN n IS NULL THEN c{i} ELSE t{i} / n END" for i in d)
+            + " FROM moves it LEFT JOIN (SELECT a.k, a.j, CAST(count(*) AS DOUBLE) AS n, "
+            + ", ".join(f"CAST(sum(x{i}) AS DOUBLE) AS t{i}" for i in d)
+            + f" FROM ({nearest.format(c='moves')}) a JOIN pts ON pts.id = a.id GROUP BY a.k, a.j) s ON s.k = it.k AND s.j = it.j "
+            + f"WHERE it.step < {max_iter}")
+    return [
+        f"pts AS MATERIALIZED (SELECT {key} AS id, " + ", ".join(f"CAST({c} AS BIGINT) AS x{i}" for i, c in enumerate(cols))
+        + f" FROM {src} WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols) + ")",
+        "scales AS MATERIALIZED (SELECT *, " + ", ".join(f"CASE WHEN s{i} = 0 THEN 0.0 ELSE 1 / (s{i} * s{i}) END AS w{i}" for i in d)
+        + " FROM (SELECT " + ", ".join(
+            f"CAST(sum(x{i}) AS DOUBLE) / count(*) AS m{i}, sqrt(CAST(count(*) * sum(x{i} * x{i}) - sum(x{i}) * sum(x{i}) AS DOUBLE) "
+            f"/ (CAST(count(*) AS DOUBLE) * (count(*) - 1))) AS s{i}" for i in d) + " FROM pts))",
+        f"starts AS (SELECT row_number() OVER (ORDER BY min(sha256('{seed}:' || id))) - 1 AS j, {xs} FROM pts GROUP BY {xs})",
+        "moves AS (SELECT 0 AS step, k, CAST(j AS INTEGER) AS j, " + ", ".join(f"CAST(x{i} AS DOUBLE) AS c{i}" for i in d)
+        + f" FROM starts JOIN (SELECT unnest({list(ks)}) AS k) ON j < k UNION ALL {step})",
+        f"models AS MATERIALIZED (SELECT * FROM moves WHERE step = {max_iter})",
+        f"own AS MATERIALIZED ({nearest.format(c='models')})"]
+
+
+def kmeans_sweep_ctes(d: int) -> list[str]:
+    """``sweep``: k, wssse and silhouette of the models, from each cluster's sums."""
+    norm = " + ".join(f"w{i} * x{i} * x{i}" for i in range(d))
+    dot = " + ".join(f"w{i} * p.x{i} * s.t{i}" for i in range(d))
+    return [
+        "sums AS (SELECT k, j, count(*) AS n, " + ", ".join(f"sum(x{i}) AS t{i}" for i in range(d))
+        + f", sum({norm}) AS q FROM own JOIN pts USING (id) CROSS JOIN scales GROUP BY k, j)",
+        f"apart AS (SELECT o.k, o.id, o.j, s.j AS other, s.n, ({norm}) + s.q / s.n - 2 * ({dot}) / s.n AS dis "
+        "FROM own o JOIN pts p USING (id) JOIN sums s ON s.k = o.k CROSS JOIN scales)",
+        "each AS (SELECT k, id, max(CASE WHEN other = j THEN n END) AS n, max(CASE WHEN other = j THEN dis * n / (n - 1) END) AS a, "
+        "min(CASE WHEN other <> j THEN dis END) AS b FROM apart GROUP BY k, id)",
+        "sweep AS (SELECT k, wssse, silhouette FROM (SELECT k, avg(CASE WHEN n <= 1 THEN 0.0 WHEN greatest(a, b) > 0 "
+        "THEN (b - a) / greatest(a, b) ELSE 0.0 END) AS silhouette FROM each GROUP BY k) "
+        "JOIN (SELECT k, sum(dist) AS wssse FROM own GROUP BY k) USING (k))"]
+
+
 def position_sql(col: str, order: list[str]) -> str:
     arr = "[" + ", ".join(lit(v) for v in order) + "]"
     return f"CAST(list_position({arr}, {col}) AS INTEGER)"
@@ -453,6 +495,24 @@ def build() -> dict[str, str]:
         f"{position_sql('archetype', ARCHETYPE_ORDER)} AS position "
         "FROM bt JOIN bq USING (archetype) GROUP BY archetype, q1, median, q3")
 
+    def recursive(ctes):
+        return upto("feat", ctes).replace("WITH ", "WITH RECURSIVE ", 1)
+
+    n_features, rank = len(CLUSTER_FEATURES), CLUSTER_FEATURES.index(RANK_FEATURE)
+    q["k_sweep"] = recursive(kmeans_ctes("feat", "ResponseId", CLUSTER_FEATURES, list(range(2, 9)), 20) + kmeans_sweep_ctes(n_features)) + (
+        f"SELECT k, {rsig('wssse', 8)} AS wssse, {rhu('silhouette', 8)} AS silhouette, "
+        f"{rhu('coalesce(lag(wssse) OVER (ORDER BY k) - wssse, 0.0)', 3)} AS delta_cost FROM sweep")
+    final = kmeans_ctes("feat", "ResponseId", CLUSTER_FEATURES, [3], 40) + [
+        "zc AS (SELECT j, " + ", ".join(f"CASE WHEN s{i} = 0 THEN 0.0 ELSE (c{i} - m{i}) / s{i} END AS z{i}" for i in range(n_features))
+        + " FROM models CROSS JOIN scales)",
+        "named AS (SELECT *, CASE r WHEN 1 THEN 'Traditional Engineer' WHEN 2 THEN 'AI Experimenter' ELSE 'AI Power User' END AS archetype "
+        f"FROM (SELECT *, row_number() OVER (ORDER BY z{rank}, j) AS r FROM zc))"]
+    q["kmeans_final"] = recursive(final) + ("SELECT o.j AS prediction, archetype, count(*) AS count FROM own o JOIN named n ON n.j = o.j "
+                                            "GROUP BY o.j, archetype")
+    from ..operators.figures import CENTROID_DISPLAY
+    q["centroid_heatmap"] = recursive(final) + "SELECT archetype, " + ", ".join(
+        f"{rhu(f'z{i}', 3)} AS {c}" for i, c in enumerate(CENTROID_DISPLAY)) + f", {position_sql('archetype', ARCHETYPE_ORDER)} AS position FROM named"
+
     # the same operators on the driver tables
     q["orders_price_summary"] = ("SELECT o_orderpriority, count(o_totalprice) AS n, "
                                  f"{rhu('avg(o_totalprice)', 2)} AS mean_price, {rhu('stddev_samp(o_totalprice)', 2)} AS stddev_price, "

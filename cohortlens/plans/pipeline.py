@@ -2,10 +2,9 @@
 
 Materialisation points, each chosen for a reason:
 
-* the feature table is written to ``spark.checkpoint.dir``: the fits make dozens of passes
-  over it, and a lost executor then re-reads files instead of re-running scan and cleaning;
-* the features in their fixed layout (hash of the respondent id) are persisted for the fits,
-  which then repeat on any input layout and number of cores;
+* the feature table is written to ``spark.checkpoint.dir``: the fits read its feature columns
+  once per step, and a lost executor re-reads files instead of re-running scan and cleaning;
+  partitions follow the files, and the fits do not depend on them;
 * the labelled table is written once (Parquet, same folder) for the report tables, so
   each report scan reads only the columns it needs.
 """
@@ -15,10 +14,9 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from ..operators import cluster
+from ..operators import lloyd
 from ..operators.clean import clean, clean_funnel
 from ..operators.features import add_bins, build_features
 from ..operators.figures import centroid_heatmap
@@ -26,12 +24,12 @@ from ..sources.sinks import write_labelled, write_tables
 from ..spec import SURVEY, SurveySpec
 from ..session import discard
 from . import report
-from .stages import checkpointed, vector_features
+from .stages import checkpointed, labelled_kmeans
 
 
 def run(source: DataFrame, spec: SurveySpec = SURVEY, k: int = 3, ks: Sequence[int] | None = range(2, 9),
         out_dir: str | None = None, fmt: str = "parquet", quantile_method: str = "bracketed",
-        seed: int = 42, layout_key: str | None = None) -> dict[str, DataFrame]:
+        seed: int = 42, key: str | None = None) -> dict[str, DataFrame]:
     """Run the whole analysis over ``source`` (raw survey rows).
 
     Returns every result table by name; with ``out_dir`` they are also written (one folder
@@ -40,20 +38,14 @@ def run(source: DataFrame, spec: SurveySpec = SURVEY, k: int = 3, ks: Sequence[i
     spark = source.sparkSession
     tables: dict[str, DataFrame] = {"clean_funnel": clean_funnel(source, spec)}
     feats = checkpointed(build_features(clean(source, spec), spec), "features")
-    laid = cluster.stable_layout(feats, layout_key or spec.id_col).persist(StorageLevel.MEMORY_AND_DISK)
-    scaled, _ = vector_features(laid, spec.cluster_features)
+    key, columns = key or spec.id_col, spec.cluster_features
+    models = lloyd.fit(feats, ks, columns, key, max_iter=20, seed=seed) if ks else {}
     if ks:
-        tables["k_sweep"] = cluster.k_sweep(scaled.select("features"), ks, seed=seed, max_iter=20)
-    model = cluster.fit_kmeans(scaled, k, seed=seed, max_iter=40)
-    centroids = cluster.centroid_table(spark, model, spec.cluster_features)
-    labels = cluster.label_table(centroids, spec.rank_feature)
-    assigned = model.transform(scaled)
-    score = cluster.evaluate_silhouette(assigned)
-    tables["final_model"] = spark.createDataFrame([(k, float(model.summary.trainingCost), float(score))],
-                                                  "k int, wssse double, silhouette double")
-    labelled = checkpointed(add_bins(cluster.label_clusters(assigned, labels), spec)
-                            .drop("features_raw", "features"), "labelled")
-    laid.unpersist()
+        tables["k_sweep"] = lloyd.sweep_table(feats, models)
+    named, model, centroids, labels = labelled_kmeans(feats, k, seed, 40, key, columns, spec.rank_feature,
+                                                      {k: models[k]} if k in models else None)
+    tables["final_model"] = lloyd.score(feats, {k: model})
+    labelled = checkpointed(add_bins(named, spec), "labelled")
     tables["centroids"] = centroid_heatmap(centroids, labels, features=spec.cluster_features)
     tables.update(report.impact_report(labelled, quantile_method, spec))
     tables.update(report.deep_dive(labelled, quantile_method, spec))

@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from ..functions.multivalue import count_items, multi_hot
 from ..functions.recode import bucketize, first_item, ordinal_encode, recode_sentinels, round_half_up, round_sig
-from ..operators import cluster, crosstab, figures, stats
+from ..operators import cluster, crosstab, figures, lloyd, stats
 from ..operators.clean import clean_funnel, employed_full_time, in_open_range, select_survey
 from ..operators.summary import Measure, summarize
 from ..sources.respondents import raw_survey_shape, respondents
 from ..sources.tables import read_table
-from ..spec import (AI_ACC_LEVELS, AI_SELECT_LEVELS, AI_SENT_LEVELS, AI_THREAT_LEVELS, AI_TOOLS,
+from ..spec import (AI_ACC_LEVELS, AI_SELECT_LEVELS, AI_SENT_LEVELS, AI_THREAT_LEVELS, AI_TOOLS, CLUSTER_FEATURES,
                     CORRELATION_COLUMNS, CORRELATION_DISPLAY_ORDER, EXPERIENCE_BINS, LANGUAGES,
                     ORG_SIZE_LEVELS, OTHER_ANSWER, REGRESSION_FEATURES, REGRESSION_LABEL,
                     SALARY_BOUNDS, SURVEY, UNKNOWN_ROLE, USAGE_BINS, YEARS_SENTINELS)
@@ -319,27 +319,22 @@ def q_ols_marks(spark, d):
     return stats.coefficient_marks(stats.coefficient_table(_ols(spark, d), REGRESSION_FEATURES, spark))
 
 
-# --------------------------------------------------------------------- K-Means (rows-only)
-
-def _features_vec(spark, d):
-    return stages.feature_table(spark, d)
-
+# --------------------------------------------------------------------- K-Means
 
 def q_kmeans_final(spark, d):
-    labelled, _, _, _ = stages.labelled_kmeans(_features_vec(spark, d), k=3)
-    return report.cluster_sizes(labelled)
+    return report.cluster_sizes(stages.labelled_kmeans(stages.feature_table(spark, d), k=3)[0])
 
 
 def q_k_sweep(spark, d):
-    laid = cluster.stable_layout(_features_vec(spark, d), "ResponseId").persist()
-    scaled, _ = stages.vector_features(laid)
-    out = cluster.k_sweep(scaled.select("features"), range(2, 9), seed=42, max_iter=20)
-    laid.unpersist()
-    return out
+    feats = stages.feature_table(spark, d)
+    models = lloyd.fit(feats, range(2, 9), CLUSTER_FEATURES, "ResponseId", max_iter=20)
+    return lloyd.sweep_table(feats, models).select(
+        "k", round_sig("wssse", 8).alias("wssse"), round_half_up("silhouette", 8).alias("silhouette"),
+        round_half_up("delta_cost", 3).alias("delta_cost"))
 
 
 def q_centroid_heatmap(spark, d):
-    _, _, centroids, labels = stages.labelled_kmeans(_features_vec(spark, d), k=3)
+    _, _, centroids, labels = stages.labelled_kmeans(stages.feature_table(spark, d), k=3)
     return figures.centroid_heatmap(centroids, labels)
 
 

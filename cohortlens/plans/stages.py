@@ -7,10 +7,9 @@ oracle-checkable); ``labelled_kmeans`` is the fitted K-Means path.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import cluster
+from ..operators import cluster, lloyd
 from ..operators.clean import clean
 from ..session import discard, materialize
 from ..operators.features import add_bins, assemble, build_features, scale, zscore, zstats
@@ -99,29 +98,18 @@ def vector_features(features: DataFrame, columns=tuple(CLUSTER_FEATURES)):
     return scale(assemble(features, columns))
 
 
-def labelled_kmeans(features: DataFrame, k: int = 3, seed: int = 42, max_iter: int = 40,
-                    layout_key: str = "ResponseId"):
-    """Fit K-Means on the scaled features and name the clusters.
+def labelled_kmeans(features: DataFrame, k: int = 3, seed: int = 42, max_iter: int = 40, key: str = "ResponseId",
+                    columns=tuple(CLUSTER_FEATURES), rank_feature: str = RANK_FEATURE, go_on=None):
+    """Fit K-Means on the features, from starts chosen by hashes of ``key``, and name the clusters.
 
-    ``layout_key`` (the respondent id) fixes the partition layout, so the fit repeats on any
-    input layout and number of cores.  Runs now; returns ``(labelled_df, model, centroids_df,
-    labels_df)`` with the labelled rows materialised.
-    """
-    laid = cluster.stable_layout(features, layout_key).persist(StorageLevel.MEMORY_AND_DISK)
-    scaled, _ = vector_features(laid)
-    model = cluster.fit_kmeans(scaled, k, seed=seed, max_iter=max_iter)
-    centroids = cluster.centroid_table(features.sparkSession, model, CLUSTER_FEATURES)
-    labels = cluster.label_table(centroids, RANK_FEATURE)
-    labelled = materialize(cluster.label_clusters(model.transform(scaled), labels)
-                           .drop("features_raw", "features"), "kmeans")
-    laid.unpersist()
-    return labelled, model, centroids, labels
+    The fit runs now, on any layout with the same result; returns ``(labelled_df, model, centroids_df, labels_df)``
+    with the labelled rows as a lazy projection of ``features``."""
+    model = lloyd.fit(features, [k], columns, key, max_iter, seed, go_on)[k]
+    centroids = lloyd.centroid_table(features.sparkSession, model)
+    labels = cluster.label_table(centroids, rank_feature)
+    return cluster.label_clusters(lloyd.assign(features, model), labels), model, centroids, labels
 
 
 def checkpointed(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Cut lineage with a Parquet table in the cluster's ``spark.checkpoint.dir``.
-
-    The directory is read from the session; a temporary one is set only when it is unset
-    on a local master (tests).
-    """
+    """Cut lineage with a Parquet table in the session's shared folder (``session.shared_folder``)."""
     return materialize(df, name)
