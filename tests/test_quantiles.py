@@ -1,9 +1,11 @@
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from cohortlens.operators.quantiles import grouped_quantiles
+from cohortlens.operators.quantiles import KEEP, SKETCH, bracketed_quantiles, grouped_quantiles
 
 QS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
 NAMES = [f"q{i}" for i in range(len(QS))]
@@ -25,9 +27,9 @@ def test_bracketed_equals_exact_with_ties_and_nulls(spark):
             for _ in range(3000)]
     rows += [("solo", 5.0), ("nulls", None)]
     df = spark.createDataFrame(rows, "g string, x double")
-    for acc in (50, 100000):
-        ex = sorted(map(tuple, grouped_quantiles(df, ["g"], "x", QS, NAMES, "exact").collect()), key=str)
-        br = sorted(map(tuple, grouped_quantiles(df, ["g"], "x", QS, NAMES, "bracketed", acc).collect()), key=str)
+    ex = sorted(map(tuple, grouped_quantiles(df, ["g"], "x", QS, NAMES, "exact").collect()), key=str)
+    for size, keep in ((SKETCH, KEEP), (64, 100)):  # a coarse sketch and little room: brackets are narrowed
+        br = sorted(map(tuple, bracketed_quantiles(df, ["g"], "x", QS, NAMES, size, keep).collect()), key=str)
         _cmp(ex, br)
 
 
@@ -37,56 +39,58 @@ def test_bracketed_equals_exact_with_ties_and_nulls(spark):
 def test_bracketed_global_property(spark, values, q):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     a = grouped_quantiles(df, [], "x", [q], ["v"], "exact").collect()[0][0]
-    b = grouped_quantiles(df, [], "x", [q], ["v"], "bracketed", accuracy=20).collect()[0][0]
+    b = grouped_quantiles(df, [], "x", [q], ["v"], "bracketed").collect()[0][0]
     assert abs(a - b) <= 1e-9 * max(1.0, abs(a))
 
 
-def test_bracketed_needs_no_fallback(spark, monkeypatch):
-    """Small groups (where the sketch is exact) and interpolated ranks are covered by the
-    fast path itself; the exact fallback is for a broken sketch guarantee only."""
-    import cohortlens.operators.quantiles as Q
-    used = []
-    real = Q.grouped_quantiles
-
-    def spy(df, by, col, qs, aliases, method="exact", accuracy=100000):
-        if method == "exact":
-            used.append(by)
-        return real(df, by, col, qs, aliases, method, accuracy)
-
-    monkeypatch.setattr(Q, "grouped_quantiles", spy)
+def test_small_groups_and_interpolated_ranks(spark):
     rnd = random.Random(5)
     rows = [(g, rnd.random() * 1000) for g, n in (("a", 2), ("b", 7), ("c", 400), ("d", 5000)) for _ in range(n)]
     df = spark.createDataFrame(rows, "g string, x double")
-    got = sorted(map(tuple, Q.bracketed_quantiles(df, ["g"], "x", [0.01, 0.25, 0.5, 0.75, 0.99], list("abcde")).collect()))
-    assert used == []
-    want = sorted(map(tuple, real(df, ["g"], "x", [0.01, 0.25, 0.5, 0.75, 0.99], list("abcde"), "exact").collect()))
-    _cmp(got, want)
+    qs = [0.01, 0.25, 0.5, 0.75, 0.99]
+    got = sorted(map(tuple, bracketed_quantiles(df, ["g"], "x", qs, list("abcde")).collect()))
+    _cmp(got, sorted(map(tuple, grouped_quantiles(df, ["g"], "x", qs, list("abcde"), "exact").collect())))
 
 
-def test_bracketed_hot_group_with_heavy_ties(spark, monkeypatch):
-    """One group holds a third of all rows, most of them one repeated value: the ties are
-    counted, not collected, and the fast path still answers exactly."""
+@pytest.mark.parametrize("ties", [False, True])
+def test_hot_group_is_narrowed_to_a_fixed_number_of_values(spark, monkeypatch, ties):
+    """One group holds most rows, with a coarse sketch: several passes narrow its brackets, and no task is
+    given more than ``keep`` values, however large the group and whether or not one value fills it."""
     import cohortlens.operators.quantiles as Q
-    used = []
-    real = Q.grouped_quantiles
-
-    def spy(df, by, col, qs, aliases, method="exact", accuracy=100000):
-        if method == "exact":
-            used.append(by)
-        return real(df, by, col, qs, aliases, method, accuracy)
-
-    monkeypatch.setattr(Q, "grouped_quantiles", spy)
-    rnd = random.Random(9)
-    rows = [("hot", 100000.0) for _ in range(4000)] + [("hot", rnd.random() * 2e5) for _ in range(2000)]
-    rows += [(rnd.choice(["a", "b", "c"]), rnd.random() * 2e5) for _ in range(12000)]
-    df = spark.createDataFrame(rows, "g string, x double").repartition(8)
-    qs = [0.1, 0.25, 0.5, 0.75, 0.9]
-    got = sorted(map(tuple, Q.bracketed_quantiles(df, ["g"], "x", qs, list("abcde"), accuracy=1000).collect()))
-    assert used == []
-    want = sorted(map(tuple, real(df, ["g"], "x", qs, list("abcde"), "exact").collect()))
-    _cmp(got, want)
-    hot = [r for r in got if r[0] == "hot"][0]
-    assert hot[3] == 100000.0  # the median sits inside the tie block
+
+    passes = []
+    real = Q.counted
+
+    def spy(src, by, state, targets, collect, size=Q.SKETCH):
+        out = real(src, by, state, targets, collect, size)
+        if collect:
+            passes.append(out.select(*[F.size(f"__v{i}").alias(f"v{i}") for i in range(targets)]).collect())
+        else:
+            passes.append(None)
+        return out
+
+    monkeypatch.setattr(Q, "counted", spy)
+    hot = F.when(F.lit(ties) & (F.col("id") % 3 > 0), F.lit(0.5)).otherwise(F.exp(6 * F.rand(3)) / 800)
+    df = spark.range(200_000).select(F.when(F.col("id") % 50 == 0, F.concat(F.lit("g"), F.col("id") % 7)).otherwise(F.lit("hot")).alias("g"),
+                                     hot.alias("x")).persist()
+    qs = [0.1, 0.25, 0.5, 0.75, 0.999]
+    got = sorted(map(tuple, bracketed_quantiles(df, ["g"], "x", qs, list("abcde"), size=256, keep=300).collect()))
+    _cmp(got, sorted(map(tuple, grouped_quantiles(df, ["g"], "x", qs, list("abcde"), "exact").collect())))
+    assert len(passes) >= 3 and passes[-1] is not None
+    assert max(v for r in passes[-1] for v in r) <= 300
+    if ties:
+        assert [r for r in got if r[0] == "hot"][0][3] == 0.5  # the median sits inside the tie block
+    df.unpersist()
+
+
+def test_nan_ranks_above_all_and_empty_tables(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([("a", 1.0), ("a", nan), ("a", 3.0), ("b", nan), ("c", None), ("d", -inf), ("d", inf)], "g string, x double")
+    for q in (0.0, 0.25, 0.5, 1.0):
+        ex, br = (sorted(map(str, grouped_quantiles(df, ["g"], "x", [q], ["v"], m).collect())) for m in ("exact", "bracketed"))
+        assert ex == br
+    assert grouped_quantiles(df.limit(0), ["g"], "x", [0.5], ["v"], "bracketed").count() == 0
+    assert grouped_quantiles(df.limit(0), [], "x", [0.5], ["v"], "bracketed").first()[0] is None
 
 
 def test_null_group_key_keeps_its_quantiles(spark):
@@ -97,3 +101,25 @@ def test_null_group_key_keeps_its_quantiles(spark):
         got = {r.g: (r.n, r.med) for r in summarize(df, "g", [Measure("n", "count", "x"), Measure("med", "quantile", "x", 2, 0.5)],
                                                     quantile_method=method).collect()}
         assert got == {"a": (2, 1.5), None: (2, 6.0)}
+
+
+@pytest.mark.parametrize("n", [1, 4, 300, 20_000])
+def test_box_stats_equal_the_plain_way_in_three_passes(spark, monkeypatch, n):
+    """Trim, quartiles and whiskers from shared sketches equal those of exact percentiles, with ties at the cut,
+    groups wholly above it and null values and keys."""
+    import cohortlens.operators.figures as figures
+
+    rnd = random.Random(n)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, float(rnd.randint(0, 9)), rnd.lognormvariate(3, 1)])) for _ in range(n)]
+    rows += [("top", 1e6 + i % 2) for i in range(n // 60)] + [("cut", 5e5)] * (n // 50)
+    df = spark.createDataFrame(rows, "archetype string, x double").repartition(3).persist()
+    key = lambda r: str(r[0])
+    want = sorted(map(tuple, figures.box_stats(df, "archetype", "x", 0.97, 6, "exact").collect()), key=key)
+    made = []
+    real = figures.counted
+    monkeypatch.setattr(figures, "counted", lambda *a, **k: made.append(1) or real(*a, **k))
+    assert sorted(map(tuple, figures.box_stats(df, "archetype", "x", 0.97, 6).collect()), key=key) == want
+    assert len(made) == (1 if any(r[1] is not None for r in rows) else 0)  # sketch, counts, whiskers
+    monkeypatch.setattr(figures, "KEEP", 1)  # too large for that: cut first, then narrow
+    assert sorted(map(tuple, figures.box_stats(df, "archetype", "x", 0.97, 6).collect()), key=key) == want
+    df.unpersist()
