@@ -37,6 +37,7 @@ def main(argv=None) -> None:
             continue
         print(f"\n== {name}")
         df.show(truncate=False)
+    tables.release()
     spark.stop()
 
 

@@ -1,15 +1,18 @@
 """Correlations and ordinary least squares.
 
-All pairwise Pearson coefficients come from ONE keyed aggregate over rows stacked by pair
-number (pairwise-complete; map-side combined to one buffer per pair and task).  OLS is
+All pairwise Pearson coefficients come from one scan that leaves a matrix of cross-products per task
+and null pattern (pairwise-complete).  OLS is
 ``pyspark.ml`` ``LinearRegression`` with the normal-equation solver: one distributed pass of
 cross-products, a p×p solve on the driver, standard errors from the same statistics.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, Window
@@ -29,21 +32,68 @@ def round_half_up_scaled(c: Column, scale: int = 1000) -> Column:
     return F.floor(c * scale + 0.5) / scale
 
 
+def cross_products(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``present, n, mean, m`` of the rows of each task and null pattern: which columns are there (``0``/``1`` by
+    column), how many rows, the columns' means, and the centred cross-products, row by row of their matrix.
+
+    One scan, no shuffle; a task gives one row per null pattern it meets and holds one matrix for each."""
+    p = len(cols)
+
+    def merged(old, n, mean, m):
+        if old is None:
+            return n, mean, m
+        n0, mean0, m0 = old
+        delta = mean - mean0
+        return n0 + n, mean0 + delta * (n / (n0 + n)), m0 + m + np.outer(delta, delta) * (n0 * n / (n0 + n))
+
+    def run(batches):
+        held = {}
+        for b in batches:
+            x = np.stack([c.fill_null(np.nan).to_numpy(zero_copy_only=False) for c in b.columns[:p]], axis=1)
+            there = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in b.columns[:p]], axis=1)
+            patterns, which = np.unique(there, axis=0, return_inverse=True)
+            for k, pattern in enumerate(patterns):
+                rows = np.where(pattern, x[which.reshape(-1) == k], 0.0)
+                d = rows - rows[0]  # a constant column has no spread, to the last bit
+                mean = d.mean(axis=0)
+                name = "".join("01"[int(v)] for v in pattern)
+                held[name] = merged(held.get(name), len(rows), rows[0] + mean, (d - mean).T @ (d - mean))
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(list(held)), pa.array([v[0] for v in held.values()], pa.int64()),
+                                              pa.array([v[1].tolist() for v in held.values()]),
+                                              pa.array([v[2].ravel().tolist() for v in held.values()])], names=["present", "n", "mean", "m"])
+
+    return df.select(*[F.col(c).cast("double") for c in cols]).mapInArrow(
+        run, "present string, n long, mean array<double>, m array<double>")
+
+
 def corr_pairs(df: DataFrame, cols: Sequence[str], digits: int | None = 3) -> DataFrame:
     """``(pair_no, var_a, var_b, pearson_corr)`` for all column pairs, one scan.
 
-    Each row is stacked into one ``(pair, a, b)`` row per column pair, rows with a null in
-    the pair are dropped (pairwise-complete), and three stable moment aggregates run per
-    pair.  Map-side partial aggregation leaves one small buffer per pair and task, so the
-    shuffle is tiny; the generated code stays small, unlike one aggregate with 3·p(p-1)/2
-    expressions.
-    """
-    ps = pairs(cols)
-    body = ", ".join(f"{i}, CAST(`{a}` AS DOUBLE), CAST(`{b}` AS DOUBLE)" for i, (a, b) in enumerate(ps))
-    stacked = df.selectExpr(f"stack({len(ps)}, {body}) AS (pair_no, __a, __b)") \
-        .where(F.col("__a").isNotNull() & F.col("__b").isNotNull())
-    r = F.try_divide(F.covar_samp("__a", "__b"), F.stddev_samp("__a") * F.stddev_samp("__b"))
-    long = stacked.groupBy("pair_no").agg(r.alias("pearson_corr"))
+    Tasks summarise their rows by null pattern (``cross_products``); a pair's coefficient takes the patterns that
+    have both columns (pairwise-complete).  Only summaries are spread over the pairs: their means are brought
+    together about the smallest, and cross-products moved to the common mean, which keeps their digits whatever
+    the columns' size."""
+    ps, p = pairs(cols), len(cols)
+    names = F.array(*[F.struct(F.lit(k).alias("pair_no"), F.lit(i).alias("i"), F.lit(j).alias("j"))
+                      for k, (i, j) in enumerate((i, j) for i in range(p) for j in range(i + 1, p))])
+    one = cross_products(df, cols).select("present", "n", "mean", "m", F.explode(names).alias("e")).select("present", "n", "mean", "m", "e.*")
+    at = lambda a, i: F.get(F.col(a), i)
+    i, j = F.col("i"), F.col("j")
+    one = one.where((F.substring("present", i + 1, F.lit(1)) == "1") & (F.substring("present", j + 1, F.lit(1)) == "1")) \
+        .select("pair_no", "n", at("mean", i).alias("a"), at("mean", j).alias("b"),
+                at("m", i * p + i).alias("aa"), at("m", j * p + j).alias("bb"), at("m", i * p + j).alias("ab"))
+    w = Window.partitionBy("pair_no")  # a row per task and pattern
+
+    def offset(c):  # from the common mean
+        low = F.min(c).over(w)
+        return F.col(c) - low - F.sum(F.col("n") * (F.col(c) - low)).over(w) / F.sum("n").over(w)
+
+    low = one.withColumns({c: F.col(c) - F.min(c).over(w) for c in "ab"})
+    low = low.withColumns({"da": offset("a"), "db": offset("b")})
+    sums = low.groupBy("pair_no").agg(*[F.sum(F.col(x + y) + F.col("n") * F.col("d" + x) * F.col("d" + y)).alias(x + y)
+                                        for x, y in ("aa", "bb", "ab")])
+    long = sums.select("pair_no", F.try_divide("ab", F.sqrt("aa") * F.sqrt("bb")).alias("pearson_corr"))
     if digits is not None:
         long = long.withColumn("pearson_corr", round_half_up_scaled(F.col("pearson_corr"), 10 ** digits))
     # pairs with no complete row still get their (null) row
@@ -92,12 +142,40 @@ def fit_ols(df: DataFrame, label: str, features: Sequence[str], prediction_col:
     return lr.fit(data), data
 
 
+def student_p(t: float, freedom: float) -> float:
+    """Two-sided p-value of Student's t: the incomplete beta function at ``freedom / (freedom + t**2)``, by its
+    continued fraction, so that small values keep their digits."""
+    a, x, y = freedom / 2, freedom / (freedom + t * t), t * t / (freedom + t * t)
+    if x <= 0 or y <= 0:
+        return 1.0 if y <= 0 else 0.0
+    # gamma(a + 1/2) / (gamma(a) gamma(1/2)), without the difference of two large logarithms
+    ratio = 0.5 * math.log(a) - 1 / (8 * a) + 1 / (192 * a**3) if a > 100 else math.lgamma(a + 0.5) - math.lgamma(a)
+    front = math.exp(a * math.log1p(-y) + 0.5 * math.log(y) + ratio) / math.sqrt(math.pi)
+    if x > (a + 1) / (a + 2.5):  # beyond the mean: the other tail's fraction converges
+        return 1 - front * _beta_fraction(0.5, a, y) / 0.5
+    return front * _beta_fraction(a, 0.5, x) / a
+
+
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    """Continued fraction of the incomplete beta function for ``x`` below its mean (modified Lentz steps)."""
+    c, d = 1.0, 1 / (1 - (a + b) * x / (a + 1))
+    h = d
+    for k in range(1, 10_000):
+        for term in (k * (b - k) * x / ((a + 2 * k - 1) * (a + 2 * k)), -(a + k) * (a + b + k) * x / ((a + 2 * k) * (a + 2 * k + 1))):
+            d, c = 1 / (1 + term * d), 1 + term / c
+            h *= c * d
+        if abs(c * d - 1) < 1e-15:
+            break
+    return h
+
+
 def coefficient_table(model: LinearRegressionModel, features: Sequence[str],
                       spark=None, with_intercept: bool = False) -> DataFrame:
     """``(feature, coefficient, std_error, t_stat, p_value)``; p rows (+1 with intercept)."""
     sm = model.summary
     coefs = list(model.coefficients.toArray())
-    se, t, p = list(sm.coefficientStandardErrors), list(sm.tValues), list(sm.pValues)
+    se, t = list(sm.coefficientStandardErrors), list(sm.tValues)
+    p = [student_p(float(v), float(sm.degreesOfFreedom)) for v in t]
     rows = [(f, float(coefs[i]), float(se[i]), float(t[i]), float(p[i])) for i, f in enumerate(features)]
     if with_intercept:
         rows.append(("intercept", float(model.intercept), float(se[-1]), float(t[-1]), float(p[-1])))

@@ -16,6 +16,10 @@ from ..spec import (AI_ACC_LEVELS, AI_SELECT_LEVELS, AI_SENT_LEVELS, AI_THREAT_L
                     ORG_SIZE_LEVELS, OTHER_ANSWER, RANK_FEATURE, REGRESSION_FEATURES, REMOTE_WORK_VALUES, USAGE_BINS)
 
 USAGE = [label for label, _ in USAGE_BINS]
+# FIXED VALUES: the eight most frequent roles of the respondents view at sf0.001 and sf0.01, as column names (a view
+# takes no PIVOT whose columns depend on the data).
+WIDE_ROLES = ["Academic_researcher", "Data_scientist_or_machine_learning_specialist", "dev_back_end",
+              "dev_desktop_or_enterprise_applications", "dev_front_end", "dev_full_stack", "dev_mobile", "Engineering_manager"]
 Z = ["z_" + c for c in CLUSTER_FEATURES]
 RAW_COLUMNS = ["ResponseId", "AISelect", "AISent", "AIAcc", "AIThreat", "AIBen", "AIToolActivities",
                "AIProducts", "LanguageHaveWorkedWith", "OrgSize", "YearsCodePro", "ConvertedCompYearly",
@@ -250,6 +254,41 @@ def ols_coefficients_sql(src_with: str, src: str, label: str, feats: list[str])
     return src_with + ", " + ols_ctes(src, label, feats) + "\n" + rows
 
 
+def ols_marks_sql(src_with: str, src: str, label: str, feats: list[str]) -> str:
+    """Coefficients with two-sided p-values of Student's t and what is read off them.
+
+    p is the incomplete beta function at (freedom / 2, 1/2), or one less that at the mirrored place, by the steps of
+    its continued fraction in a recursive query."""
+    rows = " UNION ALL ".join(f"SELECT {lit(f)} AS feature, b{i} AS coefficient, sqrt(sigma2 * v{i}) AS std_error, "
+                              f"b{i} / sqrt(sigma2 * v{i}) AS t_stat, CAST(n - {len(feats)} - 1 AS DOUBLE) AS freedom FROM fit"
+                              for i, f in enumerate(feats))
+    odd = "-(a + k) * (a + b + k) * x / ((a + 2 * k) * (a + 2 * k + 1))"
+    even = "(k + 1) * (b - k - 1) * x / ((a + 2 * k + 1) * (a + 2 * k + 2))"
+    return (src_with.replace("WITH ", "WITH RECURSIVE ", 1) + ", " + ols_ctes(src, label, feats) + f""",
+coefs AS ({rows}),
+placed AS (
+  SELECT *, freedom / (freedom + t_stat * t_stat) AS z, z > (freedom / 2 + 1) / (freedom / 2 + 2.5) AS mirrored,
+    CASE WHEN mirrored THEN 0.5 ELSE freedom / 2 END AS a, CASE WHEN mirrored THEN freedom / 2 ELSE 0.5 END AS b,
+    CASE WHEN mirrored THEN 1 - z ELSE z END AS x FROM coefs),
+lentz AS (
+  SELECT feature, a, b, x, 0 AS k, CAST(1 AS DOUBLE) AS c, 1 / (1 - (a + b) * x / (a + 1)) AS d, 1 / (1 - (a + b) * x / (a + 1)) AS h FROM placed
+  UNION ALL
+  SELECT feature, a, b, x, k, c, d, h * c * d FROM (
+    SELECT feature, a, b, x, k + 1 AS k, 1 + t2 / c1 AS c, 1 / (1 + t2 * d1) AS d, h * c1 * d1 AS h FROM (
+      SELECT *, 1 + t1 / c AS c1, 1 / (1 + t1 * d) AS d1 FROM (
+        SELECT *, {even} AS t1, {odd.replace('k', '(k + 1)')} AS t2 FROM lentz WHERE k < 2000)))),
+told AS (
+  SELECT p.*, exp(p.a * ln(p.x) + p.b * ln(1 - p.x) - ln(p.a) + lgamma(p.a + p.b) - lgamma(p.a) - lgamma(p.b)) * h AS share
+  FROM placed p JOIN lentz l ON l.feature = p.feature AND l.k = 2000),
+valued AS (SELECT *, CASE WHEN mirrored THEN 1 - share ELSE share END AS p FROM told)
+SELECT feature, {rsig('coefficient')} AS coefficient, {rsig('std_error')} AS std_error, {rsig('t_stat')} AS t_stat, {rsig('p')} AS p_value,
+  CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE 'ns' END AS significance,
+  CASE WHEN p >= 0.05 OR coefficient = 0 THEN 'not_significant' WHEN coefficient < 0 THEN 'negative' ELSE 'positive' END AS direction,
+  CASE WHEN coefficient >= 0 THEN 'positive: not supported' WHEN p < 0.01 THEN 'supported' WHEN p < 0.05 THEN 'weak support'
+    ELSE 'not significant' END AS verdict
+FROM valued""")
+
+
 def ols_fit_sql(src_with: str, src: str, label: str, feats: list[str]) -> str:
     p = len(feats)
     icpt = "my - (" + " + ".join(f"b{i} * m{i}" for i in range(p)) + ")"
@@ -460,6 +499,7 @@ def build() -> dict[str, str]:
     q["ols_coefficients"] = ols_coefficients_sql(F_.rstrip("\n"), "feat", "salary_usd", REGRESSION_FEATURES)
     q["ols_fit_stats"] = ols_fit_sql(F_.rstrip("\n"), "feat", "salary_usd", REGRESSION_FEATURES)
 
+    q["ols_marks"] = ols_marks_sql(F_.rstrip("\n"), "feat", "salary_usd", REGRESSION_FEATURES)
     sal = B.rstrip("\n") + ", sal AS (" + q["salary_by_archetype"][len(B):] + "), js AS (" + \
         q["jobsat_by_archetype"][len(B):] + ")\n"
     q["canonical_order"] = B + (f"SELECT prediction, archetype, count(*) AS count, "
@@ -535,8 +575,9 @@ def build() -> dict[str, str]:
     q["ols_fitted"] = ols_fitted_sql(F_.rstrip("\n"), "feat", "salary_usd", REGRESSION_FEATURES, ["ResponseId", "salary_usd"], "salary_predicted")
     name = "regexp_replace(replace(primary_role, 'Developer, ', 'dev_'), '[^A-Za-z0-9]+', '_', 'g')"
     q["primary_role_by_archetype"] = (
-        "SELECT archetype, total, coalesce(COLUMNS('.*_pct'), 0.0) FROM (PIVOT (SELECT archetype, total, "
-        + f"rtrim({name}, '_') || '_pct' AS role, pct FROM (" + q["primary_role_mix"] + ")) ON role USING first(pct) GROUP BY archetype, total)")
+        "SELECT archetype, total, " + ", ".join(f"coalesce({r}_pct, 0.0) AS {r}_pct" for r in WIDE_ROLES)
+        + f" FROM (PIVOT (SELECT archetype, total, rtrim({name}, '_') || '_pct' AS role, pct FROM (" + q["primary_role_mix"]
+        + ")) ON role IN (" + ", ".join(lit(r + "_pct") for r in WIDE_ROLES) + ") USING first(pct) GROUP BY archetype, total)")
     q["lineitem_ols"] = ols_coefficients_sql("WITH li AS (SELECT * FROM lineitem)", "li", "l_extendedprice",
                                              ["l_quantity", "l_discount", "l_tax"])
     ecols = [f"e{i}" for i in range(64)]

@@ -250,7 +250,8 @@ def q_top_devroles(spark, d):
 
 
 def _deep(spark, d, name):
-    return report.deep_dive_tables(_lab(spark, d), with_usage=(name == "deep_salary_by_ai_usage"))[name]
+    cells = stages.shared(spark, d, "cells", lambda: report.deep_cells(_lab(spark, d)))
+    return report.deep_dive_tables(_lab(spark, d), with_usage=(name == "deep_salary_by_ai_usage"), cells=cells)[name]
 
 
 def q_deep_salary_by_usage(spark, d):
@@ -316,7 +317,8 @@ def q_ols_fitted(spark, d):
 
 
 def q_ols_marks(spark, d):
-    return stats.coefficient_marks(stats.coefficient_table(_ols(spark, d), REGRESSION_FEATURES, spark))
+    marks = stats.coefficient_marks(stats.coefficient_table(_ols(spark, d), REGRESSION_FEATURES, spark))
+    return marks.withColumns({c: round_sig(c, 6) for c in ("coefficient", "std_error", "t_stat", "p_value")})
 
 
 # --------------------------------------------------------------------- K-Means

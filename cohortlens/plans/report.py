@@ -106,11 +106,10 @@ def primary_role_mix_long(df: DataFrame, k: int = 8) -> DataFrame:
 
 
 def primary_role_mix(df: DataFrame, k: int = 8) -> DataFrame:
-    """Wide form with one ``<role>_pct`` column per top role.  The column set depends on the
-    data, so the k role names (bounded by k) are fetched to name the columns."""
-    d = with_primary_role(df)
-    roles = [r[0] for r in top_roles(d, k).select("primary_role").collect()]
-    long = primary_role_mix_long(d, k)
+    """Wide form with one ``<role>_pct`` column per top role, from one scan's counts.  The column set depends on
+    the data, so the k role names (bounded by k) are fetched to name the columns."""
+    top, long = role_mix_from_counts(materialize(role_counts(df), "role-cells"), k)
+    roles = [r[0] for r in top.select("primary_role").collect()]
     return crosstab.share_wide(long, A, "primary_role", roles, [role_column_name(r) for r in roles])
 
 
@@ -355,21 +354,24 @@ def deep_dive(df: DataFrame, quantile_method: str = "bracketed", spec: SurveySpe
     }
 
 
-def deep_dive_tables(df: DataFrame, with_usage: bool = True, quantile_method: str = "bracketed",
-                     spec: SurveySpec = SURVEY) -> dict[str, DataFrame]:
-    """The four two-way tables (and, with ``with_usage``, the usage-bin summary) from one
-    per-cell aggregate, written once: cell means, counts and top-k lists share a single scan
-    of the labelled table."""
-    b = df if "ai_usage_bin" in df.columns else add_bins(df, spec)
-    usage = [label for label, _ in spec.usage_bins]
-    # ONE scan: counts and salary sums per (experience, country, role, usage) cell -- a small
-    # table (bins × countries × roles) from which every two-way table is rolled up
+def deep_cells(b: DataFrame) -> DataFrame:
+    """Counts and sums per (experience, country, role, usage) cell from one scan: a small table (bins × countries
+    × roles) from which every two-way table is rolled up."""
     sums = [("salary_usd", "s", "c"), ("years_code_pro", "sy", "cy"), ("job_sat_int", "sj", "cj"),
             ("org_size_int", "so", "co")]
-    cells = materialize(b.groupBy("experience_bin", "Country", "primary_role", "ai_usage_bin").agg(
+    return b.groupBy("experience_bin", "Country", "primary_role", "ai_usage_bin").agg(
         F.count(F.lit(1)).alias("n"),
-        *[a for col, sname, cname in sums for a in (F.sum(col).alias(sname), F.count(col).alias(cname))]), "cells")
+        *[a for col, sname, cname in sums for a in (F.sum(col).alias(sname), F.count(col).alias(cname))])
 
+
+def deep_dive_tables(df: DataFrame, with_usage: bool = True, quantile_method: str = "bracketed",
+                     spec: SurveySpec = SURVEY, cells: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four two-way tables (and, with ``with_usage``, the usage-bin summary) from one
+    per-cell aggregate (``deep_cells``, unless given), written once: cell means, counts and top-k lists share a
+    single scan of the labelled table."""
+    b = df if "ai_usage_bin" in df.columns else add_bins(df, spec)
+    cells = materialize(deep_cells(b), "cells") if cells is None else cells
+    usage = [label for label, _ in spec.usage_bins]
     def roll(row):
         return cells.groupBy(row, "ai_usage_bin").agg(
             F.sum("n").alias("n"), F.try_divide(F.sum("s"), F.sum("c")).alias("m"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cluster, lloyd
 from ..operators.clean import clean
-from ..session import discard, materialize
+from ..session import discard, discard_since, materialize
 from ..operators.features import add_bins, assemble, build_features, scale, zscore, zstats
 from ..sources.respondents import respondents
 from ..sources.tables import table_path
@@ -53,10 +53,11 @@ def shared(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Delete the shared stages of this application."""
+    """Delete every stage that this application wrote, shared or not."""
     app = spark.sparkContext.applicationId
     for key in [k for k in _SHARED if k[0] == app]:
-        discard(_SHARED.pop(key)[1])
+        del _SHARED[key]
+    discard_since(spark, 0)
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,23 +47,48 @@ def shared_folder(spark: SparkSession) -> str:
     return conf.rstrip("/")
 
 
+#: Folders that ``materialize`` wrote, in order, with the application they belong to.
+MADE: list[tuple[str, str]] = []
+
+
 def materialize(df, name: str):
     """Write ``df`` as Parquet under the shared folder and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing the plan),
     and later scans are columnar with column pruning and filter pushdown, unlike a cache or
-    an RDD checkpoint.  ``discard`` deletes the files.
+    an RDD checkpoint.  The application owns the files: ``discard`` and ``discard_since``
+    delete them, and whatever is left goes when it ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/cohortlens-{name}-{uuid.uuid4().hex}"
+    folder, files = _folder(spark, path)
+    files.deleteOnExit(folder)
+    MADE.append((spark.sparkContext.applicationId, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    """``path`` as the file systems take it, and the one that holds it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def discard_since(spark: SparkSession, mark: int, keep=()) -> None:
+    """Delete what ``materialize`` wrote for this application since ``len(MADE)`` was ``mark``, but for the tables ``keep``."""
+    kept = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for df in keep for f in df.inputFiles()}
+    for entry in MADE[mark:]:
+        app, path = entry
+        if app == spark.sparkContext.applicationId and path.rsplit("/", 1)[-1] not in kept:
+            folder, files = _folder(spark, path)
+            files.delete(folder, True)
+            MADE.remove(entry)
+
+
 def discard(df) -> None:
     """Delete the files of a table that ``materialize`` wrote."""
     spark = df.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        folder, files = _folder(spark, path)
+        files.delete(folder, True)
+        MADE[:] = [e for e in MADE if e[1].rsplit("/", 1)[-1] != path.rsplit("/", 1)[-1]]

