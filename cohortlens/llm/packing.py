@@ -9,7 +9,6 @@ piece.  No shuffle: only the totals leave the tasks.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from functools import lru_cache
@@ -23,74 +22,116 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from .util import Stages, rows_by_bytes, schema_of
+from .util import SEPARATOR, Stages, raw, rows_by_bytes, schema_of, word_spans
 
 WINDOW = 4096
 END_ID = 2
 
 
-@lru_cache(4)
-def _tokenizer(path: str):
+@lru_cache(2)
+def _word_ids(path: str) -> "_WordIds":
+    """One cache of words per Python worker, whatever the number of its tasks."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-    return Tokenizer.from_file(path)
+    return _WordIds(Tokenizer.from_file(path))
+
+
+#: ASCII letters are 1; ASCII symbols 2, but for those that begin a contraction (') or are in special tokens (<|>).
+_KIND, _LOWER = np.zeros(256, np.uint8), np.arange(256, dtype=np.uint8)
+_KIND[65:91] = _KIND[97:123] = 1
+_KIND[np.frombuffer(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~", np.uint8)] = 2
+_LOWER[65:91] += 32
 
 
 class _WordIds(dict):
-    """Ids, as little-endian bytes, of runs of bytes without ASCII white space, by cache."""
+    """Ids, as little-endian bytes, of words by cache: runs of bytes without ASCII white space, cut between ASCII
+    letters and symbols (where the tokenizer cuts too)."""
 
-    LIMIT = 500_000
-    #: Marks between a letter and white space are apart from the word for the tokenizer: a space may go between.
-    MARKS = re.compile(rb"(?<=[A-Za-z])[.,;:!?]+(?=\s|\Z)")
-    #: Where this is not found, every mark before white space follows a letter, a digit or white space.
-    OTHER = re.compile(rb"[^a-z0-9\s][.,]\s")
+    LIMIT = 250_000  # words of a generation; there are two, so that what is used stays
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer, self.model, self.bytes = tokenizer, tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
-
-    def texts(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text."""
-        words = [self._apart(t).split() for t in texts]
+        self.old: dict[bytes, bytes] = {}
+
+    def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and how many each text has."""
+        words, first = self._words(*raw(column))
+        if not len(words):
+            return np.zeros(0, "<u4"), np.zeros(len(column), np.int64)
+        coded = words.dictionary_encode()
+        each, at = self._lookup(coded.dictionary.to_pylist()), coded.indices.to_numpy()
+        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        pool, start = np.frombuffer(b"".join(each), "<u4"), np.cumsum(size) - size
+        n = size[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = pool[np.repeat(start[at] - ends[:-1], n) + np.arange(ends[-1])]
+        return ids, np.diff(ends[first])
+
+    def _words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The words of a buffer of texts, and of each text the number of its first word (with one more at the end)."""
+        s, _, first = word_spans(data, offsets)
+        low = _LOWER[data]  # the tokenizer lower-cases itself, but finds its special tokens before that
+        special = np.flatnonzero((data[:-1] == 60) & (data[1:] == 124)) if len(data) else data
+        for row in np.unique(np.searchsorted(offsets, special, "right") - 1).tolist():
+            low[offsets[row]:offsets[row + 1]] = data[offsets[row]:offsets[row + 1]]
+        kind = _KIND[data]
+        cuts = np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1  # never a white space, so only texts' borders are to be left out
+        cuts = np.setdiff1d(cuts, offsets, assume_unique=False)
+        begins = np.sort(np.concatenate([s, cuts]))
+        first = first + np.searchsorted(cuts, offsets)
+        word = ~SEPARATOR[data]
+        size = np.add.reduceat(word, begins, dtype=np.int64) if len(begins) else begins
+        held = low[word]
+        bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(bounds), pa.py_buffer(held)]), first
+
+    def __missing__(self, word: bytes) -> bytes:
+        got = self.old.get(word)
+        if got is None:
+            got = array("I", self._encoded(word)).tobytes()
+        self[word] = got
+        return got
+
+    def _lookup(self, words: list[bytes]) -> list[bytes]:
         if len(self) > self.LIMIT:
+            self.old = dict(self)
             self.clear()
-        for w in set().union(*words) - self.keys():
-            self[w] = array("I", self._ids(w.decode())).tobytes()
-        return [b"".join(map(self.__getitem__, w)) for w in words]
-
-    def _apart(self, text: bytes) -> bytes:
-        """The text with spaces before marks, and a-z for A-Z (as the tokenizer does itself, unless the text
-        could hold one of its special tokens)."""
-        if b"<|" in text:
-            return self.MARKS.sub(rb" \g<0>", text)
-        text = text.lower()
-        if self.OTHER.search(text):
-            return self.MARKS.sub(rb" \g<0>", text)
-        return text.replace(b". ", b" . ").replace(b", ", b" , ").replace(b".\n", b" .\n")
-
-    def _ids(self, word: str) -> list[int]:
+        return list(map(self.__getitem__, words))
+
+    def _encoded(self, word: bytes) -> list[int]:
         """A word of letters that the tokenizer would not change is one piece for its model; others go all the way."""
-        if word.isalpha() and word == word.lower() and is_normalized("NFC", word):
-            return [t.id for t in self.model.tokenize(word if word.isascii() else self.bytes.pre_tokenize_str(word)[0][0])]
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+        if word.isalpha() and word.islower():  # ASCII letters
+            return [t.id for t in self.model.tokenize(word.decode())]
+        text = word.decode()
+        if text.isalpha() and text == text.lower() and is_normalized("NFC", text):
+            return [t.id for t in self.model.tokenize(self.bytes.pre_tokenize_str(text)[0][0])]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+SLICE_BYTES = 4 << 20
 
 
 def tokenize(df: DataFrame, tokenizer_path: str, text: str = "text", end_id: int | None = END_ID) -> DataFrame:
     """Adds ``ids`` (binary, unsigned 32-bit little-endian) and ``n`` to the other columns.
 
     For word-wise byte-pair tokenizers that lower-case and drop white space (``word_bpe``): words between
-    white space are encoded apart.  A null text has only the end id."""
+    white space are encoded apart, each once for a slice of some megabytes.  A null text has only the end id."""
     keep = [c for c in df.columns if c != text]
     schema = schema_of(df.select(*keep), n="long", ids="binary")
 
     def run(batches):
-        words = _WordIds(_tokenizer(tokenizer_path))
-        end = array("I", [] if end_id is None else [end_id]).tobytes()
-        for b in rows_by_bytes(batches, text):
-            ids = [x + end for x in words.texts([(t or "").encode() for t in b.column(b.schema.get_field_index(text)).to_pylist()])]
-            out = {c: b.column(c) for c in keep}
-            out["n"] = pa.array([len(x) // 4 for x in ids], pa.int64())
-            out["ids"] = pa.array(ids, pa.binary())
-            yield pa.RecordBatch.from_pydict(out)
+        words = _word_ids(tokenizer_path)
+        for b in rows_by_bytes(batches, text, SLICE_BYTES):
+            ids, n = words.ids(b.column(b.schema.get_field_index(text)))
+            if end_id is not None:
+                ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1
+            bounds = np.concatenate([[0], 4 * np.cumsum(n)])
+            if bounds[-1] < 1 << 31:
+                held = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids)])
+            else:  # a text of its own that is this long
+                held = pa.array([ids[i:j].tobytes() for i, j in zip(bounds[:-1] // 4, bounds[1:] // 4)], pa.binary())
+            out = {c: b.column(b.schema.get_field_index(c)) for c in keep}
+            yield pa.RecordBatch.from_pydict(out | {"n": pa.array(n, pa.int64()), "ids": held})
 
     return df.select(*keep, text).mapInArrow(run, schema)
 

@@ -1,9 +1,11 @@
 """Packing: an exact round trip through the tokenizer."""
 
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -33,12 +35,30 @@ def test_pieces_put_together_are_the_documents(docs, rows, window):
     assert sorted(texts, key=str) == sorted(want, key=str)
 
 
+def encoded(texts):
+    ids, n = packing._WordIds(Tokenizer.from_file(PATH)).ids(pa.array(texts, pa.string()))
+    at = np.concatenate([[0], np.cumsum(n)])
+    return [ids[i:j].tolist() for i, j in zip(at[:-1], at[1:])]
+
+
 def test_word_cache_equals_the_tokenizer():
     t = Tokenizer.from_file(PATH)
-    words = packing._WordIds(t)
-    for text in ["it's A's 'S don't. x'S, a.b. …. é É ΣΣ İ a\x1cb <|endoftext|> <|ENDOFTEXT|> q", "HELLO!!! ÉTÉ?! '', 's. a'. 12.5, 1. ².",
-                 "ab.,;' c'd. '.s ..x. x.. , .", "é É. ́a", "", " \n ", "x" * 5000 + ". y", "ﬁ ǅ ß. ſ, 　a b."]:
-        assert words.texts([text.encode()])[0] == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    texts = ["it's A's 'S don't. x'S, a.b. …. é É ΣΣ İ a\x1cb <|endoftext|> <|ENDOFTEXT|> q", "HELLO!!! ÉTÉ?! '', 's. a'. 12.5, 1. ².",
+             "ab.,;' c'd. '.s ..x. x.. , .", "é É. ́a", "", " \n ", "x" * 5000 + ". y", "ﬁ ǅ ß. ſ,  a b.", None, "...", "a" + "." * 300, "!"]
+    want = [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert encoded(texts) == want
+    assert [encoded([x])[0] for x in texts] == want and encoded([]) == []
+
+
+def test_random_texts_equal_the_tokenizer():
+    t, rnd = Tokenizer.from_file(PATH), random.Random(11)
+    parts = ["a", "B", "word", "The", "don't", "'S", "'", "é", "É", "ß", "ﬁ", "İ", "Σ", "½", "٣", "12", "7", ".", ",", ";", ":", "!", "?", "...", "-", "_", "(", "#",
+             " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x0c", "\x1c", "\x85", "\u00a0", "\u3000", "\u200b", "\u0301", "<|", "|>", "<|endoftext|>", "<|EndOfText|>", "<",
+             "|", "日本", "👍🏽", "\ufeff", "\x00", "ÿ", "e\u0301"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randrange(30))) for _ in range(20_000)]
+    got = encoded(texts)
+    wrong = [x for x, ids in zip(texts, got) if ids != t.encode(x, add_special_tokens=False).ids]
+    assert wrong == []
 
 
 def test_empty_table(no_docs):
