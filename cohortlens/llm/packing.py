@@ -46,7 +46,7 @@ class _WordIds(dict):
     """Ids, as little-endian bytes, of words by cache: runs of bytes without ASCII white space, cut between ASCII
     letters and symbols (where the tokenizer cuts too)."""
 
-    LIMIT = 250_000  # words of a generation; there are two, so that what is used stays
+    LIMIT = 120_000  # words of a generation; there are two, so that what is used stays
 
     def __init__(self, tokenizer):
         super().__init__()
@@ -108,7 +108,7 @@ class _WordIds(dict):
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def tokenize(df: DataFrame, tokenizer_path: str, text: str = "text", end_id: int | None = END_ID) -> DataFrame:
