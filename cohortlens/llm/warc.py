@@ -1,7 +1,8 @@
 """WARC archives: a writer with one gzip member per record, and a salvage reader.
 
 Spark's text writer puts the members into files (any store that Spark can write, committed task
-by task): a member's last byte is the top byte of its size, 0, which serves as the line end.  The
+by task): a member's last byte is the top byte of its size, 0, which serves as the line end.  Lines are
+bundles of some megabytes, and a file holds a fixed number of them, so that a file fits a task.  The
 reader checks every member and record; where a check fails it searches for the next member or
 version line that holds a valid record, goes on there, and logs the bytes between as a gap.  Inside a
 member it does so over the decompressed bytes, as far as they come out of a torn or damaged one.
@@ -13,6 +14,7 @@ import base64
 import hashlib
 import re
 import zlib
+from collections.abc import Iterable, Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -23,7 +25,8 @@ MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORDS_PER_FILE = 20_000
+BUNDLE_BYTES = 4 << 20  # members that are written as one line
+BUNDLES_PER_FILE = 16   # so a file holds at most 16 times the larger of twice this and one member
 READ_SCHEMA = ("kind string, file string, offset long, length long, reason string, record_id string, record_type string, "
                "uri string, refers_to string, payload_digest string, payload_bytes long, payload binary, inner_offset long")
 
@@ -54,9 +57,11 @@ def gzip_member(data: bytes) -> bytes:
     return out
 
 
-def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html") -> None:
+def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html",
+                   bundle_bytes: int = BUNDLE_BYTES, bundles_per_file: int = BUNDLES_PER_FILE) -> None:
     """Writes a record per row of ``pages`` to files under ``path``.
 
+    Members are written in bundles, and files are bounded by bundles: so by bytes, however long the payloads.
     Of rows with equal payloads (null: empty) that with the largest key is the response and the others
     revisit it; rows that share that key are each a response, as are rows of which no key is known.
     Only the three named columns are read; an empty table writes no records."""
@@ -65,19 +70,37 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     largest = rows.groupBy(F.col("sha").alias("s")).agg(F.max("id").alias("response"))
     rows = rows.join(largest, F.col("sha") == F.col("s")).select("id", "url", "html", "response")
 
-    def run(batches):
+    def members(batches):
         for b in batches:
-            out = []
-            for i, url, html, first in zip(*(b.column(k).to_pylist() for k in range(4))):
+            for k in range(b.num_rows):
+                i, url, html, first = (b.column(c)[k].as_py() for c in range(4))
                 data = html.encode()
                 kind = "response" if i == first else "revisit"
-                record = record_bytes(kind, f"urn:page:{'' if i is None else i}", url, data, sha1_base32(data), len(data),
-                                      None if kind == "response" else f"urn:page:{first}")
-                out.append(gzip_member(record)[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
+                yield gzip_member(record_bytes(kind, f"urn:page:{'' if i is None else i}", url, data, sha1_base32(data), len(data),
+                                               None if kind == "response" else f"urn:page:{first}"))
 
-    rows.mapInArrow(run, "member binary").select(F.col("member").cast("string").alias("value")) \
-        .write.option("lineSep", "\0").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    def run(batches):
+        for bundle in bundles(members(batches), bundle_bytes):
+            yield pa.RecordBatch.from_arrays([pa.array([bundle[:-1]], pa.binary())], names=["bundle"])
+
+    rows.mapInArrow(run, "bundle binary").select(F.col("bundle").cast("string").alias("value")) \
+        .write.option("lineSep", "\0").option("maxRecordsPerFile", bundles_per_file).text(path)
+
+
+def bundles(members: Iterable[bytes], limit: int = BUNDLE_BYTES) -> Iterator[bytes]:
+    """Neighbouring members as one, of at least ``limit`` bytes but for the last; a member as long is one by itself."""
+    held, size = [], 0
+    for m in members:
+        if held and len(m) >= limit:
+            yield b"".join(held)
+            held, size = [], 0
+        held.append(m)
+        size += len(m)
+        if size >= limit:
+            yield b"".join(held)
+            held, size = [], 0
+    if held:
+        yield b"".join(held)
 
 
 # ---------------------------------------------------------------- reading

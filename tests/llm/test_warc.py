@@ -141,3 +141,20 @@ def test_large_record_ends_in_zero():
 def test_empty_table(spark, tmp_path):
     warc.write_archives(spark.createDataFrame([], SCHEMA), str(tmp_path / "e"))
     assert warc.read_archives(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_bundles_bound_files_by_bytes():
+    members = [bytes([i]) * n for i, n in enumerate([3, 3, 3, 20, 1, 10, 2])]
+    made = list(warc.bundles(members, 8))
+    assert [len(b) for b in made] == [9, 20, 1, 10, 2] and b"".join(made) == b"".join(members)
+    assert list(warc.bundles([], 8)) == []
+
+
+def test_files_of_several_bundles_hold_every_record(spark, tmp_path):
+    rows = [(i, f"http://a/{i}", ("%d " % i) * (3000 if i % 7 == 0 else 30)) for i in range(60)]
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), str(tmp_path / "w"),
+                        bundle_bytes=1000, bundles_per_file=2)
+    assert len(list((tmp_path / "w").glob("part-*"))) > 5
+    got = warc.read_archives(spark, str(tmp_path / "w")).collect()
+    assert {r["kind"] for r in got} == {"record"}
+    assert sorted((r["record_id"], r["payload"].decode()) for r in got) == sorted((f"urn:page:{i}", h) for i, _, h in rows)
