@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import Stages, buckets, components
+from .util import Stages, buckets, components, salted_join
 
 THRESHOLD = 0.9
 RECALL = 0.995   # of pairs at the threshold; 0.9998 at a cosine of 0.95
@@ -335,21 +335,10 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
                          .select("v", "least", "c", "n", (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")), "named")
     # a component or vector may hold a third of the rows: what the rows look up is salted, where it is large
     least = named.where("c is not null").groupBy(F.col("c").alias("k")).agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size"))
-    named = _salted(named, "c", F.col("v"), least, "k", "size", n).select("v", "n", "n_links", F.coalesce("component_id", "least").alias("component_id"))
+    named = salted_join(named, "c", F.col("v"), least, "k", "size", n).select("v", "n", "n_links", F.coalesce("component_id", "least").alias("component_id"))
     named = stages.write(named, "classes").withColumnRenamed("v", "k")
     total = told.count()
-    out = _salted(told, "v", F.struct("vec_id"), named, "k", "n", total)
+    out = salted_join(told, "v", F.struct("vec_id"), named, "k", "n", total)
     component = F.when(F.col("k").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
                       F.col("vec_id").eqNullSafe(component).alias("kept"))
-
-
-def _salted(rows: DataFrame, by: str, spread, table: DataFrame, key: str, weight: str, total: int, salts: int = 64) -> DataFrame:
-    """Left join of ``rows`` to ``table`` (one row per ``key``) on ``by``; keys that hold more than a thousandth of
-    the rows (so at most a thousand keys, which are broadcast) are spread by ``spread``."""
-    hot = table.where(F.col(weight) > max(10_000, total // 1000)).select(F.col(key).alias("_hot"))
-    part = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")
-    left = rows.join(F.broadcast(hot), F.col(by) == F.col("_hot"), "left").withColumn("_salt", part).drop("_hot")
-    many = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = table.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_z", F.explode(many)).drop("_hot")
-    return left.join(right, (F.col(by) == F.col(key)) & (F.col("_salt") == F.col("_z")), "left").drop("_salt", "_z")

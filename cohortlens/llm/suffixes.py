@@ -32,13 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .util import Rolling, Stages, bit_set, bitmap_slices, boxed, broadcast_bits, buckets, raw, rows_by_bytes, runs_of_keys, \
-    schema_of
+    salted_join, schema_of
 
 LENGTH = 200
 GRAM = 100
 BITS = 27
 DIGEST_BITS = 23
 SPLITTERS = 4096
+BUCKET_BYTES = 512 << 20  # of texts, for each bucket of gram hashes (one anchor in some 50 bytes)
+PART_BYTES = 256 << 20    # of texts, for each sorted part
 PIECE = 1 << 20
 FLUSH = 2_000_000        # hashes a task holds before it sends them
 HOT = 100_000            # anchors that one task may merge for the same gram
@@ -344,10 +346,13 @@ def hot_strings(docs: DataFrame, text: str, hot_bits, length: int, gram: int, sk
     return docs.select(F.col(text)).mapInArrow(run, "string binary, digest binary, start long")
 
 
-def hot_covered(strings: DataFrame, length: int) -> DataFrame:
-    """``digest, start, end`` of the strings that occur twice."""
-    twice = strings.groupBy(F.col("string").alias("s")).count().where("count > 1")
-    return strings.join(twice, F.col("string") == F.col("s")).select("digest", "start", (F.col("start") + length).alias("end"))
+def hot_covered(strings: DataFrame, length: int, stages: Stages) -> DataFrame:
+    """``digest, start, end`` of the strings that occur twice.  They are counted before they are shuffled, and
+    the places of the most frequent ones are spread over tasks."""
+    twice = stages.write(strings.groupBy(F.col("string").alias("s")).agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "twice")
+    places = twice.agg(F.sum("times")).first()[0] or 0
+    return salted_join(strings, "string", F.struct("digest", "start"), twice, "s", "times", places).where("s is not null") \
+        .select("digest", "start", (F.col("start") + length).alias("end"))
 
 
 def runs(docs: DataFrame, text: str, bits, hot_bits, splitters: list[bytes], length: int, gram: int, skip=None) -> DataFrame:
@@ -471,22 +476,24 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     ``length`` stay; repeated rows remove each other; keys may be null or repeated; an empty table gives
     no rows.  Only the two named columns are read."""
     spark = docs.sparkSession
-    stages, n = Stages(spark, "suffixes"), buckets(spark)
+    stages = Stages(spark, "suffixes")
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     text = "text"
     names = stages.write(docs.select(native_digest(F.col("text")).alias("digest"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes")), "names")
     total = names.agg(F.sum("n_bytes")).first()[0] or 0
-    rate = max(1, total * 2 // (length - gram + 2) // SPLITTERS)  # about SPLITTERS anchors, whatever the input
+    # what a task holds at once follows from these, not from the input: some 10 million hashes, 256 MB of texts
+    n, parts = max(buckets(spark), total // BUCKET_BYTES), max(4 * buckets(spark), total // PART_BYTES)
+    drawn = max(SPLITTERS, 4 * parts)
+    rate = max(1, total * 2 // (length - gram + 2) // drawn)
     copies = names.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
     copied = digest_bits(spark, copies.where("copies > 1"))
     once = stages.write(copied_once(docs, text, copied), "once")
     # the texts that are there once, and one of each of the others
     both = lambda f, *options: f(docs, text, *options, copied).unionByName(f(once, "text", *options))
     grams = stages.write(both(gram_rows, n, length, gram, rate), "grams")
-    # about SPLITTERS grams of 100 bytes, whatever the input
+    # about SPLITTERS grams of 100 bytes, or 100 bytes for each 64 MB of a very large input
     sampled = sorted({x for r in grams.where("bucket = -1").select("hashes").collect()
                       for x in (bytes(r[0][i:i + gram]) for i in range(0, len(r[0]), gram))})
-    parts = 4 * n
     step = max(1, len(sampled) // parts)
     splitters = sampled[step::step][:parts - 1]
     known = stages.write(repeated_grams(grams, n, hot), "repeated")
@@ -496,7 +503,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     hot_bits = None if some_hot.isEmpty() else broadcast_bits(spark, bitmap_slices(some_hot, "hash", BITS, BITS), 2**BITS // 8)
     ranges = covered(both(runs, bits, hot_bits, splitters, length, gram), parts, length, gram)
     if hot_bits is not None:
-        ranges = ranges.unionByName(hot_covered(both(hot_strings, hot_bits, length, gram), length))
+        ranges = ranges.unionByName(hot_covered(both(hot_strings, hot_bits, length, gram), length, stages))
     found = stages.write(ranges, "found")
     stages.drop("once")
     spans = found.groupBy("digest").agg(F.collect_list(F.struct("start", "end")).alias("spans"))

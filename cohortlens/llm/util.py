@@ -209,6 +209,20 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
     return out.select(F.col("a").alias("v"), F.col("p").alias("c"))
 
 
+# ---------------------------------------------------------------- joins on hot keys
+
+def salted_join(rows: DataFrame, by: str, spread, table: DataFrame, key: str, weight: str, total: int, salts: int = 64,
+                least: int = 10_000) -> DataFrame:
+    """Left join of ``rows`` to ``table`` (one row per ``key``) on ``by``; keys whose ``weight`` is more than ``least`` and
+    a thousandth of ``total``, the sum of weights (so at most a thousand keys, which are broadcast), are spread by ``spread``."""
+    hot = table.where(F.col(weight) > max(least, total // 1000)).select(F.col(key).alias("_hot"))
+    part = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")
+    left = rows.join(F.broadcast(hot), F.col(by) == F.col("_hot"), "left").withColumn("_salt", part).drop("_hot")
+    many = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = table.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_z", F.explode(many)).drop("_hot")
+    return left.join(right, (F.col(by) == F.col(key)) & (F.col("_salt") == F.col("_z")), "left").drop("_salt", "_z")
+
+
 # ---------------------------------------------------------------- sorted partitions in tasks
 
 def runs_of_keys(batches, keys: int):

@@ -5,8 +5,10 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlens.llm import suffixes
+from cohortlens.llm.util import salted_join
 
 
 def brute(rows, length):
@@ -88,3 +90,19 @@ def test_without_repeats_and_empty_table(spark, docs, no_docs):
     assert 30 not in got and 1 not in got  # whole texts that repeat
     assert len(got[40].text) < len(docs.where("doc_id = 40").first().text) and got[40].n_chars == len(got[40].text)
     assert suffixes.remove_repeats(no_docs).count() == 0
+
+
+def test_salted_join_is_a_left_join(spark):
+    rows = spark.createDataFrame([(i, None if i % 11 == 0 else i % 5 if i % 3 else 0) for i in range(300)], "i int, k int")
+    table = rows.where("k is not null").groupBy(F.col("k").alias("key")).agg(F.count(F.lit(1)).alias("n")).where("key <> 4")
+    got = salted_join(rows, "k", F.col("i"), table, "key", "n", 300, least=40)
+    plain = rows.join(table, F.col("k") == F.col("key"), "left")
+    assert sorted(map(str, got.select("i", "k", "key", "n").collect())) == sorted(map(str, plain.select("i", "k", "key", "n").collect()))
+
+
+def test_more_parts_than_the_session_asks_for(spark, docs, monkeypatch):
+    """Buckets and parts follow the bytes of the input."""
+    want = sorted(map(str, suffixes.remove_repeats(docs, with_text=False).collect()))
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(suffixes, "PART_BYTES", 1000)
+    assert sorted(map(str, suffixes.remove_repeats(docs, with_text=False).collect())) == want
