@@ -7,6 +7,9 @@ survive each step in a single pass with cumulative conditional counts.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,37 +51,37 @@ def in_open_range(c, lo, hi) -> Column:
 def derived_columns(spec: SurveySpec = SURVEY) -> dict[str, Column]:
     """Recoded columns, in output order, computed from the selected survey columns."""
     ordinal = {name: ordinal_encode(c, levels, default=default) for name, (c, levels, default) in spec.ordinals.items()}
+    first = {name: ordinal.pop(name) for name in ("org_size_int",) if name in ordinal}
     return {
-        "salary_usd": F.col("ConvertedCompYearly").try_cast("double"),
-        "years_code_pro": recode_sentinels("YearsCodePro", spec.years_sentinels),
-        "org_size_int": ordinal.pop("org_size_int"),
-        "job_sat_int": whole_number("JobSat"),
+        "salary_usd": F.col(spec.roles["salary"]).try_cast("double"),
+        "years_code_pro": recode_sentinels(spec.roles["years"], spec.years_sentinels),
+        **first,
+        "job_sat_int": whole_number(spec.roles["job_sat"]),
         **ordinal,
-        "ai_ben_count": count_items("AIBen", sep=spec.separator, drop=[spec.other_answer], drop_empty=True),
+        "ai_ben_count": count_items(spec.roles["benefits"], sep=spec.separator, drop=[spec.other_answer], drop_empty=True),
     }
 
 
 def funnel_steps(spec: SurveySpec = SURVEY) -> list[tuple[str, Column]]:
-    """(step name, condition) in the order the survey cleaning applies them."""
-    return [
-        ("employed_full_time", employed_full_time(marker=spec.employed_marker)),
-        ("outcomes_present", F.col("ConvertedCompYearly").isNotNull() & F.col("JobSat").isNotNull()
-         & F.col("AISelect").isNotNull()),
-        ("salary_in_range", F.col("salary_usd").isNotNull() & in_open_range("salary_usd", *spec.salary_bounds)),
-        ("years_known", F.col("years_code_pro").isNotNull()),
-        ("org_size_known", F.col("org_size_int").isNotNull()),
-        ("job_sat_in_range", F.col("job_sat_int").isNotNull() & F.col("job_sat_int").between(*spec.job_sat_bounds)),
-        ("ai_select_known", F.col("ai_select_int").isNotNull()),
-    ]
+    """(step name, condition) of the spec's cleaning steps, in its order."""
+    steps = {
+        "employed_full_time": lambda: employed_full_time(spec.roles["employment"], spec.employed_marker),
+        "outcomes_present": lambda: reduce(and_, [F.col(c).isNotNull() for c in spec.outcome_columns], F.lit(True)),
+        "salary_in_range": lambda: F.col("salary_usd").isNotNull() & in_open_range("salary_usd", *spec.salary_bounds),
+        "years_known": lambda: F.col("years_code_pro").isNotNull(),
+        "job_sat_in_range": lambda: F.col("job_sat_int").isNotNull() & F.col("job_sat_int").between(*spec.job_sat_bounds),
+    }
+    steps |= {name.removesuffix("_int") + "_known": lambda name=name: F.col(name).isNotNull() for name in spec.ordinals}
+    if unknown := [name for name in spec.funnel if name not in steps]:
+        raise ValueError(f"no cleaning steps {unknown}; there are {list(steps)}")
+    return [(name, steps[name]()) for name in spec.funnel]
 
 
 def clean(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
     """Selected columns + 9 recoded columns, only rows passing every funnel step."""
     out = select_survey(df, spec).withColumns(derived_columns(spec))
-    keep = None
-    for _, cond in funnel_steps(spec):
-        keep = cond if keep is None else keep & cond
-    return out.where(keep)
+    conditions = [cond for _, cond in funnel_steps(spec)]
+    return out.where(reduce(and_, conditions)) if conditions else out
 
 
 def clean_funnel(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:

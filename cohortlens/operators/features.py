@@ -17,16 +17,16 @@ def add_counts(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
     """Product count keeps every item (an empty cell counts 1); task count drops
     the free-text "Other" answer and empty items."""
     return df.withColumns({
-        "ai_product_count": count_items("AIProducts", sep=spec.separator),
-        "ai_task_count": count_items("AIToolActivities", sep=spec.separator, drop=[spec.other_answer], drop_empty=True),
+        "ai_product_count": count_items(spec.roles["products"], sep=spec.separator),
+        "ai_task_count": count_items(spec.roles["tasks"], sep=spec.separator, drop=[spec.other_answer], drop_empty=True),
     })
 
 
 def build_features(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
     """Clean table + 2 counts + ``uses_*`` + ``lang_*`` indicators (one projection)."""
     out = add_counts(df, spec)
-    out = multi_hot(out, "AIProducts", spec.ai_tools, "uses_", sep=spec.separator)
-    return multi_hot(out, "LanguageHaveWorkedWith", spec.languages, "lang_", sep=spec.separator)
+    out = multi_hot(out, spec.roles["products"], spec.ai_tools, "uses_", sep=spec.separator)
+    return multi_hot(out, spec.roles["languages"], spec.languages, "lang_", sep=spec.separator)
 
 
 def add_bins(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
@@ -34,7 +34,7 @@ def add_bins(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
     return df.withColumns({
         "ai_usage_bin": bucketize("ai_product_count", spec.usage_bins, closed="right"),
         "experience_bin": bucketize("years_code_pro", spec.experience_bins, closed="left"),
-        "primary_role": first_item("DevType", sep=spec.separator, default=UNKNOWN_ROLE),
+        "primary_role": first_item(spec.roles["dev_roles"], sep=spec.separator, default=UNKNOWN_ROLE),
     })
 
 

@@ -432,7 +432,7 @@ def build() -> dict[str, str]:
         "count(*) AS n", f"{rhu('avg(ai_product_count)', 2)} AS avg_products",
         f"{rhu('avg(ai_task_count)', 2)} AS avg_tasks"] + [f"{rhu(f'avg({c}) * 100', 1)} AS {c}_pct" for c in TOOL_COLS])
     q["tech_stack"] = B + grouped("archetype", [f"{rhu(f'avg({c}) * 100', 1)} AS {c}_pct" for c in LANG_COLS])
-    from .report import PROFILE_MEANS, SUMMARY_MEANS
+    from ..spec import PROFILE_MEANS, SUMMARY_MEANS
     q["profile_by_archetype"] = B + grouped("archetype", [f"{rhu(f'avg({c})', d)} AS {a}" for c, a, d in PROFILE_MEANS])
 
     def share(col, values, aliases):

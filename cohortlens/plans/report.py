@@ -17,8 +17,7 @@ from ..operators.features import add_bins
 from ..session import materialize
 from ..operators.quantiles import grouped_quantiles, null_safe
 from ..operators.summary import Measure, group_means, indicator_rates, summarize
-from ..spec import (MAIN_BRANCH_ALIASES, MAIN_BRANCH_VALUES, REMOTE_WORK_VALUES, SURVEY, UNKNOWN_ROLE, USAGE_BINS,
-                    SurveySpec)
+from ..spec import SURVEY, UNKNOWN_ROLE, USAGE_BINS, SurveySpec
 from ..functions.recode import safe_name
 
 A = "archetype"
@@ -55,41 +54,30 @@ def language_columns(spec: SurveySpec = SURVEY) -> list[str]:
     return ["lang_" + safe_name(v) for v in spec.languages]
 
 
-def ai_tool_adoption(df: DataFrame) -> DataFrame:
+def ai_tool_adoption(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
     lead = [Measure("n", "rows"), Measure("avg_products", "mean", "ai_product_count", 2),
             Measure("avg_tasks", "mean", "ai_task_count", 2)]
-    return indicator_rates(df, A, tool_columns(), leading=lead, order=[F.desc("avg_products"), F.asc(A)])
+    return indicator_rates(df, A, tool_columns(spec), leading=lead, order=[F.desc("avg_products"), F.asc(A)])
 
 
-def tech_stack(df: DataFrame) -> DataFrame:
-    return indicator_rates(df, A, language_columns(), order=[F.asc(A)])
+def tech_stack(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
+    return indicator_rates(df, A, language_columns(spec), order=[F.asc(A)])
 
 
-# FIXED VALUES: output names and digits of the profile table.
-PROFILE_MEANS = [
-    ("years_code_pro", "avg_years_exp", 2),
-    ("org_size_int", "avg_org_size_score", 2),
-    ("ai_acc_int", "avg_ai_trust_0_4", 3),
-    ("ai_threat_int", "avg_ai_threat_0_2", 3),
-    ("ai_sent_int", "avg_ai_sentiment_0_4", 3),
-    ("ai_ben_count", "avg_perceived_benefits", 3),
-]
+def profile_by_archetype(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
+    return group_means(df, A, spec.profile_means, order=[F.asc(A)])
 
 
-def profile_by_archetype(df: DataFrame) -> DataFrame:
-    return group_means(df, A, PROFILE_MEANS, order=[F.asc(A)])
+def remote_work_mix(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
+    return crosstab.share_pivot(df, A, *spec.remote_work, denom="non_null")
 
 
-def remote_work_mix(df: DataFrame) -> DataFrame:
-    return crosstab.share_pivot(df, A, "RemoteWork", REMOTE_WORK_VALUES, denom="non_null")
+def main_branch_mix(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
+    return crosstab.share_pivot(df, A, *spec.main_branch, denom="non_null")
 
 
-def main_branch_mix(df: DataFrame) -> DataFrame:
-    return crosstab.share_pivot(df, A, "MainBranch", MAIN_BRANCH_VALUES, MAIN_BRANCH_ALIASES, denom="non_null")
-
-
-def with_primary_role(df: DataFrame) -> DataFrame:
-    return df if "primary_role" in df.columns else add_bins(df)
+def with_primary_role(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
+    return df if "primary_role" in df.columns else add_bins(df, spec)
 
 
 def top_roles(df: DataFrame, k: int = 8, include_unknown: bool = False) -> DataFrame:
@@ -113,28 +101,21 @@ def primary_role_mix(df: DataFrame, k: int = 8) -> DataFrame:
     return crosstab.share_wide(long, A, "primary_role", roles, [role_column_name(r) for r in roles])
 
 
-# FIXED VALUES: output names and digits of the summary table.
-SUMMARY_MEANS = [
-    ("salary_usd", "avg_salary_usd", 0),
-    ("job_sat_int", "avg_job_sat_0_10", 2),
-    ("ai_product_count", "avg_ai_products", 2),
-    ("ai_task_count", "avg_ai_tasks", 2),
-    ("years_code_pro", "avg_years_exp", 1),
-    ("ai_acc_int", "avg_ai_trust_0_4", 2),
-]
+def summary_by_archetype(df: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
+    return group_means(df, A, spec.summary_means, leading=[Measure("developers", "rows")], order=_summary_order(spec))
 
 
-def summary_by_archetype(df: DataFrame) -> DataFrame:
-    return group_means(df, A, SUMMARY_MEANS, leading=[Measure("developers", "rows")],
-                       order=[F.desc("avg_salary_usd"), F.asc(A)])
+def _summary_order(spec: SurveySpec) -> list:
+    """By the first mean, largest first."""
+    return [F.desc(alias) for _, alias, _ in spec.summary_means[:1]] + [F.asc(A)]
 
 
-def top_countries(df: DataFrame, n: int = 5) -> DataFrame:
-    return topn.topn_per_group(df, A, "Country", n, out="country")
+def top_countries(df: DataFrame, n: int = 5, spec: SurveySpec = SURVEY) -> DataFrame:
+    return topn.topn_per_group(df, A, spec.roles["country"], n, out="country")
 
 
-def top_devroles(df: DataFrame, n: int = 5, sep: str = ";") -> DataFrame:
-    return topn.topn_items_per_group(df, A, "DevType", n, out="dev_role", sep=sep)
+def top_devroles(df: DataFrame, n: int = 5, spec: SurveySpec = SURVEY) -> DataFrame:
+    return topn.topn_items_per_group(df, A, spec.roles["dev_roles"], n, out="dev_role", sep=spec.separator)
 
 
 def impact_report_separate(df: DataFrame, quantile_method: str = "exact") -> dict[str, DataFrame]:
@@ -162,7 +143,7 @@ def impact_report_separate(df: DataFrame, quantile_method: str = "exact") -> dic
 def _mean_columns(spec: SurveySpec = SURVEY) -> list[str]:
     cols = ["salary_usd", "job_sat_int", "ai_product_count", "ai_task_count"]
     cols += tool_columns(spec) + language_columns(spec)
-    cols += [c for c, _, _ in PROFILE_MEANS + SUMMARY_MEANS]
+    cols += [c for c, _, _ in spec.profile_means + spec.summary_means]
     return list(dict.fromkeys(cols))
 
 
@@ -177,10 +158,8 @@ def cohort_profile(df: DataFrame, quantile_method: str = "bracketed", spec: Surv
             F.count("job_sat_int").alias("n_job_sat"), F.stddev_samp("job_sat_int").alias("sd_job_sat_int"),
             F.percentile("job_sat_int", 0.5).alias("q50_job_sat_int")]
     aggs += [F.avg(c).alias("avg_" + c) for c in _mean_columns(spec)]
-    aggs += [F.count("RemoteWork").alias("rw_total")] + \
-        [F.count_if(F.col("RemoteWork") == v).alias(f"rw{i}") for i, v in enumerate(REMOTE_WORK_VALUES)]
-    aggs += [F.count("MainBranch").alias("mb_total")] + \
-        [F.count_if(F.col("MainBranch") == v).alias(f"mb{i}") for i, v in enumerate(MAIN_BRANCH_VALUES)]
+    for p, (c, values, _) in (("rw", spec.remote_work), ("mb", spec.main_branch)):
+        aggs += [F.count(c).alias(p + "_total")] + [F.count_if(F.col(c) == v).alias(f"{p}{i}") for i, v in enumerate(values)]
     qs, names = [0.25, 0.5, 0.75], ["q25_salary", "q50_salary", "q75_salary"]
     if quantile_method == "exact":
         aggs += [F.percentile("salary_usd", q).alias(n) for q, n in zip(qs, names)]
@@ -216,15 +195,15 @@ def tables_from_profile(prof: DataFrame, spec: SurveySpec = SURVEY) -> dict[str,
             .orderBy(F.desc("avg_products"), F.asc(A)),
         "tech_stack_by_archetype": prof.select(
             A, *[_r(F.col("avg_" + c) * 100, 1).alias(c + "_pct") for c in language_columns(spec)]).orderBy(A),
-        "profile_by_archetype": prof.select(A, *means(PROFILE_MEANS)).orderBy(A),
+        "profile_by_archetype": prof.select(A, *means(spec.profile_means)).orderBy(A),
         "remote_work_by_archetype": prof.where(F.col("rw_total") > 0).select(
             A, F.col("rw_total").alias("total"),
-            *[pct(f"rw{i}", "rw_total").alias(v + "_pct") for i, v in enumerate(REMOTE_WORK_VALUES)]).orderBy(A),
+            *[pct(f"rw{i}", "rw_total").alias(a) for i, a in enumerate(spec.remote_work[2])]).orderBy(A),
         "main_branch_by_archetype": prof.where(F.col("mb_total") > 0).select(
             A, F.col("mb_total").alias("total"),
-            *[pct(f"mb{i}", "mb_total").alias(a) for i, a in enumerate(MAIN_BRANCH_ALIASES)]).orderBy(A),
-        "summary_by_archetype": prof.select(A, F.col("rows").alias("developers"), *means(SUMMARY_MEANS))
-            .orderBy(F.desc("avg_salary_usd"), F.asc(A)),
+            *[pct(f"mb{i}", "mb_total").alias(a) for i, a in enumerate(spec.main_branch[2])]).orderBy(A),
+        "summary_by_archetype": prof.select(A, F.col("rows").alias("developers"), *means(spec.summary_means))
+            .orderBy(*_summary_order(spec)),
     }
     return out
 
@@ -258,15 +237,16 @@ def impact_report(df: DataFrame, quantile_method: str = "bracketed", spec: Surve
     out = tables_from_profile(prof, spec)
     # one small count table per (archetype, role, country) serves both the role mix and the
     # per-archetype country ranking
-    cells = materialize(with_primary_role(df).groupBy(A, "primary_role", "Country")
+    country = spec.roles["country"]
+    cells = materialize(with_primary_role(df, spec).groupBy(A, "primary_role", country)
                         .agg(F.count(F.lit(1)).alias("n")), "role-cells")
     rc = cells.groupBy(A, "primary_role").agg(F.sum("n").alias("n"))
     top, long = role_mix_from_counts(rc)
     roles = [r[0] for r in top.select("primary_role").collect()]  # k names, to name k columns
     out["primary_role_by_archetype"] = crosstab.share_wide(long, A, "primary_role", roles,
                                                            [role_column_name(r) for r in roles])
-    out["top_countries_by_archetype"] = topn.topn_per_group(cells, A, "Country", 5, out="country", weight="n")
-    out["top_devroles_by_archetype"] = top_devroles(df, sep=spec.separator)
+    out["top_countries_by_archetype"] = topn.topn_per_group(cells, A, country, 5, out="country", weight="n")
+    out["top_devroles_by_archetype"] = top_devroles(df, spec=spec)
     order = ["cluster_sizes", "salary_by_archetype", "jobsat_by_archetype", "ai_tool_adoption_by_archetype",
              "tech_stack_by_archetype", "profile_by_archetype", "remote_work_by_archetype",
              "main_branch_by_archetype", "primary_role_by_archetype", "summary_by_archetype",
@@ -354,12 +334,12 @@ def deep_dive(df: DataFrame, quantile_method: str = "bracketed", spec: SurveySpe
     }
 
 
-def deep_cells(b: DataFrame) -> DataFrame:
+def deep_cells(b: DataFrame, spec: SurveySpec = SURVEY) -> DataFrame:
     """Counts and sums per (experience, country, role, usage) cell from one scan: a small table (bins × countries
     × roles) from which every two-way table is rolled up."""
-    sums = [("salary_usd", "s", "c"), ("years_code_pro", "sy", "cy"), ("job_sat_int", "sj", "cj"),
-            ("org_size_int", "so", "co")]
-    return b.groupBy("experience_bin", "Country", "primary_role", "ai_usage_bin").agg(
+    sums = [("salary_usd", "s", "c"), ("years_code_pro", "sy", "cy"), ("job_sat_int", "sj", "cj")]
+    sums += [("org_size_int", "so", "co")] if "org_size_int" in b.columns else []
+    return b.groupBy("experience_bin", spec.roles["country"], "primary_role", "ai_usage_bin").agg(
         F.count(F.lit(1)).alias("n"),
         *[a for col, sname, cname in sums for a in (F.sum(col).alias(sname), F.count(col).alias(cname))])
 
@@ -370,14 +350,15 @@ def deep_dive_tables(df: DataFrame, with_usage: bool = True, quantile_method: st
     per-cell aggregate (``deep_cells``, unless given), written once: cell means, counts and top-k lists share a
     single scan of the labelled table."""
     b = df if "ai_usage_bin" in df.columns else add_bins(df, spec)
-    cells = materialize(deep_cells(b), "cells") if cells is None else cells
-    usage = [label for label, _ in spec.usage_bins]
+    cells = materialize(deep_cells(b, spec), "cells") if cells is None else cells
+    usage, country = [label for label, _ in spec.usage_bins], spec.roles["country"]
+
     def roll(row):
         return cells.groupBy(row, "ai_usage_bin").agg(
             F.sum("n").alias("n"), F.try_divide(F.sum("s"), F.sum("c")).alias("m"))
 
-    exp_cells, country_cells, role_cells = roll("experience_bin"), roll("Country"), roll("primary_role")
-    top_c = top_from_cells(country_cells, "Country", 5)
+    exp_cells, country_cells, role_cells = roll("experience_bin"), roll(country), roll("primary_role")
+    top_c = top_from_cells(country_cells, country, 5)
     top_r = top_from_cells(role_cells, "primary_role", 8)
     out = {}
     if with_usage:
@@ -385,7 +366,7 @@ def deep_dive_tables(df: DataFrame, with_usage: bool = True, quantile_method: st
     out["deep_salary_by_exp_x_ai"] = pivot_cells(exp_cells, "experience_bin", "m", values=usage).orderBy("experience_bin")
     out["deep_counts_by_exp_x_ai"] = pivot_cells(exp_cells, "experience_bin", "n", None, usage).orderBy("experience_bin")
     out["deep_salary_by_country_x_ai"] = pivot_cells(
-        crosstab.filter_topk(country_cells, "Country", top_c), "Country", "m", values=usage).orderBy(F.desc("Country"))
+        crosstab.filter_topk(country_cells, country, top_c), country, "m", values=usage).orderBy(F.desc(country))
     out["deep_salary_by_role_x_ai"] = pivot_cells(
         crosstab.filter_topk(role_cells, "primary_role", top_r), "primary_role", "m", values=usage).orderBy("primary_role")
     return out
@@ -398,7 +379,8 @@ def _usage_summary(b: DataFrame, cells: DataFrame, quantile_method: str) -> Data
 
     usage = cells.groupBy("ai_usage_bin").agg(
         F.sum("n").alias("n"), mean("s", "c").alias("mean_salary"), mean("sy", "cy").alias("mean_years_exp"),
-        mean("sj", "cj").alias("mean_job_sat"), mean("so", "co").alias("mean_org_size"))
+        mean("sj", "cj").alias("mean_job_sat"),
+        (mean("so", "co") if "so" in cells.columns else F.lit(None).cast("double")).alias("mean_org_size"))
     med = grouped_quantiles(b, ["ai_usage_bin"], "salary_usd", [0.5], ["median_salary"], method=quantile_method)
     return null_safe(usage, med, ["ai_usage_bin"], "left").select(
         "ai_usage_bin", "n", _r("mean_salary", 0).alias("mean_salary"), _r("median_salary", 0).alias("median_salary"),

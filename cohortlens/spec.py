@@ -222,6 +222,54 @@ SELECTED_COLUMNS = [
 # FIXED VALUES: how symbols in answer texts read in column names.
 SYMBOL_NAMES = {"c++": "cpp", "c#": "csharp", "f#": "fsharp", ".": "_dot_"}
 ROLE_PREFIX = {"Developer, ": "dev_"}
+
+# what a survey column is used for -> its name
+COLUMN_ROLES = {
+    "employment": "Employment",
+    "salary": "ConvertedCompYearly",
+    "job_sat": "JobSat",
+    "years": "YearsCodePro",
+    "benefits": "AIBen",
+    "products": "AIProducts",
+    "tasks": "AIToolActivities",
+    "languages": "LanguageHaveWorkedWith",
+    "country": "Country",
+    "dev_roles": "DevType",
+}
+# cleaning steps in order; "<x>_known" is a step for every ordinal "<x>_int"
+FUNNEL = [
+    "employed_full_time",
+    "outcomes_present",
+    "salary_in_range",
+    "years_known",
+    "org_size_known",
+    "job_sat_in_range",
+    "ai_select_known",
+]
+# columns that must have an answer at all
+OUTCOME_COLUMNS = [
+    "ConvertedCompYearly",
+    "JobSat",
+    "AISelect",
+]
+# output names and digits of the profile table
+PROFILE_MEANS = [
+    ("years_code_pro", "avg_years_exp", 2),
+    ("org_size_int", "avg_org_size_score", 2),
+    ("ai_acc_int", "avg_ai_trust_0_4", 3),
+    ("ai_threat_int", "avg_ai_threat_0_2", 3),
+    ("ai_sent_int", "avg_ai_sentiment_0_4", 3),
+    ("ai_ben_count", "avg_perceived_benefits", 3),
+]
+# output names and digits of the summary table
+SUMMARY_MEANS = [
+    ("salary_usd", "avg_salary_usd", 0),
+    ("job_sat_int", "avg_job_sat_0_10", 2),
+    ("ai_product_count", "avg_ai_products", 2),
+    ("ai_task_count", "avg_ai_tasks", 2),
+    ("years_code_pro", "avg_years_exp", 1),
+    ("ai_acc_int", "avg_ai_trust_0_4", 2),
+]
 # ---------------------------------------------------------------------------
 # end of fixed values
 # ---------------------------------------------------------------------------
@@ -255,6 +303,17 @@ class SurveySpec:
         "ai_sent_int": ("AISent", AI_SENT_LEVELS, 2)})
     usage_bins: tuple = tuple(USAGE_BINS)
     experience_bins: tuple = tuple(EXPERIENCE_BINS)
+    #: what a survey column is used for -> its name
+    roles: dict = field(default_factory=lambda: dict(COLUMN_ROLES))
+    #: names of the cleaning steps, in order; a survey without a column leaves its step out
+    funnel: tuple = tuple(FUNNEL)
+    outcome_columns: tuple = tuple(OUTCOME_COLUMNS)
+    #: (column, answers, output columns) of the tables of shares
+    remote_work: tuple = ("RemoteWork", tuple(REMOTE_WORK_VALUES), tuple(v + "_pct" for v in REMOTE_WORK_VALUES))
+    main_branch: tuple = ("MainBranch", tuple(MAIN_BRANCH_VALUES), tuple(MAIN_BRANCH_ALIASES))
+    #: (column, output name, digits)
+    profile_means: tuple = tuple(PROFILE_MEANS)
+    summary_means: tuple = tuple(SUMMARY_MEANS)
 
 
 SURVEY = SurveySpec()

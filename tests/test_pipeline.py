@@ -80,6 +80,46 @@ def test_run_on_another_survey(spark, sf_dir):
     assert tables["labelled"].agg(F.max("org_size_int"), F.max("ai_product_count")).first()[1] > 1
 
 
+def test_run_on_a_survey_with_other_columns(spark, sf_dir):
+    """Other column names, answers of shares, means and cleaning steps; and no company size at all."""
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    from cohortlens.spec import SURVEY
+
+    names = {"ConvertedCompYearly": "pay", "JobSat": "happy", "YearsCodePro": "years", "AIBen": "gains", "AIProducts": "products",
+             "AIToolActivities": "uses", "LanguageHaveWorkedWith": "langs", "Country": "nation", "DevType": "jobs", "Employment": "work",
+             "RemoteWork": "place", "MainBranch": "kind"}
+    raw = respondents(spark, sf_dir)
+    other = raw.withColumnsRenamed(names).drop("OrgSize")
+    ordinals = {k: v for k, v in SURVEY.ordinals.items() if k != "org_size_int"}
+    spec = replace(
+        SURVEY, selected=tuple(names.get(c, c) for c in SURVEY.selected if c != "OrgSize"), renames={}, ordinals=ordinals,
+        roles={k: names[c] for k, c in SURVEY.roles.items()}, outcome_columns=("pay", "happy"),
+        funnel=("employed_full_time", "outcomes_present", "salary_in_range", "years_known", "job_sat_in_range"),
+        remote_work=("place", ("Remote",), ("far",)), main_branch=("kind", SURVEY.main_branch[1][:2], ("pro", "some")),
+        profile_means=(("ai_sent_int", "mood", 1),), summary_means=(("job_sat_int", "happy", 1), ("salary_usd", "pay", 0)),
+        cluster_features=("ai_product_count", "years_code_pro"), correlation_columns=("salary_usd", "job_sat_int"),
+        regression_features=("years_code_pro", "ai_product_count"))
+    tables = run(other, spec, k=2, ks=None)
+    assert [r.step for r in tables["clean_funnel"].collect()] == ["raw", *spec.funnel]
+    n = raw.where("contains(Employment, 'Employed, full-time') and try_cast(ConvertedCompYearly as double) > 5000 "
+                  "and try_cast(ConvertedCompYearly as double) < 1000000 and JobSat is not null").select("ConvertedCompYearly").count()
+    assert 0 < tables["labelled"].count() == tables["cluster_sizes"].agg(F.sum("count")).first()[0] <= n
+    assert tables["remote_work_by_archetype"].columns == ["archetype", "total", "far"]
+    assert tables["main_branch_by_archetype"].columns == ["archetype", "total", "pro", "some"]
+    assert tables["profile_by_archetype"].columns == ["archetype", "mood"]
+    order = [r.happy for r in tables["summary_by_archetype"].collect()]
+    assert tables["summary_by_archetype"].columns == ["archetype", "developers", "happy", "pay"] and order == sorted(order, reverse=True)
+    assert tables["deep_salary_by_country_x_ai"].columns[0] == "nation" and tables["deep_salary_by_country_x_ai"].count() == 5
+    assert tables["top_countries_by_archetype"].count() > 0 and tables["top_devroles_by_archetype"].count() > 0
+    assert {r.mean_org_size for r in tables["deep_salary_by_ai_usage"].collect()} == {None}
+    tables.release()
+    with pytest.raises(ValueError, match="org_size_known"):
+        run(other, replace(spec, funnel=SURVEY.funnel), k=2, ks=None)
+
+
 @pytest.mark.parametrize("source", ["csv", "tables"])
 def test_command_line_runs_everything_and_leaves_no_stage_file(spark, sf_dir, tmp_path, source):
     """``python -m cohortlens`` on a survey file or on the driver tables: prints, publishes, cleans up."""
