@@ -30,6 +30,12 @@ NUM, DEN = 80, 100
 BLOCK = 2000
 BITS = 26
 FLUSH = 400_000
+#: bytes of text in hand at once: their arrays of 64-bit numbers take some sixty times as much
+SLICE_BYTES = 256 << 10
+#: buckets of signatures for each partition: a task holds the arrays of one bucket, and some of many deal out evenly
+BUCKETS = 4
+#: signatures of a bucket that are sorted at once
+PIECE = 1 << 17
 U = np.uint64
 
 
@@ -60,6 +66,13 @@ class Shingles:
         return out
 
 
+def text_sets(batches):
+    """Slices of the batches and the sets of their column ``text``."""
+    shingles = Shingles()
+    for b in rows_by_bytes(batches, "text", SLICE_BYTES):
+        yield b, shingles.sets(b.column("text"))
+
+
 def digest(s: np.ndarray) -> bytes:
     """128 bits that stand for a set."""
     return np.array([mix(s ^ U(0x1234567)).sum(dtype=U), mix(s + U(0x7654321)).sum(dtype=U) + U(len(s))], U).tobytes()
@@ -207,9 +220,7 @@ def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
     schema = schema_of(src.select("doc_id", "text_hash"), n_shingles="long", digest="binary", fp="long", sketch="binary")
 
     def run(batches):
-        shingles = Shingles()
-        for b in rows_by_bytes(batches, "text"):
-            sets = shingles.sets(b.column("text"))
+        for b, sets in text_sets(batches):
             names = [digest(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()),
@@ -219,11 +230,39 @@ def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
     return src.mapInArrow(run, schema)
 
 
-def meetings(docs: DataFrame, text: str, n_buckets: int) -> DataFrame:
+def shared_signatures(s: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """Rows ``fp, center``, each once: the sets (hashes ``f``) that share one of the signatures ``s``, with the smallest of its group."""
+    order = np.lexsort((f, s))
+    s, f = s[order], f[order]
+    new = np.concatenate([[True], (s[1:] != s[:-1]) | (f[1:] != f[:-1])])  # each set once in a group
+    s, f = s[new], f[new]
+    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+    size = np.diff(np.concatenate([first, [len(s)]]))
+    center, shared = np.repeat(f[first], size), np.repeat(size > 1, size)
+    return np.unique(np.stack([f[shared], center[shared]], axis=1), axis=0).astype(np.int64)
+
+
+def meet(batches):
+    """``fp, center`` of batches ``bucket, sigs, fps`` sorted by bucket; a pair may come several times."""
+    for (_,), rows in runs_of_keys(rows_by_bytes(batches, "sigs"), 1):
+        s = np.concatenate([from_low_bytes(x, 5) for x, _ in rows])
+        f = np.concatenate([from_low_bytes(x, 6) for _, x in rows])
+        rows.clear()
+        n = -(-len(s) // PIECE)
+        piece = s % U(n)  # equal signatures stay together
+        for k in range(n):
+            at = piece == k
+            if at.any():
+                pairs = shared_signatures(s[at], f[at])
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["fp", "center"])
+
+
+def meetings(docs: DataFrame, text: str, parts: int) -> DataFrame:
     """``fp, center``: sets (by short hash) that share a signature, with the smallest of its group."""
+    n_buckets = parts * BUCKETS
 
     def emit(batches):
-        shingles, enum, seen = Shingles(), PartEnum(), set()
+        enum, seen = PartEnum(), set()
         sigs, fps, n = [], [], 0
 
         def flush():
@@ -240,8 +279,8 @@ def meetings(docs: DataFrame, text: str, n_buckets: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "sigs", "fps"])
 
-        for b in rows_by_bytes(batches, "text"):
-            for s in shingles.sets(b.column("text")):
+        for _, sets in text_sets(batches):
+            for s in sets:
                 if len(s) and (fp := short_hash(digest(s))) not in seen:
                     seen.add(fp)
                     x = enum.of(s)
@@ -255,34 +294,18 @@ def meetings(docs: DataFrame, text: str, n_buckets: int) -> DataFrame:
         if n:
             yield batch(list(flush()))
 
-    def meet(batches):
-        for (_,), rows in runs_of_keys(batches, 1):
-            s = np.concatenate([from_low_bytes(x, 5) for x, _ in rows])
-            f = np.concatenate([from_low_bytes(x, 6) for _, x in rows])
-            del rows
-            order = np.lexsort((f, s))
-            s, f = s[order], f[order]
-            new = np.concatenate([[True], (s[1:] != s[:-1]) | (f[1:] != f[:-1])])  # each set once in a group
-            s, f = s[new], f[new]
-            first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-            size = np.diff(np.concatenate([first, [len(s)]]))
-            center, shared = np.repeat(f[first], size), np.repeat(size, size) > 1
-            pairs = np.unique(np.stack([f[shared], center[shared]], axis=1), axis=0).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["fp", "center"])
-
     rows = docs.select(F.col(text).alias("text")).mapInArrow(emit, "bucket int, sigs binary, fps binary")
-    return rows.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "fp long, center long").distinct()
+    return rows.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "fp long, center long").distinct()
 
 
 def active_sets(docs: DataFrame, text: str, bits) -> DataFrame:
     """``fp, digest, members``: the sets whose bit is set, each once a task."""
 
     def run(batches):
-        shingles, seen = Shingles(), set()
-        bitmap = np.frombuffer(bits.value, np.uint8)
-        for b in rows_by_bytes(batches, "text"):
+        seen, bitmap = set(), np.frombuffer(bits.value, np.uint8)
+        for _, sets in text_sets(batches):
             rows = []
-            for s in shingles.sets(b.column("text")):
+            for s in sets:
                 if len(s) and (d := digest(s)) not in seen:
                     seen.add(d)
                     rows.append((short_hash(d), d, s))
@@ -338,7 +361,7 @@ def links(docs: DataFrame, rows: DataFrame, text: str, stages: Stages, block: in
         .repartition(n, "least", "x", "y").sortWithinPartitions("least", "x", "y")
 
     def settle(batches):
-        for _, members in runs_of_keys(batches, 3):
+        for _, members in runs_of_keys(rows_by_bytes(batches, "members"), 3):
             members = list(dict(members).items())
             if len(members) > 1:
                 found = forest([np.sort(from_low_bytes(m, 6)) for _, m in members])

@@ -111,6 +111,22 @@ class _WordIds(dict):
 SLICE_BYTES = 2 << 20
 
 
+def _tokenized(batches, tokenizer_path: str, keep: list[str], text: str, end_id: int | None):
+    """Record batches of the columns ``keep``, n and ids."""
+    words = _word_ids(tokenizer_path)
+    for b in rows_by_bytes(batches, text, SLICE_BYTES):
+        ids, n = words.ids(b.column(b.schema.get_field_index(text)))
+        if end_id is not None:
+            ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1
+        bounds = np.concatenate([[0], 4 * np.cumsum(n)])
+        if bounds[-1] < 1 << 31:
+            held = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids)])
+        else:  # a text of its own that is this long
+            held = pa.array([ids[i:j].tobytes() for i, j in zip(bounds[:-1] // 4, bounds[1:] // 4)], pa.binary())
+        out = {c: b.column(b.schema.get_field_index(c)) for c in keep}
+        yield pa.RecordBatch.from_pydict(out | {"n": pa.array(n, pa.int64()), "ids": held})
+
+
 def tokenize(df: DataFrame, tokenizer_path: str, text: str = "text", end_id: int | None = END_ID) -> DataFrame:
     """Adds ``ids`` (binary, unsigned 32-bit little-endian) and ``n`` to the other columns.
 
@@ -118,22 +134,7 @@ def tokenize(df: DataFrame, tokenizer_path: str, text: str = "text", end_id: int
     white space are encoded apart, each once for a slice of some megabytes.  A null text has only the end id."""
     keep = [c for c in df.columns if c != text]
     schema = schema_of(df.select(*keep), n="long", ids="binary")
-
-    def run(batches):
-        words = _word_ids(tokenizer_path)
-        for b in rows_by_bytes(batches, text, SLICE_BYTES):
-            ids, n = words.ids(b.column(b.schema.get_field_index(text)))
-            if end_id is not None:
-                ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1
-            bounds = np.concatenate([[0], 4 * np.cumsum(n)])
-            if bounds[-1] < 1 << 31:
-                held = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids)])
-            else:  # a text of its own that is this long
-                held = pa.array([ids[i:j].tobytes() for i, j in zip(bounds[:-1] // 4, bounds[1:] // 4)], pa.binary())
-            out = {c: b.column(b.schema.get_field_index(c)) for c in keep}
-            yield pa.RecordBatch.from_pydict(out | {"n": pa.array(n, pa.int64()), "ids": held})
-
-    return df.select(*keep, text).mapInArrow(run, schema)
+    return df.select(*keep, text).mapInArrow(lambda batches: _tokenized(batches, tokenizer_path, keep, text, end_id), schema)
 
 
 def pack(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text",
@@ -145,12 +146,13 @@ def pack(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "t
     Only ``key`` and ``text`` are read, so other columns cannot clash."""
     spark = df.sparkSession
     stages = Stages(spark, "pack")
-    docs = tokenize(df.select(F.col(key).alias("key"), F.col(text).alias("text")), tokenizer_path, "text", end_id)
-    schema = schema_of(docs.select("key", "n", "ids"), part="int", at="long")
+    docs = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    schema = schema_of(docs.select("key"), n="long", ids="binary", part="int", at="long")
 
     def number(batches):
+        """In one pass with the words: a second one would take a Python worker more per core, which stays with its memory."""
         part, at = TaskContext.get().partitionId(), 0
-        for b in batches:
+        for b in _tokenized(batches, tokenizer_path, ["key"], "text", end_id):
             n = b.column("n").to_numpy()
             ends = at + np.cumsum(n)
             yield pa.RecordBatch.from_arrays(

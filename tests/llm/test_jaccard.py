@@ -3,8 +3,10 @@
 import collections
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -104,3 +106,41 @@ def test_keep_first_keeps_every_class_of_one_id(spark):
     got = [(r.doc_id, r.text) for r in jaccard.keep_first(df).collect()]
     assert len(got) == 5 and {(1, b), (3, ""), (3, " "), (3, None)} < set(got)
     assert sum(t in (a, a + " more") for _, t in got) == 1  # one class, one id: one row
+
+
+def test_a_task_holds_little_beside_its_batch():
+    """One batch of 10 MB: the arrays made of its texts are few at any time, and the sets are those of single texts."""
+    rnd = random.Random(8)
+    texts = [" ".join(f"w{rnd.randrange(700)}" for _ in range(1000)) for _ in range(2000)]
+    batch = pa.record_batch({"text": texts})
+    n = 0
+    tracemalloc.start()
+    for b, sets in jaccard.text_sets([batch]):
+        n += sum(map(len, sets))
+        assert len(sets) == b.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert batch.nbytes > 9_000_000 and n == sum(len(shingle_set(t)) for t in texts)
+    assert peak < 40_000_000  # 16 MB here; 64 MB with a megabyte of text at once
+
+
+def test_sets_meet_at_the_smallest_in_bounded_pieces():
+    rng = np.random.default_rng(6)
+    buckets, groups = {}, collections.defaultdict(set)
+    for bucket, n in ((0, 40), (3, 600_000), (4, 1)):  # the second takes several pieces
+        s, f = rng.integers(0, 5 * n, n).astype(np.uint64), rng.integers(1, 2**40, n).astype(np.uint64)
+        s, f = np.concatenate([s, s[:n // 9]]), np.concatenate([f, f[:n // 9]])  # some rows twice
+        buckets[bucket] = [(bucket, jaccard.low_bytes(s[i:i + 7000], 5), jaccard.low_bytes(f[i:i + 7000], 6)) for i in range(0, len(s), 7000)]
+        for x, y in zip(s.tolist(), f.tolist()):
+            groups[bucket, x].add(y)
+    want = {(y, min(g)) for g in groups.values() if len(g) > 1 for y in g}
+    del groups
+    batch = pa.record_batch(list(map(list, zip(*(r for rows in buckets.values() for r in rows)))), schema=pa.schema(
+        [("bucket", pa.int32()), ("sigs", pa.binary()), ("fps", pa.binary())]))
+    del buckets
+    tracemalloc.start()
+    out = [(b.column("fp").to_numpy(), b.column("center").to_numpy()) for b in jaccard.meet(iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {p for fp, center in out for p in zip(fp.tolist(), center.tolist())} == want and len(want) > 50_000
+    assert len(out) > 4 and peak < 36_000_000  # 24 MB; 46 MB with the bucket sorted as a whole

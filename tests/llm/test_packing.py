@@ -63,3 +63,16 @@ def test_random_texts_equal_the_tokenizer():
 
 def test_empty_table(no_docs):
     assert packing.pack(no_docs, PATH).count() == 0
+
+
+def test_one_python_worker_a_task(docs, monkeypatch):
+    """Spark gives each Python step of a stage a worker of its own, which stays with the words it holds."""
+    plans, write = [], packing.Stages.write
+
+    def seen(self, df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, name)
+
+    monkeypatch.setattr(packing.Stages, "write", seen)
+    packing.pack(docs, PATH)
+    assert [p.count("MapInArrow") for p in plans] == [1]
