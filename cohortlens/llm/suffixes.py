@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import Rolling, Stages, bit_set, bitmap_slices, boxed, broadcast_bits, buckets, raw, rows_by_bytes, runs_of_keys, \
+from .util import Rolling, Stages, bit_set, bitmap_slices, boxed, broadcast_bits, buckets, mix, raw, rows_by_bytes, runs_of_keys, \
     salted_join, schema_of
 
 LENGTH = 200
@@ -41,7 +41,7 @@ DIGEST_BITS = 23
 SPLITTERS = 4096
 BUCKET_BYTES = 512 << 20  # of texts, for each bucket of gram hashes (one anchor in some 50 bytes)
 PART_BYTES = 256 << 20    # of texts, for each sorted part
-PIECE = 1 << 20
+PIECE = 256 << 10       # bytes of text in hand at once; their arrays take some hundred times as much
 FLUSH = 2_000_000        # hashes a task holds before it sends them
 HOT = 100_000            # anchors that one task may merge for the same gram
 RUN_BYTES = 12 << 20     # bytes of the suffixes of one sorted run
@@ -290,7 +290,7 @@ def gram_rows(docs: DataFrame, text: str, n_buckets: int, length: int, gram: int
 
         def flush():
             h = np.concatenate(held)
-            where = (h >> U(32)) * U(n_buckets) >> U(32)
+            where = (mix(h) >> U(32)) * U(n_buckets) >> U(32)  # an anchor's own hash is small, as the least of its neighbours'
             order = np.argsort(where, kind="stable")
             edges = np.searchsorted(where[order], np.arange(n_buckets + 1))
             return [(i, h[order[edges[i]:edges[i + 1]]].tobytes()) for i in np.flatnonzero(np.diff(edges)).tolist()]

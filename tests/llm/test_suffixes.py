@@ -3,7 +3,9 @@
 import collections
 import hashlib
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +108,19 @@ def test_more_parts_than_the_session_asks_for(spark, docs, monkeypatch):
     monkeypatch.setattr(suffixes, "BUCKET_BYTES", 2000)
     monkeypatch.setattr(suffixes, "PART_BYTES", 1000)
     assert sorted(map(str, suffixes.remove_repeats(docs, with_text=False).collect())) == want
+
+
+def test_gram_hashes_are_dealt_evenly_and_pieces_are_small(spark):
+    rnd = random.Random(12)
+    texts = ["".join(rnd.choice("abcdefghij ") for _ in range(4000)) for _ in range(500)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = suffixes.gram_rows(df, "text", 8, 200, 100, 10**12).where("bucket >= 0")
+    n = [r.n for r in rows.groupBy("bucket").agg((F.sum(F.length("hashes")) / 8).alias("n")).collect()]
+    assert len(n) == 8 and sum(n) > 20_000 and max(n) < 2 * min(n)  # by the hash itself, the first had nearly all
+    anchors = suffixes.Anchors()
+    tracemalloc.start()
+    for _, data, offsets, _ in suffixes.pieces([pa.record_batch({"text": texts})], "text", 199):
+        anchors.of(data, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50_000_000  # 21 MB; 108 MB with a megabyte of text at once
