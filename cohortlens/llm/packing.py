@@ -3,7 +3,8 @@
 Pass one tokenizes and stages each document's ids with its start within the partition; the
 partitions' token totals (one row each) become global offsets by a prefix sum; pass two cuts
 at the window borders, row by row, so a document over several windows gives one record per
-piece.  No shuffle: only the totals leave the tasks.
+piece.  No shuffle: only the totals leave the tasks.  Ids are staged in two bytes where they fit,
+and texts reach Python in batches of some megabytes.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from .util import SEPARATOR, Stages, raw, rows_by_bytes, schema_of, word_spans
+from .util import SEPARATOR, Stages, batches_of, raw, rows_by_bytes, schema_of, word_spans
 
 WINDOW = 4096
 END_ID = 2
@@ -111,18 +112,20 @@ class _WordIds(dict):
 SLICE_BYTES = 2 << 20
 
 
-def _tokenized(batches, tokenizer_path: str, keep: list[str], text: str, end_id: int | None):
-    """Record batches of the columns ``keep``, n and ids."""
+def _tokenized(batches, tokenizer_path: str, keep: list[str], text: str, end_id: int | None, narrow: bool = False):
+    """Record batches of the columns ``keep``, n and ids; narrow: two bytes an id in batches where all ids fit."""
     words = _word_ids(tokenizer_path)
     for b in rows_by_bytes(batches, text, SLICE_BYTES):
         ids, n = words.ids(b.column(b.schema.get_field_index(text)))
         if end_id is not None:
             ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1
-        bounds = np.concatenate([[0], 4 * np.cumsum(n)])
+        if narrow and ids.max(initial=0) < 1 << 16:
+            ids = ids.astype("<u2")
+        bounds = np.concatenate([[0], ids.itemsize * np.cumsum(n)])
         if bounds[-1] < 1 << 31:
             held = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids)])
         else:  # a text of its own that is this long
-            held = pa.array([ids[i:j].tobytes() for i, j in zip(bounds[:-1] // 4, bounds[1:] // 4)], pa.binary())
+            held = pa.array([ids[i:j].tobytes() for i, j in zip(bounds[:-1] // ids.itemsize, bounds[1:] // ids.itemsize)], pa.binary())
         out = {c: b.column(b.schema.get_field_index(c)) for c in keep}
         yield pa.RecordBatch.from_pydict(out | {"n": pa.array(n, pa.int64()), "ids": held})
 
@@ -152,7 +155,7 @@ def pack(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "t
     def number(batches):
         """In one pass with the words: a second one would take a Python worker more per core, which stays with its memory."""
         part, at = TaskContext.get().partitionId(), 0
-        for b in _tokenized(batches, tokenizer_path, ["key"], "text", end_id):
+        for b in _tokenized(batches, tokenizer_path, ["key"], "text", end_id, narrow=True):
             n = b.column("n").to_numpy()
             ends = at + np.cumsum(n)
             yield pa.RecordBatch.from_arrays(
@@ -160,7 +163,8 @@ def pack(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "t
                  pa.array(ends - n)], names=["key", "n", "ids", "part", "at"])
             at = int(ends[-1]) if len(n) else at
 
-    staged = stages.write(docs.mapInArrow(number, schema), "ids")
+    with batches_of(spark, SLICE_BYTES):
+        staged = stages.write(docs.mapInArrow(number, schema), "ids")
     totals = staged.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()  # a row per partition
     base = dict(zip((r["part"] for r in totals), np.cumsum([0] + [r["n"] for r in totals])[:-1].tolist()))
     names = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -171,7 +175,8 @@ def pack(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "t
         for b in rows_by_bytes(batches, "ids"):
             rows: list[list] = [[] for _ in out_schema]
             for k, n, ids, part, at in zip(*(b.column(i) for i in range(5))):
-                n, ids = n.as_py(), memoryview(ids.as_py())
+                n, ids = n.as_py(), ids.as_py()
+                ids = memoryview(ids if len(ids) == 4 * n else np.frombuffer(ids, "<u2").astype("<u4").tobytes())
                 begin = base.value[part.as_py()] + at.as_py()
                 done = 0
                 while done < n:

@@ -76,3 +76,46 @@ def test_one_python_worker_a_task(docs, monkeypatch):
     monkeypatch.setattr(packing.Stages, "write", seen)
     packing.pack(docs, PATH)
     assert [p.count("MapInArrow") for p in plans] == [1]
+
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def test_staging_takes_two_bytes_an_id_and_bounded_batches(docs, monkeypatch):
+    spark, seen, write = docs.sparkSession, [], packing.Stages.write
+    before = spark.conf.get(BATCH_BYTES)
+
+    def staged(self, df, name):
+        out = write(self, df, name)
+        seen.append((spark.conf.get(BATCH_BYTES), out.where("length(ids) <> 2 * n").count()))
+        return out
+
+    monkeypatch.setattr(packing.Stages, "write", staged)
+    packing.pack(docs, PATH)
+    assert seen == [(str(packing.SLICE_BYTES), 0)]
+    assert spark.conf.get(BATCH_BYTES) == before
+
+
+def test_batches_hold_about_the_bytes_asked_for(spark):
+    df = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 1000) AS text")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
+
+    with packing.batches_of(spark, 100_000):
+        n = [r.n for r in df.mapInArrow(sizes, "n long").collect()]
+    assert sum(n) == 3000 and max(n) <= 101
+    assert [r.n for r in df.mapInArrow(sizes, "n long").collect()] == [3000]
+
+
+def test_ids_that_need_four_bytes(docs):
+    """Batches with ids of 65,536 and more keep four bytes; the pieces are the same."""
+    def pieces(end_id):
+        out = packing.pack(docs, PATH, window=64, end_id=end_id).select("doc_id", "start", "ids", "ids_crc32").collect()
+        assert all(zlib.crc32(r.ids) == r.ids_crc32 for r in out)
+        return sorted(((r.doc_id, r.start, np.frombuffer(r.ids, "<u4").tolist()) for r in out), key=str)
+
+    small, large = pieces(65_535), pieces(65_536)
+    assert sorted([(k, at, [65_536 if x == 65_535 else x for x in ids]) for k, at, ids in small], key=str) == large
+    assert any(65_536 in ids for _, _, ids in large)
