@@ -31,8 +31,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import Rolling, Stages, bit_set, bitmap_slices, boxed, broadcast_bits, buckets, mix, raw, rows_by_bytes, runs_of_keys, \
-    salted_join, schema_of
+from .util import Rolling, Stages, batches_of, bit_set, bitmap_slices, boxed, broadcast_bits, buckets, mix, raw, rows_by_bytes, \
+    runs_of_keys, salted_join, schema_of
 
 LENGTH = 200
 GRAM = 100
@@ -45,6 +45,7 @@ PIECE = 256 << 10       # bytes of text in hand at once; their arrays take some
 FLUSH = 2_000_000        # hashes a task holds before it sends them
 HOT = 100_000            # anchors that one task may merge for the same gram
 RUN_BYTES = 12 << 20     # bytes of the suffixes of one sorted run
+BATCH_BYTES = 2 << 20    # of texts and of runs that reach Python at once
 U = np.uint64
 
 
@@ -283,6 +284,18 @@ def copied_once(docs: DataFrame, text: str, copied) -> DataFrame:
     return docs.select(F.col(text)).mapInArrow(run, "digest binary, text string").groupBy("digest").agg(F.first("text").alias("text"))
 
 
+def gram_bit(h: np.ndarray) -> np.ndarray:
+    """Hashes whose upper bits deal grams to buckets and name their bits: an anchor's own hash is small, as the least of its
+    neighbours', so that by its own upper bits nearly all would share a fiftieth of the bitmap."""
+    return mix(h)
+
+
+def splitters_of(sampled: list[bytes], parts: int) -> list[bytes]:
+    """At most ``parts - 1`` of the ascending samples, which leave as many samples in each part, the last too, or one more."""
+    n = min(parts, len(sampled))
+    return [sampled[i * len(sampled) // n] for i in range(1, n)]
+
+
 def gram_rows(docs: DataFrame, text: str, n_buckets: int, length: int, gram: int, rate: int, skip=None) -> DataFrame:
     """``bucket, hashes``: hashes of all anchors' grams, packed; bucket -1: sampled grams for the splitters."""
     def run(batches):
@@ -290,7 +303,7 @@ def gram_rows(docs: DataFrame, text: str, n_buckets: int, length: int, gram: int
 
         def flush():
             h = np.concatenate(held)
-            where = (mix(h) >> U(32)) * U(n_buckets) >> U(32)  # an anchor's own hash is small, as the least of its neighbours'
+            where = (gram_bit(h) >> U(32)) * U(n_buckets) >> U(32)
             order = np.argsort(where, kind="stable")
             edges = np.searchsorted(where[order], np.arange(n_buckets + 1))
             return [(i, h[order[edges[i]:edges[i + 1]]].tobytes()) for i in np.flatnonzero(np.diff(edges)).tolist()]
@@ -320,7 +333,7 @@ def repeated_grams(rows: DataFrame, n_buckets: int, hot: int) -> DataFrame:
     def run(batches):
         for _, rows in runs_of_keys(batches, 1):
             h, n = np.unique(np.concatenate([np.frombuffer(x, "<u8") for (x,) in rows]), return_counts=True)
-            bit = (h >> U(64 - BITS)).astype(np.int64)
+            bit = (gram_bit(h) >> U(64 - BITS)).astype(np.int64)
             for flag, chosen in ((False, (n > 1) & (n <= hot)), (True, n > hot)):
                 found = np.unique(bit[chosen])
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), flag))], names=["hash", "hot"])
@@ -336,7 +349,7 @@ def hot_strings(docs: DataFrame, text: str, hot_bits, length: int, gram: int, sk
         for names, data, offsets, shift in pieces(batches, text, length - 1, skip):
             row, _, first, last, h = anchors.of(data, offsets)
             blob, begin, out = data.tobytes(), offsets[:-1] - shift, []
-            for i in np.flatnonzero(bit_set(bitmap, h, BITS)).tolist():
+            for i in np.flatnonzero(bit_set(bitmap, gram_bit(h), BITS)).tolist():
                 r = int(row[i])
                 out += [(text_digest(blob[p:p + length]), names[r], p - int(begin[r])) for p in range(int(first[i]), int(last[i]) + 1)]
             if out:
@@ -388,8 +401,9 @@ def runs(docs: DataFrame, text: str, bits, hot_bits, splitters: list[bytes], len
 
         for names, data, offsets, shift in pieces(batches, text, length - 1, skip):
             row, anchor, first, last, h = anchors.of(data, offsets)
-            hit = bit_set(bitmap, h, BITS)
-            hit = np.flatnonzero(hit if hot is None else hit & ~bit_set(hot, h, BITS))
+            bit = gram_bit(h)
+            hit = bit_set(bitmap, bit, BITS)
+            hit = np.flatnonzero(hit if hot is None else hit & ~bit_set(hot, bit, BITS))
             blob = data.tobytes()
             begin = (offsets[:-1] - shift)[row[hit]]
             for r, s, a, e, z in zip(row[hit].tolist(), anchor[hit].tolist(), first[hit].tolist(), last[hit].tolist(), begin.tolist()):
@@ -487,24 +501,24 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     rate = max(1, total * 2 // (length - gram + 2) // drawn)
     copies = names.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
     copied = digest_bits(spark, copies.where("copies > 1"))
-    once = stages.write(copied_once(docs, text, copied), "once")
-    # the texts that are there once, and one of each of the others
-    both = lambda f, *options: f(docs, text, *options, copied).unionByName(f(once, "text", *options))
-    grams = stages.write(both(gram_rows, n, length, gram, rate), "grams")
-    # about SPLITTERS grams of 100 bytes, or 100 bytes for each 64 MB of a very large input
-    sampled = sorted({x for r in grams.where("bucket = -1").select("hashes").collect()
-                      for x in (bytes(r[0][i:i + gram]) for i in range(0, len(r[0]), gram))})
-    step = max(1, len(sampled) // parts)
-    splitters = sampled[step::step][:parts - 1]
-    known = stages.write(repeated_grams(grams, n, hot), "repeated")
-    stages.drop("grams")
-    bits = broadcast_bits(spark, bitmap_slices(known.where("not hot"), "hash", BITS, BITS), 2**BITS // 8)
-    some_hot = known.where("hot")
-    hot_bits = None if some_hot.isEmpty() else broadcast_bits(spark, bitmap_slices(some_hot, "hash", BITS, BITS), 2**BITS // 8)
-    ranges = covered(both(runs, bits, hot_bits, splitters, length, gram), parts, length, gram)
-    if hot_bits is not None:
-        ranges = ranges.unionByName(hot_covered(both(hot_strings, hot_bits, length, gram), length, stages))
-    found = stages.write(ranges, "found")
+    with batches_of(spark, BATCH_BYTES):
+        once = stages.write(copied_once(docs, text, copied), "once")
+        # the texts that are there once, and one of each of the others
+        both = lambda f, *options: f(docs, text, *options, copied).unionByName(f(once, "text", *options))
+        grams = stages.write(both(gram_rows, n, length, gram, rate), "grams")
+        # about SPLITTERS grams of 100 bytes, or 100 bytes for each 64 MB of a very large input
+        sampled = sorted({x for r in grams.where("bucket = -1").select("hashes").collect()
+                          for x in (bytes(r[0][i:i + gram]) for i in range(0, len(r[0]), gram))})
+        splitters = splitters_of(sampled, parts)
+        known = stages.write(repeated_grams(grams, n, hot), "repeated")
+        stages.drop("grams")
+        bits = broadcast_bits(spark, bitmap_slices(known.where("not hot"), "hash", BITS, BITS), 2**BITS // 8)
+        some_hot = known.where("hot")
+        hot_bits = None if some_hot.isEmpty() else broadcast_bits(spark, bitmap_slices(some_hot, "hash", BITS, BITS), 2**BITS // 8)
+        ranges = covered(both(runs, bits, hot_bits, splitters, length, gram), parts, length, gram)
+        if hot_bits is not None:
+            ranges = ranges.unionByName(hot_covered(both(hot_strings, hot_bits, length, gram), length, stages))
+        found = stages.write(ranges, "found")
     stages.drop("once")
     spans = found.groupBy("digest").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     known = stages.write(copies.join(spans, "digest", "left").where("copies > 1 or spans is not null"), "spans")
@@ -519,7 +533,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
 def _cut(length: int, with_text: bool, schema):
     def run(batches):
         names = schema.names
-        for b in batches:
+        for b in rows_by_bytes(batches, "bytes"):
             out = []
             for d, name, n, whole, data, copies, spans in zip(*(b.column(i) for i in range(7))):
                 n, copies = n.as_py(), copies.as_py() or 1
@@ -543,7 +557,7 @@ def _cut(length: int, with_text: bool, schema):
                 out.append(row)
             types = [b.column(0).type, pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
             types += [pa.binary(), pa.string(), b.column(6).type] * with_text
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out) if out else [[]] * len(types), types)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), types)], names=names)
 
     return run
 

@@ -124,3 +124,42 @@ def test_gram_hashes_are_dealt_evenly_and_pieces_are_small(spark):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 50_000_000  # 21 MB; 108 MB with a megabyte of text at once
+
+
+def test_every_part_gets_its_share(spark, monkeypatch):
+    """The last part too: a table of some gigabytes has fewer samples than parts have places for, and what was left over met in one task."""
+    rnd = random.Random(15)
+    texts = ["".join(rnd.choice("abcdefghij ") for _ in range(4000)) for _ in range(200)]
+    df = spark.createDataFrame([(i, str(k) + t) for i, t in enumerate(texts) for k in range(2 + i % 2)], "doc_id long, text string")
+    shares = []
+
+    def counted(run_rows, parts, length, gram):
+        n = [r.n for r in run_rows.groupBy("part").agg((F.sum(F.length("least")) / 2).alias("n")).collect()]
+        shares.append((parts, sum(n), max(n)))
+        return spark.createDataFrame([], "digest binary, start long, end long")
+
+    monkeypatch.setattr(suffixes, "covered", counted)
+    monkeypatch.setattr(suffixes, "SPLITTERS", 1)
+    monkeypatch.setattr(suffixes, "PART_BYTES", 10_000)
+    assert suffixes.remove_repeats(df, with_text=False).count() == 500
+    (parts, total, most), = shares
+    assert parts == 200 and total > 30_000 and most < total / 15  # a third of them, before
+
+
+def test_splitters_are_even():
+    for n in (0, 1, 5, 199, 200, 201, 399, 400, 1000):
+        sampled = [i.to_bytes(2, "big") for i in range(n)]
+        at = [-1 + bool(n)] + [int.from_bytes(x, "big") for x in suffixes.splitters_of(sampled, 200)] + [n]
+        gaps = [b - a for a, b in zip(at, at[1:])]
+        assert len(gaps) == max(1, min(n, 200)) and max(gaps) - min(gaps) <= 1
+
+
+def test_the_bitmap_has_room_for_grams_that_repeat(spark, monkeypatch):
+    rnd = random.Random(16)
+    texts = ["".join(rnd.choice("abcdefghij ") for _ in range(4000)) for _ in range(330)]
+    df = spark.createDataFrame([(t,) for t in texts + ["x" + t for t in texts[:30]]], "text string")
+    monkeypatch.setattr(suffixes, "BITS", 17)
+    known = suffixes.repeated_grams(suffixes.gram_rows(df, "text", 8, 200, 100, 10**12), 8, 10**9)
+    bits = suffixes.broadcast_bits(spark, suffixes.bitmap_slices(known, "hash", 17, 17), 2**17 // 8)
+    n = suffixes.runs(df, "text", bits, None, [], 200, 100).agg(F.sum(F.length("least")) / 2).first()[0]
+    assert 4000 < n < 6000  # of 27,000 suffixes those of grams that repeat, 4,500; nearly half of the others too, before
