@@ -286,7 +286,7 @@ def copied_once(docs: DataFrame, text: str, copied) -> DataFrame:
 
 def gram_bit(h: np.ndarray) -> np.ndarray:
     """Hashes whose upper bits deal grams to buckets and name their bits: an anchor's own hash is small, as the least of its
-    neighbours', so that by its own upper bits nearly all would share a fiftieth of the bitmap."""
+    neighbours', so that by its own upper bits nearly all would share a few hundredths of the bitmap."""
     return mix(h)
 
 
